@@ -4,10 +4,10 @@ A blocking stage gives rows (key, id, payload). Groups of a key are cut into blo
 each pair of blocks is one unit of work, so a key that a third of all rows share is many small units.
 
 Round one: each unit finds its candidate pairs with the operator's filter (which may err only towards
-too many) and emits a spanning forest of them. These are verified and give components.
-Round two: the units emit every candidate pair that still lies between two components. These are
-verified too. So each candidate pair is verified or lies within a component: no link between
-components is lost, and a group of n mutual near-copies costs about n verifications, not n*n/2.
+too many). A unit with few of them emits all; a dense one emits a spanning forest and is marked. The pairs are
+verified and give components. Round two: the dense units emit every candidate pair that still lies between
+two components, and these are verified too. So each candidate pair is verified or lies within a component: no
+link between components is lost, and a group of n mutual near-copies costs about n verifications, not n*n/2.
 """
 
 from __future__ import annotations
@@ -20,18 +20,42 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.shared import saved, sorted_groups
+from millrace.llm.shared import complete_groups, saved
 
 #: Rows of a block; a unit of work holds two blocks at most.
 BLOCK_ROWS = 2048
 
-#: Given two tables of rows (the second None: pairs within the first), index arrays of candidate pairs.
-Matcher = Callable[[pa.Table, "pa.Table | None"], "tuple[np.ndarray, np.ndarray]"]
+#: Rows up to which all pairs of a unit are filtered at once, and pairs a row up to which a unit emits all.
+LEAF_ROWS, FEW = 32, 2
 
 
-def shared_keys(rows: DataFrame) -> DataFrame:
-    """The rows whose key at least two rows have, with that number as group_rows."""
-    return rows.withColumn("group_rows", F.count("*").over(Window.partitionBy("key"))).where("group_rows > 1")
+class Matcher:
+    """An operator's filter for candidate pairs."""
+
+    columns: list[str]
+
+    def prepare(self, rows: pa.Table):
+        """What leaf() and tree() need of the rows."""
+        raise NotImplementedError
+
+    def leaf(self, state, ia: np.ndarray, ib: np.ndarray) -> np.ndarray:
+        """Which of the pairs of row numbers stay."""
+        raise NotImplementedError
+
+    def tree(self, state, left: np.ndarray, right: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Candidate pairs between two sets of row numbers, or within one."""
+        raise NotImplementedError
+
+
+def shared_keys(rows: DataFrame, size_col: str | None = None, least_ratio: float = 0.0) -> DataFrame:
+    """The rows whose key at least two rows have (with size_col: two rows whose sizes have that ratio), and group_rows, their number."""
+    if size_col is None:
+        return rows.withColumn("group_rows", F.count("*").over(Window.partitionBy("key"))).where("group_rows > 1")
+    by_size = Window.partitionBy("key").orderBy(size_col)
+    near = rows.withColumn("_below", F.lag(size_col).over(by_size)).withColumn("_above", F.lead(size_col).over(by_size))
+    margin = least_ratio * (1 - 1e-9)
+    near = near.where((F.col("_below") >= margin * F.col(size_col)) | (F.col(size_col) >= margin * F.col("_above"))).drop("_below", "_above")
+    return near.withColumn("group_rows", F.count("*").over(Window.partitionBy("key")))
 
 
 def units(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -56,62 +80,83 @@ def _forest(n: int, ia: np.ndarray, ib: np.ndarray) -> tuple[np.ndarray, np.ndar
     return tuple(np.array(out, np.int64).reshape(-1, 2).T)
 
 
-def candidates(dealt: DataFrame, matcher: Matcher, columns: list[str], across: bool) -> DataFrame:
-    """Distinct candidate pairs (a < b). across: all pairs whose components (column root) differ, else a forest of each unit."""
+def _unit_pairs(rows: pa.Table, starts: np.ndarray, matcher: Matcher):
+    """Candidate pairs of each unit: unit number, row numbers."""
+    state, sizes = matcher.prepare(rows), np.diff(starts)
+    own, lo, hi = (rows.column(c).to_numpy() for c in ("own", "lo", "hi"))
+    apart = lo[starts[:-1]] != hi[starts[:-1]]
+    found = []
+    for size in np.unique(sizes[(sizes > 1) & (sizes <= LEAF_ROWS)]):
+        these = np.flatnonzero((sizes == size) & ~apart)
+        i, j = np.triu_indices(size, 1)
+        for part in np.array_split(these, max(1, len(these) * len(i) // 500_000)):
+            ia, ib = ((starts[part][:, None] + k[None, :]).ravel() for k in (i, j))
+            keep = matcher.leaf(state, ia, ib)
+            found.append((np.repeat(part, len(i))[keep], ia[keep], ib[keep]))
+    for u in np.flatnonzero((sizes > LEAF_ROWS) | (apart & (sizes > 1))):
+        inside = np.arange(starts[u], starts[u + 1])
+        if apart[u]:
+            left, right = inside[own[inside] == lo[inside]], inside[own[inside] == hi[inside]]
+            ia, ib = matcher.tree(state, left, right) if len(left) and len(right) else (inside[:0], inside[:0])
+        else:
+            ia, ib = matcher.tree(state, inside, None)
+        found.append((np.full(len(ia), u), np.minimum(ia, ib), np.maximum(ia, ib)))
+    return [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 3
+
+
+def candidates(dealt: DataFrame, matcher: Matcher, across: bool) -> DataFrame:
+    """Rows (a, b) with a < b, or (key, lo, hi) for a dense unit. across: all pairs whose components (column root) differ."""
     keys = ["key", "lo", "hi"]
 
     def run(batches):
-        a_all, b_all = [], []
-        for unit in sorted_groups(batches, keys):
-            own, ids = unit.column("own").to_numpy(), unit.column("id").to_numpy()
-            lo, hi = unit.column("lo")[0].as_py(), unit.column("hi")[0].as_py()
-            if len(ids) < 2:
-                continue
-            roots = unit.column("root").to_numpy() if across else None
-            if across and (roots == roots[0]).all():
-                continue
-            if lo == hi:
-                ia, ib = matcher(unit, None)
-            else:
-                left, right = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
-                if not len(left) or not len(right):
-                    continue
-                ia, ib = matcher(unit.take(pa.array(left)), unit.take(pa.array(right)))
-                ia, ib = left[ia], right[ib]
+        for rows, starts in complete_groups(batches, keys):
+            ids = rows.column("id").to_numpy()
+            unit, ia, ib = _unit_pairs(rows, starts, matcher)
+            dense = np.zeros(0, np.int64)
             if across:
-                keep = roots[ia] != roots[ib]
+                root = rows.column("root").to_numpy()
+                keep = root[ia] != root[ib]
                 ia, ib = ia[keep], ib[keep]
-            elif len(ia) > 1:
-                ia, ib = _forest(len(ids), np.minimum(ia, ib), np.maximum(ia, ib))
-            a_all.append(ids[ia])
-            b_all.append(ids[ib])
-            if sum(map(len, a_all)) > 50_000:
-                yield _pairs(a_all, b_all)
-                a_all, b_all = [], []
-        if a_all:
-            yield _pairs(a_all, b_all)
-
-    need = list(dict.fromkeys([*keys, "own", "id", *columns, *(["root"] if across else [])]))
-    return dealt.select(need).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long").groupBy("a", "b").agg(F.lit(1).alias("_")).select("a", "b")
-
-
-def _pairs(a_all: list[np.ndarray], b_all: list[np.ndarray]) -> pa.RecordBatch:
-    a, b = np.concatenate(a_all), np.concatenate(b_all)
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"])
-
-
-def linked(rows: DataFrame, payload: DataFrame, matcher: Matcher, columns: list[str], verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+            else:
+                count = np.bincount(unit, minlength=len(starts) - 1)
+                many = count > FEW * np.diff(starts)
+                dense = np.flatnonzero(many)
+                parts = [(ia[~many[unit]], ib[~many[unit]])]
+                for u in dense:
+                    mine = unit == u
+                    p, q = _forest(int(starts[u + 1] - starts[u]), ia[mine] - starts[u], ib[mine] - starts[u])
+                    parts.append((p + starts[u], q + starts[u]))
+                ia, ib = (np.concatenate(x) for x in zip(*parts, strict=True))
+            pairs = np.unique(np.stack([np.minimum(ids[ia], ids[ib]), np.maximum(ids[ia], ids[ib])], axis=1), axis=0)
+            none = [None] * len(pairs)
+            columns = [pa.array([*pairs[:, 0].tolist(), *[None] * len(dense)], pa.int64()), pa.array([*pairs[:, 1].tolist(), *[None] * len(dense)], pa.int64())]
+            columns += [pa.array([*none, *rows.column(k).to_numpy()[starts[dense]].tolist()], t) for k, t in zip(keys, (pa.int64(), pa.int32(), pa.int32()), strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", *keys])
+
+    need = [*keys, "own", "id", *matcher.columns, *(["root"] if across else [])]
+    found = dealt.select(need).repartition(*keys).sortWithinPartitions(*keys, "id").mapInArrow(run, "a long, b long, key long, lo int, hi int")
+    return found.groupBy("a", "b", *keys).agg(F.lit(1).alias("_")).drop("_")
+
+
+def linked(rows: DataFrame, payload: DataFrame, matcher: Matcher, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(node, root) of every class that a verified link joins to another.
 
-    rows: (key, id), distinct. payload: (id, columns). verify: keeps the true links of (a, b).
+    rows: (key, id) and group_rows, from shared_keys(). payload: (id, the matcher's columns). verify: keeps the true links of (a, b).
     """
-    dealt = saved(units(shared_keys(rows)).join(payload.select("id", *columns), "id"))
-    first = saved(candidates(dealt, matcher, columns, across=False))
-    links = saved(verify(first))
-    roots = components(links)
-    rooted = dealt.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    second = candidates(rooted, matcher, columns, across=True).join(first, ["a", "b"], "left_anti")
-    more = saved(verify(saved(second)))
-    if more.isEmpty():
+    dealt = saved(units(rows).select("key", "lo", "hi", "own", "id"))
+    details = payload.select("id", *matcher.columns)
+    found = saved(candidates(dealt.join(details, "id"), matcher, across=False))
+    first = found.where("a IS NOT NULL").select("a", "b")
+    roots = components(verify(first))
+    dense = found.where("a IS NULL").select("key", "lo", "hi")
+    if dense.isEmpty():
+        return roots
+    again = dealt.join(dense, ["key", "lo", "hi"], "left_semi").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    mixed = again.groupBy("key", "lo", "hi").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key", "lo", "hi")
+    again = again.join(mixed, ["key", "lo", "hi"], "left_semi").join(details, "id")
+    second = saved(candidates(again, matcher, across=True).select("a", "b").distinct().join(first, ["a", "b"], "left_anti"))
+    if second.isEmpty():
         return roots
-    return components(links.union(more))
+    more = verify(second)
+    star = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return components(star.union(more))

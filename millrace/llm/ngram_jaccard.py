@@ -18,12 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.linking import linked
+from millrace.llm.linking import Matcher, linked, shared_keys
 from millrace.llm.shared import binaries, lists, mix, row_blocks, row_key, saved, text_buffer, word_hashes
 
 #: Bits of a class's token bitmap: from, to.
-BITS = (512, 8192)
+BITS = (256, 4096)
 LEAF, FANOUT = 32, 8
+#: Ids of texts to verify that are broadcast to the scan of the texts; more are joined by shuffle.
+BROADCAST_IDS = 1_000_000
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -62,8 +64,8 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray
 
 
 def _sizes(count: np.ndarray) -> np.ndarray:
-    """Bits of the bitmaps: a power of two of at least twice the set's size, within BITS."""
-    bits = np.left_shift(1, np.ceil(np.log2(np.maximum(2 * count, 1))).astype(np.int64))
+    """Bits of the bitmaps: a power of two of at least the set's size, within BITS."""
+    bits = np.left_shift(1, np.ceil(np.log2(np.maximum(count, 1))).astype(np.int64))
     return np.clip(bits, *BITS)
 
 
@@ -99,18 +101,12 @@ def sketch(docs: DataFrame, k: int, share: Fraction) -> DataFrame:
 class _Side:
     """Rows of one side, sorted by size, with the bitmaps folded to one width, and the tree above them."""
 
-    def __init__(self, unit: pa.Table, bits: int):
-        n = unit.column("n").to_numpy()
-        self.order = np.argsort(n, kind="stable")
-        self.n = n[self.order]
-        sigs = unit.column("sig").to_pylist()
-        self.either, self.parity = np.empty((len(n), bits // 64), np.uint64), np.empty((len(n), bits // 64), np.uint64)
-        for i, j in enumerate(self.order):
-            raw = np.frombuffer(sigs[j], np.uint64)
-            half = raw.reshape(2, -1, bits // 64)
-            self.either[i], self.parity[i] = np.bitwise_or.reduce(half[0], axis=0), np.bitwise_xor.reduce(half[1], axis=0)
-        starts = np.arange(0, len(n), LEAF)
-        self.levels = [self._level(starts, np.minimum(starts + LEAF, len(n)), np.bitwise_or.reduceat(self.either, starts), np.bitwise_and.reduceat(self.either, starts))]
+    def __init__(self, sets: "_Sets", rows: np.ndarray, words: int):
+        self.order = rows[np.argsort(sets.n[rows], kind="stable")]
+        self.n = sets.n[self.order]
+        self.either, self.parity = sets.bitmaps(self.order, words)
+        starts = np.arange(0, len(rows), LEAF)
+        self.levels = [self._level(starts, np.minimum(starts + LEAF, len(rows)), np.bitwise_or.reduceat(self.either, starts), np.bitwise_and.reduceat(self.either, starts))]
         while len(self.levels[-1]["lo"]) > 1:
             below = self.levels[-1]
             at = np.arange(0, len(below["lo"]), FANOUT)
@@ -128,12 +124,12 @@ def _may_overlap(a: dict, i: np.ndarray, b: dict, j: np.ndarray, up: int, down:
     return fits & ((up + down) * most >= up * (least_a + least_b))
 
 
-def signature_tree_pairs(left: pa.Table, right: pa.Table | None, share: Fraction) -> tuple[np.ndarray, np.ndarray]:
+def signature_tree_pairs(sets: "_Sets", left: np.ndarray, right: np.ndarray | None, share: Fraction) -> tuple[np.ndarray, np.ndarray]:
     """Candidate pairs by dual traversal; bounds only, so no true pair is dropped."""
     up, down = share.numerator, share.denominator
-    widths = [len(x) * 4 for t in (left, right) if t is not None for x in t.column("sig").to_pylist()]
-    a = _Side(left, min(widths))
-    b = a if right is None else _Side(right, min(widths))
+    words = int(min(sets.words[left].min(), sets.words[left if right is None else right].min()))
+    a = _Side(sets, left, words)
+    b = a if right is None else _Side(sets, right, words)
     la, lb = len(a.levels) - 1, len(b.levels) - 1
     i, j = np.zeros(1, np.int64), np.zeros(1, np.int64)
     while True:
@@ -162,6 +158,58 @@ def signature_tree_pairs(left: pa.Table, right: pa.Table | None, share: Fraction
     return (np.concatenate(found_a), np.concatenate(found_b)) if found_a else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
+class _Sets:
+    """Set sizes and bitmaps of a table's rows. Bitmaps of different widths compare after the wider one is folded."""
+
+    def __init__(self, rows: pa.Table):
+        self.n = rows.column("n").to_numpy()
+        column = rows.column("sig").combine_chunks().cast(pa.large_binary())
+        if isinstance(column, pa.ChunkedArray):
+            column = column.chunk(0)
+        _, offsets, data = column.buffers()
+        self.start = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] // 8
+        self.data = np.frombuffer(data, np.uint64)
+        self.words = np.diff(self.start) // 2
+
+    def bitmaps(self, rows: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+        either, parity = np.empty((len(rows), words), np.uint64), np.empty((len(rows), words), np.uint64)
+        for width in np.unique(self.words[rows]):
+            at = np.flatnonzero(self.words[rows] == width)
+            cells = self.start[rows[at]][:, None] + np.arange(width)[None, :]
+            either[at] = np.bitwise_or.reduce(self.data[cells].reshape(len(at), -1, words), axis=1)
+            parity[at] = np.bitwise_xor.reduce(self.data[cells + width].reshape(len(at), -1, words), axis=1)
+        return either, parity
+
+
+class SignatureTrees(Matcher):
+    columns = ["n", "sig"]
+
+    def __init__(self, share: Fraction):
+        self.share = share
+
+    def prepare(self, rows: pa.Table) -> _Sets:
+        sets = _Sets(rows)
+        sets.narrow = sets.bitmaps(np.arange(len(sets.n)), BITS[0] // 64)[1]
+        return sets
+
+    def leaf(self, sets: _Sets, ia: np.ndarray, ib: np.ndarray) -> np.ndarray:
+        up, down = self.share.numerator, self.share.denominator
+        na, nb = sets.n[ia], sets.n[ib]
+        most = (down - up) * (na + nb) // (up + down)
+        keep = (up * na <= down * nb) & (up * nb <= down * na)
+        at = np.flatnonzero(keep)
+        keep[at] = np.bitwise_count(sets.narrow[ia[at]] ^ sets.narrow[ib[at]]).sum(1, dtype=np.int64) <= most[at]
+        at = np.flatnonzero(keep)
+        width = np.minimum(sets.words[ia[at]], sets.words[ib[at]])
+        for w in np.unique(width):
+            these = at[width == w]
+            keep[these] = np.bitwise_count(sets.bitmaps(ia[these], int(w))[1] ^ sets.bitmaps(ib[these], int(w))[1]).sum(1, dtype=np.int64) <= most[these]
+        return keep
+
+    def tree(self, sets: _Sets, left: np.ndarray, right: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        return signature_tree_pairs(sets, left, right, self.share)
+
+
 def _children(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     kids = (i[:, None] * FANOUT + np.arange(FANOUT)[None, :]).ravel()
     return kids[kids < n], np.repeat(j, FANOUT)[kids < n]
@@ -210,18 +258,18 @@ def jaccard_classes(docs: DataFrame, text_col: str = "text", k: int = 3, thresho
     classes = saved(
         sketched.where("n > 0").groupBy(F.col("class").alias("id")).agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("sig").alias("sig"), F.min("_key").alias("text_key"))
     )
-    rows = classes.select(F.explode("prefix").alias("key"), "id")
+    rows = shared_keys(classes.select(F.explode("prefix").alias("key"), "id", "n"), "n", float(share))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        needed = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct().join(classes.select("id", "text_key"), "id")
-        chosen = keyed.select("_key", text_col).join(needed.select(F.col("text_key").alias("_key"), "id"), "_key").select("id", text_col)
-        sets = _token_sets(chosen, k).groupBy("id").agg(F.first("tokens").alias("tokens"))
-        sets = saved(sets)
+        needed = saved(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct().join(classes.select("id", "text_key"), "id").select("id", F.col("text_key").alias("_key")))
+        few = needed.count() <= BROADCAST_IDS
+        chosen = keyed.select("_key", text_col).join(F.broadcast(needed) if few else needed, "_key").select("id", text_col)
+        sets = saved(_token_sets(chosen, k).groupBy("id").agg(F.first("tokens").alias("tokens")))
         x = sets.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
         y = sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
-        return _keep_links(pairs.join(x, "a").join(y, "b"), share)
+        return saved(_keep_links(pairs.join(x, "a").join(y, "b"), share))
 
-    roots = linked(rows, classes.select("id", "n", "sig"), lambda p, q: signature_tree_pairs(p, q, share), ["n", "sig"], verify)
+    roots = linked(rows, classes, SignatureTrees(share), verify)
     of_text = sketched.select("_key", "n", F.when(F.col("n") > 0, F.col("class")).alias("id")).groupBy("_key").agg(F.first("n").alias("n_shingles"), F.first("id").alias("id"))
     of_text = of_text.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("_key", "n_shingles", F.coalesce("root", "id").alias("group_key"))
     return keyed.drop("n_shingles", "group_key").join(of_text, "_key").drop("_key")

@@ -148,13 +148,8 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
             now = pa.concat_tables([carried, now]).combine_chunks()
         if not now.num_rows:
             continue
-        change = np.zeros(now.num_rows, bool)
-        for k in keys:
-            v = now.column(k).to_numpy()
-            change[1:] |= v[1:] != v[:-1]
-        cuts = np.flatnonzero(change)
         a = 0
-        for b in cuts:
+        for b in _cuts(now, keys):
             yield now.slice(a, int(b) - a)
             a = int(b)
         carried = now.slice(a)
@@ -162,6 +157,31 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
         yield carried
 
 
+def complete_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups of equal keys from a sorted stream, with where each group starts and, last, the end."""
+    carried: pa.Table | None = None
+    for batch in batches:
+        now = pa.Table.from_batches([batch])
+        if carried is not None:
+            now = pa.concat_tables([carried, now]).combine_chunks()
+        cuts = _cuts(now, keys)
+        if len(cuts):
+            yield now.slice(0, int(cuts[-1])).combine_chunks(), np.concatenate(([0], cuts))
+            carried = now.slice(int(cuts[-1]))
+        else:
+            carried = now
+    if carried is not None and carried.num_rows:
+        yield carried.combine_chunks(), np.array([0, carried.num_rows])
+
+
+def _cuts(now: pa.Table, keys: list[str]) -> np.ndarray:
+    change = np.zeros(now.num_rows, bool)
+    for k in keys:
+        v = now.column(k).to_numpy()
+        change[1:] |= v[1:] != v[:-1]
+    return np.flatnonzero(change)
+
+
 def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
     """A list array of the given lengths over values."""
     offsets = np.zeros(len(counts) + 1, np.int32)
