@@ -15,12 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.linking import Matcher, linked, shared_keys
+from millrace.llm.linking import Matcher, linked, shared_keys, verified, with_keys
 from millrace.llm.shared import _words_of_block, lists, mix, row_blocks, row_key, saved, table, text_buffer
 
 #: Bits that two SimHashes may differ in, and the blocks (start, end) of their 64 bits.
 MAX_BITS, BLOCKS = 3, ((0, 13), (13, 26), (26, 39), (39, 52), (52, 64))
-BROADCAST_IDS = 1_000_000
 
 #: A-Z to a-z, digits to 0, other ASCII (but the line end) to a space.
 NORMAL = np.arange(256, dtype=np.uint8)
@@ -113,38 +112,19 @@ def edit_within(x: np.ndarray, y: np.ndarray, most: int) -> bool:
     return int(row[-1]) <= most
 
 
-def _verified(pairs: DataFrame) -> DataFrame:
-    def run(batches):
-        for batch in batches:
-            x, y = batch.column(2), batch.column(3)
-            vx, ox, vy, oy = x.values.to_numpy(), x.offsets.to_numpy(), y.values.to_numpy(), y.offsets.to_numpy()
-            keep = []
-            for i in range(batch.num_rows):
-                p, q = vx[ox[i] : ox[i + 1]], vy[oy[i] : oy[i + 1]]
-                keep.append(edit_within(p, q, max(len(p), len(q)) // 5))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    return pairs.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
-
-
-def _word_lists(docs: DataFrame, text_col: str) -> DataFrame:
-    """(id, words) of the lines that docs' column wanted (an array of line, id) names."""
+def _word_lists(docs: DataFrame) -> DataFrame:
+    """From (text, line, id, root, lo, hi) to (id, root, lo, hi, items), the hashes of that line's words."""
 
     def run(batches):
         for batch in batches:
-            out, sizes, ids = [], [], []
-            for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                parts = text.encode().split(b"\n")
-                for w in wanted:
-                    line = np.frombuffer(parts[w["line"]], np.uint8)
-                    words = _words_of_block(NORMAL[line], np.array([0, len(line)]))[0]
-                    out.append(words)
-                    sizes.append(len(words))
-                    ids.append(w["id"])
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), lists(np.concatenate(out).view(np.int64), np.array(sizes), pa.int64())], ["id", "words"])
+            out = []
+            for text, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                part = np.frombuffer(text.encode().split(b"\n")[line], np.uint8)
+                out.append(_words_of_block(NORMAL[part], np.array([0, len(part)]))[0])
+            items = lists(np.concatenate([np.zeros(0, np.uint64), *out]).view(np.int64), np.array([len(x) for x in out], np.int64), pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(2, 6)), items], ["id", "root", "lo", "hi", "items"])
 
-    return docs.select(text_col, "wanted").mapInArrow(run, "id long, words array<long>")
+    return docs.mapInArrow(run, "id long, root long, lo int, hi int, items array<long>")
 
 
 def _cut_lines(docs: DataFrame, text_col: str) -> DataFrame:
@@ -178,17 +158,14 @@ def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "
     keys = F.array(*(F.xxhash64(F.lit(i), block(p), block(q)) for i, (p, q) in enumerate(combinations(range(5), 2))))
     rows = shared_keys(classes.select(F.explode(keys).alias("key"), "id", "n"), "n", 0.8)
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        needed = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct().join(classes, "id")
-        wanted = saved(needed.groupBy(F.col("at._row").alias("_row")).agg(F.collect_list(F.struct(F.col("at.line").alias("line"), "id")).alias("wanted")))
-        few = wanted.count() <= BROADCAST_IDS
-        chosen = keyed.select("_row", text_col).join(F.broadcast(wanted) if few else wanted, "_row")
-        words = saved(_word_lists(chosen, text_col).groupBy("id").agg(F.first("words").alias("words")))
-        x = words.select(F.col("id").alias("a"), F.col("words").alias("x"))
-        y = words.select(F.col("id").alias("b"), F.col("words").alias("y"))
-        return saved(_verified(pairs.join(x, "a").join(y, "b")))
-
-    roots = linked(rows, classes, SimHashes(), verify)
+    def fetch(needed: DataFrame) -> DataFrame:
+        at = needed.join(classes.select("id", "at._row", "at.line"), "id")
+        return _word_lists(with_keys(keyed.select("_row", text_col), at, "_row").select(text_col, "line", "id", "root", "lo", "hi"))
+
+    def accept(x: np.ndarray, y: np.ndarray) -> bool:
+        return edit_within(x, y, max(len(x), len(y)) // 5)
+
+    roots = linked(rows, classes, SimHashes(), lambda pairs: verified(pairs, fetch, accept))
     grouped = classes.select("id", "times").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").where("times > 1 OR root IS NOT NULL").select("id", F.coalesce("root", "id").alias("root"))
     found = lines.select("_row", "line", "id").join(grouped, "id").join(ids, "_row").select("root", "_row", "line", F.struct(F.col("doc").isNull().alias("none"), "doc", "line", "_row").alias("at"))
     found = saved(found)

@@ -4,7 +4,7 @@ A blocking stage gives rows (key, id, payload). Groups of a key are cut into blo
 each pair of blocks is one unit of work, so a key that a third of all rows share is many small units.
 
 Round one: each unit finds its candidate pairs with the operator's filter (which may err only towards
-too many). A unit with few of them emits all; a dense one emits a spanning forest and is marked. The pairs are
+too many) and emits a spanning forest of them; a unit that has more pairs is marked as dense. The pairs are
 verified and give components. Round two: the dense units emit every candidate pair that still lies between
 two components, and these are verified too. So each candidate pair is verified or lies within a component: no
 link between components is lost, and a group of n mutual near-copies costs about n verifications, not n*n/2.
@@ -20,13 +20,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.shared import complete_groups, saved
+from millrace.llm.shared import complete_groups, saved, sorted_groups
 
 #: Rows of a block; a unit of work holds two blocks at most.
 BLOCK_ROWS = 2048
 
-#: Rows up to which all pairs of a unit are filtered at once, and pairs a row up to which a unit emits all.
-LEAF_ROWS, FEW = 32, 2
+#: Rows up to which all pairs of a unit are filtered at once.
+LEAF_ROWS = 32
+#: Classes of a connected group of candidates whose contents are verified together with another block of it.
+VERIFY_ROWS = 256
+#: Rows to fetch contents for that are broadcast to the scan of the table; more are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
 
 
 class Matcher:
@@ -101,7 +105,9 @@ def _unit_pairs(rows: pa.Table, starts: np.ndarray, matcher: Matcher):
         else:
             ia, ib = matcher.tree(state, inside, None)
         found.append((np.full(len(ia), u), np.minimum(ia, ib), np.maximum(ia, ib)))
-    return [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 3
+    unit, ia, ib = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 3
+    order = np.argsort(unit, kind="stable")
+    return unit[order], ia[order], ib[order]
 
 
 def candidates(dealt: DataFrame, matcher: Matcher, across: bool) -> DataFrame:
@@ -119,13 +125,14 @@ def candidates(dealt: DataFrame, matcher: Matcher, across: bool) -> DataFrame:
                 ia, ib = ia[keep], ib[keep]
             else:
                 count = np.bincount(unit, minlength=len(starts) - 1)
-                many = count > FEW * np.diff(starts)
-                dense = np.flatnonzero(many)
-                parts = [(ia[~many[unit]], ib[~many[unit]])]
-                for u in dense:
-                    mine = unit == u
-                    p, q = _forest(int(starts[u + 1] - starts[u]), ia[mine] - starts[u], ib[mine] - starts[u])
+                parts, dense = [(ia[count[unit] == 1], ib[count[unit] == 1])], []
+                for u in np.flatnonzero(count > 1):
+                    x, y = np.searchsorted(unit, [u, u + 1])
+                    p, q = _forest(int(starts[u + 1] - starts[u]), ia[x:y] - starts[u], ib[x:y] - starts[u])
                     parts.append((p + starts[u], q + starts[u]))
+                    if len(p) < y - x:
+                        dense.append(u)
+                dense = np.array(dense, np.int64)
                 ia, ib = (np.concatenate(x) for x in zip(*parts, strict=True))
             pairs = np.unique(np.stack([np.minimum(ids[ia], ids[ib]), np.maximum(ids[ia], ids[ib])], axis=1), axis=0)
             none = [None] * len(pairs)
@@ -160,3 +167,38 @@ def linked(rows: DataFrame, payload: DataFrame, matcher: Matcher, verify: Callab
     more = verify(second)
     star = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
     return components(star.union(more))
+
+
+def with_keys(df: DataFrame, needed: DataFrame, on: str) -> DataFrame:
+    """df joined to the rows of needed: broadcast if their number allows, else by shuffle."""
+    needed = saved(needed)
+    return df.join(F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed, on)
+
+
+def verified(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], accept: Callable[[np.ndarray, np.ndarray], bool]) -> DataFrame:
+    """The pairs (a, b) whose contents accept() takes. Contents travel once for each block of their candidate group, not once a pair.
+
+    fetch: from (id, root, lo, hi) to the same with items (an array of longs).
+    """
+    groups = components(pairs)
+    sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / F.lit(VERIFY_ROWS)).cast("int").alias("blocks"))
+    block = lambda c: F.pmod(F.xxhash64(c, F.lit(13)), F.col("blocks")).cast("int")
+    placed = pairs.join(groups.withColumnRenamed("node", "a"), "a").join(sizes, "root").withColumn("x", block("a")).withColumn("y", block("b"))
+    placed = saved(placed.select("root", F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi"), "a", "b"))
+    needed = placed.select(F.explode(F.array("a", "b")).alias("id"), "root", "lo", "hi").distinct()
+    contents = fetch(needed).select("root", "lo", "hi", F.col("id").alias("a"), F.lit(None).cast("long").alias("b"), "items")
+    keys = ["root", "lo", "hi"]
+
+    def run(batches):
+        for unit in sorted_groups(batches, keys):
+            a, b = unit.column("a").to_pylist(), unit.column("b").to_pylist()
+            items = unit.column("items").combine_chunks()
+            items = items.chunk(0) if isinstance(items, pa.ChunkedArray) else items
+            offs, values = items.offsets.to_numpy(), items.values.to_numpy(zero_copy_only=False)
+            held = {i: values[offs[k] : offs[k + 1]] for k, (i, j) in enumerate(zip(a, b, strict=True)) if j is None}
+            good = [(i, j) for i, j in zip(a, b, strict=True) if j is not None and i in held and j in held and accept(held[i], held[j])]
+            if good:
+                yield pa.RecordBatch.from_arrays([pa.array([g[k] for g in good], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    both = contents.unionByName(placed.withColumn("items", F.lit(None).cast("array<bigint>")))
+    return saved(both.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long"))

@@ -18,14 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.linking import Matcher, linked, shared_keys
+from millrace.llm.linking import Matcher, linked, shared_keys, verified, with_keys
 from millrace.llm.shared import binaries, lists, mix, row_blocks, row_key, saved, text_buffer, word_hashes
 
 #: Bits of a class's token bitmap: from, to.
 BITS = (256, 4096)
 LEAF, FANOUT = 32, 8
-#: Ids of texts to verify that are broadcast to the scan of the texts; more are joined by shuffle.
-BROADCAST_IDS = 1_000_000
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -216,35 +214,19 @@ def _children(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndar
 
 
 def _token_sets(docs: DataFrame, k: int) -> DataFrame:
+    """From (id, root, lo, hi, text) to the same with items, the text's shingles."""
+
     def run(batches):
         for batch in batches:
-            data, offs = text_buffer(batch.column(1))
+            data, offs = text_buffer(batch.column(4))
             for a, b in row_blocks(offs):
                 token, count = shingle_sets(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a], k)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists(token.view(np.int64), count, pa.int64())], ["id", "tokens"])
-
-    return docs.mapInArrow(run, "id long, tokens array<long>")
-
-
-def _keep_links(pairs: DataFrame, share: Fraction) -> DataFrame:
-    """The pairs (a, b, x, y) whose token sets x and y reach the threshold."""
-    up, down = share.numerator, share.denominator
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, b - a) for i in range(4)), lists(token.view(np.int64), count, pa.int64())], ["id", "root", "lo", "hi", "items"])
 
-    def run(batches):
-        for batch in batches:
-            x, y = batch.column(2), batch.column(3)
-            vx, ox, vy, oy = x.values.to_numpy(), x.offsets.to_numpy(), y.values.to_numpy(), y.offsets.to_numpy()
-            keep = []
-            for i in range(batch.num_rows):
-                p, q = vx[ox[i] : ox[i + 1]], vy[oy[i] : oy[i + 1]]
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(down * both >= up * (len(p) + len(q) - both))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    return pairs.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return docs.mapInArrow(run, "id long, root long, lo int, hi int, items array<long>")
 
 
-def jaccard_classes(docs: DataFrame, text_col: str = "text", k: int = 3, threshold: str | float = "0.9") -> DataFrame:
+def jaccard_classes(docs: DataFrame, text_col: str = "text", k: int = 3, threshold: str | float = "0.9", id_col: str | None = None) -> DataFrame:
     """docs with n_shingles and group_key: rows that links of Jaccard >= threshold join, directly or not, have the same one.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased. A text of fewer than k words is one
@@ -253,23 +235,24 @@ def jaccard_classes(docs: DataFrame, text_col: str = "text", k: int = 3, thresho
     n_shingles or group_key. An empty table gives an empty table.
     """
     share = Fraction(Decimal(str(threshold)))
-    keyed = docs.withColumn("_key", row_key(text_col))
+    keyed = docs.withColumn("_key", row_key(text_col, *([id_col] if id_col else [])))
     sketched = saved(sketch(keyed.select("_key", text_col), k, share))
     classes = saved(
         sketched.where("n > 0").groupBy(F.col("class").alias("id")).agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("sig").alias("sig"), F.min("_key").alias("text_key"))
     )
     rows = shared_keys(classes.select(F.explode("prefix").alias("key"), "id", "n"), "n", float(share))
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        needed = saved(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct().join(classes.select("id", "text_key"), "id").select("id", F.col("text_key").alias("_key")))
-        few = needed.count() <= BROADCAST_IDS
-        chosen = keyed.select("_key", text_col).join(F.broadcast(needed) if few else needed, "_key").select("id", text_col)
-        sets = saved(_token_sets(chosen, k).groupBy("id").agg(F.first("tokens").alias("tokens")))
-        x = sets.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
-        y = sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
-        return saved(_keep_links(pairs.join(x, "a").join(y, "b"), share))
+    up, down = share.numerator, share.denominator
+
+    def fetch(needed: DataFrame) -> DataFrame:
+        at = needed.join(classes.select("id", F.col("text_key").alias("_key")), "id")
+        return _token_sets(with_keys(keyed.select("_key", text_col), at, "_key").select("id", "root", "lo", "hi", text_col), k)
+
+    def accept(x: np.ndarray, y: np.ndarray) -> bool:
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return down * both >= up * (len(x) + len(y) - both)
 
-    roots = linked(rows, classes, SignatureTrees(share), verify)
+    roots = linked(rows, classes, SignatureTrees(share), lambda pairs: verified(pairs, fetch, accept))
     of_text = sketched.select("_key", "n", F.when(F.col("n") > 0, F.col("class")).alias("id")).groupBy("_key").agg(F.first("n").alias("n_shingles"), F.first("id").alias("id"))
     of_text = of_text.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("_key", "n_shingles", F.coalesce("root", "id").alias("group_key"))
     return keyed.drop("n_shingles", "group_key").join(of_text, "_key").drop("_key")
@@ -278,7 +261,7 @@ def jaccard_classes(docs: DataFrame, text_col: str = "text", k: int = 3, thresho
 def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", k: int = 5, threshold: str | float = "0.8") -> DataFrame:
     """docs with one row of each group, that of the smallest id (nulls last); rows without shingles all stay."""
     columns = docs.columns
-    grouped = jaccard_classes(docs.select(id_col, text_col).withColumn("_row", row_key(id_col, text_col)), text_col, k, threshold)
+    grouped = jaccard_classes(docs.select(id_col, text_col).withColumn("_row", row_key(id_col, text_col)), text_col, k, threshold, id_col)
     best = grouped.where("group_key IS NOT NULL").groupBy("group_key").agg(F.min(F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col), F.col("_row"))).alias("best"))
     chosen = best.select(F.col("best._row").alias("_row")).union(grouped.where("group_key IS NULL").select("_row")).distinct()
     numbered = docs.withColumn("_row", row_key(id_col, text_col))
@@ -289,6 +272,6 @@ def op10_query(spark, sf_dir: str) -> DataFrame:
     from millrace.llm.shared import table
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    grouped = jaccard_classes(docs, k=3, threshold="0.9").select("doc_id", "n_shingles", "group_key")
+    grouped = jaccard_classes(docs, k=3, threshold="0.9", id_col="doc_id").select("doc_id", "n_shingles", "group_key")
     least = grouped.where("group_key IS NOT NULL").groupBy("group_key").agg(F.min("doc_id").alias("component_id"))
     return grouped.join(least, "group_key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
