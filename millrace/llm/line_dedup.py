@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.linking import Matcher, linked, shared_keys, verified, with_keys
-from millrace.llm.shared import _words_of_block, lists, mix, row_blocks, row_key, saved, table, text_buffer
+from millrace.llm.shared import _words_of_block, binaries, mix, row_blocks, row_key, saved, table, text_buffer
 
 #: Bits that two SimHashes may differ in, and the blocks (start, end) of their 64 bits.
 MAX_BITS, BLOCKS = 3, ((0, 13), (13, 26), (26, 39), (39, 52), (52, 64))
@@ -121,10 +121,10 @@ def _word_lists(docs: DataFrame) -> DataFrame:
             for text, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 part = np.frombuffer(text.encode().split(b"\n")[line], np.uint8)
                 out.append(_words_of_block(NORMAL[part], np.array([0, len(part)]))[0])
-            items = lists(np.concatenate([np.zeros(0, np.uint64), *out]).view(np.int64), np.array([len(x) for x in out], np.int64), pa.int64())
+            items = binaries([x.tobytes() for x in out])
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(2, 6)), items], ["id", "root", "lo", "hi", "items"])
 
-    return docs.mapInArrow(run, "id long, root long, lo int, hi int, items array<long>")
+    return docs.mapInArrow(run, "id long, root long, lo int, hi int, items binary")
 
 
 def _cut_lines(docs: DataFrame, text_col: str) -> DataFrame:
@@ -162,10 +162,13 @@ def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "
         at = needed.join(classes.select("id", "at._row", "at.line"), "id")
         return _word_lists(with_keys(keyed.select("_row", text_col), at, "_row").select(text_col, "line", "id", "root", "lo", "hi"))
 
+    def decode(item: bytes) -> np.ndarray:
+        return np.frombuffer(item, np.uint64)
+
     def accept(x: np.ndarray, y: np.ndarray) -> bool:
         return edit_within(x, y, max(len(x), len(y)) // 5)
 
-    roots = linked(rows, classes, SimHashes(), lambda pairs: verified(pairs, fetch, accept))
+    roots = linked(rows, classes, SimHashes(), lambda pairs: verified(pairs, fetch, decode, accept))
     grouped = classes.select("id", "times").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").where("times > 1 OR root IS NOT NULL").select("id", F.coalesce("root", "id").alias("root"))
     found = lines.select("_row", "line", "id").join(grouped, "id").join(ids, "_row").select("root", "_row", "line", F.struct(F.col("doc").isNull().alias("none"), "doc", "line", "_row").alias("at"))
     found = saved(found)

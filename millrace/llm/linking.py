@@ -3,10 +3,11 @@
 A blocking stage gives rows (key, id, payload). Groups of a key are cut into blocks of bounded size, and
 each pair of blocks is one unit of work, so a key that a third of all rows share is many small units.
 
-Round one: each unit finds its candidate pairs with the operator's filter (which may err only towards
-too many) and emits a spanning forest of them; a unit that has more pairs is marked as dense. The pairs are
-verified and give components. Round two: the dense units emit every candidate pair that still lies between
-two components, and these are verified too. So each candidate pair is verified or lies within a component: no
+Each round gives candidate pairs by the operator's filter (which may err only towards too many), verifies them and merges
+components. First, each class takes part only in the two groups of the smallest of its keys, under two orders: near-copies
+share most keys, so this joins most of them at once. Then all groups that still hold two components take part, and
+each unit emits a forest of its candidate pairs between components; a unit that has more is dense. Last, the dense units
+emit all pairs that still lie between two components. So each candidate pair is verified or lies within a component: no
 link between components is lost, and a group of n mutual near-copies costs about n verifications, not n*n/2.
 """
 
@@ -69,9 +70,9 @@ def units(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     return out.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("other", "group_rows")
 
 
-def _forest(n: int, ia: np.ndarray, ib: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the pairs among n rows."""
-    label, out = np.arange(n), []
+def _forest(label: np.ndarray, ia: np.ndarray, ib: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the pairs among rows that are grouped by label already."""
+    label, out = label.copy(), []
     order = np.argsort(ib, kind="stable")
     ia, ib = ia[order], ib[order]
     cuts = np.flatnonzero(np.diff(ib)) + 1
@@ -110,29 +111,29 @@ def _unit_pairs(rows: pa.Table, starts: np.ndarray, matcher: Matcher):
     return unit[order], ia[order], ib[order]
 
 
-def candidates(dealt: DataFrame, matcher: Matcher, across: bool) -> DataFrame:
-    """Rows (a, b) with a < b, or (key, lo, hi) for a dense unit. across: all pairs whose components (column root) differ."""
+def candidates(dealt: DataFrame, matcher: Matcher, whole: bool = False) -> DataFrame:
+    """Rows (a, b) with a < b of pairs whose components (column root) differ: a forest of each unit, and (key, lo, hi) for a
+    unit that has more pairs; whole: all of them."""
     keys = ["key", "lo", "hi"]
 
     def run(batches):
         for rows, starts in complete_groups(batches, keys):
-            ids = rows.column("id").to_numpy()
+            ids, root = rows.column("id").to_numpy(), rows.column("root").to_numpy()
             unit, ia, ib = _unit_pairs(rows, starts, matcher)
+            keep = root[ia] != root[ib]
+            unit, ia, ib = unit[keep], ia[keep], ib[keep]
             dense = np.zeros(0, np.int64)
-            if across:
-                root = rows.column("root").to_numpy()
-                keep = root[ia] != root[ib]
-                ia, ib = ia[keep], ib[keep]
-            else:
+            if not whole:
                 count = np.bincount(unit, minlength=len(starts) - 1)
-                parts, dense = [(ia[count[unit] == 1], ib[count[unit] == 1])], []
+                parts, many = [(ia[count[unit] == 1], ib[count[unit] == 1])], []
                 for u in np.flatnonzero(count > 1):
                     x, y = np.searchsorted(unit, [u, u + 1])
-                    p, q = _forest(int(starts[u + 1] - starts[u]), ia[x:y] - starts[u], ib[x:y] - starts[u])
+                    label = np.unique(root[starts[u] : starts[u + 1]], return_inverse=True)[1]
+                    p, q = _forest(label, ia[x:y] - starts[u], ib[x:y] - starts[u])
                     parts.append((p + starts[u], q + starts[u]))
                     if len(p) < y - x:
-                        dense.append(u)
-                dense = np.array(dense, np.int64)
+                        many.append(u)
+                dense = np.array(many, np.int64)
                 ia, ib = (np.concatenate(x) for x in zip(*parts, strict=True))
             pairs = np.unique(np.stack([np.minimum(ids[ia], ids[ib]), np.maximum(ids[ia], ids[ib])], axis=1), axis=0)
             none = [None] * len(pairs)
@@ -140,9 +141,19 @@ def candidates(dealt: DataFrame, matcher: Matcher, across: bool) -> DataFrame:
             columns += [pa.array([*none, *rows.column(k).to_numpy()[starts[dense]].tolist()], t) for k, t in zip(keys, (pa.int64(), pa.int32(), pa.int32()), strict=True)]
             yield pa.RecordBatch.from_arrays(columns, ["a", "b", *keys])
 
-    need = [*keys, "own", "id", *matcher.columns, *(["root"] if across else [])]
+    need = [*keys, "own", "id", "root", *matcher.columns]
     found = dealt.select(need).repartition(*keys).sortWithinPartitions(*keys, "id").mapInArrow(run, "a long, b long, key long, lo int, hi int")
-    return found.groupBy("a", "b", *keys).agg(F.lit(1).alias("_")).drop("_")
+    return saved(found.groupBy("a", "b", *keys).agg(F.lit(1).alias("_")).drop("_"))
+
+
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    return rows.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+
+
+def _mixed(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of groups that hold two components at least."""
+    found = rows.groupBy(*keys).agg(F.min("root").alias("_x"), F.max("root").alias("_y")).where("_x <> _y").select(*keys)
+    return rows.join(found, keys, "left_semi")
 
 
 def linked(rows: DataFrame, payload: DataFrame, matcher: Matcher, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -150,23 +161,27 @@ def linked(rows: DataFrame, payload: DataFrame, matcher: Matcher, verify: Callab
 
     rows: (key, id) and group_rows, from shared_keys(). payload: (id, the matcher's columns). verify: keeps the true links of (a, b).
     """
-    dealt = saved(units(rows).select("key", "lo", "hi", "own", "id"))
+    rows = saved(rows.select("key", "id", "group_rows"))
     details = payload.select("id", *matcher.columns)
-    found = saved(candidates(dealt.join(details, "id"), matcher, across=False))
-    first = found.where("a IS NOT NULL").select("a", "b")
-    roots = components(verify(first))
+
+    def merge(roots: DataFrame, found: DataFrame) -> DataFrame:
+        pairs = found.where("a IS NOT NULL").select("a", "b")
+        if pairs.isEmpty():
+            return roots
+        return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(verify(pairs)))
+
+    own = F.struct("key", "group_rows")
+    least = rows.groupBy("id").agg(F.min(own).alias("p"), F.min(F.struct(F.xxhash64("key"), "key", "group_rows")).alias("q"))
+    some = least.select("id", F.explode(F.array_distinct(F.array("p", F.struct("q.key", "q.group_rows")))).alias("k")).select("id", "k.key", "k.group_rows")
+    roots = merge(rows.limit(0).select(F.col("id").alias("node"), F.col("id").alias("root")), candidates(units(some).withColumn("root", F.col("id")).join(details, "id"), matcher))
+    left = saved(units(_mixed(_rooted(rows, roots), ["key"])).select("key", "lo", "hi", "own", "id"))
+    found = candidates(_rooted(left, roots).join(details, "id"), matcher)
+    roots = merge(roots, found)
     dense = found.where("a IS NULL").select("key", "lo", "hi")
     if dense.isEmpty():
         return roots
-    again = dealt.join(dense, ["key", "lo", "hi"], "left_semi").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    mixed = again.groupBy("key", "lo", "hi").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key", "lo", "hi")
-    again = again.join(mixed, ["key", "lo", "hi"], "left_semi").join(details, "id")
-    second = saved(candidates(again, matcher, across=True).select("a", "b").distinct().join(first, ["a", "b"], "left_anti"))
-    if second.isEmpty():
-        return roots
-    more = verify(second)
-    star = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    return components(star.union(more))
+    again = _mixed(_rooted(left.join(dense, ["key", "lo", "hi"], "left_semi"), roots), ["key", "lo", "hi"])
+    return merge(roots, candidates(again.join(details, "id"), matcher, whole=True))
 
 
 def with_keys(df: DataFrame, needed: DataFrame, on: str) -> DataFrame:
@@ -175,10 +190,10 @@ def with_keys(df: DataFrame, needed: DataFrame, on: str) -> DataFrame:
     return df.join(F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed, on)
 
 
-def verified(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], accept: Callable[[np.ndarray, np.ndarray], bool]) -> DataFrame:
+def verified(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], decode: Callable[[bytes], np.ndarray], accept: Callable[[np.ndarray, np.ndarray], bool]) -> DataFrame:
     """The pairs (a, b) whose contents accept() takes. Contents travel once for each block of their candidate group, not once a pair.
 
-    fetch: from (id, root, lo, hi) to the same with items (an array of longs).
+    fetch: from (id, root, lo, hi) to the same with items (binary), which decode() reads.
     """
     groups = components(pairs)
     sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / F.lit(VERIFY_ROWS)).cast("int").alias("blocks"))
@@ -192,13 +207,10 @@ def verified(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], accept:
     def run(batches):
         for unit in sorted_groups(batches, keys):
             a, b = unit.column("a").to_pylist(), unit.column("b").to_pylist()
-            items = unit.column("items").combine_chunks()
-            items = items.chunk(0) if isinstance(items, pa.ChunkedArray) else items
-            offs, values = items.offsets.to_numpy(), items.values.to_numpy(zero_copy_only=False)
-            held = {i: values[offs[k] : offs[k + 1]] for k, (i, j) in enumerate(zip(a, b, strict=True)) if j is None}
+            held = {i: decode(item) for i, j, item in zip(a, b, unit.column("items").to_pylist(), strict=True) if j is None}
             good = [(i, j) for i, j in zip(a, b, strict=True) if j is not None and i in held and j in held and accept(held[i], held[j])]
             if good:
                 yield pa.RecordBatch.from_arrays([pa.array([g[k] for g in good], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    both = contents.unionByName(placed.withColumn("items", F.lit(None).cast("array<bigint>")))
+    both = contents.unionByName(placed.withColumn("items", F.lit(None).cast("binary")))
     return saved(both.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long"))

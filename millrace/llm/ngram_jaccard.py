@@ -10,6 +10,7 @@ possible overlap is below what the threshold needs. Candidates are verified on t
 
 from __future__ import annotations
 
+import zlib
 from decimal import Decimal
 from fractions import Fraction
 
@@ -213,17 +214,17 @@ def _children(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndar
     return kids[kids < n], np.repeat(j, FANOUT)[kids < n]
 
 
-def _token_sets(docs: DataFrame, k: int) -> DataFrame:
-    """From (id, root, lo, hi, text) to the same with items, the text's shingles."""
+def _packed_texts(docs: DataFrame) -> DataFrame:
+    """From (id, root, lo, hi, text) to the same with items, the text compressed: half the size of its shingles or less."""
 
     def run(batches):
         for batch in batches:
             data, offs = text_buffer(batch.column(4))
-            for a, b in row_blocks(offs):
-                token, count = shingle_sets(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a], k)
-                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, b - a) for i in range(4)), lists(token.view(np.int64), count, pa.int64())], ["id", "root", "lo", "hi", "items"])
+            raw = data.tobytes()
+            items = binaries([zlib.compress(raw[a:b], 1) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), items], ["id", "root", "lo", "hi", "items"])
 
-    return docs.mapInArrow(run, "id long, root long, lo int, hi int, items array<long>")
+    return docs.mapInArrow(run, "id long, root long, lo int, hi int, items binary")
 
 
 def jaccard_classes(docs: DataFrame, text_col: str = "text", k: int = 3, threshold: str | float = "0.9", id_col: str | None = None) -> DataFrame:
@@ -237,22 +238,25 @@ def jaccard_classes(docs: DataFrame, text_col: str = "text", k: int = 3, thresho
     share = Fraction(Decimal(str(threshold)))
     keyed = docs.withColumn("_key", row_key(text_col, *([id_col] if id_col else [])))
     sketched = saved(sketch(keyed.select("_key", text_col), k, share))
-    classes = saved(
-        sketched.where("n > 0").groupBy(F.col("class").alias("id")).agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("sig").alias("sig"), F.min("_key").alias("text_key"))
-    )
-    rows = shared_keys(classes.select(F.explode("prefix").alias("key"), "id", "n"), "n", float(share))
-
+    classes = saved(sketched.where("n > 0").groupBy(F.col("class").alias("id")).agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.min("_key").alias("text_key")))
+    one_each = classes.select(F.col("text_key").alias("_key"), "id", "n")
+    prefixes = sketched.where("n > 0").groupBy("_key").agg(F.first("prefix").alias("prefix")).join(one_each, "_key")
+    rows = shared_keys(prefixes.select(F.explode("prefix").alias("key"), "id", "n"), "n", float(share))
     up, down = share.numerator, share.denominator
 
     def fetch(needed: DataFrame) -> DataFrame:
         at = needed.join(classes.select("id", F.col("text_key").alias("_key")), "id")
-        return _token_sets(with_keys(keyed.select("_key", text_col), at, "_key").select("id", "root", "lo", "hi", text_col), k)
+        return _packed_texts(with_keys(keyed.select("_key", text_col), at, "_key").select("id", "root", "lo", "hi", text_col))
+
+    def decode(item: bytes) -> np.ndarray:
+        data = np.frombuffer(zlib.decompress(item), np.uint8)
+        return shingle_sets(data, np.array([0, len(data)]), k)[0]
 
     def accept(x: np.ndarray, y: np.ndarray) -> bool:
         both = len(np.intersect1d(x, y, assume_unique=True))
         return down * both >= up * (len(x) + len(y) - both)
 
-    roots = linked(rows, classes, SignatureTrees(share), lambda pairs: verified(pairs, fetch, accept))
+    roots = linked(rows, classes, SignatureTrees(share), lambda pairs: verified(pairs, fetch, decode, accept))
     of_text = sketched.select("_key", "n", F.when(F.col("n") > 0, F.col("class")).alias("id")).groupBy("_key").agg(F.first("n").alias("n_shingles"), F.first("id").alias("id"))
     of_text = of_text.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("_key", "n_shingles", F.coalesce("root", "id").alias("group_key"))
     return keyed.drop("n_shingles", "group_key").join(of_text, "_key").drop("_key")
