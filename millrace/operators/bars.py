@@ -48,7 +48,7 @@ def dense(bars: DataFrame, key: list[str], seconds: int) -> DataFrame:
     """
     w = Window.partitionBy(*key).orderBy("bucket")
     nxt = F.coalesce(F.lead("bucket").over(w), F.col("bucket") + seconds)
-    spread = bars.withColumn("_at", F.explode(F.sequence(F.col("bucket"), nxt - seconds, F.lit(seconds).cast("long"))))
+    spread = bars.withColumn("_next", nxt).withColumn("_at", F.explode(F.sequence(F.col("bucket"), F.col("_next") - seconds, F.lit(seconds).cast("long"))))
     seen = F.col("_at") == F.col("bucket")
     price = lambda c: F.when(seen, F.col(c)).otherwise(F.col("close_price")).alias(c)
     return spread.select(*key, F.col("_at").alias("bucket"), price("open_price"), price("high_price"), price("low_price"), "close_price", seen.alias("is_observed"), F.when(seen, F.col("observed_points")).otherwise(0).cast("long").alias("observed_points"))
