@@ -5,7 +5,8 @@ first n - ceil(t*n) + 1 shingles of their sets under any fixed order (the prefix
 length, longest first, which puts rare shingles first without a count. Spark groups classes by these shingles.
 Within a group, signature trees find the candidates: a leaf holds some classes, every node the OR (and AND) of
 its classes' token bitmaps and their size range; the dual traversal of two trees drops a pair of nodes whose largest
-possible overlap is below what the threshold needs. Candidates are verified on the whole sets.
+possible overlap is below what the threshold needs; leaves also compare parity bitmaps, whose difference
+is never more than the sets'. Candidates are verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ from pyspark.sql import functions as F
 from millrace.llm.linking import Matcher, linked, shared_keys, verified, with_keys
 from millrace.llm.shared import binaries, lists, mix, row_blocks, row_key, saved, text_buffer, word_hashes
 
-#: Bits of a class's token bitmap: from, to.
-BITS = (256, 4096)
+#: Bits of a class's parity bitmap: a power of two of at least twice the set's size, from, to.
+BITS = (512, 16384)
+#: Bits of a class's token bitmap, which the trees' nodes combine by OR.
+TREE_BITS = 256
 LEAF, FANOUT = 32, 8
 
 
@@ -63,8 +66,7 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray
 
 
 def _sizes(count: np.ndarray) -> np.ndarray:
-    """Bits of the bitmaps: a power of two of at least the set's size, within BITS."""
-    bits = np.left_shift(1, np.ceil(np.log2(np.maximum(count, 1))).astype(np.int64))
+    bits = np.left_shift(1, np.ceil(np.log2(np.maximum(2 * count, 1))).astype(np.int64))
     return np.clip(bits, *BITS)
 
 
@@ -89,8 +91,10 @@ def sketch(docs: DataFrame, k: int, share: Fraction) -> DataFrame:
                 bits = np.where(count > 0, _sizes(count), 0)
                 start = np.concatenate(([0], np.cumsum(bits)))
                 times = np.bincount(start[row] + (token & (bits[row] - 1).astype(np.uint64)).astype(np.int64), minlength=start[-1])
-                either, parity = np.packbits(times > 0), np.packbits((times & 1).astype(bool))
-                sig = [either[s // 8 : e // 8].tobytes() + parity[s // 8 : e // 8].tobytes() for s, e in zip(start[:-1], start[1:], strict=True)]
+                parity = np.packbits((times & 1).astype(bool))
+                some = np.bincount(row * TREE_BITS + (token & np.uint64(TREE_BITS - 1)).astype(np.int64), minlength=(b - a) * TREE_BITS)
+                either = np.packbits(some > 0).reshape(b - a, -1)
+                sig = [either[i].tobytes() + parity[s // 8 : e // 8].tobytes() if s < e else b"" for i, (s, e) in enumerate(zip(start[:-1], start[1:], strict=True))]
                 out.append(pa.RecordBatch.from_arrays([keys.slice(a, b - a), pa.array(count, pa.int64()), pa.array(cls.view(np.int64)), lists(prefix.view(np.int64), want, pa.int64()), binaries(sig)], ["_key", "n", "class", "prefix", "sig"]))
             yield from out
 
@@ -103,7 +107,7 @@ class _Side:
     def __init__(self, sets: "_Sets", rows: np.ndarray, words: int):
         self.order = rows[np.argsort(sets.n[rows], kind="stable")]
         self.n = sets.n[self.order]
-        self.either, self.parity = sets.bitmaps(self.order, words)
+        self.either, self.parity = sets.either(self.order), sets.parity(self.order, words)
         starts = np.arange(0, len(rows), LEAF)
         self.levels = [self._level(starts, np.minimum(starts + LEAF, len(rows)), np.bitwise_or.reduceat(self.either, starts), np.bitwise_and.reduceat(self.either, starts))]
         while len(self.levels[-1]["lo"]) > 1:
@@ -168,16 +172,18 @@ class _Sets:
         _, offsets, data = column.buffers()
         self.start = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] // 8
         self.data = np.frombuffer(data, np.uint64)
-        self.words = np.diff(self.start) // 2
+        self.words = np.diff(self.start) - TREE_BITS // 64
 
-    def bitmaps(self, rows: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
-        either, parity = np.empty((len(rows), words), np.uint64), np.empty((len(rows), words), np.uint64)
+    def either(self, rows: np.ndarray) -> np.ndarray:
+        return self.data[self.start[rows][:, None] + np.arange(TREE_BITS // 64)[None, :]]
+
+    def parity(self, rows: np.ndarray, words: int) -> np.ndarray:
+        out = np.empty((len(rows), words), np.uint64)
         for width in np.unique(self.words[rows]):
             at = np.flatnonzero(self.words[rows] == width)
-            cells = self.start[rows[at]][:, None] + np.arange(width)[None, :]
-            either[at] = np.bitwise_or.reduce(self.data[cells].reshape(len(at), -1, words), axis=1)
-            parity[at] = np.bitwise_xor.reduce(self.data[cells + width].reshape(len(at), -1, words), axis=1)
-        return either, parity
+            cells = (self.start[rows[at]] + TREE_BITS // 64)[:, None] + np.arange(width)[None, :]
+            out[at] = np.bitwise_xor.reduce(self.data[cells].reshape(len(at), -1, words), axis=1)
+        return out
 
 
 class SignatureTrees(Matcher):
@@ -188,7 +194,7 @@ class SignatureTrees(Matcher):
 
     def prepare(self, rows: pa.Table) -> _Sets:
         sets = _Sets(rows)
-        sets.narrow = sets.bitmaps(np.arange(len(sets.n)), BITS[0] // 64)[1]
+        sets.narrow = sets.parity(np.arange(len(sets.n)), BITS[0] // 64)
         return sets
 
     def leaf(self, sets: _Sets, ia: np.ndarray, ib: np.ndarray) -> np.ndarray:
@@ -202,7 +208,7 @@ class SignatureTrees(Matcher):
         width = np.minimum(sets.words[ia[at]], sets.words[ib[at]])
         for w in np.unique(width):
             these = at[width == w]
-            keep[these] = np.bitwise_count(sets.bitmaps(ia[these], int(w))[1] ^ sets.bitmaps(ib[these], int(w))[1]).sum(1, dtype=np.int64) <= most[these]
+            keep[these] = np.bitwise_count(sets.parity(ia[these], int(w)) ^ sets.parity(ib[these], int(w))).sum(1, dtype=np.int64) <= most[these]
         return keep
 
     def tree(self, sets: _Sets, left: np.ndarray, right: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:

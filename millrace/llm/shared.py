@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that are held as numpy arrays at once.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 
 _RNG = np.random.RandomState(20240229)
 #: A random 64-bit number for each byte.
@@ -22,12 +22,15 @@ BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Uses the cluster's spark.checkpoint.dir; only where none is set, as in tests, a temporary folder."""
     context = spark.sparkContext
+    # rows with texts or sets are kilobytes each: smaller batches bound what a Python worker holds
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
 
