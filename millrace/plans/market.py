@@ -29,7 +29,7 @@ def query(sql: str):
     return add
 
 
-OHLC_SQL = """SELECT {key}, (epoch_us({ts}) // ({s} * 1000000)) * {s} AS bucket,
+OHLC_SQL = """SELECT {key}, (epoch_us({ts}) // ({s} * 1000000::BIGINT)) * {s} AS bucket,
  arg_min({p}, struct_pack(t := {ts}, p := {p})) AS open_price, max({p}) AS high_price, min({p}) AS low_price, arg_max({p}, struct_pack(t := {ts}, p := {p})) AS close_price,
  round(avg({p}), 8) AS avg_price, count(*) AS observed_points, min({ts}) AS first_observed_at, max({ts}) AS last_observed_at
  FROM {t} WHERE {ts} IS NOT NULL AND {p} IS NOT NULL GROUP BY ALL"""
