@@ -65,7 +65,7 @@ def ratio_half_even(n: Column, d: Column) -> Column:
     low, rest3 = div(rest2 * step).cast("decimal(10,0)"), F.pmod(rest2 * step, den)
     units = high * step + low
     up = F.when(rest3 * 2 > den, 1).when((rest3 * 2 == den) & (F.pmod(low, F.lit(2)) == 1), 1).otherwise(0)
-    return F.when(den != 0, (whole.cast("decimal(20,0)") + (units + up).cast("decimal(20,0)") * F.lit("0.000000000000000001").cast("decimal(18,18)")).cast("decimal(38,18)"))
+    return F.when(den != 0, (whole.cast("decimal(19,0)") + ((units + up).cast("decimal(19,0)") * F.lit("0.000000000000000001").cast("decimal(18,18)")).cast("decimal(19,18)")).cast("decimal(38,18)"))
 
 
 def signal_edge(p1: Column, p2: Column, rate: float) -> Column:
