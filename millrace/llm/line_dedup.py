@@ -168,7 +168,7 @@ def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "
     def accept(x: np.ndarray, y: np.ndarray) -> bool:
         return edit_within(x, y, max(len(x), len(y)) // 5)
 
-    roots = linked(rows, classes, SimHashes(), lambda pairs: verified(pairs, fetch, decode, accept))
+    roots = linked(rows, classes, SimHashes(), lambda pairs: verified(pairs, classes, fetch, decode, accept))
     grouped = classes.select("id", "times").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").where("times > 1 OR root IS NOT NULL").select("id", F.coalesce("root", "id").alias("root"))
     found = lines.select("_row", "line", "id").join(grouped, "id").join(ids, "_row").select("root", "_row", "line", F.struct(F.col("doc").isNull().alias("none"), "doc", "line", "_row").alias("at"))
     found = saved(found)

@@ -28,8 +28,10 @@ BLOCK_ROWS = 2048
 
 #: Rows up to which all pairs of a unit are filtered at once.
 LEAF_ROWS = 32
-#: Classes of a connected group of candidates whose contents are verified together with another block of it.
-VERIFY_ROWS = 256
+#: Items (words, shingles) of a block of a connected group of candidates; contents of two blocks are verified together.
+VERIFY_ITEMS = 2_000_000
+#: Items of decoded contents that a task keeps.
+DECODED_ITEMS = 4_000_000
 #: Rows to fetch contents for that are broadcast to the scan of the table; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -94,7 +96,7 @@ def _unit_pairs(rows: pa.Table, starts: np.ndarray, matcher: Matcher):
     for size in np.unique(sizes[(sizes > 1) & (sizes <= LEAF_ROWS)]):
         these = np.flatnonzero((sizes == size) & ~apart)
         i, j = np.triu_indices(size, 1)
-        for part in np.array_split(these, max(1, len(these) * len(i) // 500_000)):
+        for part in np.array_split(these, max(1, len(these) * len(i) // 100_000)):
             ia, ib = ((starts[part][:, None] + k[None, :]).ravel() for k in (i, j))
             keep = matcher.leaf(state, ia, ib)
             found.append((np.repeat(part, len(i))[keep], ia[keep], ib[keep]))
@@ -190,13 +192,29 @@ def with_keys(df: DataFrame, needed: DataFrame, on: str) -> DataFrame:
     return df.join(F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed, on)
 
 
-def verified(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], decode: Callable[[bytes], np.ndarray], accept: Callable[[np.ndarray, np.ndarray], bool]) -> DataFrame:
+class _Decoded:
+    """The contents of a unit, decoded when asked for; the latest ones stay, up to DECODED_ITEMS."""
+
+    def __init__(self, items: dict[int, bytes], decode: Callable[[bytes], np.ndarray]):
+        self.items, self.decode, self.held, self.size = items, decode, {}, 0
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        if i not in self.held:
+            while self.held and self.size > DECODED_ITEMS:
+                self.size -= len(self.held.pop(next(iter(self.held))))
+            self.held[i] = self.decode(self.items[i])
+            self.size += len(self.held[i])
+        return self.held[i]
+
+
+def verified(pairs: DataFrame, weights: DataFrame, fetch: Callable[[DataFrame], DataFrame], decode: Callable[[bytes], np.ndarray], accept: Callable[[np.ndarray, np.ndarray], bool]) -> DataFrame:
     """The pairs (a, b) whose contents accept() takes. Contents travel once for each block of their candidate group, not once a pair.
 
+    weights: (id, n), the number of items of each id's content, which sets how many blocks a group has.
     fetch: from (id, root, lo, hi) to the same with items (binary), which decode() reads.
     """
     groups = components(pairs)
-    sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / F.lit(VERIFY_ROWS)).cast("int").alias("blocks"))
+    sizes = groups.join(weights.select(F.col("id").alias("node"), "n"), "node").groupBy("root").agg(F.ceil(F.sum("n") / F.lit(VERIFY_ITEMS)).cast("int").alias("blocks"))
     block = lambda c: F.pmod(F.xxhash64(c, F.lit(13)), F.col("blocks")).cast("int")
     placed = pairs.join(groups.withColumnRenamed("node", "a"), "a").join(sizes, "root").withColumn("x", block("a")).withColumn("y", block("b"))
     placed = saved(placed.select("root", F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi"), "a", "b"))
@@ -207,8 +225,9 @@ def verified(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], decode:
     def run(batches):
         for unit in sorted_groups(batches, keys):
             a, b = unit.column("a").to_pylist(), unit.column("b").to_pylist()
-            held = {i: decode(item) for i, j, item in zip(a, b, unit.column("items").to_pylist(), strict=True) if j is None}
-            good = [(i, j) for i, j in zip(a, b, strict=True) if j is not None and i in held and j in held and accept(held[i], held[j])]
+            held = _Decoded({i: item for i, j, item in zip(a, b, unit.column("items").to_pylist(), strict=True) if j is None}, decode)
+            asked = sorted((i, j) for i, j in zip(a, b, strict=True) if j is not None and i in held.items and j in held.items)
+            good = [(i, j) for i, j in asked if accept(held[i], held[j])]
             if good:
                 yield pa.RecordBatch.from_arrays([pa.array([g[k] for g in good], pa.int64()) for k in (0, 1)], ["a", "b"])
 

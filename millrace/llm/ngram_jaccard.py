@@ -11,7 +11,7 @@ is never more than the sets'. Candidates are verified on the whole sets.
 
 from __future__ import annotations
 
-import zlib
+import struct
 from decimal import Decimal
 from fractions import Fraction
 
@@ -28,6 +28,8 @@ BITS = (512, 16384)
 #: Bits of a class's token bitmap, which the trees' nodes combine by OR.
 TREE_BITS = 256
 LEAF, FANOUT = 32, 8
+#: 64-bit words of bitmaps that a leaf compares at once.
+COMPARED = 1 << 19
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -146,7 +148,15 @@ def signature_tree_pairs(sets: "_Sets", left: np.ndarray, right: np.ndarray | No
             j, i, lb = *_children(j, i, len(b.levels[lb - 1]["lo"])), lb - 1
         if a is b and la == lb:
             i, j = i[i <= j], j[i <= j]
-    found_a, found_b = [], []
+    found, waiting, n_waiting = [(np.zeros(0, np.int64),) * 2], [], 0
+
+    def flush():
+        # all bitmaps were folded to the narrowest of the unit, at which large sets look alike
+        if waiting:
+            ia, ib = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            good = sets.allow(ia, ib, share)
+            found.append((ia[good], ib[good]))
+
     for x, y in zip(i, j, strict=True):
         ra = np.arange(a.levels[0]["start"][x], a.levels[0]["end"][x])
         rb = np.arange(b.levels[0]["start"][y], b.levels[0]["end"][y])
@@ -156,9 +166,13 @@ def signature_tree_pairs(sets: "_Sets", left: np.ndarray, right: np.ndarray | No
         if a is b:
             good &= ra[:, None] < rb[None, :]
         p, q = np.nonzero(good)
-        found_a.append(a.order[ra[p]])
-        found_b.append(b.order[rb[q]])
-    return (np.concatenate(found_a), np.concatenate(found_b)) if found_a else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        waiting.append((a.order[ra[p]], b.order[rb[q]]))
+        n_waiting += len(p)
+        if n_waiting > 20_000:
+            flush()
+            waiting, n_waiting = [], 0
+    flush()
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 class _Sets:
@@ -185,6 +199,16 @@ class _Sets:
             out[at] = np.bitwise_xor.reduce(self.data[cells].reshape(len(at), -1, words), axis=1)
         return out
 
+    def allow(self, ia: np.ndarray, ib: np.ndarray, share: Fraction) -> np.ndarray:
+        """Which pairs can reach the threshold by their parity bitmaps, each at the width of the narrower one."""
+        up, down = share.numerator, share.denominator
+        most = (down - up) * (self.n[ia] + self.n[ib]) // (up + down)
+        width, widest, keep = np.minimum(self.words[ia], self.words[ib]), int(self.words.max(initial=0)), np.zeros(len(ia), bool)
+        for w in np.unique(width):
+            for at in _parts(np.flatnonzero(width == w), widest):
+                keep[at] = np.bitwise_count(self.parity(ia[at], int(w)) ^ self.parity(ib[at], int(w))).sum(1, dtype=np.int64) <= most[at]
+        return keep
+
 
 class SignatureTrees(Matcher):
     columns = ["n", "sig"]
@@ -203,18 +227,20 @@ class SignatureTrees(Matcher):
         most = (down - up) * (na + nb) // (up + down)
         keep = (up * na <= down * nb) & (up * nb <= down * na)
         at = np.flatnonzero(keep)
-        keep[at] = np.bitwise_count(sets.narrow[ia[at]] ^ sets.narrow[ib[at]]).sum(1, dtype=np.int64) <= most[at]
+        for these in _parts(at, sets.narrow.shape[1]):
+            keep[these] = np.bitwise_count(sets.narrow[ia[these]] ^ sets.narrow[ib[these]]).sum(1, dtype=np.int64) <= most[these]
         at = np.flatnonzero(keep)
-        width = np.minimum(sets.words[ia[at]], sets.words[ib[at]])
-        for w in np.unique(width):
-            these = at[width == w]
-            keep[these] = np.bitwise_count(sets.parity(ia[these], int(w)) ^ sets.parity(ib[these], int(w))).sum(1, dtype=np.int64) <= most[these]
+        keep[at] = sets.allow(ia[at], ib[at], self.share)
         return keep
 
     def tree(self, sets: _Sets, left: np.ndarray, right: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
         return signature_tree_pairs(sets, left, right, self.share)
 
 
+def _parts(rows: np.ndarray, words: int) -> list[np.ndarray]:
+    return np.array_split(rows, max(1, -(-len(rows) * words // COMPARED)))
+
+
 def _children(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     kids = (i[:, None] * FANOUT + np.arange(FANOUT)[None, :]).ravel()
     return kids[kids < n], np.repeat(j, FANOUT)[kids < n]
@@ -227,7 +253,7 @@ def _packed_texts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             data, offs = text_buffer(batch.column(4))
             raw = data.tobytes()
-            items = binaries([zlib.compress(raw[a:b], 1) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)])
+            items = binaries([struct.pack("<q", b - a) + pa.compress(raw[a:b], codec="zstd", asbytes=True) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)])
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), items], ["id", "root", "lo", "hi", "items"])
 
     return docs.mapInArrow(run, "id long, root long, lo int, hi int, items binary")
@@ -255,14 +281,14 @@ def jaccard_classes(docs: DataFrame, text_col: str = "text", k: int = 3, thresho
         return _packed_texts(with_keys(keyed.select("_key", text_col), at, "_key").select("id", "root", "lo", "hi", text_col))
 
     def decode(item: bytes) -> np.ndarray:
-        data = np.frombuffer(zlib.decompress(item), np.uint8)
+        data = np.frombuffer(pa.decompress(item[8:], struct.unpack("<q", item[:8])[0], codec="zstd", asbytes=True), np.uint8)
         return shingle_sets(data, np.array([0, len(data)]), k)[0]
 
     def accept(x: np.ndarray, y: np.ndarray) -> bool:
         both = len(np.intersect1d(x, y, assume_unique=True))
         return down * both >= up * (len(x) + len(y) - both)
 
-    roots = linked(rows, classes, SignatureTrees(share), lambda pairs: verified(pairs, fetch, decode, accept))
+    roots = linked(rows, classes, SignatureTrees(share), lambda pairs: verified(pairs, classes, fetch, decode, accept))
     of_text = sketched.select("_key", "n", F.when(F.col("n") > 0, F.col("class")).alias("id")).groupBy("_key").agg(F.first("n").alias("n_shingles"), F.first("id").alias("id"))
     of_text = of_text.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("_key", "n_shingles", F.coalesce("root", "id").alias("group_key"))
     return keyed.drop("n_shingles", "group_key").join(of_text, "_key").drop("_key")

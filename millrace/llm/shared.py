@@ -31,6 +31,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     # rows with texts or sets are kilobytes each: smaller batches bound what a Python worker holds
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
 
@@ -66,7 +67,7 @@ _POWERS: dict[str, np.ndarray] = {}
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i modulo 2**64 for i below n."""
-    if len(_POWERS.get("up", ())) < n:
+    if not _POWERS or len(_POWERS["up"]) < n:
         n2 = max(n, BLOCK_BYTES + 1)
         for name, base in (("up", BASE), ("down", BASE_INVERSE)):
             steps = np.full(n2, base, np.uint64)
@@ -144,37 +145,41 @@ def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """The groups of equal keys in a stream that is sorted by them."""
-    carried: pa.Table | None = None
+    held: list[pa.Table] = []  # the pieces of the group that is not yet complete
     for batch in batches:
         now = pa.Table.from_batches([batch])
-        if carried is not None:
-            now = pa.concat_tables([carried, now]).combine_chunks()
         if not now.num_rows:
             continue
+        if held and any(held[-1].column(k)[-1] != now.column(k)[0] for k in keys):
+            yield pa.concat_tables(held).combine_chunks()
+            held = []
         a = 0
         for b in _cuts(now, keys):
-            yield now.slice(a, int(b) - a)
-            a = int(b)
-        carried = now.slice(a)
-    if carried is not None and carried.num_rows:
-        yield carried
+            yield pa.concat_tables([*held, now.slice(a, int(b) - a)]).combine_chunks()
+            held, a = [], int(b)
+        held.append(now.slice(a))
+    if held:
+        yield pa.concat_tables(held).combine_chunks()
 
 
 def complete_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Tables of whole groups of equal keys from a sorted stream, with where each group starts and, last, the end."""
-    carried: pa.Table | None = None
+    held: list[pa.Table] = []
     for batch in batches:
         now = pa.Table.from_batches([batch])
-        if carried is not None:
-            now = pa.concat_tables([carried, now]).combine_chunks()
+        if not now.num_rows:
+            continue
         cuts = _cuts(now, keys)
-        if len(cuts):
-            yield now.slice(0, int(cuts[-1])).combine_chunks(), np.concatenate(([0], cuts))
-            carried = now.slice(int(cuts[-1]))
-        else:
-            carried = now
-    if carried is not None and carried.num_rows:
-        yield carried.combine_chunks(), np.array([0, carried.num_rows])
+        if len(cuts) or (held and any(held[-1].column(k)[-1] != now.column(k)[0] for k in keys)):
+            last = int(cuts[-1]) if len(cuts) else 0
+            whole = pa.concat_tables([*held, now.slice(0, last)]).combine_chunks()
+            yield whole, np.concatenate(([0], _cuts(whole, keys), [whole.num_rows]))
+            held = []
+            now = now.slice(last)
+        held.append(now)
+    if held:
+        whole = pa.concat_tables(held).combine_chunks()
+        yield whole, np.array([0, whole.num_rows])
 
 
 def _cuts(now: pa.Table, keys: list[str]) -> np.ndarray:
