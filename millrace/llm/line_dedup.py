@@ -27,6 +27,20 @@ for _c in range(128):
     NORMAL[_c] = ord(chr(_c).lower()) if chr(_c).isalpha() else 0x30 if chr(_c).isdigit() else 0x20
 
 
+def simhashes(words: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Of each run of words the bits that more than half of them have. Four bits are counted at once in a number's 16-bit lanes."""
+    sim = np.zeros(len(first), np.uint64)
+    wide = np.flatnonzero(count > 0xFFFF)  # their counts may not fit a lane
+    for k in range(16):
+        lanes = np.add.reduceat((words >> np.uint64(k)) & np.uint64(0x0001000100010001), first)
+        for bit in range(k, 64, 16):
+            ones = ((lanes >> np.uint64(bit - k)) & np.uint64(0xFFFF)).astype(np.int64)
+            for i in wide:
+                ones[i] = ((words[first[i] : first[i] + count[i]] >> np.uint64(bit)) & np.uint64(1)).sum(dtype=np.int64)
+            sim |= (2 * ones > count).astype(np.uint64) << np.uint64(bit)
+    return sim
+
+
 def line_features(data: np.ndarray, offs: np.ndarray):
     """Row, number in the row, class hash, words and SimHash of each line that has words."""
     marks = np.flatnonzero(data == 0x0A)
@@ -41,9 +55,7 @@ def line_features(data: np.ndarray, offs: np.ndarray):
     count = np.diff(np.append(first, len(words)))
     place = np.arange(len(words)) - np.repeat(first, count)
     cls = mix(np.add.reduceat(mix(words + place.astype(np.uint64) * np.uint64(0xA24BAED4963EE407)), first) + count.astype(np.uint64))
-    bits = np.unpackbits(words.view(np.uint8).reshape(-1, 8), axis=1)
-    ones = np.add.reduceat(bits, first, axis=0, dtype=np.int32)
-    sim = np.packbits(2 * ones > count[:, None], axis=1).view(np.uint64).ravel()
+    sim = simhashes(words, first, count)
     starts = begin[line[first]]
     row = np.searchsorted(offs, starts, side="right") - 1
     number = np.searchsorted(marks, starts, side="left") - np.searchsorted(marks, offs[row], side="left")
@@ -100,6 +112,11 @@ def edit_within(x: np.ndarray, y: np.ndarray, most: int) -> bool:
         x, y = y, x
     if not len(x) or len(y) - len(x) > most:
         return len(y) <= most
+    if len(x) == len(y) and np.count_nonzero(x != y) <= most:
+        return True
+    known = set(y.tolist())
+    if len(y) - sum(word in known for word in x.tolist()) > most:  # words of y that x cannot match
+        return False
     steps = np.arange(len(y) + 1)
     row = steps.copy()
     for i, word in enumerate(x.tolist()):
@@ -113,16 +130,21 @@ def edit_within(x: np.ndarray, y: np.ndarray, most: int) -> bool:
 
 
 def _word_lists(docs: DataFrame) -> DataFrame:
-    """From (text, line, id, root, lo, hi) to (id, root, lo, hi, items), the hashes of that line's words."""
+    """From (text, wanted: lines with id, root, lo, hi) to (id, root, lo, hi, items), the hashes of those lines' words."""
 
     def run(batches):
         for batch in batches:
-            out = []
-            for text, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                part = np.frombuffer(text.encode().split(b"\n")[line], np.uint8)
-                out.append(_words_of_block(NORMAL[part], np.array([0, len(part)]))[0])
-            items = binaries([x.tobytes() for x in out])
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(2, 6)), items], ["id", "root", "lo", "hi", "items"])
+            parts, wanted = [], batch.column(1).combine_chunks() if isinstance(batch.column(1), pa.ChunkedArray) else batch.column(1)
+            number = wanted.flatten().field("line").to_pylist()
+            ends = np.cumsum(wanted.value_lengths().to_numpy())
+            for row, end in enumerate(ends.tolist()):
+                lines = batch.column(0)[row].as_py().encode().split(b"\n")
+                parts += [lines[i] for i in number[len(parts) : end]]
+            data = np.frombuffer(b"".join(parts), np.uint8)
+            words, _, of = _words_of_block(NORMAL[data], np.cumsum([0, *map(len, parts)]))
+            cuts = np.searchsorted(of, np.arange(len(parts) + 1)).tolist()
+            items = binaries([words[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)])
+            yield pa.RecordBatch.from_arrays([*(wanted.flatten().field(c) for c in ("id", "root", "lo", "hi")), items], ["id", "root", "lo", "hi", "items"])
 
     return docs.mapInArrow(run, "id long, root long, lo int, hi int, items binary")
 
@@ -160,7 +182,9 @@ def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "
 
     def fetch(needed: DataFrame) -> DataFrame:
         at = needed.join(classes.select("id", "at._row", "at.line"), "id")
-        return _word_lists(with_keys(keyed.select("_row", text_col), at, "_row").select(text_col, "line", "id", "root", "lo", "hi"))
+        # a text travels once, however many of its lines are asked for
+        wanted = at.groupBy("_row").agg(F.collect_list(F.struct("line", "id", "root", "lo", "hi")).alias("wanted"))
+        return _word_lists(with_keys(keyed.select("_row", text_col), wanted, "_row", F.size("wanted")).select(text_col, "wanted"))
 
     def decode(item: bytes) -> np.ndarray:
         return np.frombuffer(item, np.uint64)
@@ -174,7 +198,7 @@ def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "
     found = saved(found)
     first = found.groupBy("root").agg(F.min("at").alias("first"))
     gone = found.join(first, "root").where("at <> first").groupBy("_row").agg(F.collect_set("line").alias("_gone"))
-    out = keyed.join(gone, "_row", "left").drop("_row")
+    out = with_keys(keyed, gone, "_row", F.size("_gone"), "left").drop("_row")
     out = out.withColumn("n_lines", F.when(F.length(text_col) > 0, F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1).otherwise(0).cast("long"))
     out = out.withColumn("n_removed", F.coalesce(F.size("_gone"), F.lit(0)).cast("long")).withColumn("n_removed", F.greatest("n_removed", F.lit(0).cast("long")))
     return _cut_lines(out, text_col).drop("_gone")

@@ -186,10 +186,11 @@ def linked(rows: DataFrame, payload: DataFrame, matcher: Matcher, verify: Callab
     return merge(roots, candidates(again.join(details, "id"), matcher, whole=True))
 
 
-def with_keys(df: DataFrame, needed: DataFrame, on: str) -> DataFrame:
-    """df joined to the rows of needed: broadcast if their number allows, else by shuffle."""
+def with_keys(df: DataFrame, needed: DataFrame, on: str, weight: F.Column | None = None, how: str = "inner") -> DataFrame:
+    """df joined to the rows of needed: broadcast if their number (or the sum of weight, for rows that hold lists) allows, else by shuffle."""
     needed = saved(needed)
-    return df.join(F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed, on)
+    rows = needed.count() if weight is None else needed.agg(F.sum(weight + 1)).first()[0] or 0
+    return df.join(F.broadcast(needed) if rows <= BROADCAST_ROWS else needed, on, how)
 
 
 class _Decoded:

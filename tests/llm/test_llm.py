@@ -147,6 +147,64 @@ def test_lines(spark):
     assert line_dedup.edit_within(a, b, 1) and not line_dedup.edit_within(a, b[::-1].copy(), 1)
 
 
+def test_line_hashes_and_distances_equal_brute_force():
+    r = np.random.RandomState(8)
+    words = r.randint(0, 1 << 62, 70_300).astype(np.uint64) * np.uint64(4) + r.randint(0, 4, 70_300).astype(np.uint64)
+    first = np.array([0, 1, 3, 40, 300])  # the last run has more words than a 16-bit lane counts
+    count = np.diff(np.append(first, len(words)))
+    for got, a, n in zip(line_dedup.simhashes(words, first, count), first, count, strict=True):
+        assert int(got) == sum(1 << b for b in range(64) if 2 * int(((words[a : a + n] >> np.uint64(b)) & np.uint64(1)).sum()) > n)
+
+    def distance(x, y):
+        row = list(range(len(y) + 1))
+        for i, w in enumerate(x):
+            now = [i + 1]
+            for j, v in enumerate(y):
+                now.append(min(row[j + 1] + 1, now[j] + 1, row[j] + (w != v)))
+            row = now
+        return row[-1]
+
+    for _ in range(400):
+        x = r.randint(0, 6, r.randint(0, 14))
+        y = r.randint(0, 6, r.randint(0, 14)) if r.rand() < 0.3 else np.delete(np.where(r.rand(len(x)) < 0.2, r.randint(0, 6, len(x)), x), r.randint(0, max(len(x), 1), r.randint(0, 2) if len(x) else 0))
+        for most in (0, 1, 2, 5):
+            assert line_dedup.edit_within(x, y, most) == (distance(x.tolist(), y.tolist()) <= most)
+
+
+def test_near_lines_are_cut(spark):
+    r = random.Random(12)
+    base = [prose(30, 100 + i).split() for i in range(40)]
+    rows = []
+    for d in range(30):
+        lines = [list(x) for x in r.sample(base, 8)]
+        for x in lines:
+            if r.random() < 0.5:
+                x[r.randrange(len(x))] = "other"
+        rows.append((d, "\n".join(" ".join(x) for x in lines)))
+    rows += [(30, None), (31, ""), (None, rows[0][1]), (5, rows[5][1])]
+    got = line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    data = {(d, t): line_dedup.line_features(np.frombuffer((t or "").encode(), np.uint8), np.array([0, len((t or "").encode())])) for d, t in rows}
+    nodes = sorted({(d is None, d or 0, int(line), int(sim), tuple(line_dedup.NORMAL[np.frombuffer((t or "").split("\n")[line].encode(), np.uint8)].tobytes().split())) for (d, t), f in data.items() for line, sim in zip(f[1], f[4], strict=True)})
+    root = list(range(len(nodes)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(nodes)):
+        for j in range(i):
+            x, y = nodes[i], nodes[j]
+            coded = {w: k for k, w in enumerate({*x[4], *y[4]})}
+            a, b = (np.array([coded[w] for w in z[4]]) for z in (x, y))
+            if x[4] == y[4] or (bin((x[3] ^ y[3]) & (2**64 - 1)).count("1") <= 3 and line_dedup.edit_within(a, b, max(len(a), len(b)) // 5)):
+                p, q = find(i), find(j)
+                root[max(p, q)] = min(p, q)
+    stay = {nodes[i][:3] for i in range(len(nodes)) if find(i) == i}
+    want = sorted(((d, None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if not x or (d is None, d or 0, i) in stay)) for d, t in rows), key=str)
+    assert sorted(((x.doc_id, x.text) for x in got), key=str) == want
+
+
 def test_quality_held_out(spark):
     where = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{where}/documents.parquet"), spark.read.parquet(f"{where}/labels.parquet")
