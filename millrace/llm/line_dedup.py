@@ -1,14 +1,13 @@
-"""Fuzzy line de-duplication: SimHash of normalised lines, a join on pigeonhole blocks, and edit similarity.
+"""Fuzzy line de-duplication: a join of normalised lines on their rarest words, and edit similarity.
 
-Lines of equal normalised words are one class. A class's 64-bit SimHash is cut into five blocks; two SimHashes that differ
-in at most three bits agree on two blocks, so each of the ten pairs of blocks is a join key. Candidates are verified by the
-edit distance of their word sequences, and of each connected group the first occurrence stays.
+Lines of equal normalised words are one class. Two lines within the edit rule have at least n - n // 5 words in common,
+for the number n of words of either, so in any order of all words the first n // 5 + 1 of both share one: these are the
+join keys, rare words first, and no link is lost. The parities of 128 counts of words drop most other pairs. Candidates are
+verified by the edit distance of their word sequences, and of each connected group the first occurrence stays.
 """
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -16,10 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.linking import Matcher, linked, shared_keys, verified, with_keys
-from millrace.llm.shared import _words_of_block, binaries, mix, row_blocks, row_key, saved, table, text_buffer
+from millrace.llm.shared import _words_of_block, binaries, lists, mix, row_blocks, row_key, saved, table, text_buffer
 
-#: Bits that two SimHashes may differ in, and the blocks (start, end) of their 64 bits.
-MAX_BITS, BLOCKS = 3, ((0, 13), (13, 26), (26, 39), (39, 52), (52, 64))
+#: Words of the list of common ones, at most. It only sets the order of words: with any list the same lines link.
+COMMON = 65_536
+#: Words that a line needs for a link to one of other words.
+LEAST_WORDS = 4
 
 #: A-Z to a-z, digits to 0, other ASCII (but the line end) to a space.
 NORMAL = np.arange(256, dtype=np.uint8)
@@ -41,49 +42,108 @@ def simhashes(words: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.nda
     return sim
 
 
-def line_features(data: np.ndarray, offs: np.ndarray):
-    """Row, number in the row, class hash, words and SimHash of each line that has words."""
+def _line_words(data: np.ndarray, offs: np.ndarray):
+    """Row, number in the row, class hash, number of words, first word of each line that has words; and all words."""
     marks = np.flatnonzero(data == 0x0A)
     begin = np.unique(np.concatenate([offs[:-1][np.diff(offs) > 0], marks + 1]))
     begin = begin[begin < len(data)]
     if not len(begin):
-        return [np.zeros(0, np.int64)] * 5
+        return [np.zeros(0, np.int64)] * 5 + [np.zeros(0, np.uint64)]
     words, _, line = _words_of_block(NORMAL[data], np.append(begin, len(data)))
     if not len(words):
-        return [np.zeros(0, np.int64)] * 5
+        return [np.zeros(0, np.int64)] * 5 + [np.zeros(0, np.uint64)]
     first = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))
     count = np.diff(np.append(first, len(words)))
     place = np.arange(len(words)) - np.repeat(first, count)
     cls = mix(np.add.reduceat(mix(words + place.astype(np.uint64) * np.uint64(0xA24BAED4963EE407)), first) + count.astype(np.uint64))
-    sim = simhashes(words, first, count)
     starts = begin[line[first]]
     row = np.searchsorted(offs, starts, side="right") - 1
     number = np.searchsorted(marks, starts, side="left") - np.searchsorted(marks, offs[row], side="left")
-    return row, number, cls, count, sim
+    return row, number, cls, count, first, words
+
+
+def line_features(data: np.ndarray, offs: np.ndarray):
+    """Row, number in the row, class hash, words and SimHash of each line that has words."""
+    row, number, cls, count, first, words = _line_words(data, offs)
+    return row, number, cls, count, simhashes(words, first, count) if len(words) else np.zeros(0, np.int64)
+
+
+def rare_words(words: np.ndarray, first: np.ndarray, count: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the n // 5 + 1 rarest words of each line of n words, and their number. A word's repetitions count as other words.
 
+    common: hashes of common words, the rarest first; words that are not among them are rarer still.
+    """
+    by_hash = np.argsort(common)
+    at = np.minimum(np.searchsorted(common, words, sorter=by_hash), max(len(common) - 1, 0))
+    rank = np.where(common[by_hash[at]] == words, by_hash[at] + 1, 0) if len(common) else np.zeros(len(words), np.int64)
+    line = np.repeat(np.arange(len(count)), count)
+    ordered = words[np.lexsort((words, rank, line))]
+    new = np.ones(len(ordered), bool)
+    new[1:] = (ordered[1:] != ordered[:-1]) | (line[1:] != line[:-1])
+    index = np.arange(len(ordered))
+    times = index - np.maximum.accumulate(np.where(new, index, 0))
+    taken = np.where(count >= LEAST_WORDS, count // 5 + 1, 0)
+    keep = index - first[line] < taken[line]
+    return mix(ordered[keep] + times[keep].astype(np.uint64) * np.uint64(0xA24BAED4963EE407)), taken
+
+
+def parities(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of each line, in two numbers: whether an odd number of its words fall to the bit."""
+    h = mix(words + np.uint64(0x632BE59BD9B4E019))
+    bit, upper = np.uint64(1) << (h & np.uint64(63)), (h >> np.uint64(63)).astype(bool)
+    return np.bitwise_xor.reduceat(np.where(upper, np.uint64(0), bit), first), np.bitwise_xor.reduceat(np.where(upper, bit, np.uint64(0)), first)
+
+
+def common_words(docs: DataFrame, text_col: str) -> np.ndarray:
+    """The hashes of the most frequent words, at most COMMON of them, the rarest first. Words that stand once in a block of text are not counted."""
+
+    def run(batches):
+        for batch in batches:
+            data, offs = text_buffer(batch.column(0))
+            for a, b in row_blocks(offs):
+                found, times = np.unique(_words_of_block(NORMAL[data[offs[a] : offs[b]]], offs[a : b + 1] - offs[a])[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found[times > 1].view(np.int64)), pa.array(times[times > 1].astype(np.int64))], ["word", "times"])
+
+    counted = docs.select(text_col).mapInArrow(run, "word long, times long").groupBy("word").agg(F.sum("times").alias("times"))
+    top = counted.orderBy(F.desc("times"), "word").limit(COMMON).select("word").toArrow().column("word").to_numpy()
+    return top[::-1].astype(np.int64).view(np.uint64)
+
+
+def _line_table(docs: DataFrame, text_col: str, common: np.ndarray | None = None) -> DataFrame:
+    """(_row, line, id, n) of each line that has words; with common also p, q and keys."""
 
-def _line_table(docs: DataFrame, text_col: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             data, offs = text_buffer(batch.column(1))
-            keys = batch.column(0).to_numpy()
+            rows = batch.column(0).to_numpy()
             for a, b in row_blocks(offs):
-                row, number, cls, count, sim = line_features(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
-                yield pa.RecordBatch.from_arrays([pa.array(keys[a + row]), pa.array(number.astype(np.int32)), pa.array(cls.view(np.int64)), pa.array(count.astype(np.int32)), pa.array(sim.view(np.int64))], ["_row", "line", "id", "n", "sim"])
+                row, number, cls, count, first, words = _line_words(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
+                columns = [pa.array(rows[a + row]), pa.array(number.astype(np.int32)), pa.array(cls.view(np.int64)), pa.array(count.astype(np.int32))]
+                names = ["_row", "line", "id", "n"]
+                if common is not None and len(words):
+                    keys, taken = rare_words(words, first, count, common)
+                    columns += [*(pa.array(x.view(np.int64)) for x in parities(words, first)), lists(keys.view(np.int64), taken, pa.int64())]
+                    names += ["p", "q", "keys"]
+                if len(words):
+                    yield pa.RecordBatch.from_arrays(columns, names)
+
+    kind = "_row long, line int, id long, n int" + (", p long, q long, keys array<long>" if common is not None else "")
+    return docs.select("_row", text_col).mapInArrow(run, kind)
 
-    return docs.select("_row", text_col).mapInArrow(run, "_row long, line int, id long, n int, sim long")
 
+class WordCounts(Matcher):
+    """Each edit changes two counts of words at most, and one if it also changes the length."""
 
-class SimHashes(Matcher):
-    columns = ["n", "sim"]
+    columns = ["n", "p", "q"]
 
     def prepare(self, rows: pa.Table):
-        return rows.column("sim").to_numpy().view(np.uint64), rows.column("n").to_numpy()
+        return rows.column("p").to_numpy().view(np.uint64), rows.column("q").to_numpy().view(np.uint64), rows.column("n").to_numpy()
 
     def leaf(self, state, ia: np.ndarray, ib: np.ndarray) -> np.ndarray:
-        sim, n = state
+        p, q, n = state
         low, high = np.minimum(n[ia], n[ib]), np.maximum(n[ia], n[ib])
-        return (np.bitwise_count(sim[ia] ^ sim[ib]) <= MAX_BITS) & (5 * low >= 4 * high)
+        odd = np.bitwise_count(p[ia] ^ p[ib]).astype(np.int64) + np.bitwise_count(q[ia] ^ q[ib])
+        return (5 * low >= 4 * high) & (odd <= 2 * (high // 5) - (high - low))
 
     def tree(self, state, left: np.ndarray, right: np.ndarray | None):
         out = []
@@ -167,18 +227,16 @@ def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "
     """docs with text_col cut to its first occurrences, and n_lines, n_removed.
 
     Lines are normalised: A-Z lower-cased, digits to 0, other ASCII characters part words. Lines without words always stay. Two
-    lines link if their SimHashes differ in at most 3 bits and their word edit distance is at most a fifth of
-    the longer one. Of each connected group the occurrence of the smallest (id_col, line) stays, null ids last. Repeated rows are
+    lines link if their word edit distance is at most a fifth of the longer one. Of each connected group the occurrence of the smallest (id_col, line) stays, null ids last. Repeated rows are
     one document here: they keep the same lines. A null text stays null. Columns of docs named n_lines or n_removed are replaced.
     """
     keyed = docs.drop("n_lines", "n_removed").withColumn("_row", row_key(id_col, text_col))
-    lines = saved(_line_table(keyed, text_col))
+    lines = _line_table(keyed, text_col)
     # the key of a row stands in for its id until the first occurrence of a group is chosen
     ids = keyed.select("_row", F.col(id_col).alias("doc")).distinct()
-    classes = saved(lines.groupBy("id", "n", "sim").agg(F.min(F.struct("_row", "line")).alias("at"), F.count("*").alias("times")))
-    block = lambda k: F.shiftrightunsigned("sim", 64 - BLOCKS[k][1]).bitwiseAND(F.lit((1 << (BLOCKS[k][1] - BLOCKS[k][0])) - 1))
-    keys = F.array(*(F.xxhash64(F.lit(i), block(p), block(q)) for i, (p, q) in enumerate(combinations(range(5), 2))))
-    rows = shared_keys(classes.select(F.explode(keys).alias("key"), "id", "n"), "n", 0.8)
+    featured = _line_table(keyed, text_col, common_words(docs, text_col))
+    classes = saved(featured.groupBy("id", "n").agg(F.min(F.struct("_row", "line")).alias("at"), F.count("*").alias("times"), *(F.first(c).alias(c) for c in ("p", "q", "keys"))))
+    rows = shared_keys(classes.select(F.explode("keys").alias("key"), "id", "n"), "n", 0.8)
 
     def fetch(needed: DataFrame) -> DataFrame:
         at = needed.join(classes.select("id", "at._row", "at.line"), "id")
@@ -192,7 +250,7 @@ def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "
     def accept(x: np.ndarray, y: np.ndarray) -> bool:
         return edit_within(x, y, max(len(x), len(y)) // 5)
 
-    roots = linked(rows, classes, SimHashes(), lambda pairs: verified(pairs, classes, fetch, decode, accept))
+    roots = linked(rows, classes, WordCounts(), lambda pairs: verified(pairs, classes, fetch, decode, accept))
     grouped = classes.select("id", "times").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").where("times > 1 OR root IS NOT NULL").select("id", F.coalesce("root", "id").alias("root"))
     found = lines.select("_row", "line", "id").join(grouped, "id").join(ids, "_row").select("root", "_row", "line", F.struct(F.col("doc").isNull().alias("none"), "doc", "line", "_row").alias("at"))
     found = saved(found)

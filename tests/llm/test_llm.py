@@ -205,6 +205,52 @@ def test_near_lines_are_cut(spark):
     assert sorted(((x.doc_id, x.text) for x in got), key=str) == want
 
 
+def test_lines_within_the_edit_rule_are_cut(spark, monkeypatch):
+    r = random.Random(31)
+    lines = []
+    for g in range(60):
+        n = r.choice([4, 5, 7, 10, 19, 20, 30, 40, 90])
+        base = [r.choice("abcdefghijkl") if r.random() < 0.4 else prose(1, 10_000 + 100 * g + i) for i in range(n)]
+        lines.append(base)
+        for _ in range(2):
+            x = list(base)
+            for _ in range(r.randint(1, n // 5 + 1)):  # one edit more than the rule takes, at times
+                kind, at = r.randrange(3), r.randrange(len(x))
+                x[at : at + (kind < 2)] = ["other"] * (kind > 0)
+            lines.append(x)
+    rows = [(d, "\n".join(" ".join(x) for x in lines[d::9])) for d in range(9)]
+
+    def distance(x, y):
+        row = list(range(len(y) + 1))
+        for i, w in enumerate(x):
+            now = [i + 1]
+            for j, v in enumerate(y):
+                now.append(min(row[j + 1] + 1, now[j] + 1, row[j] + (w != v)))
+            row = now
+        return row[-1]
+
+    nodes = [(d, i, line.split()) for d, t in rows for i, line in enumerate(t.split("\n"))]
+    root = list(range(len(nodes)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(nodes)):
+        for j in range(i):
+            longer = max(len(nodes[i][2]), len(nodes[j][2]))
+            if abs(len(nodes[i][2]) - len(nodes[j][2])) <= longer // 5 and distance(nodes[i][2], nodes[j][2]) <= longer // 5:
+                p, q = find(i), find(j)
+                root[max(p, q)] = min(p, q)
+    stay = {nodes[i][:2] for i in range(len(nodes)) if find(i) == i}
+    want = {d: "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) in stay) for d, t in rows}
+    for common in (line_dedup.COMMON, 3):  # the list of common words must not matter
+        monkeypatch.setattr(line_dedup, "COMMON", common)
+        got = line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+        assert {x.doc_id: x.text for x in got} == want
+
+
 def test_quality_held_out(spark):
     where = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{where}/documents.parquet"), spark.read.parquet(f"{where}/labels.parquet")
