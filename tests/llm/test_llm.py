@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import decontamination, embedding_pq, line_dedup, ngram_jaccard, packing, quality_mil, suffix_dedup, url_rules, warc
-from millrace.llm.secret_forest import scan_secrets
+from millrace.llm.secret_forest import findings, scan_secrets, weak_labels
 from millrace.llm.shared import shared_folder
 
 SCHEMA = "doc_id long, text string, lang string"
@@ -263,3 +263,15 @@ def test_secrets(spark):
     rows = [(i, f'some plain words token = "{hashlib.sha1(str(i).encode()).hexdigest()}" and more') for i in range(40)] + [(100 + i, f"see https://example.com/docs/page{i}/of/the/manual or call 12345678901234{i:02d}") for i in range(40)] + [(900, None), (901, "")]
     got = scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id for r in got if r.is_secret} == set(range(40))
+
+
+def test_every_secret_of_a_word_is_found(spark):
+    a, b = (hashlib.sha1(x).hexdigest() for x in (b"a", b"b"))
+    aws = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
+    texts = [f"aws_secret_access_key={aws}", f"https://host/v2/long-path-name?token={a}", f'{{"api_key":"{a}","n":[1,2],"other_token":"{b}"}}', f"{a},{b},{a}", f"Authorization: Bearer {a}", f"please rotate {b} today", "nothing here", None]
+    found = findings(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), []).persist()
+    got = sorted((r.doc_id, r.position, r.value) for r in found.collect())
+    assert got == sorted([(0, 0, aws), (1, 0, "//host/v2/long-path-name"), (1, 0, a), (2, 0, a), (2, 0, b), (3, 0, a), (3, 0, b), (3, 0, a), (4, 2, a), (5, 2, b)])
+    labels = {(r.doc_id, r.value): r.label for r in weak_labels(found).collect()}
+    assert labels[1, "//host/v2/long-path-name"] == 0 and labels[1, a] == labels[2, a] == labels[2, b] == labels[4, a] == 1
+    assert (5, b) not in labels and (3, a) not in labels
