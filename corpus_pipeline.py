@@ -30,7 +30,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = drop_repeated_lines(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(r"\w"))
+    cut = drop_repeated_lines(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[0-9A-Za-z]|[^\x00-\x7F]"))
     return cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from millrace.llm import decontamination, embedding_pq, line_dedup, ngram_jaccard, packing, quality_mil, suffix_dedup, url_rules, warc
 from millrace.llm.secret_forest import findings, scan_secrets, weak_labels
 from millrace.llm.shared import shared_folder
@@ -275,3 +276,11 @@ def test_every_secret_of_a_word_is_found(spark):
     labels = {(r.doc_id, r.value): r.label for r in weak_labels(found).collect()}
     assert labels[1, "//host/v2/long-path-name"] == 0 and labels[1, a] == labels[2, a] == labels[2, b] == labels[4, a] == 1
     assert (5, b) not in labels and (3, a) not in labels
+
+
+def test_documents_of_other_scripts_stay(spark):
+    line = "эта строка стоит в двух документах"
+    rows = [(1, line), (2, f"{line}\nсвоя строка"), (3, f"{line}\n本文"), (4, f"{line}\n___ --"), (5, f"own words\n{line}"), (6, "___"), (7, None)]
+    docs = spark.createDataFrame([(d, t, "ru", "s", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, docs, "").collect()}
+    assert got == {1: line, 2: "своя строка", 3: "本文", 5: "own words", 6: "___", 7: None}
