@@ -90,6 +90,17 @@ def test_packing_round_trip(spark, docs):
         assert at <= 64
 
 
+def test_added_tokens_have_their_own_ids():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    whole, ids = Tokenizer.from_file(path), packing._Ids(path)
+    for text in ("a<|endoftext|>b", "one <|endoftext|> two", "<|endoftext|>", " a  <|endoftext|>\n b", "a <|endof text|> b", "plain words"):
+        assert np.frombuffer(ids.of_text(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(ids.of_text("a<|endoftext|>b"), "<u4").tolist() == [64, 50256, 65]
+
+
 def test_configurations_place_everything():
     histogram = {5: 7, 33: 2, 60: 9, 64: 3, 1: 1}
     placed = {}
