@@ -1,9 +1,11 @@
-"""Fuzzy line de-duplication: a join of normalised lines on their rarest words, and edit similarity.
-
-Lines of equal normalised words are one class. Two lines within the edit rule have at least n - n // 5 words in common,
-for the number n of words of either, so in any order of all words the first n // 5 + 1 of both share one: these are the
-join keys, rare words first, and no link is lost. The parities of 128 counts of words drop most other pairs. Candidates are
-verified by the edit distance of their word sequences, and of each connected group the first occurrence stays.
+"""Fuzzy line de-duplication: a join of normalised lines on their rarest pairs of words, and edit similarity.
+
+Lines of equal normalised words are one class; one line of each goes on. An edit changes two pairs of neighbouring words at
+most, so two lines within the edit rule have most of their pairs in common, and in any order of all pairs the first of both
+share one: these are the join keys, rarest first by count sketches of words and pairs, and no link is lost. SimHash blocks
+cannot do that: at an edit distance of a fifth half of 64 bits' blocks differ, so near lines rarely meet. The
+parities of 128 counts of words drop most other candidates. What is left is verified by the edit distance of the word
+sequences, and of each connected group the first occurrence stays.
 """
 
 from __future__ import annotations
@@ -14,77 +16,77 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.linking import Matcher, linked, shared_keys, verified, with_keys
-from millrace.llm.shared import _words_of_block, binaries, lists, mix, row_blocks, row_key, saved, table, text_buffer
+from millrace.llm.linking import SIZE_BITS, Matcher, linked, shared_keys, size_steps, verified, with_keys
+from millrace.llm.shared import CELL_KIND, CELLS, above_median, binaries, cell_rows, count_cells, levels_of, mix, release, row_blocks, row_key, saved, table, text_buffer, word_spans
 
-#: Words of the list of common ones, at most. It only sets the order of words: with any list the same lines link.
-COMMON = 65_536
 #: Words that a line needs for a link to one of other words.
 LEAST_WORDS = 4
+#: A pair of words in 47 bits: how frequent it is, then its hash. With a line's number in a block they fill 64 bits.
+RANK_BITS, HASH_BITS, LINE_BITS = 5, 42, 17
 
-#: A-Z to a-z, digits to 0, other ASCII (but the line end) to a space.
-NORMAL = np.arange(256, dtype=np.uint8)
-for _c in range(128):
-    NORMAL[_c] = ord(chr(_c).lower()) if chr(_c).isalpha() else 0x30 if chr(_c).isdigit() else 0x20
-
-
-def simhashes(words: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """Of each run of words the bits that more than half of them have. Four bits are counted at once in a number's 16-bit lanes."""
-    sim = np.zeros(len(first), np.uint64)
-    wide = np.flatnonzero(count > 0xFFFF)  # their counts may not fit a lane
-    for k in range(16):
-        lanes = np.add.reduceat((words >> np.uint64(k)) & np.uint64(0x0001000100010001), first)
-        for bit in range(k, 64, 16):
-            ones = ((lanes >> np.uint64(bit - k)) & np.uint64(0xFFFF)).astype(np.int64)
-            for i in wide:
-                ones[i] = ((words[first[i] : first[i] + count[i]] >> np.uint64(bit)) & np.uint64(1)).sum(dtype=np.int64)
-            sim |= (2 * ones > count).astype(np.uint64) << np.uint64(bit)
-    return sim
+#: A-Z to a-z, digits to 0, other ASCII to a blank.
+NORMAL = bytes(c if c >= 128 else ord(chr(c).lower()) if chr(c).isalpha() else 0x30 if chr(c).isdigit() else 0x20 for c in range(256))
+_KEY_OF_ROW = "struct<a: long, b: long>"
 
 
 def _line_words(data: np.ndarray, offs: np.ndarray):
-    """Row, number in the row, class hash, number of words, first word of each line that has words; and all words."""
+    """Row, number in the row, 128-bit hash (two arrays), number of words and first word of each line that has words; and all words."""
     marks = np.flatnonzero(data == 0x0A)
     begin = np.unique(np.concatenate([offs[:-1][np.diff(offs) > 0], marks + 1]))
     begin = begin[begin < len(data)]
-    if not len(begin):
-        return [np.zeros(0, np.int64)] * 5 + [np.zeros(0, np.uint64)]
-    words, _, line = _words_of_block(NORMAL[data], np.append(begin, len(data)))
+    words, starts, _ = word_spans(data.tobytes().translate(NORMAL), offs)
     if not len(words):
-        return [np.zeros(0, np.int64)] * 5 + [np.zeros(0, np.uint64)]
+        none = np.zeros(0, np.int64)
+        return none, none, (none.view(np.uint64),) * 2, none, none, words
+    line = np.searchsorted(begin, starts, side="right") - 1
     first = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))
     count = np.diff(np.append(first, len(words)))
-    place = np.arange(len(words)) - np.repeat(first, count)
-    cls = mix(np.add.reduceat(mix(words + place.astype(np.uint64) * np.uint64(0xA24BAED4963EE407)), first) + count.astype(np.uint64))
+    placed = words + (np.arange(len(words)) - np.repeat(first, count)).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
+    both = tuple(mix(np.add.reduceat(mix(placed ^ salt), first) + count.astype(np.uint64)) for salt in (np.uint64(0), np.uint64(0x5851F42D4C957F2D)))
     starts = begin[line[first]]
     row = np.searchsorted(offs, starts, side="right") - 1
     number = np.searchsorted(marks, starts, side="left") - np.searchsorted(marks, offs[row], side="left")
-    return row, number, cls, count, first, words
+    return row, number, both, count, first, words
 
 
-def line_features(data: np.ndarray, offs: np.ndarray):
-    """Row, number in the row, class hash, words and SimHash of each line that has words."""
-    row, number, cls, count, first, words = _line_words(data, offs)
-    return row, number, cls, count, simhashes(words, first, count) if len(words) else np.zeros(0, np.int64)
+def _pairs(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first word's index of each pair of neighbouring words of a line."""
+    inside = np.ones(max(0, len(words) - 1), bool)
+    inside[first[1:] - 1] = False
+    at = np.flatnonzero(inside)
+    return mix(words[at] * np.uint64(0xD6E8FEB86659FD93) + words[at + 1]), at
 
 
-def rare_words(words: np.ndarray, first: np.ndarray, count: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the n // 5 + 1 rarest words of each line of n words, and their number. A word's repetitions count as other words.
+def keys_needed(count: np.ndarray) -> np.ndarray:
+    """How many of its rarest pairs a line of so many words needs, so that it shares one with each line within the edit rule.
 
-    common: hashes of common words, the rarest first; words that are not among them are rarer still.
+    The other line may be longer by k words; then at most (count + k) // 5 edits, of which k insertions, change
+    2 * ((count + k) // 5) - k of this line's pairs. That is most for k = 0, or 1 where count + 1 is a multiple of 5.
     """
-    by_hash = np.argsort(common)
-    at = np.minimum(np.searchsorted(common, words, sorter=by_hash), max(len(common) - 1, 0))
-    rank = np.where(common[by_hash[at]] == words, by_hash[at] + 1, 0) if len(common) else np.zeros(len(words), np.int64)
-    line = np.repeat(np.arange(len(count)), count)
-    ordered = words[np.lexsort((words, rank, line))]
-    new = np.ones(len(ordered), bool)
-    new[1:] = (ordered[1:] != ordered[:-1]) | (line[1:] != line[:-1])
-    index = np.arange(len(ordered))
-    times = index - np.maximum.accumulate(np.where(new, index, 0))
-    taken = np.where(count >= LEAST_WORDS, count // 5 + 1, 0)
-    keep = index - first[line] < taken[line]
-    return mix(ordered[keep] + times[keep].astype(np.uint64) * np.uint64(0xA24BAED4963EE407)), taken
+    return np.where(count >= LEAST_WORDS, 2 * (count // 5) + (count % 5 == 4) + 1, 0)
+
+
+def rare_pairs(words: np.ndarray, first: np.ndarray, count: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the rarest pairs of each line, and the line of each key. A pair's repetitions count as other pairs."""
+    hashes, at = _pairs(words, first)
+    line = np.repeat(np.arange(len(count)), count)[at]
+    of_word = above_median(levels[0], words)
+    rank = np.minimum((of_word[at] + of_word[at + 1]) // 2 + 3 * above_median(levels[1], hashes), (1 << RANK_BITS) - 1)
+    key = (rank.astype(np.uint64) << np.uint64(HASH_BITS)) | (hashes >> np.uint64(64 - HASH_BITS))
+    bits = np.uint64(RANK_BITS + HASH_BITS)
+    if len(count) < 1 << LINE_BITS:
+        both = np.sort((line.astype(np.uint64) << bits) | key)
+        key, line = both & np.uint64((1 << int(bits)) - 1), (both >> bits).astype(np.int64)
+    else:
+        order = np.lexsort((key, line))
+        key, line = key[order], line[order]
+    index = np.arange(len(key))
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (line[1:] != line[:-1])
+    times = (index - np.maximum.accumulate(np.where(new, index, 0))).astype(np.uint64)
+    start = np.cumsum(count - 1) - (count - 1)
+    keep = index - start[line] < keys_needed(count)[line]
+    return (key[keep] ^ (mix(times[keep]) >> np.uint64(64 - HASH_BITS))), line[keep]
 
 
 def parities(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,41 +96,63 @@ def parities(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.bitwise_xor.reduceat(np.where(upper, np.uint64(0), bit), first), np.bitwise_xor.reduceat(np.where(upper, bit, np.uint64(0)), first)
 
 
-def common_words(docs: DataFrame, text_col: str) -> np.ndarray:
-    """The hashes of the most frequent words, at most COMMON of them, the rarest first. Words that stand once in a block of text are not counted."""
+def _lines(keyed: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc, _row, line, id) of each line that has words, id being 128 bits of hash; and rows of CELL_KIND that count words and pairs."""
+    names = ["doc", "_row", "line", "id", "part", "salt", "counts"]
+    doc_kind = dict(keyed.dtypes)[id_col]
 
     def run(batches):
+        total, kinds = np.zeros((2, CELLS), np.int64), None
         for batch in batches:
-            data, offs = text_buffer(batch.column(0))
+            kinds = [batch.schema.field(0).type, batch.schema.field(1).type]
+            data, offs = text_buffer(batch.column(2))
             for a, b in row_blocks(offs):
-                found, times = np.unique(_words_of_block(NORMAL[data[offs[a] : offs[b]]], offs[a : b + 1] - offs[a])[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found[times > 1].view(np.int64)), pa.array(times[times > 1].astype(np.int64))], ["word", "times"])
-
-    counted = docs.select(text_col).mapInArrow(run, "word long, times long").groupBy("word").agg(F.sum("times").alias("times"))
-    top = counted.orderBy(F.desc("times"), "word").limit(COMMON).select("word").toArrow().column("word").to_numpy()
-    return top[::-1].astype(np.int64).view(np.uint64)
-
-
-def _line_table(docs: DataFrame, text_col: str, common: np.ndarray | None = None) -> DataFrame:
-    """(_row, line, id, n) of each line that has words; with common also p, q and keys."""
+                row, number, both, _, first, words = _line_words(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
+                if len(words):
+                    count_cells(total, [words, _pairs(words, first)[0]])
+                    at, n = pa.array(a + row), len(row)
+                    ids = pa.StructArray.from_arrays([pa.array(x.view(np.int64)) for x in both], ["a", "b"])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(number.astype(np.int32)), ids, *(pa.nulls(n, t) for t in (pa.int32(), pa.int32(), pa.binary()))], names)
+        if kinds:
+            cells = cell_rows(total)
+            n = len(cells[0])
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, kinds[0]), pa.nulls(n, kinds[1]), pa.nulls(n, pa.int32()), pa.nulls(n, pa.struct([("a", pa.int64()), ("b", pa.int64())])), *cells], names)
+
+    return keyed.select(id_col, "_row", text_col).mapInArrow(run, f"doc {doc_kind}, _row {_KEY_OF_ROW}, line int, id {_KEY_OF_ROW}, {CELL_KIND}")
+
+
+def _left_lines(batches):
+    """From batches of (_row, text, skip: line numbers) the lines of LEAST_WORDS words and more that are not to be skipped: the batch's
+    rows, line numbers, ids (of row and line), numbers of words, first words, and all words."""
+    for batch in batches:
+        data, offs = text_buffer(batch.column(1))
+        of_row = batch.column(0).field("a").to_numpy().view(np.uint64)
+        skip = batch.column(2)
+        gone_row, gone = np.repeat(np.arange(batch.num_rows), np.maximum(skip.value_lengths().fill_null(0).to_numpy(), 0)), skip.flatten().to_numpy()
+        for a, b in row_blocks(offs):
+            row, number, _, count, first, words = _line_words(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
+            if not len(words):
+                continue
+            lo, hi = np.searchsorted(gone_row, [a, b])
+            marks = (gone_row[lo:hi] - a) * (1 << 40) + gone[lo:hi]
+            keep = (count >= LEAST_WORDS) & ~np.isin(row * (1 << 40) + number, marks)
+            words, count = words[np.repeat(keep, count)], count[keep]
+            if len(count):
+                row, number = a + row[keep], number[keep]
+                ids = mix(of_row[row] ^ mix(number.astype(np.uint64) + np.uint64(1))) | np.uint64(1)
+                yield batch, row, number, ids.view(np.int64), count, np.cumsum(count) - count, words
+
+
+def _features(left: DataFrame) -> DataFrame:
+    """(id, _row, line, n, p, q) of each line that may link."""
 
     def run(batches):
-        for batch in batches:
-            data, offs = text_buffer(batch.column(1))
-            rows = batch.column(0).to_numpy()
-            for a, b in row_blocks(offs):
-                row, number, cls, count, first, words = _line_words(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
-                columns = [pa.array(rows[a + row]), pa.array(number.astype(np.int32)), pa.array(cls.view(np.int64)), pa.array(count.astype(np.int32))]
-                names = ["_row", "line", "id", "n"]
-                if common is not None and len(words):
-                    keys, taken = rare_words(words, first, count, common)
-                    columns += [*(pa.array(x.view(np.int64)) for x in parities(words, first)), lists(keys.view(np.int64), taken, pa.int64())]
-                    names += ["p", "q", "keys"]
-                if len(words):
-                    yield pa.RecordBatch.from_arrays(columns, names)
+        for batch, row, number, ids, count, first, words in _left_lines(batches):
+            p, q = parities(words, first)
+            columns = [pa.array(ids), batch.column(0).take(pa.array(row)), pa.array(number.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(p.view(np.int64)), pa.array(q.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "_row", "line", "n", "p", "q"])
 
-    kind = "_row long, line int, id long, n int" + (", p long, q long, keys array<long>" if common is not None else "")
-    return docs.select("_row", text_col).mapInArrow(run, kind)
+    return left.mapInArrow(run, f"id long, _row {_KEY_OF_ROW}, line int, n int, p long, q long")
 
 
 class WordCounts(Matcher):
@@ -190,7 +214,7 @@ def edit_within(x: np.ndarray, y: np.ndarray, most: int) -> bool:
 
 
 def _word_lists(docs: DataFrame) -> DataFrame:
-    """From (text, wanted: lines with id, root, lo, hi) to (id, root, lo, hi, items), the hashes of those lines' words."""
+    """From (text, wanted: lines with id, unit) to (id, unit, items), the hashes of those lines' words."""
 
     def run(batches):
         for batch in batches:
@@ -200,13 +224,13 @@ def _word_lists(docs: DataFrame) -> DataFrame:
             for row, end in enumerate(ends.tolist()):
                 lines = batch.column(0)[row].as_py().encode().split(b"\n")
                 parts += [lines[i] for i in number[len(parts) : end]]
-            data = np.frombuffer(b"".join(parts), np.uint8)
-            words, _, of = _words_of_block(NORMAL[data], np.cumsum([0, *map(len, parts)]))
-            cuts = np.searchsorted(of, np.arange(len(parts) + 1)).tolist()
+            offs = np.cumsum([0, *map(len, parts)])
+            words, starts, _ = word_spans(b"".join(parts).translate(NORMAL), offs)
+            cuts = np.searchsorted(starts, offs).tolist()
             items = binaries([words[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)])
-            yield pa.RecordBatch.from_arrays([*(wanted.flatten().field(c) for c in ("id", "root", "lo", "hi")), items], ["id", "root", "lo", "hi", "items"])
+            yield pa.RecordBatch.from_arrays([*(wanted.flatten().field(c) for c in ("id", "unit")), items], ["id", "unit", "items"])
 
-    return docs.mapInArrow(run, "id long, root long, lo int, hi int, items binary")
+    return docs.mapInArrow(run, "id long, unit long, items binary")
 
 
 def _cut_lines(docs: DataFrame, text_col: str) -> DataFrame:
@@ -227,22 +251,39 @@ def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "
     """docs with text_col cut to its first occurrences, and n_lines, n_removed.
 
     Lines are normalised: A-Z lower-cased, digits to 0, other ASCII characters part words. Lines without words always stay. Two
-    lines link if their word edit distance is at most a fifth of the longer one. Of each connected group the occurrence of the smallest (id_col, line) stays, null ids last. Repeated rows are
-    one document here: they keep the same lines. A null text stays null. Columns of docs named n_lines or n_removed are replaced.
+    lines link if their word edit distance is at most a fifth of the longer one. Of each connected group the occurrence of the
+    smallest (id_col, line) stays, null ids last. Repeated rows are one document here: they keep the same lines. A null text
+    stays null, an empty one empty. An empty table gives an empty table. Columns of docs named n_lines or n_removed are
+    replaced; others pass through, whatever their names.
     """
-    keyed = docs.drop("n_lines", "n_removed").withColumn("_row", row_key(id_col, text_col))
-    lines = _line_table(keyed, text_col)
-    # the key of a row stands in for its id until the first occurrence of a group is chosen
-    ids = keyed.select("_row", F.col(id_col).alias("doc")).distinct()
-    featured = _line_table(keyed, text_col, common_words(docs, text_col))
-    classes = saved(featured.groupBy("id", "n").agg(F.min(F.struct("_row", "line")).alias("at"), F.count("*").alias("times"), *(F.first(c).alias(c) for c in ("p", "q", "keys"))))
-    rows = shared_keys(classes.select(F.explode("keys").alias("key"), "id", "n"), "n", 0.8)
+    spark, columns = docs.sparkSession, [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    others = [c for c in columns if c != text_col]
+    # the caller's columns travel in one, so that no name can clash
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in others)).alias("_all") if others else F.lit(0).alias("_all"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{id_col}`").alias("doc"))
+    keyed = whole.withColumn("_row", row_key("doc", "text"))
+    found = saved(_lines(keyed, "doc", "text"))
+    levels = levels_of(found.where("part IS NOT NULL").select("part", "salt", "counts"), 2)
+    at = F.struct(F.col("doc").isNull().alias("none"), "doc", "line", "_row")
+    lines = found.where("part IS NULL").select("id", "_row", "line", at.alias("at"))
+    # repeated rows hold the same occurrences
+    repeated = saved(lines.groupBy("id").agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first <> last").select("id", "first"))
+    skip = with_keys(lines, repeated, "id").where("at <> first").groupBy("_row").agg(F.collect_set("line").alias("skip"))
+    left = with_keys(keyed.select("_row", "text"), skip, "_row", F.size("skip"), "left").select("_row", "text", "skip")
+    features = saved(_features(left).dropDuplicates(["id"]))
+    release(spark)
+
+    def entries_of(batch: pa.RecordBatch):
+        for _, _, _, ids, count, first, words in _left_lines([batch]):
+            key, line = rare_pairs(words, first, count, levels)
+            yield (key << np.uint64(SIZE_BITS)) | size_steps(count, 0.8)[line].astype(np.uint64), ids[line]
+
+    n_entries = int(features.agg(F.sum(F.col("n") * 0.4 + 1)).first()[0] or 0)
+    rows = shared_keys(left, entries_of, n_entries)
 
     def fetch(needed: DataFrame) -> DataFrame:
-        at = needed.join(classes.select("id", "at._row", "at.line"), "id")
         # a text travels once, however many of its lines are asked for
-        wanted = at.groupBy("_row").agg(F.collect_list(F.struct("line", "id", "root", "lo", "hi")).alias("wanted"))
-        return _word_lists(with_keys(keyed.select("_row", text_col), wanted, "_row", F.size("wanted")).select(text_col, "wanted"))
+        wanted = needed.join(features.select("id", "_row", "line"), "id").groupBy("_row").agg(F.collect_list(F.struct("line", "id", "unit")).alias("wanted"))
+        return _word_lists(with_keys(keyed.select("_row", "text"), wanted, "_row", F.size("wanted")).select("text", "wanted")).dropDuplicates(["id", "unit"])
 
     def decode(item: bytes) -> np.ndarray:
         return np.frombuffer(item, np.uint64)
@@ -250,16 +291,21 @@ def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "
     def accept(x: np.ndarray, y: np.ndarray) -> bool:
         return edit_within(x, y, max(len(x), len(y)) // 5)
 
-    roots = linked(rows, classes, WordCounts(), lambda pairs: verified(pairs, classes, fetch, decode, accept))
-    grouped = classes.select("id", "times").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").where("times > 1 OR root IS NOT NULL").select("id", F.coalesce("root", "id").alias("root"))
-    found = lines.select("_row", "line", "id").join(grouped, "id").join(ids, "_row").select("root", "_row", "line", F.struct(F.col("doc").isNull().alias("none"), "doc", "line", "_row").alias("at"))
-    found = saved(found)
-    first = found.groupBy("root").agg(F.min("at").alias("first"))
-    gone = found.join(first, "root").where("at <> first").groupBy("_row").agg(F.collect_set("line").alias("_gone"))
-    out = with_keys(keyed, gone, "_row", F.size("_gone"), "left").drop("_row")
-    out = out.withColumn("n_lines", F.when(F.length(text_col) > 0, F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1).otherwise(0).cast("long"))
-    out = out.withColumn("n_removed", F.coalesce(F.size("_gone"), F.lit(0)).cast("long")).withColumn("n_removed", F.greatest("n_removed", F.lit(0).cast("long")))
-    return _cut_lines(out, text_col).drop("_gone")
+    roots = linked(rows, features, WordCounts(), lambda pairs: verified(pairs, fetch, decode, accept))
+    members = features.select("id", "_row", "line").join(roots.select(F.col("node").alias("id"), "root"), "id").select("_row", "line", "root")
+    near = saved(with_keys(lines.select("id", "_row", "line"), members, ["_row", "line"]).select("id", "root").distinct())
+    # a group's name is the least hash of its classes; classes without near lines are groups of their own
+    names = near.groupBy("root").agg(F.min("id").alias("group"))
+    groups = repeated.select("id").union(near.select("id")).distinct().join(near.join(names, "root").select("id", "group"), "id", "left").select("id", F.coalesce("group", "id").alias("group"))
+    places = saved(with_keys(lines, groups, "id").select("group", "_row", "line", "at"))
+    first = places.groupBy("group").agg(F.min("at").alias("first"))
+    gone = with_keys(places, first, "group").where("at <> first").groupBy("_row").agg(F.collect_set("line").alias("_gone"))
+    out = with_keys(keyed, gone, "_row", F.size("_gone"), "left")
+    n_lines = F.when(F.length("text") > 0, F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1).otherwise(0).cast("long")
+    out = out.withColumn("_n_lines", n_lines).withColumn("_n_removed", F.greatest(F.coalesce(F.size("_gone"), F.lit(0)), F.lit(0)).cast("long"))
+    out = _cut_lines(out, "text")
+    back = [F.col("text").alias(c) if c == text_col else F.col("_all").getField(c).alias(c) for c in columns]
+    return out.select(*back, F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"))
 
 
 def op8_query(spark, sf_dir: str) -> DataFrame:

@@ -1,39 +1,153 @@
 """Links between classes that share a blocking key, without writing out all pairs of a group.
 
-A blocking stage gives rows (key, id, payload). Groups of a key are cut into blocks of bounded size, and
-each pair of blocks is one unit of work, so a key that a third of all rows share is many small units.
-
-Each round gives candidate pairs by the operator's filter (which may err only towards too many), verifies them and merges
-components. First, each class takes part only in the two groups of the smallest of its keys, under two orders: near-copies
-share most keys, so this joins most of them at once. Then all groups that still hold two components take part, and
-each unit emits a forest of its candidate pairs between components; a unit that has more is dense. Last, the dense units
-emit all pairs that still lie between two components. So each candidate pair is verified or lies within a component: no
-link between components is lost, and a group of n mutual near-copies costs about n verifications, not n*n/2.
+Blocking. Each task sends the entries (key, size) of its classes in sorted runs, dealt by key; where they meet, a class keeps the
+keys that another class of a fitting size has too. A key that is frequent in a task's run is known to be shared: its rows skip
+that step, and only a few entries without a class go on in their place. So no task gathers all rows of a hot key.
+
+Linking. Groups of a key are cut into blocks of bounded size; a unit of work holds two blocks at most. Each round gives
+candidate pairs by the operator's filter (which may err only towards too many), verifies them and merges components.
+First, each class takes part only in its block of the groups of two of its keys: near copies share most keys, so this
+joins most of them at once, in work linear in the rows. Then all groups that still hold two components take part; in large
+ones the rows of the largest component lie in blocks, once each, and only the other rows meet every block. Each unit emits a
+forest of its candidate pairs between components; a unit that has more is dense. Last, the dense units emit all pairs
+that still lie between two components. So each candidate pair is verified or lies within a component: no link between
+components is lost, and a group of n mutual near copies costs about n verifications, not n*n/2.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.shared import complete_groups, saved, sorted_groups
+from millrace.llm.shared import binaries, complete_groups, mix, release, saved, sorted_groups
 
 #: Rows of a block; a unit of work holds two blocks at most.
 BLOCK_ROWS = 2048
-
 #: Rows up to which all pairs of a unit are filtered at once.
 LEAF_ROWS = 32
-#: Items (words, shingles) of a block of a connected group of candidates; contents of two blocks are verified together.
-VERIFY_ITEMS = 2_000_000
+#: Items (words, shingles) of the pairs that are verified together.
+VERIFY_ITEMS = 1_000_000
 #: Items of decoded contents that a task keeps.
 DECODED_ITEMS = 4_000_000
 #: Rows to fetch contents for that are broadcast to the scan of the table; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Entries of a task's run, and of the runs that meet in a bucket on average.
+RUN_ENTRIES, BUCKET_ENTRIES = 1 << 20, 1 << 20
+#: Rows of a key in a run from which on the key is known to be shared.
+FREQUENT = 64
+#: Bits of an entry that hold the size.
+SIZE_BITS = 8
+
+
+def size_steps(sizes: np.ndarray, least_ratio: float) -> np.ndarray:
+    """A number of SIZE_BITS bits that grows with the size. Sizes of least_ratio or more to each other differ by STEPS_APART at most."""
+    steps = np.floor(np.log(np.maximum(sizes, 1)) / (-np.log(least_ratio) / 2)).astype(np.int64)
+    return np.clip(steps, 0, (1 << SIZE_BITS) - 1)
+
+
+STEPS_APART = 3
+
+
+def _runs(parts: Iterator[tuple[np.ndarray, np.ndarray]], buckets: int) -> Iterator[pa.RecordBatch]:
+    """From (entries, ids) to rows of a bucket's sorted entries and their ids. Frequent keys: bucket -1, all their rows."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    n = 0
+
+    def run():
+        entries, ids = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(entries)
+        entries, ids = entries[order], ids[order]
+        key = entries >> np.uint64(SIZE_BITS)
+        start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        count = np.diff(np.append(start, len(key)))
+        hot = np.repeat(count >= FREQUENT, count)
+        if hot.any():
+            yield -1, entries[hot], ids[hot]
+            # in their place: each size once or twice, without a class
+            some, times = np.unique(entries[hot], return_counts=True)
+            some = np.repeat(some, np.minimum(times, 2))
+            entries, ids = np.concatenate([entries[~hot], some]), np.concatenate([ids[~hot], np.zeros(len(some), np.int64)])
+        bucket = (mix(entries >> np.uint64(SIZE_BITS)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        entries, ids, bucket = entries[order], ids[order], bucket[order]
+        cuts = np.flatnonzero(np.diff(bucket)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(bucket)], strict=True):
+            if a < b:
+                yield int(bucket[a]), entries[a:b], ids[a:b]
+
+    def batch():
+        rows = list(run())
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(binaries([r[i].tobytes() for r in rows]) for i in (1, 2))], ["bucket", "entries", "ids"])
+
+    for entries, ids in parts:
+        held.append((entries, ids))
+        n += len(entries)
+        if n >= RUN_ENTRIES:
+            yield batch()
+            held, n = [], 0
+    if n:
+        yield batch()
+
+
+def shared_keys(source: DataFrame, entries_of: Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray]]], n_entries: int) -> DataFrame:
+    """(key, id, group_rows) of each class's keys that a class of a fitting size shares. group_rows: about how many rows the
+    key has, the same number in all of them.
+
+    entries_of: from a batch of source to (entries, ids); an entry is a key and, in its lowest bits, the size_steps of the class.
+    Ids are not 0 (0 stands for no class). n_entries: about how many entries there are, from which the number of buckets follows.
+    """
+    spark = source.sparkSession
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_entries // BUCKET_ENTRIES))
+
+    def send(batches):
+        yield from _runs((part for batch in batches for part in entries_of(batch)), buckets)
+
+    def meet(batches):
+        def known(batches):
+            for batch in batches:
+                hot = np.flatnonzero(batch.column(0).to_numpy() < 0)
+                if len(hot):
+                    direct.append([np.frombuffer(b"".join(batch.column(i).take(pa.array(hot)).to_pylist()), t) for i, t in ((1, np.uint64), (2, np.int64))])
+                yield batch.slice(int(hot[-1]) + 1) if len(hot) else batch
+
+        def flush():
+            for entries, ids in direct:
+                yield pa.RecordBatch.from_arrays([pa.array((entries >> np.uint64(SIZE_BITS)).view(np.int64)), pa.array(ids), pa.array(np.zeros(len(ids), np.int64))], names)
+            direct.clear()
+
+        names, direct = ["key", "id", "group_rows"], []
+        for unit in sorted_groups(known(batches), ["bucket"]):
+            yield from flush()
+            entries, ids = (np.frombuffer(b"".join(unit.column(c).to_pylist()), t) for c, t in (("entries", np.uint64), ("ids", np.int64)))
+            order = np.argsort(entries)
+            entries, ids = entries[order], ids[order]
+            key, size = entries >> np.uint64(SIZE_BITS), (entries & np.uint64((1 << SIZE_BITS) - 1)).astype(np.int64)
+            near = np.zeros(len(key) + 1, bool)
+            near[1:-1] = (key[1:] == key[:-1]) & (np.diff(size) <= STEPS_APART)
+            keep = near[1:] | near[:-1]
+            key, ids = key[keep], ids[keep]
+            if len(key):
+                start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+                count = np.diff(np.append(start, len(key)))
+                real = ids != 0
+                yield pa.RecordBatch.from_arrays([pa.array(key[real].view(np.int64)), pa.array(ids[real]), pa.array(np.repeat(count, count)[real])], names)
+        yield from flush()
+
+    runs = source.mapInArrow(send, "bucket int, entries binary, ids binary")
+    # the rows of frequent keys are spread over all tasks
+    spread = F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("ids"), F.lit(buckets)).cast("int")).otherwise(F.col("bucket"))
+    met = saved(runs.repartition(spread).sortWithinPartitions("bucket").mapInArrow(meet, "key long, id long, group_rows long"))
+    release(spark)
+    hot = met.where("group_rows = 0").select("key").distinct()
+    if hot.isEmpty():
+        return met
+    counts = with_keys(met, hot, "key", how="left_semi").groupBy("key").agg(F.count("*").alias("_rows"))
+    return with_keys(met, counts, "key", how="left").select("key", "id", F.coalesce("_rows", "group_rows").alias("group_rows"))
 
 
 class Matcher:
@@ -54,22 +168,33 @@ class Matcher:
         raise NotImplementedError
 
 
-def shared_keys(rows: DataFrame, size_col: str | None = None, least_ratio: float = 0.0) -> DataFrame:
-    """The rows whose key at least two rows have (with size_col: two rows whose sizes have that ratio), and group_rows, their number."""
-    if size_col is None:
-        return rows.withColumn("group_rows", F.count("*").over(Window.partitionBy("key"))).where("group_rows > 1")
-    by_size = Window.partitionBy("key").orderBy(size_col)
-    near = rows.withColumn("_below", F.lag(size_col).over(by_size)).withColumn("_above", F.lead(size_col).over(by_size))
-    margin = least_ratio * (1 - 1e-9)
-    near = near.where((F.col("_below") >= margin * F.col(size_col)) | (F.col(size_col) >= margin * F.col("_above"))).drop("_below", "_above")
-    return near.withColumn("group_rows", F.count("*").over(Window.partitionBy("key")))
+def _blocks(rows: F.Column) -> F.Column:
+    return F.ceil(rows / F.lit(BLOCK_ROWS)).cast("int")
+
 
+def own_blocks(rows: DataFrame) -> DataFrame:
+    """Rows of (key, id, group_rows) in one unit each: their block of the key's group, another one for each key."""
+    own = F.pmod(F.xxhash64("id", "key"), F.greatest(_blocks(F.col("group_rows")), F.lit(1))).cast("int")
+    return rows.select("key", "id", own.alias("lo"), own.alias("hi"), own.alias("own"))
 
-def units(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Rows of shared_keys() dealt to the units of work of their key: block numbers lo <= hi, and own = the row's block."""
-    n = F.ceil(F.col("group_rows") / F.lit(block_rows)).cast("int")
-    out = rows.withColumn("own", F.pmod(F.xxhash64("id", F.lit(7)), n).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1)))
-    return out.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("other", "group_rows")
+
+def all_blocks(rows: DataFrame) -> DataFrame:
+    """Rows of (key, id, root, group_rows) in the units that together hold all pairs of different roots: lo, hi and the row's own block.
+
+    A group of BLOCK_ROWS or fewer is one unit. In a larger one the rows of its most frequent root are in blocks from 0 on, the others
+    in blocks below 0; pairs of two blocks from 0 on are left out.
+    """
+    large = rows.where(F.col("group_rows") > BLOCK_ROWS).groupBy("key", "root").agg(F.count("*").alias("n"))
+    large = large.groupBy("key").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"))
+    large = large.select("key", F.col("main.root").alias("_main"), _blocks(F.col("main.n")).alias("_blocks"), _blocks(F.col("n") - F.col("main.n")).alias("_others"))
+    placed = with_keys(rows, large, "key", how="left")
+    others = F.transform(F.sequence(F.lit(1), F.col("_others")), lambda i: -i)
+    of_hash = lambda n: F.pmod(F.xxhash64("id", F.lit(7)), n).cast("int")
+    main = F.col("root") == F.col("_main")
+    placed = placed.withColumn("own", F.when(F.col("_main").isNull(), 0).when(main, of_hash(F.col("_blocks"))).otherwise(-1 - of_hash(F.col("_others"))))
+    meets = F.when(F.col("_main").isNull(), F.array(F.lit(0))).when(main, others).otherwise(F.concat(others, F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    placed = placed.select("key", "id", "own", F.explode(meets).alias("other"))
+    return placed.select("key", "id", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own")
 
 
 def _forest(label: np.ndarray, ia: np.ndarray, ib: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -114,79 +239,86 @@ def _unit_pairs(rows: pa.Table, starts: np.ndarray, matcher: Matcher):
 
 
 def candidates(dealt: DataFrame, matcher: Matcher, whole: bool = False) -> DataFrame:
-    """Rows (a, b) with a < b of pairs whose components (column root) differ: a forest of each unit, and (key, lo, hi) for a
-    unit that has more pairs; whole: all of them."""
+    """Rows (a, b, key, lo, hi, part) with a < b of pairs whose components (column root) differ: a forest of each unit, and (null, null,
+    key, lo, hi, null) for a unit that has more pairs; whole: all of them. Pairs of a part have about VERIFY_ITEMS items."""
     keys = ["key", "lo", "hi"]
 
     def run(batches):
         for rows, starts in complete_groups(batches, keys):
-            ids, root = rows.column("id").to_numpy(), rows.column("root").to_numpy()
+            ids, root, n = (rows.column(c).to_numpy() for c in ("id", "root", "n"))
             unit, ia, ib = _unit_pairs(rows, starts, matcher)
             keep = root[ia] != root[ib]
             unit, ia, ib = unit[keep], ia[keep], ib[keep]
             dense = np.zeros(0, np.int64)
             if not whole:
                 count = np.bincount(unit, minlength=len(starts) - 1)
-                parts, many = [(ia[count[unit] == 1], ib[count[unit] == 1])], []
+                single = count[unit] == 1
+                parts, many = [(unit[single], ia[single], ib[single])], []
                 for u in np.flatnonzero(count > 1):
                     x, y = np.searchsorted(unit, [u, u + 1])
                     label = np.unique(root[starts[u] : starts[u + 1]], return_inverse=True)[1]
                     p, q = _forest(label, ia[x:y] - starts[u], ib[x:y] - starts[u])
-                    parts.append((p + starts[u], q + starts[u]))
+                    parts.append((np.full(len(p), u), p + starts[u], q + starts[u]))
                     if len(p) < y - x:
                         many.append(u)
                 dense = np.array(many, np.int64)
-                ia, ib = (np.concatenate(x) for x in zip(*parts, strict=True))
-            pairs = np.unique(np.stack([np.minimum(ids[ia], ids[ib]), np.maximum(ids[ia], ids[ib])], axis=1), axis=0)
-            none = [None] * len(pairs)
-            columns = [pa.array([*pairs[:, 0].tolist(), *[None] * len(dense)], pa.int64()), pa.array([*pairs[:, 1].tolist(), *[None] * len(dense)], pa.int64())]
-            columns += [pa.array([*none, *rows.column(k).to_numpy()[starts[dense]].tolist()], t) for k, t in zip(keys, (pa.int64(), pa.int32(), pa.int32()), strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, ["a", "b", *keys])
+                unit, ia, ib = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.lexsort((ib, ia, unit))
+            unit, ia, ib = unit[order], ia[order], ib[order]
+            part = np.cumsum(n[ia] + n[ib]) // VERIFY_ITEMS
+            at, none = starts[unit], [None] * len(dense)
+            columns = [pa.array([*f(ids[ia], ids[ib]).tolist(), *none], pa.int64()) for f in (np.minimum, np.maximum)]
+            columns += [pa.array(np.concatenate([rows.column(k).to_numpy()[at], rows.column(k).to_numpy()[starts[dense]]]), t) for k, t in zip(keys, (pa.int64(), pa.int32(), pa.int32()), strict=True)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([*part.tolist(), *none], pa.int64())], ["a", "b", *keys, "part"])
 
     need = [*keys, "own", "id", "root", *matcher.columns]
-    found = dealt.select(need).repartition(*keys).sortWithinPartitions(*keys, "id").mapInArrow(run, "a long, b long, key long, lo int, hi int")
-    return saved(found.groupBy("a", "b", *keys).agg(F.lit(1).alias("_")).drop("_"))
+    found = dealt.select(need).repartition(*keys).sortWithinPartitions(*keys, "id").mapInArrow(run, "a long, b long, key long, lo int, hi int, part long")
+    return saved(found)
 
 
 def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    return rows.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    return with_keys(rows, roots.select(F.col("node").alias("id"), "root"), "id", how="left").withColumn("root", F.coalesce("root", "id"))
 
 
 def _mixed(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The rows of groups that hold two components at least."""
     found = rows.groupBy(*keys).agg(F.min("root").alias("_x"), F.max("root").alias("_y")).where("_x <> _y").select(*keys)
-    return rows.join(found, keys, "left_semi")
+    return with_keys(rows, found, keys, how="left_semi")
 
 
 def linked(rows: DataFrame, payload: DataFrame, matcher: Matcher, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(node, root) of every class that a verified link joins to another.
 
-    rows: (key, id) and group_rows, from shared_keys(). payload: (id, the matcher's columns). verify: keeps the true links of (a, b).
+    rows: from shared_keys(). payload: (id, the matcher's columns). verify: keeps the true links of (a, b, unit).
     """
-    rows = saved(rows.select("key", "id", "group_rows"))
     details = payload.select("id", *matcher.columns)
+    spark = rows.sparkSession
 
-    def merge(roots: DataFrame, found: DataFrame) -> DataFrame:
-        pairs = found.where("a IS NOT NULL").select("a", "b")
-        if pairs.isEmpty():
-            return roots
-        return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(verify(pairs)))
+    def merge(roots: DataFrame | None, found: DataFrame) -> DataFrame:
+        unit = F.xxhash64("key", "lo", "hi", "part")
+        pairs = found.where("a IS NOT NULL").groupBy("a", "b").agg(F.min(unit).alias("unit"))
+        links = verify(pairs)
+        known = [] if roots is None else [roots.select(F.col("node").alias("a"), F.col("root").alias("b"))]
+        out = components(links.union(known[0]) if known else links)
+        release(spark)
+        return out
 
     own = F.struct("key", "group_rows")
     least = rows.groupBy("id").agg(F.min(own).alias("p"), F.min(F.struct(F.xxhash64("key"), "key", "group_rows")).alias("q"))
     some = least.select("id", F.explode(F.array_distinct(F.array("p", F.struct("q.key", "q.group_rows")))).alias("k")).select("id", "k.key", "k.group_rows")
-    roots = merge(rows.limit(0).select(F.col("id").alias("node"), F.col("id").alias("root")), candidates(units(some).withColumn("root", F.col("id")).join(details, "id"), matcher))
-    left = saved(units(_mixed(_rooted(rows, roots), ["key"])).select("key", "lo", "hi", "own", "id"))
+    roots = merge(None, candidates(own_blocks(some).withColumn("root", F.col("id")).join(details, "id"), matcher))
+    left = saved(all_blocks(saved(_mixed(_rooted(rows, roots), ["key"]))))
+    release(spark)
     found = candidates(_rooted(left, roots).join(details, "id"), matcher)
     roots = merge(roots, found)
     dense = found.where("a IS NULL").select("key", "lo", "hi")
     if dense.isEmpty():
         return roots
-    again = _mixed(_rooted(left.join(dense, ["key", "lo", "hi"], "left_semi"), roots), ["key", "lo", "hi"])
+    again = _mixed(_rooted(with_keys(left, dense, ["key", "lo", "hi"], how="left_semi"), roots), ["key", "lo", "hi"])
     return merge(roots, candidates(again.join(details, "id"), matcher, whole=True))
 
 
-def with_keys(df: DataFrame, needed: DataFrame, on: str, weight: F.Column | None = None, how: str = "inner") -> DataFrame:
+def with_keys(df: DataFrame, needed: DataFrame, on: str | list[str], weight: F.Column | None = None, how: str = "inner") -> DataFrame:
     """df joined to the rows of needed: broadcast if their number (or the sum of weight, for rows that hold lists) allows, else by shuffle."""
     needed = saved(needed)
     rows = needed.count() if weight is None else needed.agg(F.sum(weight + 1)).first()[0] or 0
@@ -208,29 +340,23 @@ class _Decoded:
         return self.held[i]
 
 
-def verified(pairs: DataFrame, weights: DataFrame, fetch: Callable[[DataFrame], DataFrame], decode: Callable[[bytes], np.ndarray], accept: Callable[[np.ndarray, np.ndarray], bool]) -> DataFrame:
-    """The pairs (a, b) whose contents accept() takes. Contents travel once for each block of their candidate group, not once a pair.
+def verified(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], decode: Callable[[bytes], np.ndarray], accept: Callable[[np.ndarray, np.ndarray], bool]) -> DataFrame:
+    """The pairs (a, b, unit) whose contents accept() takes. Contents travel once for each unit, not once a pair.
 
-    weights: (id, n), the number of items of each id's content, which sets how many blocks a group has.
-    fetch: from (id, root, lo, hi) to the same with items (binary), which decode() reads.
+    fetch: from (id, unit) to the same with items (binary), which decode() reads.
     """
-    groups = components(pairs)
-    sizes = groups.join(weights.select(F.col("id").alias("node"), "n"), "node").groupBy("root").agg(F.ceil(F.sum("n") / F.lit(VERIFY_ITEMS)).cast("int").alias("blocks"))
-    block = lambda c: F.pmod(F.xxhash64(c, F.lit(13)), F.col("blocks")).cast("int")
-    placed = pairs.join(groups.withColumnRenamed("node", "a"), "a").join(sizes, "root").withColumn("x", block("a")).withColumn("y", block("b"))
-    placed = saved(placed.select("root", F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi"), "a", "b"))
-    needed = placed.select(F.explode(F.array("a", "b")).alias("id"), "root", "lo", "hi").distinct()
-    contents = fetch(needed).select("root", "lo", "hi", F.col("id").alias("a"), F.lit(None).cast("long").alias("b"), "items")
-    keys = ["root", "lo", "hi"]
+    pairs = saved(pairs)
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("id"), "unit").distinct()
+    contents = fetch(needed).select("unit", F.col("id").alias("a"), F.lit(None).cast("long").alias("b"), "items")
 
     def run(batches):
-        for unit in sorted_groups(batches, keys):
+        for unit in sorted_groups(batches, ["unit"]):
             a, b = unit.column("a").to_pylist(), unit.column("b").to_pylist()
             held = _Decoded({i: item for i, j, item in zip(a, b, unit.column("items").to_pylist(), strict=True) if j is None}, decode)
-            asked = sorted((i, j) for i, j in zip(a, b, strict=True) if j is not None and i in held.items and j in held.items)
+            asked = sorted((i, j) for i, j in zip(a, b, strict=True) if j is not None)
             good = [(i, j) for i, j in asked if accept(held[i], held[j])]
             if good:
                 yield pa.RecordBatch.from_arrays([pa.array([g[k] for g in good], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    both = contents.unionByName(placed.withColumn("items", F.lit(None).cast("binary")))
-    return saved(both.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long"))
+    both = contents.unionByName(pairs.withColumn("items", F.lit(None).cast("binary")))
+    return saved(both.repartition("unit").sortWithinPartitions("unit").mapInArrow(run, "a long, b long"))

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import gc
+import hashlib
+import re
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,14 +30,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows with texts or sets are kilobytes each: smaller Arrow batches bound what a Python worker holds.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the cluster's spark.checkpoint.dir; only where none is set, as in tests, a temporary folder."""
+    """Uses the folder in spark.checkpoint.dir, which must be one that all executors share. Where none is set, a local session, as in
+    tests, gets a new temporary folder; on a cluster it is an error. It also sets BATCHES in the session."""
     context = spark.sparkContext
-    # rows with texts or sets are kilobytes each: smaller batches bound what a Python worker holds
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+    for name, value in BATCHES.items():
+        spark.conf.set(name, value)
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+        place = spark.conf.get("spark.checkpoint.dir", None)
+        if not place and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        place = place or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        context.setCheckpointDir(place)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of data that a checkpoint has replaced: it does so once the driver's garbage is collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def saved(df: DataFrame) -> DataFrame:
@@ -51,8 +69,8 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 
 def row_key(*names: str) -> F.Column:
-    """A 64-bit key of a row's content: never null, and the same for repeated rows."""
-    return F.xxhash64(*names)
+    """A 128-bit key of a row's content: never null, and the same for repeated rows."""
+    return F.struct(F.xxhash64(*names).alias("a"), F.xxhash64(F.lit(1), *names).alias("b"))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -95,52 +113,132 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offs - first
 
 
-def row_blocks(offs: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most limit bytes; a longer row stands alone."""
+def row_blocks(offs: np.ndarray, limit: int = BLOCK_BYTES, rows: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most limit bytes and so many rows; a longer row stands alone."""
     a, n = 0, len(offs) - 1
     while a < n:
-        b = max(a + 1, int(np.searchsorted(offs, offs[a] + limit, side="right")) - 1)
+        b = min(a + rows, max(a + 1, int(np.searchsorted(offs, offs[a] + limit, side="right")) - 1))
         yield a, min(b, n)
         a = min(b, n)
 
 
+#: White space of ASCII.
+WHITE = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 SPACES = np.zeros(256, bool)
-SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[0x41:0x5B] += 32
-
-
-def _words_of_block(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, byte length and row of each word; rows are given by offs."""
-    space = SPACES[data]
-    starts_row = np.zeros(len(data) + 1, bool)
-    starts_row[offs] = True
-    before = np.empty(len(data), bool)
-    before[:1] = True
-    before[1:] = space[:-1]
-    starts = np.flatnonzero(~space & (before | starts_row[:-1]))
-    after = np.empty(len(data), bool)
-    after[-1:] = True
-    after[:-1] = space[1:]
-    ends = np.flatnonzero(~space & (after | starts_row[1:])) + 1
-    sums = prefix_sums(LOWER[data])
-    hashes = mix((sums[ends] - sums[starts]) * powers(len(data) + 1)[1][starts] + (ends - starts).astype(np.uint64))
-    return hashes, ends - starts, np.searchsorted(offs, starts, side="right") - 1
-
-
-def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words between ASCII white space, A-Z lower-cased: hash, byte length and row. One very long row is taken in parts."""
+SPACES[list(WHITE)] = True
+#: A-Z to a-z and white space to a blank, for bytes.translate().
+PLAIN = bytes(0x20 if c in WHITE else c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
+#: The low k bytes of a number, by k.
+LOW_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+#: Bytes of a word from which on it is hashed by hashlib.
+LONG_WORD = 1024
+
+
+def word_spans(plain: bytes, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start and length of the words of bytes in which blanks part words, as do the starts of rows in offs."""
+    n = len(plain)
+    if not n:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    raw = np.frombuffer(plain + bytes(8), np.uint8)
+    inner = offs[(offs > 0) & (offs < n)]
+    char = raw[:n] != 0x20
+    edge = np.ones(n, bool)
+    np.logical_not(char[:-1], out=edge[1:])
+    edge[inner] = True
+    starts = np.flatnonzero(edge & char)
+    edge[-1] = True
+    np.logical_not(char[1:], out=edge[:-1])
+    edge[inner - 1] = True
+    length = np.flatnonzero(edge & char) + 1 - starts
+    eight = np.lib.stride_tricks.as_strided(raw[:8].view(np.uint64), (n + 1,), (1,))
+    hashes = mix((eight[starts] & LOW_BYTES[np.minimum(length, 8)]) ^ (length.astype(np.uint64) * BASE))
+    at, k = np.flatnonzero((length > 8) & (length < LONG_WORD)), 8
+    while len(at):
+        hashes[at] = mix(hashes[at] * np.uint64(0xD6E8FEB86659FD93) + (eight[starts[at] + k] & LOW_BYTES[np.minimum(length[at] - k, 8)]))
+        k += 8
+        at = at[length[at] > k]
+    for i in np.flatnonzero(length >= LONG_WORD).tolist():
+        hashes[i] = int.from_bytes(hashlib.blake2b(plain[starts[i] : starts[i] + length[i]], digest_size=8).digest(), "little")
+    return hashes, starts, length
+
+
+def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words between ASCII white space, A-Z lower-cased: hash and row. One very long row is taken in parts."""
     if len(offs) != 2 or len(data) <= BLOCK_BYTES:
-        return _words_of_block(data, offs)
+        hashes, starts, _ = word_spans(data.tobytes().translate(PLAIN), offs)
+        return hashes, np.searchsorted(offs, starts, side="right") - 1
     found, a = [], 0
     while a < len(data):
         b = min(a + BLOCK_BYTES, len(data))
         while b < len(data) and not SPACES[data[b]]:
             nearest = np.flatnonzero(SPACES[data[b : b + BLOCK_BYTES]])
             b = b + int(nearest[0]) if len(nearest) else min(b + BLOCK_BYTES, len(data))
-        found.append(_words_of_block(data[a:b], np.array([0, b - a])))
+        found.append(word_spans(data[a:b].tobytes().translate(PLAIN), np.array([0, b - a]))[0])
         a = b
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+    found = np.concatenate(found)
+    return found, np.zeros(len(found), np.int64)
+
+
+#: Cells that the hashes of tokens are counted in, and those of a part that one row carries.
+CELLS, PART = 1 << 16, 1 << 13
+
+
+def cell(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(48)).astype(np.int64)
+
+
+#: Columns of the rows that carry counted cells.
+CELL_KIND = "part int, salt int, counts binary"
+
+
+def cell_rows(total: np.ndarray) -> list[pa.Array]:
+    """A task's counts of cells (a row for each kind of token) as columns of CELL_KIND."""
+    parts = total.reshape(-1, PART)
+    task = TaskContext.get().partitionId()
+    return [pa.array(range(len(parts)), pa.int32()), pa.array([task % 64] * len(parts), pa.int32()), binaries([x.tobytes() for x in parts])]
+
+
+def levels_of(parts: DataFrame, kinds: int) -> np.ndarray:
+    """From rows of CELL_KIND the rounded logarithms of the counts of each kind's cells. The rows are added up in two steps."""
+
+    def add(batches):
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, counts in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                now = np.frombuffer(counts, np.int64)
+                held[part] = held[part] + now if part in held else now
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([0] * len(held), pa.int32()), binaries([x.tobytes() for x in held.values()])], ["part", "salt", "counts"])
+
+    out = np.zeros((kinds * CELLS // PART, PART), np.int64)
+    for part, _, counts in parts.repartition("part", "salt").mapInArrow(add, CELL_KIND).repartition("part").mapInArrow(add, CELL_KIND).collect():
+        out[part] += np.frombuffer(counts, np.int64)
+    return np.ceil(np.log2(np.maximum(out, 1))).astype(np.uint8).reshape(kinds, CELLS)
+
+
+def count_cells(total: np.ndarray, tokens: list[np.ndarray]) -> None:
+    for counts, hashes in zip(total, tokens, strict=True):
+        counts += np.bincount(cell(hashes), minlength=CELLS)
+
+
+def cell_levels(docs: DataFrame, text_col: str, tokens: Callable[[np.ndarray, np.ndarray], list[np.ndarray]], kinds: int) -> np.ndarray:
+    """For each kind of token and each cell the rounded logarithm of how many tokens of all texts fall to it: a count sketch of
+    fixed size, whatever the input."""
+
+    def count(batches):
+        total = np.zeros((kinds, CELLS), np.int64)
+        for batch in batches:
+            data, offs = text_buffer(batch.column(0))
+            for a, b in row_blocks(offs):
+                count_cells(total, tokens(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a]))
+        yield pa.RecordBatch.from_arrays(cell_rows(total), ["part", "salt", "counts"])
+
+    return levels_of(docs.select(text_col).mapInArrow(count, CELL_KIND), kinds)
+
+
+def above_median(levels: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """By how much the cells of these hashes are above a kind's usual level."""
+    return np.maximum(0, levels.astype(np.int64) - int(np.median(levels)))[cell(hashes)]
 
 
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:

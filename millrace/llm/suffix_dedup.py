@@ -20,9 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.linking import units
 from millrace.llm.shared import mix, powers, prefix_sums, row_blocks, row_key, saved, shared_folder, sorted_groups, table, text_buffer
 
+KEY = "struct<a: long, b: long>"
 GRAM = 64
 SHALLOW = 128
 #: Bytes that anchors are found in at once; a position in them fills CHUNK_BITS bits.
@@ -70,7 +70,6 @@ def _anchor_table(docs: DataFrame, text_col: str, length: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             data, offs = text_buffer(batch.column(1))
-            keys = batch.column(0).to_numpy()
             for a, b in row_blocks(offs, limit):
                 whole = data[offs[a] : offs[b]]
                 step = limit - length + 1
@@ -79,9 +78,9 @@ def _anchor_table(docs: DataFrame, text_col: str, length: int) -> DataFrame:
                     got = _anchors(piece, offs[a : b + 1] - offs[a] if len(whole) <= limit else np.array([0, len(piece)]), length, GRAM)
                     if got:
                         h, row, p, lo, hi = got
-                        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(keys[a + row]), *(pa.array((x + c).astype(np.int32)) for x in (p, lo, hi))], ["key", "_key", "p", "lo", "hi"])
+                        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column(0).take(pa.array(a + row)), *(pa.array((x + c).astype(np.int32)) for x in (p, lo, hi))], ["key", "_key", "p", "lo", "hi"])
 
-    return docs.select("_key", text_col).mapInArrow(run, "key long, _key long, p int, lo int, hi int")
+    return docs.select("_key", text_col).mapInArrow(run, f"key long, _key {KEY}, p int, lo int, hi int")
 
 
 def _regions(texts: DataFrame, length: int) -> DataFrame:
@@ -90,23 +89,24 @@ def _regions(texts: DataFrame, length: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             out, size = [], 0
-            for key, text, spots in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for row, (text, spots) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
                 for s in spots:
-                    out.append((s["key"], key, s["lo"], s["p"] - s["lo"], s["hi"] - s["lo"] + 1, text[s["lo"] : s["hi"] + length]))
+                    out.append((s["key"], row, s["lo"], s["p"] - s["lo"], s["hi"] - s["lo"] + 1, text[s["lo"] : s["hi"] + length]))
                     size += s["hi"] + length - s["lo"]
                 if size > 4_000_000:
-                    yield _region_batch(out)
+                    yield _region_batch(out, batch.column(0))
                     out, size = [], 0
             if out:
-                yield _region_batch(out)
+                yield _region_batch(out, batch.column(0))
 
-    found = texts.select("_key", F.encode("text", "UTF-8").alias("text"), "spots").mapInArrow(run, "key long, _key long, lo int, place int, starts int, bytes binary")
+    found = texts.select("_key", F.encode("text", "UTF-8").alias("text"), "spots").mapInArrow(run, f"key long, _key {KEY}, lo int, place int, starts int, bytes binary")
     return found.withColumn("region", F.xxhash64("key", "place", "starts", "bytes"))
 
 
-def _region_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["key", "_key", "lo", "place", "starts", "bytes"])
+def _region_batch(rows: list[tuple], keys: pa.Array) -> pa.RecordBatch:
+    key, row, *rest = zip(*rows, strict=True)
+    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), keys.take(pa.array(row)), *(pa.array(c, k) for c, k in zip(rest, kinds, strict=True))], ["key", "_key", "lo", "place", "starts", "bytes"])
 
 
 def _quick_to_depth(words: np.ndarray, group: np.ndarray, depth: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
@@ -235,6 +235,13 @@ def _runs(marks: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(np.flatnonzero(edge == 1).tolist(), (np.flatnonzero(edge == -1) - 1).tolist(), strict=True))
 
 
+def units(rows: DataFrame, block_rows: int = 2048) -> DataFrame:
+    """Rows dealt to the units of work of their key: block numbers lo <= hi, and own = the row's block."""
+    n = F.ceil(F.col("group_rows") / F.lit(block_rows)).cast("int")
+    out = rows.withColumn("own", F.pmod(F.xxhash64("id", F.lit(7)), n).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1)))
+    return out.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("other", "group_rows")
+
+
 def _repeats(dealt: DataFrame, length: int) -> DataFrame:
     """(id, from, to): runs of repeated string starts in each region."""
     keys = ["key", "lo", "hi"]
@@ -269,7 +276,7 @@ def _cut(texts: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             out = []
-            for key, text, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 merged: list[list[int]] = []
                 for s in sorted((x["a"], x["b"]) for x in spans):
                     if merged and s[0] <= merged[-1][1]:
@@ -282,11 +289,12 @@ def _cut(texts: DataFrame) -> DataFrame:
                     at = b
                 kept.append(text[at:])
                 kept = b"".join(kept)
-                out.append((key, sum(b - a for a, b in merged), len(merged), hashlib.sha256(kept).hexdigest(), kept))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)] if out else [pa.array([], k) for k in kinds], ["_key", "n_removed", "n_spans", "kept_sha256", "kept"])
+                out.append((sum(b - a for a, b in merged), len(merged), hashlib.sha256(kept).hexdigest(), kept))
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.binary()]
+            if out:
+                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True))], ["_key", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    return texts.mapInArrow(run, "_key long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return texts.mapInArrow(run, f"_key {KEY}, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 400, keep_text: bool = True) -> DataFrame:

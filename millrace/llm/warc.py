@@ -53,14 +53,14 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     header = F.concat(
         F.lit("WARC/1.1\r\n"),
         F.when(F.col("revisit"), F.lit("WARC-Type: revisit\r\n")).otherwise(F.lit("WARC-Type: response\r\n")),
-        F.concat(F.lit("WARC-Record-ID: <urn:x-page:"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.hex("_key"), F.lit("-"), F.col("number").cast("string"), F.lit(">\r\n")),
+        F.concat(F.lit("WARC-Record-ID: <urn:x-page:"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.hex("_key.a"), F.hex("_key.b"), F.lit("-"), F.col("number").cast("string"), F.lit(">\r\n")),
         F.lit(f"WARC-Date: {date}\r\n"),
         _line("WARC-Target-URI", clean(F.col("url"))),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("digest"), F.lit("\r\n")),
         F.when(
             F.col("revisit"),
             F.concat(
-                F.lit(f"WARC-Profile: {PROFILE}\r\nWARC-Refers-To: <urn:x-page:"), F.coalesce(F.col("first_id").cast("string"), F.lit("")), F.lit(":"), F.hex("first_key"), F.lit("-1>\r\n"),
+                F.lit(f"WARC-Profile: {PROFILE}\r\nWARC-Refers-To: <urn:x-page:"), F.coalesce(F.col("first_id").cast("string"), F.lit("")), F.lit(":"), F.hex("first_key.a"), F.hex("first_key.b"), F.lit("-1>\r\n"),
                 _line("WARC-Refers-To-Target-URI", clean(F.col("first_url"))), F.lit(f"WARC-Refers-To-Date: {date}\r\n"),
             ),
         ).otherwise(F.lit("")),

@@ -3,13 +3,15 @@
 import hashlib
 import random
 import zlib
+from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import decontamination, embedding_pq, line_dedup, ngram_jaccard, packing, quality_mil, suffix_dedup, url_rules, warc
+from millrace.llm import decontamination, embedding_pq, line_dedup, linking, ngram_jaccard, packing, quality_mil, suffix_dedup, url_rules, warc
 from millrace.llm.secret_forest import findings, scan_secrets, weak_labels
 from millrace.llm.shared import shared_folder
 
@@ -63,7 +65,7 @@ def test_jaccard_groups(spark, docs):
     assert by_id[1][1] == by_id[2][1] == by_id[3][1] != by_id[4][1]
     assert by_id[5] == by_id[6] == (0, None) and by_id[7][0] == 1
     kept = [r.doc_id for r in ngram_jaccard.keep_one(df).collect()]
-    assert 1 in kept and 2 not in kept and 3 not in kept and 5 in kept and kept.count(4) == 2
+    assert 1 in kept and 2 not in kept and 3 not in kept and 5 in kept and kept.count(4) == 1
     assert ngram_jaccard.jaccard_classes(df.limit(0)).count() == 0
 
 
@@ -159,13 +161,8 @@ def test_lines(spark):
     assert line_dedup.edit_within(a, b, 1) and not line_dedup.edit_within(a, b[::-1].copy(), 1)
 
 
-def test_line_hashes_and_distances_equal_brute_force():
+def test_line_distances_equal_brute_force():
     r = np.random.RandomState(8)
-    words = r.randint(0, 1 << 62, 70_300).astype(np.uint64) * np.uint64(4) + r.randint(0, 4, 70_300).astype(np.uint64)
-    first = np.array([0, 1, 3, 40, 300])  # the last run has more words than a 16-bit lane counts
-    count = np.diff(np.append(first, len(words)))
-    for got, a, n in zip(line_dedup.simhashes(words, first, count), first, count, strict=True):
-        assert int(got) == sum(1 << b for b in range(64) if 2 * int(((words[a : a + n] >> np.uint64(b)) & np.uint64(1)).sum()) > n)
 
     def distance(x, y):
         row = list(range(len(y) + 1))
@@ -183,6 +180,33 @@ def test_line_hashes_and_distances_equal_brute_force():
             assert line_dedup.edit_within(x, y, most) == (distance(x.tolist(), y.tolist()) <= most)
 
 
+def edit_distance(x, y):
+    row = list(range(len(y) + 1))
+    for i, w in enumerate(x):
+        now = [i + 1]
+        for j, v in enumerate(y):
+            now.append(min(row[j + 1] + 1, now[j] + 1, row[j] + (w != v)))
+        row = now
+    return row[-1]
+
+
+def roots_of(n, linked):
+    """The least number reachable from each of n by links."""
+    root = list(range(n))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(n):
+        for j in range(i):
+            if linked(i, j):
+                p, q = find(i), find(j)
+                root[max(p, q)] = min(p, q)
+    return [find(i) for i in range(n)]
+
+
 def test_near_lines_are_cut(spark):
     r = random.Random(12)
     base = [prose(30, 100 + i).split() for i in range(40)]
@@ -194,27 +218,75 @@ def test_near_lines_are_cut(spark):
                 x[r.randrange(len(x))] = "other"
         rows.append((d, "\n".join(" ".join(x) for x in lines)))
     rows += [(30, None), (31, ""), (None, rows[0][1]), (5, rows[5][1])]
-    got = line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
-    data = {(d, t): line_dedup.line_features(np.frombuffer((t or "").encode(), np.uint8), np.array([0, len((t or "").encode())])) for d, t in rows}
-    nodes = sorted({(d is None, d or 0, int(line), int(sim), tuple(line_dedup.NORMAL[np.frombuffer((t or "").split("\n")[line].encode(), np.uint8)].tobytes().split())) for (d, t), f in data.items() for line, sim in zip(f[1], f[4], strict=True)})
-    root = list(range(len(nodes)))
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for i in range(len(nodes)):
-        for j in range(i):
-            x, y = nodes[i], nodes[j]
-            coded = {w: k for k, w in enumerate({*x[4], *y[4]})}
-            a, b = (np.array([coded[w] for w in z[4]]) for z in (x, y))
-            if x[4] == y[4] or (bin((x[3] ^ y[3]) & (2**64 - 1)).count("1") <= 3 and line_dedup.edit_within(a, b, max(len(a), len(b)) // 5)):
-                p, q = find(i), find(j)
-                root[max(p, q)] = min(p, q)
-    stay = {nodes[i][:3] for i in range(len(nodes)) if find(i) == i}
+    # columns whose names an implementation might use itself
+    docs = spark.createDataFrame([(d, t, 1, 2, 3, 4, 5) for d, t in rows], "doc_id long, text string, _row int, _gone int, n_removed int, doc int, _all int").repartition(3)
+    got = line_dedup.drop_repeated_lines(docs).collect()
+    nodes = sorted({(d is None, d or 0, i, tuple(line.translate(str.maketrans("0123456789", "0000000000")).split())) for d, t in rows for i, line in enumerate((t or "").split("\n")) if line})
+    at = roots_of(len(nodes), lambda i, j: edit_distance(nodes[i][3], nodes[j][3]) <= max(len(nodes[i][3]), len(nodes[j][3])) // 5)
+    stay = {nodes[i][:3] for i in range(len(nodes)) if at[i] == i}
     want = sorted(((d, None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if not x or (d is None, d or 0, i) in stay)) for d, t in rows), key=str)
     assert sorted(((x.doc_id, x.text) for x in got), key=str) == want
+    assert {(x._row, x._gone, x.doc, x._all) for x in got} == {(1, 2, 4, 5)}
+    assert line_dedup.drop_repeated_lines(docs.limit(0)).count() == 0
+
+
+def test_jaccard_equals_brute_force(spark, monkeypatch):
+    """All pairs, with sizes of blocks, leaves and runs so small that trees, several blocks, hot keys and dense units occur."""
+    r = random.Random(77)
+    texts = [None, "", " \t", "one", "One", "one two"]
+    for g in range(12):
+        base = prose(r.choice([4, 12, 40, 160]), 500 + g).split()
+        for _ in range(r.choice([1, 3, 9, 60])):
+            x = list(base)
+            for _ in range(r.choice([0, 0, 1, 1, 2, 4])):
+                x[r.randrange(len(x))] = r.choice("abc")
+            texts.append(" ".join(x))
+    texts += [prose(20, 500) + " " + prose(60, 3000 + i) for i in range(60)]  # a passage that unrelated texts share
+    rows = list(enumerate(texts)) + [(3, "one"), (None, texts[9])]
+    ids = range(len(rows))
+    for k, share in ((3, "0.9"), (5, "0.8")):
+        sets = []
+        for _, t in rows:
+            w = [x for x in (t or "").lower().split()]
+            sets.append({tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set())
+        up = int(share[2:])
+        want = roots_of(len(rows), lambda i, j: bool(sets[i]) and bool(sets[j]) and 10 * len(sets[i] & sets[j]) >= up * len(sets[i] | sets[j]))
+        for block, frequent in ((2048, 64), (24, 3)):
+            monkeypatch.setattr(linking, "BLOCK_ROWS", block)
+            monkeypatch.setattr(linking, "FREQUENT", frequent)
+            docs = spark.createDataFrame([(i, *x) for i, x in zip(ids, rows, strict=True)], "n int, doc_id long, text string").repartition(3)
+            got = {x.n: (x.n_shingles, x.group_key) for x in ngram_jaccard.jaccard_classes(docs, k=k, threshold=share, id_col="doc_id").collect()}
+            assert [got[i][0] for i in ids] == [len(x) for x in sets]
+            groups = {}
+            for i in ids:
+                groups.setdefault(("empty", i) if got[i][1] is None else got[i][1], []).append(i)
+            assert sorted(groups.values()) == sorted([j for j in ids if want[j] == i] for i in ids if want[i] == i)
+
+
+def test_trees_prune_by_overlap():
+    """Sets of one size, so that only the bitmaps can tell them apart: nearly all leaves go, and no true pair."""
+    r = np.random.RandomState(3)
+    sets = [r.randint(0, 1 << 49, 240) for _ in range(64)]
+    near = []
+    for s in sets:
+        for _ in range(16):
+            x = s.copy()
+            x[r.randint(0, 240, 4)] = r.randint(0, 1 << 49, 4)
+            near.append(np.unique(x.astype(np.uint64)))
+    count = np.array([len(x) for x in near])
+    rows = pa.table({"n": pa.array(count, pa.int64()), "sig": pa.array(ngram_jaccard.bitmaps(np.concatenate(near), count), pa.binary())})
+    held = ngram_jaccard._Sets(rows)
+    side = ngram_jaccard._Side(held, np.arange(len(near)), int(held.words.min()))
+    i, j = ngram_jaccard.node_pairs(side, side, 9, 10)
+    leaves = len(side.levels[0]["lo"])
+    assert len(i) < 0.3 * leaves * (leaves + 1) / 2
+    ia, ib = ngram_jaccard.signature_tree_pairs(held, np.arange(len(near)), None, Fraction(9, 10))
+    found = {(min(x, y), max(x, y)) for x, y in zip(ia.tolist(), ib.tolist(), strict=True)}
+    for g in range(64):
+        for x in range(16 * g, 16 * g + 16):
+            for y in range(x + 1, 16 * g + 16):
+                both = len(np.intersect1d(near[x], near[y]))
+                assert (x, y) in found or 10 * both < 9 * (count[x] + count[y] - both)
 
 
 def test_lines_within_the_edit_rule_are_cut(spark, monkeypatch):
@@ -257,8 +329,8 @@ def test_lines_within_the_edit_rule_are_cut(spark, monkeypatch):
                 root[max(p, q)] = min(p, q)
     stay = {nodes[i][:2] for i in range(len(nodes)) if find(i) == i}
     want = {d: "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) in stay) for d, t in rows}
-    for common in (line_dedup.COMMON, 3):  # the list of common words must not matter
-        monkeypatch.setattr(line_dedup, "COMMON", common)
+    for frequent in (linking.FREQUENT, 3):
+        monkeypatch.setattr(linking, "FREQUENT", frequent)
         got = line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
         assert {x.doc_id: x.text for x in got} == want
 
