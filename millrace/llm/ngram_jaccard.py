@@ -3,10 +3,10 @@
 Documents with equal shingle sets are one class. Two classes with Jaccard similarity >= t share one of the
 first n - ceil(t*n) + 1 shingles of their sets under any fixed order (the prefix rule). The order is rarest first by count
 sketches of words and shingles over all texts; with any sketch the same documents link. Spark groups classes by these shingles.
-Within a group, signature trees find the candidates: rows stand in order of their bitmaps, a leaf holds some of them, every node
-the OR (and AND) of its rows' token bitmaps and their size range; the dual traversal of two trees drops a pair of nodes whose
-largest possible overlap is below what the threshold needs; the rows of leaves that are left are held against each other by
-the same bound. Candidates are verified on the whole sets.
+Within a group, signature trees find the candidates: a leaf holds rows that are nearest to one pivot row, every node the OR (and
+AND) of its rows' token bitmaps and their size range; the dual traversal of two trees drops a pair of nodes whose largest
+possible overlap is below what the threshold needs; the rows of leaves that are left are held against each other by the
+same bound and by parity bitmaps, whose difference is never more than the sets'. Candidates are verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from millrace.llm.linking import SIZE_BITS, Matcher, linked, shared_keys, size_steps, verified, with_keys
 from millrace.llm.shared import above_median, binaries, cell_levels, mix, release, row_blocks, row_key, saved, table, text_buffer, word_hashes
 
-#: Bits of a class's token bitmap: a power of two of at least the set's size, from, to.
+#: Bits of a class's token bitmap, and of its parity bitmap: a power of two of at least the set's size, from, to.
 BITS = (128, 16384)
 LEAF, FANOUT = 16, 8
 #: 64-bit words of bitmaps that are compared at once.
@@ -77,13 +77,12 @@ def _sizes(count: np.ndarray) -> np.ndarray:
 
 
 def bitmaps(token: np.ndarray, count: np.ndarray) -> list[bytes]:
-    """The token bitmap of each row."""
+    """Of each row the token bitmap (which bits some token falls to), then the parity bitmap (which bits an odd number falls to)."""
     row, bits = np.repeat(np.arange(len(count)), count), np.where(count > 0, _sizes(count), 0)
     start = np.concatenate(([0], np.cumsum(bits)))
-    held = np.zeros(start[-1], bool)
-    held[start[row] + (token & (bits[row] - 1).astype(np.uint64)).astype(np.int64)] = True
-    packed = np.packbits(held).tobytes()
-    return [packed[a // 8 : b // 8] for a, b in zip(start[:-1].tolist(), start[1:].tolist(), strict=True)]
+    times = np.bincount(start[row] + (token & (bits[row] - 1).astype(np.uint64)).astype(np.int64), minlength=start[-1])
+    some, odd = (np.packbits(x).tobytes() for x in (times > 0, times & 1))
+    return [some[a // 8 : b // 8] + odd[a // 8 : b // 8] for a, b in zip(start[:-1].tolist(), start[1:].tolist(), strict=True)]
 
 
 def sketch(docs: DataFrame, k: int, share: Fraction, levels: np.ndarray) -> DataFrame:
@@ -123,12 +122,18 @@ class _Side:
 
     def __init__(self, sets: "_Sets", rows: np.ndarray, words: int):
         bits = sets.folded(rows, words)
-        order = np.lexsort((sets.n[rows], bits[:, -1], bits[:, 0]))
-        self.order, self.bits = rows[order], bits[order]
+        pivots = bits[:: 2 * LEAF]
+        near, far = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
+        for at in _parts(np.arange(len(rows)), len(pivots) * words):
+            apart = np.bitwise_count(bits[at][:, None, :] ^ pivots[None, :, :]).sum(2, dtype=np.int64)
+            near[at], far[at] = apart.argmin(1), apart.min(1)
+        order = np.lexsort((sets.n[rows], far, near))
+        self.order, self.bits, near = rows[order], bits[order], near[order]
         self.n = sets.n[self.order]
-        starts = np.arange(0, len(rows), LEAF)
-        ends = np.minimum(starts + LEAF, len(rows))
-        self.levels = [self._level(starts, ends, self.bits, self.bits, self.n, self.n, starts)]
+        index = np.arange(len(rows))
+        begin = np.maximum.accumulate(np.where(np.concatenate(([True], near[1:] != near[:-1])), index, 0))
+        starts = np.flatnonzero((index - begin) % LEAF == 0)
+        self.levels = [self._level(starts, np.append(starts[1:], len(rows)), self.bits, self.bits, self.n, self.n, starts)]
         while len(self.levels[-1]["lo"]) > 1:
             b = self.levels[-1]
             at = np.arange(0, len(b["lo"]), FANOUT)
@@ -206,25 +211,25 @@ class _Sets:
         _, offsets, data = column.buffers()
         self.start = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] // 8
         self.data = np.frombuffer(data, np.uint64)
-        self.words = np.diff(self.start)
+        self.words = np.diff(self.start) // 2
 
-    def folded(self, rows: np.ndarray, words: int) -> np.ndarray:
+    def folded(self, rows: np.ndarray, words: int, parity: bool = False) -> np.ndarray:
         out = np.empty((len(rows), words), np.uint64)
         for width in np.unique(self.words[rows]):
             at = np.flatnonzero(self.words[rows] == width)
-            cells = self.start[rows[at]][:, None] + np.arange(width)[None, :]
-            out[at] = np.bitwise_or.reduce(self.data[cells].reshape(len(at), -1, words), axis=1)
+            cells = (self.start[rows[at]] + (width if parity else 0))[:, None] + np.arange(width)[None, :]
+            out[at] = (np.bitwise_xor if parity else np.bitwise_or).reduce(self.data[cells].reshape(len(at), -1, words), axis=1)
         return out
 
     def allow(self, ia: np.ndarray, ib: np.ndarray, share: Fraction) -> np.ndarray:
-        """Which pairs can reach the threshold by their sizes and bitmaps, each at the width of the narrower one."""
+        """Which pairs can reach the threshold by their sizes and parity bitmaps, each at the width of the narrower one."""
         up, down = share.numerator, share.denominator
         keep = (up * self.n[ia] <= down * self.n[ib]) & (up * self.n[ib] <= down * self.n[ia])
         width = np.minimum(self.words[ia], self.words[ib])
         for w in np.unique(width[keep]):
             for at in _parts(np.flatnonzero(keep & (width == w)), int(self.words.max(initial=0))):
-                x, y = self.folded(ia[at], int(w)), self.folded(ib[at], int(w))
-                keep[at] = _bound(self.n[ia[at]], self.n[ib[at]], np.bitwise_count(x & ~y).sum(1, dtype=np.int64), np.bitwise_count(y & ~x).sum(1, dtype=np.int64), up, down)
+                odd = np.bitwise_count(self.folded(ia[at], int(w), parity=True) ^ self.folded(ib[at], int(w), parity=True)).sum(1, dtype=np.int64)
+                keep[at] = odd * (up + down) <= (down - up) * (self.n[ia[at]] + self.n[ib[at]])
         return keep
 
 

@@ -244,23 +244,22 @@ def test_jaccard_equals_brute_force(spark, monkeypatch):
     texts += [prose(20, 500) + " " + prose(60, 3000 + i) for i in range(60)]  # a passage that unrelated texts share
     rows = list(enumerate(texts)) + [(3, "one"), (None, texts[9])]
     ids = range(len(rows))
-    for k, share in ((3, "0.9"), (5, "0.8")):
+    for k, share, block, frequent in ((3, "0.9", 2048, 64), (5, "0.8", 24, 3)):
         sets = []
         for _, t in rows:
             w = [x for x in (t or "").lower().split()]
             sets.append({tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set())
         up = int(share[2:])
         want = roots_of(len(rows), lambda i, j: bool(sets[i]) and bool(sets[j]) and 10 * len(sets[i] & sets[j]) >= up * len(sets[i] | sets[j]))
-        for block, frequent in ((2048, 64), (24, 3)):
-            monkeypatch.setattr(linking, "BLOCK_ROWS", block)
-            monkeypatch.setattr(linking, "FREQUENT", frequent)
-            docs = spark.createDataFrame([(i, *x) for i, x in zip(ids, rows, strict=True)], "n int, doc_id long, text string").repartition(3)
-            got = {x.n: (x.n_shingles, x.group_key) for x in ngram_jaccard.jaccard_classes(docs, k=k, threshold=share, id_col="doc_id").collect()}
-            assert [got[i][0] for i in ids] == [len(x) for x in sets]
-            groups = {}
-            for i in ids:
-                groups.setdefault(("empty", i) if got[i][1] is None else got[i][1], []).append(i)
-            assert sorted(groups.values()) == sorted([j for j in ids if want[j] == i] for i in ids if want[i] == i)
+        monkeypatch.setattr(linking, "BLOCK_ROWS", block)
+        monkeypatch.setattr(linking, "FREQUENT", frequent)
+        docs = spark.createDataFrame([(i, *x) for i, x in zip(ids, rows, strict=True)], "n int, doc_id long, text string").repartition(3)
+        got = {x.n: (x.n_shingles, x.group_key) for x in ngram_jaccard.jaccard_classes(docs, k=k, threshold=share, id_col="doc_id").collect()}
+        assert [got[i][0] for i in ids] == [len(x) for x in sets]
+        groups = {}
+        for i in ids:
+            groups.setdefault(("empty", i) if got[i][1] is None else got[i][1], []).append(i)
+        assert sorted(groups.values()) == sorted([j for j in ids if want[j] == i] for i in ids if want[i] == i)
 
 
 def test_trees_prune_by_overlap():
@@ -329,7 +328,7 @@ def test_lines_within_the_edit_rule_are_cut(spark, monkeypatch):
                 root[max(p, q)] = min(p, q)
     stay = {nodes[i][:2] for i in range(len(nodes)) if find(i) == i}
     want = {d: "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) in stay) for d, t in rows}
-    for frequent in (linking.FREQUENT, 3):
+    for frequent in (3,):
         monkeypatch.setattr(linking, "FREQUENT", frequent)
         got = line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
         assert {x.doc_id: x.text for x in got} == want
