@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.linking import SIZE_BITS, Matcher, linked, shared_keys, size_steps, verified, with_keys
+from millrace.llm.linking import Matcher, entries_for, linked, shared_keys, verified, with_keys
 from millrace.llm.shared import CELL_KIND, CELLS, above_median, binaries, cell_rows, count_cells, levels_of, mix, release, row_blocks, row_key, saved, table, text_buffer, word_spans
 
 #: Words that a line needs for a link to one of other words.
@@ -66,27 +66,23 @@ def keys_needed(count: np.ndarray) -> np.ndarray:
     return np.where(count >= LEAST_WORDS, 2 * (count // 5) + (count % 5 == 4) + 1, 0)
 
 
-def rare_pairs(words: np.ndarray, first: np.ndarray, count: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the rarest pairs of each line, and the line of each key. A pair's repetitions count as other pairs."""
+def rare_pairs(words: np.ndarray, first: np.ndarray, count: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the rarest pairs of each line, the line of each key, and where in the line it stands.
+
+    A pair that repeats in a line has a key for each place. Of the pairs that an alignment of two lines keeps, the first in this order
+    is among the first of both lines, and its places are no more apart than there are edits."""
     hashes, at = _pairs(words, first)
     line = np.repeat(np.arange(len(count)), count)[at]
     of_word = above_median(levels[0], words)
     rank = np.minimum((of_word[at] + of_word[at + 1]) // 2 + 3 * above_median(levels[1], hashes), (1 << RANK_BITS) - 1)
     key = (rank.astype(np.uint64) << np.uint64(HASH_BITS)) | (hashes >> np.uint64(64 - HASH_BITS))
     bits = np.uint64(RANK_BITS + HASH_BITS)
-    if len(count) < 1 << LINE_BITS:
-        both = np.sort((line.astype(np.uint64) << bits) | key)
-        key, line = both & np.uint64((1 << int(bits)) - 1), (both >> bits).astype(np.int64)
-    else:
-        order = np.lexsort((key, line))
-        key, line = key[order], line[order]
-    index = np.arange(len(key))
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (line[1:] != line[:-1])
-    times = (index - np.maximum.accumulate(np.where(new, index, 0))).astype(np.uint64)
+    place = at - first[line]
+    order = np.argsort((line.astype(np.uint64) << bits) | key, kind="stable") if len(count) < 1 << LINE_BITS else np.lexsort((key, line))
+    key, line, place = key[order], line[order], place[order]
     start = np.cumsum(count - 1) - (count - 1)
-    keep = index - start[line] < keys_needed(count)[line]
-    return (key[keep] ^ (mix(times[keep]) >> np.uint64(64 - HASH_BITS))), line[keep]
+    keep = np.arange(len(key)) - start[line] < keys_needed(count)[line]
+    return key[keep], line[keep], place[keep]
 
 
 def parities(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -265,8 +261,10 @@ def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "
     levels = levels_of(found.where("part IS NOT NULL").select("part", "salt", "counts"), 2)
     at = F.struct(F.col("doc").isNull().alias("none"), "doc", "line", "_row")
     lines = found.where("part IS NULL").select("id", "_row", "line", at.alias("at"))
-    # repeated rows hold the same occurrences
-    repeated = saved(lines.groupBy("id").agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first <> last").select("id", "first"))
+    # repeated rows hold the same occurrences; whole numbers are compared first, places only in classes that have two
+    spot = F.xxhash64("_row", "line")
+    often = lines.groupBy("id").agg(F.min(spot).alias("x"), F.max(spot).alias("y")).where("x <> y").select("id")
+    repeated = saved(with_keys(lines, often, "id").groupBy("id").agg(F.min("at").alias("first")))
     skip = with_keys(lines, repeated, "id").where("at <> first").groupBy("_row").agg(F.collect_set("line").alias("skip"))
     left = with_keys(keyed.select("_row", "text"), skip, "_row", F.size("skip"), "left").select("_row", "text", "skip")
     features = saved(_features(left).dropDuplicates(["id"]))
@@ -274,11 +272,11 @@ def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "
 
     def entries_of(batch: pa.RecordBatch):
         for _, _, _, ids, count, first, words in _left_lines([batch]):
-            key, line = rare_pairs(words, first, count, levels)
-            yield (key << np.uint64(SIZE_BITS)) | size_steps(count, 0.8)[line].astype(np.uint64), ids[line]
+            key, line, place = rare_pairs(words, first, count, levels)
+            yield entries_for(key, count[line], 0.8, place), ids[line]
 
     n_entries = int(features.agg(F.sum(F.col("n") * 0.4 + 1)).first()[0] or 0)
-    rows = shared_keys(left, entries_of, n_entries)
+    rows = shared_keys(left, entries_of, n_entries, 0.8)
 
     def fetch(needed: DataFrame) -> DataFrame:
         # a text travels once, however many of its lines are asked for

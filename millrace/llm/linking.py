@@ -40,8 +40,14 @@ BROADCAST_ROWS = 1_000_000
 RUN_ENTRIES, BUCKET_ENTRIES = 1 << 20, 1 << 20
 #: Rows of a key in a run from which on the key is known to be shared.
 FREQUENT = 64
-#: Bits of an entry that hold the size.
-SIZE_BITS = 8
+#: An entry in 64 bits: key, size, and where in the class the key stands.
+KEY_BITS, SIZE_BITS, PLACE_BITS = 47, 8, 9
+LOW_BITS = np.uint64(SIZE_BITS + PLACE_BITS)
+#: Neighbours of an entry among those of its key that its place is held against; in larger groups places don't count.
+NEIGHBOURS = 8
+
+
+STEPS_APART = 3
 
 
 def size_steps(sizes: np.ndarray, least_ratio: float) -> np.ndarray:
@@ -50,7 +56,32 @@ def size_steps(sizes: np.ndarray, least_ratio: float) -> np.ndarray:
     return np.clip(steps, 0, (1 << SIZE_BITS) - 1)
 
 
-STEPS_APART = 3
+def entries_for(key: np.ndarray, sizes: np.ndarray, least_ratio: float, place: np.ndarray | None = None) -> np.ndarray:
+    """Entries of keys of classes of these sizes; places from PLACE_BITS bits on count as the last of them."""
+    low = size_steps(sizes, least_ratio).astype(np.uint64) << np.uint64(PLACE_BITS)
+    if place is not None:
+        low |= np.minimum(place, (1 << PLACE_BITS) - 1).astype(np.uint64)
+    return (key << LOW_BITS) | low
+
+
+def _met(entries: np.ndarray, ids: np.ndarray, least_ratio: float) -> np.ndarray:
+    """Which of the sorted entries have another class's of the same key whose size fits, and whose place is no further off than items
+    can be added or taken away. Id 0 is any class."""
+    key, size = entries >> LOW_BITS, ((entries >> np.uint64(PLACE_BITS)) & np.uint64((1 << SIZE_BITS) - 1)).astype(np.int64)
+    place = (entries & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+    index = np.arange(len(key))
+    begin = np.maximum.accumulate(np.where(np.concatenate(([True], key[1:] != key[:-1])), index, 0))
+    crowded = np.zeros(len(key), bool)
+    crowded[NEIGHBOURS:] = key[NEIGHBOURS:] == key[:-NEIGHBOURS]
+    crowded = np.isin(begin, np.unique(begin[crowded])) if crowded.any() else crowded
+    reach = np.exp((np.arange(1 << SIZE_BITS) + 1) * (-np.log(least_ratio) / 2)) * (1 - least_ratio) + 1e-6
+    keep = np.zeros(len(key), bool)
+    for k in range(1, NEIGHBOURS):
+        near = (key[k:] == key[:-k]) & (size[k:] - size[:-k] <= STEPS_APART)
+        near &= crowded[k:] | ((np.abs(place[k:] - place[:-k]) <= reach[size[k:]]) & ((ids[k:] != ids[:-k]) | (ids[k:] == 0)))
+        keep[k:] |= near
+        keep[:-k] |= near
+    return keep
 
 
 def _runs(parts: Iterator[tuple[np.ndarray, np.ndarray]], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -62,7 +93,7 @@ def _runs(parts: Iterator[tuple[np.ndarray, np.ndarray]], buckets: int) -> Itera
         entries, ids = (np.concatenate(x) for x in zip(*held, strict=True))
         order = np.argsort(entries)
         entries, ids = entries[order], ids[order]
-        key = entries >> np.uint64(SIZE_BITS)
+        key = entries >> LOW_BITS
         start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         count = np.diff(np.append(start, len(key)))
         hot = np.repeat(count >= FREQUENT, count)
@@ -72,7 +103,7 @@ def _runs(parts: Iterator[tuple[np.ndarray, np.ndarray]], buckets: int) -> Itera
             some, times = np.unique(entries[hot], return_counts=True)
             some = np.repeat(some, np.minimum(times, 2))
             entries, ids = np.concatenate([entries[~hot], some]), np.concatenate([ids[~hot], np.zeros(len(some), np.int64)])
-        bucket = (mix(entries >> np.uint64(SIZE_BITS)) % np.uint64(buckets)).astype(np.int64)
+        bucket = (mix(entries >> LOW_BITS) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         entries, ids, bucket = entries[order], ids[order], bucket[order]
         cuts = np.flatnonzero(np.diff(bucket)) + 1
@@ -94,11 +125,11 @@ def _runs(parts: Iterator[tuple[np.ndarray, np.ndarray]], buckets: int) -> Itera
         yield batch()
 
 
-def shared_keys(source: DataFrame, entries_of: Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray]]], n_entries: int) -> DataFrame:
+def shared_keys(source: DataFrame, entries_of: Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray]]], n_entries: int, least_ratio: float) -> DataFrame:
     """(key, id, group_rows) of each class's keys that a class of a fitting size shares. group_rows: about how many rows the
     key has, the same number in all of them.
 
-    entries_of: from a batch of source to (entries, ids); an entry is a key and, in its lowest bits, the size_steps of the class.
+    entries_of: from a batch of source to (entries_for keys, ids). least_ratio: of the sizes of two classes that may link.
     Ids are not 0 (0 stands for no class). n_entries: about how many entries there are, from which the number of buckets follows.
     """
     spark = source.sparkSession
@@ -117,7 +148,7 @@ def shared_keys(source: DataFrame, entries_of: Callable[[pa.RecordBatch], Iterat
 
         def flush():
             for entries, ids in direct:
-                yield pa.RecordBatch.from_arrays([pa.array((entries >> np.uint64(SIZE_BITS)).view(np.int64)), pa.array(ids), pa.array(np.zeros(len(ids), np.int64))], names)
+                yield pa.RecordBatch.from_arrays([pa.array((entries >> LOW_BITS).view(np.int64)), pa.array(ids), pa.array(np.zeros(len(ids), np.int64))], names)
             direct.clear()
 
         names, direct = ["key", "id", "group_rows"], []
@@ -126,11 +157,8 @@ def shared_keys(source: DataFrame, entries_of: Callable[[pa.RecordBatch], Iterat
             entries, ids = (np.frombuffer(b"".join(unit.column(c).to_pylist()), t) for c, t in (("entries", np.uint64), ("ids", np.int64)))
             order = np.argsort(entries)
             entries, ids = entries[order], ids[order]
-            key, size = entries >> np.uint64(SIZE_BITS), (entries & np.uint64((1 << SIZE_BITS) - 1)).astype(np.int64)
-            near = np.zeros(len(key) + 1, bool)
-            near[1:-1] = (key[1:] == key[:-1]) & (np.diff(size) <= STEPS_APART)
-            keep = near[1:] | near[:-1]
-            key, ids = key[keep], ids[keep]
+            keep = _met(entries, ids, least_ratio)
+            key, ids = (entries >> LOW_BITS)[keep], ids[keep]
             if len(key):
                 start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
                 count = np.diff(np.append(start, len(key)))
@@ -172,10 +200,17 @@ def _blocks(rows: F.Column) -> F.Column:
     return F.ceil(rows / F.lit(BLOCK_ROWS)).cast("int")
 
 
+#: Turns the order of keys around in part.
+TURN = 0x2AAAAAAAAAAA
+
+
 def own_blocks(rows: DataFrame) -> DataFrame:
-    """Rows of (key, id, group_rows) in one unit each: their block of the key's group, another one for each key."""
-    own = F.pmod(F.xxhash64("id", "key"), F.greatest(_blocks(F.col("group_rows")), F.lit(1))).cast("int")
-    return rows.select("key", "id", own.alias("lo"), own.alias("hi"), own.alias("own"))
+    """(key, id, lo, hi, own) of the least key of each id, and of its least one in another order, each in its block of the key's group."""
+    least = rows.groupBy("id").agg(F.min("key").alias("p"), F.min(F.col("key").bitwiseXOR(F.lit(TURN))).bitwiseXOR(F.lit(TURN)).alias("q"))
+    some = least.select("id", F.explode(F.array_distinct(F.array("p", "q"))).alias("key"))
+    large = rows.where(F.col("group_rows") > BLOCK_ROWS).groupBy("key").agg(_blocks(F.max("group_rows")).alias("_blocks"))
+    own = F.pmod(F.xxhash64("id", "key"), F.coalesce("_blocks", F.lit(1))).cast("int")
+    return with_keys(some, large, "key", how="left").select("key", "id", own.alias("lo"), own.alias("hi"), own.alias("own"))
 
 
 def all_blocks(rows: DataFrame) -> DataFrame:
@@ -303,10 +338,7 @@ def linked(rows: DataFrame, payload: DataFrame, matcher: Matcher, verify: Callab
         release(spark)
         return out
 
-    own = F.struct("key", "group_rows")
-    least = rows.groupBy("id").agg(F.min(own).alias("p"), F.min(F.struct(F.xxhash64("key"), "key", "group_rows")).alias("q"))
-    some = least.select("id", F.explode(F.array_distinct(F.array("p", F.struct("q.key", "q.group_rows")))).alias("k")).select("id", "k.key", "k.group_rows")
-    roots = merge(None, candidates(own_blocks(some).withColumn("root", F.col("id")).join(details, "id"), matcher))
+    roots = merge(None, candidates(own_blocks(rows).withColumn("root", F.col("id")).join(details, "id"), matcher))
     left = saved(all_blocks(saved(_mixed(_rooted(rows, roots), ["key"]))))
     release(spark)
     found = candidates(_rooted(left, roots).join(details, "id"), matcher)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.linking import SIZE_BITS, Matcher, linked, shared_keys, size_steps, verified, with_keys
+from millrace.llm.linking import Matcher, entries_for, linked, shared_keys, verified, with_keys
 from millrace.llm.shared import above_median, binaries, cell_levels, mix, release, row_blocks, row_key, saved, table, text_buffer, word_hashes
 
 #: Bits of a class's token bitmap, and of its parity bitmap: a power of two of at least the set's size, from, to.
@@ -28,8 +28,8 @@ BITS = (128, 16384)
 LEAF, FANOUT = 16, 8
 #: 64-bit words of bitmaps that are compared at once.
 COMPARED = 1 << 19
-#: A shingle in 56 bits: how frequent it is, then its hash.
-RANK_BITS, HASH_BITS = 6, 50
+#: A shingle in 56 bits: how frequent it is, then its hash; and the bits of the hash that are left in a key.
+RANK_BITS, HASH_BITS, KEY_HASH_BITS = 6, 50, 41
 #: Rows of a block of texts: a row number and a shingle fill 64 bits, which sort as one number.
 ROWS = 256
 
@@ -103,7 +103,7 @@ def sketch(docs: DataFrame, k: int, share: Fraction, levels: np.ndarray) -> Data
                 row = np.repeat(np.arange(b - a), count)
                 want = np.where(count > 0, count - -(-up * count // down) + 1, 0)
                 keep = np.arange(len(token)) - at[row] < want[row]
-                entries = (token[keep] << np.uint64(SIZE_BITS)) | size_steps(count, float(share))[row[keep]].astype(np.uint64)
+                entries = entries_for(token[keep] >> np.uint64(HASH_BITS - KEY_HASH_BITS), count[row[keep]], float(share))
                 cuts = np.concatenate(([0], np.cumsum(want))).tolist()
                 packed = [entries[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
                 both = pa.StructArray.from_arrays([pa.array(c.view(np.int64)) for c in cls], ["a", "b"])
@@ -299,7 +299,7 @@ def jaccard_classes(docs: DataFrame, text_col: str = "text", k: int = 3, thresho
         yield np.frombuffer(b"".join(packed), np.uint64), np.repeat(batch.column(0).to_numpy(), [len(x) // 8 for x in packed])
 
     n_entries = (classes.agg(F.sum(F.octet_length("entries"))).first()[0] or 0) // 8
-    rows = shared_keys(classes.select("id", "entries"), entries_of, n_entries)
+    rows = shared_keys(classes.select("id", "entries"), entries_of, n_entries, float(share))
 
     def fetch(needed: DataFrame) -> DataFrame:
         at = needed.join(classes.select("id", "_key"), "id")
