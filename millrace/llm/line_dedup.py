@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.linking import Matcher, entries_for, linked, shared_keys, verified, with_keys
-from millrace.llm.shared import CELL_KIND, CELLS, above_median, binaries, cell_rows, count_cells, levels_of, mix, release, row_blocks, row_key, saved, table, text_buffer, word_spans
+from millrace.llm.shared import CELL_KIND, CELLS, above_median, binaries, cell_rows, count_cells, levels_of, mix, release, row_blocks, row_key, saved, stored, table, text_buffer, word_spans
 
 #: Words that a line needs for a link to one of other words.
 LEAST_WORDS = 4
@@ -257,7 +257,7 @@ def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "
     # the caller's columns travel in one, so that no name can clash
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in others)).alias("_all") if others else F.lit(0).alias("_all"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{id_col}`").alias("doc"))
     keyed = whole.withColumn("_row", row_key("doc", "text"))
-    found = saved(_lines(keyed, "doc", "text"))
+    found = stored(_lines(keyed, "doc", "text"))
     levels = levels_of(found.where("part IS NOT NULL").select("part", "salt", "counts"), 2)
     at = F.struct(F.col("doc").isNull().alias("none"), "doc", "line", "_row")
     lines = found.where("part IS NULL").select("id", "_row", "line", at.alias("at"))
@@ -267,7 +267,7 @@ def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "
     repeated = saved(with_keys(lines, often, "id").groupBy("id").agg(F.min("at").alias("first")))
     skip = with_keys(lines, repeated, "id").where("at <> first").groupBy("_row").agg(F.collect_set("line").alias("skip"))
     left = with_keys(keyed.select("_row", "text"), skip, "_row", F.size("skip"), "left").select("_row", "text", "skip")
-    features = saved(_features(left).dropDuplicates(["id"]))
+    features = stored(_features(left).dropDuplicates(["id"]))
     release(spark)
 
     def entries_of(batch: pa.RecordBatch):
@@ -295,7 +295,7 @@ def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "
     # a group's name is the least hash of its classes; classes without near lines are groups of their own
     names = near.groupBy("root").agg(F.min("id").alias("group"))
     groups = repeated.select("id").union(near.select("id")).distinct().join(near.join(names, "root").select("id", "group"), "id", "left").select("id", F.coalesce("group", "id").alias("group"))
-    places = saved(with_keys(lines, groups, "id").select("group", "_row", "line", "at"))
+    places = stored(with_keys(lines, groups, "id").select("group", "_row", "line", "at"))
     first = places.groupBy("group").agg(F.min("at").alias("first"))
     gone = with_keys(places, first, "group").where("at <> first").groupBy("_row").agg(F.collect_set("line").alias("_gone"))
     out = with_keys(keyed, gone, "_row", F.size("_gone"), "left")

@@ -24,20 +24,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.shared import binaries, complete_groups, mix, release, saved, sorted_groups
+from millrace.llm.shared import binaries, complete_groups, mix, release, saved, sorted_groups, stored
 
 #: Rows of a block; a unit of work holds two blocks at most.
 BLOCK_ROWS = 2048
 #: Rows up to which all pairs of a unit are filtered at once.
 LEAF_ROWS = 32
 #: Items (words, shingles) of the pairs that are verified together.
-VERIFY_ITEMS = 1_000_000
+VERIFY_ITEMS = 500_000
 #: Items of decoded contents that a task keeps.
-DECODED_ITEMS = 4_000_000
+DECODED_ITEMS = 2_000_000
 #: Rows to fetch contents for that are broadcast to the scan of the table; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Entries of a task's run, and of the runs that meet in a bucket on average.
-RUN_ENTRIES, BUCKET_ENTRIES = 1 << 20, 1 << 20
+RUN_ENTRIES, BUCKET_ENTRIES = 1 << 19, 1 << 19
 #: Rows of a key in a run from which on the key is known to be shared.
 FREQUENT = 64
 #: An entry in 64 bits: key, size, and where in the class the key stands.
@@ -169,7 +169,7 @@ def shared_keys(source: DataFrame, entries_of: Callable[[pa.RecordBatch], Iterat
     runs = source.mapInArrow(send, "bucket int, entries binary, ids binary")
     # the rows of frequent keys are spread over all tasks
     spread = F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("ids"), F.lit(buckets)).cast("int")).otherwise(F.col("bucket"))
-    met = saved(runs.repartition(spread).sortWithinPartitions("bucket").mapInArrow(meet, "key long, id long, group_rows long"))
+    met = stored(runs.repartition(spread).sortWithinPartitions("bucket").mapInArrow(meet, "key long, id long, group_rows long"))
     release(spark)
     hot = met.where("group_rows = 0").select("key").distinct()
     if hot.isEmpty():
@@ -329,7 +329,10 @@ def linked(rows: DataFrame, payload: DataFrame, matcher: Matcher, verify: Callab
     details = payload.select("id", *matcher.columns)
     spark = rows.sparkSession
 
+    release(spark)
+
     def merge(roots: DataFrame | None, found: DataFrame) -> DataFrame:
+        release(spark)
         unit = F.xxhash64("key", "lo", "hi", "part")
         pairs = found.where("a IS NOT NULL").groupBy("a", "b").agg(F.min(unit).alias("unit"))
         links = verify(pairs)
@@ -339,7 +342,7 @@ def linked(rows: DataFrame, payload: DataFrame, matcher: Matcher, verify: Callab
         return out
 
     roots = merge(None, candidates(own_blocks(rows).withColumn("root", F.col("id")).join(details, "id"), matcher))
-    left = saved(all_blocks(saved(_mixed(_rooted(rows, roots), ["key"]))))
+    left = stored(all_blocks(stored(_mixed(_rooted(rows, roots), ["key"]))))
     release(spark)
     found = candidates(_rooted(left, roots).join(details, "id"), matcher)
     roots = merge(roots, found)

@@ -21,13 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.linking import Matcher, entries_for, linked, shared_keys, verified, with_keys
-from millrace.llm.shared import above_median, binaries, cell_levels, mix, release, row_blocks, row_key, saved, table, text_buffer, word_hashes
+from millrace.llm.shared import above_median, binaries, cell_levels, mix, release, row_blocks, row_key, saved, stored, table, text_buffer, word_hashes
 
 #: Bits of a class's token bitmap, and of its parity bitmap: a power of two of at least the set's size, from, to.
 BITS = (128, 16384)
 LEAF, FANOUT = 16, 8
 #: 64-bit words of bitmaps that are compared at once.
-COMPARED = 1 << 19
+COMPARED = 1 << 18
 #: A shingle in 56 bits: how frequent it is, then its hash; and the bits of the hash that are left in a key.
 RANK_BITS, HASH_BITS, KEY_HASH_BITS = 6, 50, 41
 #: Rows of a block of texts: a row number and a shingle fill 64 bits, which sort as one number.
@@ -288,7 +288,7 @@ def jaccard_classes(docs: DataFrame, text_col: str = "text", k: int = 3, thresho
         return [words, acc]
 
     levels = cell_levels(docs, text_col, tokens, 2)
-    sketched = saved(sketch(keyed.select("_key", text_col), k, share, levels))
+    sketched = stored(sketch(keyed.select("_key", text_col), k, share, levels))
     one = F.first(F.struct("n", "sig", "entries", "_key")).alias("x")
     classes = sketched.where("n > 0").groupBy("class").agg(one).select("class", "x.*", (F.monotonically_increasing_id() + 1).alias("id"))
     classes = saved(classes)
