@@ -9,13 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import table
+from millrace.llm.shared import row_key, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: ASCII other than digits and letters parts words.
 PARTING = "".join(chr(c) for c in range(1, 128) if not chr(c).isalnum())
-#: Windows of the hash set that are broadcast; a larger set is joined by shuffle.
-BROADCAST_WINDOWS = 2_000_000
+#: Bytes of windows that are broadcast as the hash set; a larger set is joined by shuffle.
+BROADCAST_BYTES = 256 << 20
 
 
 def words_of(text: Column) -> Column:
@@ -72,7 +72,8 @@ def _covered(spots: Column) -> Column:
 def hits(docs: DataFrame, items: DataFrame, text_col: str, item_col: str, item_text_col: str, n: int, key: list[str]) -> DataFrame:
     """(key, from, to, items): the places in docs' words where a benchmark window occurs."""
     grams = benchmark_windows(items, item_col, item_text_col, n)
-    n_grams, lengths = grams.agg(F.count("*"), F.collect_set("len")).first()
+    size = F.sum(F.octet_length(F.concat_ws(" ", "words")) + 16 * F.col("len") + F.octet_length(F.concat_ws(",", "items")) + 16 * F.size("items") + 64)
+    n_bytes, lengths = grams.agg(size, F.collect_set("len")).first()
     if not lengths:
         return docs.select(*key, F.lit(0).alias("from"), F.lit(0).alias("to"), F.array(F.lit("")).alias("items")).where("false")
     split = docs.select(*key, words_of(F.col(text_col)).alias("w"))
@@ -84,10 +85,18 @@ def hits(docs: DataFrame, items: DataFrame, text_col: str, item_col: str, item_t
         arrays.append(F.col(f"hashes{size}"))
         before = F.when(F.col("len") == size, at).otherwise(before)
         at = at + F.greatest(F.size("w") - size + 1, F.lit(0))
+    split = split.withColumn("hashes", F.concat(*arrays))
     # an inner generator would have Spark repeat all of the above in a filter on the array's size, hence the outer one;
     # it takes a plain column and the look-up follows it, so one compiled stage scans and drops windows without copying the words
-    scanned = split.withColumn("hashes", F.concat(*arrays)).select(*key, "w", F.posexplode_outer("hashes").alias("p", "hash"))
-    found = scanned.join(F.broadcast(grams) if n_grams <= BROADCAST_WINDOWS else grams, "hash").withColumn("from", F.col("p") - before)
+    if n_bytes <= BROADCAST_BYTES:
+        found = split.select(*key, "w", F.posexplode_outer("hashes").alias("p", "hash")).join(F.broadcast(grams), "hash")
+    else:
+        # windows travel as numbers; the words of texts with a hit come back once, whatever its number of windows
+        scanned = split.select(*key, F.posexplode_outer("hashes").alias("p", "hash")).join(grams.select("hash").distinct(), "hash")
+        spots = scanned.groupBy(*key).agg(F.collect_set(F.struct("p", "hash")).alias("spots"))
+        texts = docs.select(*key, words_of(F.col(text_col)).alias("w")).dropDuplicates(key).join(spots, key)
+        found = texts.select(*key, "w", F.explode("spots").alias("s")).select(*key, "w", "s.p", "s.hash").join(grams, "hash")
+    found = found.withColumn("from", F.col("p") - before)
     found = found.where((F.col("from") >= 0) & (F.slice("w", F.greatest("from", F.lit(0)) + 1, F.col("len")) == F.col("words")))
     return found.select(*key, "from", (F.col("from") + F.col("len")).alias("to"), "items")
 
@@ -100,7 +109,7 @@ def contamination(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
     null and empty items. Repeated rows are scored alike. Columns of docs with the names of results or _key are replaced.
     """
     results = ["n_words", "n_hit", "spots", "hit_items", "contaminated"]
-    keyed = docs.drop(*results).withColumn("_key", F.xxhash64(text_col))
+    keyed = docs.drop(*results).withColumn("_key", row_key(text_col))
     found = hits(keyed, items, text_col, item_col, item_text_col, n, ["_key"])
     merged = found.groupBy("_key").agg(F.collect_set(F.struct("from", "to")).alias("spots"), F.collect_set("items").alias("sets"))
     merged = merged.select("_key", F.array_sort("spots").alias("spots"), F.array_sort(F.array_distinct(F.flatten("sets"))).alias("hit_items"))

@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 from millrace.llm.components import components
 from millrace.llm.shared import saved, sorted_groups, table
 
-CENTROIDS, SUBSPACES, CODES = 64, 8, 256
+#: Coarse centroids: the square root of the number of vectors, from, to. Lists then grow no faster than the square root, until the last.
+CENTROIDS = (64, 1024)
+SUBSPACES, CODES = 8, 256
 #: Vectors that the quantiser is fitted on, at most.
 SAMPLE = 12_000
 #: Rows of a list's segment, and of a chunk of the vectors that probe it.
@@ -44,10 +46,12 @@ def _kmeans(x: np.ndarray, k: int, seed: int, rounds: int = 8) -> np.ndarray:
 class Quantiser:
     """Coarse centroids and residual codebooks for unit vectors of one dimension."""
 
-    def __init__(self, sample: np.ndarray, seed: int = 11):
+    def __init__(self, sample: np.ndarray, n_centers: int, seed: int = 11):
         x = sample / np.linalg.norm(sample, axis=1, keepdims=True)
         self.dim = x.shape[1]
-        self.centers = _kmeans(x, CENTROIDS, seed)
+        self.centers = _kmeans(x, n_centers, seed)
+        norms = (self.centers**2).sum(1)
+        self.gaps = np.sqrt(np.maximum(0, norms[:, None] + norms[None, :] - 2 * self.centers @ self.centers.T))
         self.parts = np.array_split(np.arange(self.dim), min(SUBSPACES, self.dim))
         residual = x - self.centers[self.nearest(x)[0]]
         self.books = [_kmeans(np.ascontiguousarray(residual[:, p]), CODES, seed + i + 1) for i, p in enumerate(self.parts)]
@@ -81,7 +85,8 @@ def fit(classes: DataFrame) -> dict[int, Quantiser]:
     by_dim: dict[int, list] = {}
     for r in rows:
         by_dim.setdefault(len(r[0]), []).append(r[0])
-    return {d: Quantiser(np.array(v, float)) for d, v in by_dim.items()}
+    n_centers = int(np.clip(math.sqrt(classes.count()), *CENTROIDS))
+    return {d: Quantiser(np.array(v, float), n_centers) for d, v in by_dim.items()}
 
 
 def _unit(column: pa.Array) -> np.ndarray:
@@ -111,8 +116,7 @@ def _lists(classes: DataFrame, quantisers: dict[int, Quantiser], radius: float)
                 else:
                     near, far = q.nearest(x)
                     codes, error = q.encode(x, near)
-                    gaps = np.sqrt(np.maximum(0, ((q.centers[near][:, None, :] - q.centers[None, :, :]) ** 2).sum(2)))
-                    reach = far - far[np.arange(len(x)), near][:, None] <= 2 * radius * gaps + SLACK
+                    reach = far - far[np.arange(len(x)), near][:, None] <= 2 * radius * q.gaps[near] + SLACK
                 reach &= np.arange(far.shape[1])[None, :] >= near[:, None]
                 rows, lists = np.nonzero(reach)
                 own = lists == near[rows]
@@ -121,7 +125,8 @@ def _lists(classes: DataFrame, quantisers: dict[int, Quantiser], radius: float)
                     ["id", "label", "dim", "list", "probe", "vector", "n", "code", "error"],
                 )
 
-    return classes.select("id", "label", "vector", "n").mapInArrow(run, "id long, label int, dim int, list int, probe boolean, vector array<float>, n long, code binary, error double")
+    kind = dict(classes.dtypes)
+    return classes.select("id", "label", "vector", "n").mapInArrow(run, f"id long, label {kind['label']}, dim int, list int, probe boolean, vector {kind['vector']}, n long, code binary, error double")
 
 
 def _compare(dealt: DataFrame, quantisers: dict[int, Quantiser], cosine: float) -> DataFrame:
@@ -181,11 +186,13 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
 
     Rows link if their labels are equal and not null and the cosine in double precision is at least `cosine`. Vectors that are
     null, empty, zero or hold a null or non-finite component link with nothing, nor do vectors of different dimensions.
+    Labels are of any type that can be compared, components of any numeric type. Only these three columns are read.
     Repeated rows are linked copies. A null id has a null or its group's smallest id. An empty table gives an empty table.
     """
-    v = F.col(vector_col)
+    kind = dict(df.dtypes)[vector_col]
+    v = F.col(vector_col) if kind == "array<float>" else F.col(vector_col).cast("array<double>")
     sound = F.col(label_col).isNotNull() & v.isNotNull() & (F.size(v) > 0) & ~F.exists(v, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf"))) & F.exists(v, lambda e: e != 0)
-    rows = df.select(F.col(id_col).alias("vec_id"), F.col(label_col).alias("label"), F.transform(v, lambda e: e + F.lit(0.0).cast("float")).alias("vector"), F.coalesce(sound, F.lit(False)).alias("sound"))
+    rows = df.select(F.col(id_col).alias("vec_id"), F.col(label_col).alias("label"), F.transform(v, lambda e: e + F.lit(0.0).cast("float" if kind == "array<float>" else "double")).alias("vector"), F.coalesce(sound, F.lit(False)).alias("sound"))
     rows = rows.withColumn("id", F.when(F.col("sound"), F.xxhash64("label", "vector")))
     classes = saved(rows.where("sound").groupBy("id", "label", "vector").agg(F.count("*").alias("n"), F.min("vec_id").alias("low")))
     quantisers = fit(classes)

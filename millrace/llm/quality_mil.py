@@ -19,6 +19,8 @@ PASSAGE_WORDS = 64
 SAMPLE = 6000
 #: Bytes of one passage that stands for a text without white space.
 PASSAGE_BYTES = 4096
+#: Passages of a text that the model is fitted on, at most, spread evenly over the text. Scores take all passages.
+FITTED_PASSAGES = 128
 
 #: Printable ASCII singly; other ASCII; bytes of characters beyond it.
 CLASS_OF = np.full(256, 96, np.int64)
@@ -27,8 +29,35 @@ CLASS_OF[:32], CLASS_OF[127] = 95, 95
 N_CLASSES, N_FEATURES = 97, 97 + 6
 
 
-def _passages(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Features of each passage and its row; a row without text has one passage of zeros."""
+def _parts(data: np.ndarray) -> list[tuple[int, int, int, bool]]:
+    """Cuts of one long text at passages' starts, about BLOCK_BYTES apart: from, to, words of the passage before, inside a word."""
+    out, at, rank, words, inside = [], 0, 0, 0, False
+    for a in range(0, len(data), BLOCK_BYTES):
+        block = SPACES[data[a : a + BLOCK_BYTES]]
+        before = np.empty(len(block), bool)
+        before[0], before[1:] = a == 0 or SPACES[data[a - 1]], block[:-1]
+        starts = np.flatnonzero(~block & before)
+        begins = starts[(words + np.arange(len(starts))) % PASSAGE_WORDS == 0]
+        cut = a + int(begins[-1]) if len(begins) else at + (a + len(block) - at) // PASSAGE_BYTES * PASSAGE_BYTES
+        if at < cut < len(data):
+            out.append((at, cut, rank, inside))
+            known = words + int(np.searchsorted(starts, cut - a))
+            at, rank, inside = cut, known % PASSAGE_WORDS, not SPACES[data[cut - 1]]
+        words += len(starts)
+    return [*out, (at, len(data), rank, inside)]
+
+
+def all_passages(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As _passages; one very long text is taken in parts."""
+    if len(offs) != 2 or len(data) <= BLOCK_BYTES:
+        return _passages(data, offs)
+    x = np.concatenate([_passages(data[a:b], np.array([0, b - a]), rank, inside)[0] for a, b, rank, inside in _parts(data)])
+    return x, np.zeros(len(x), np.int64)
+
+
+def _passages(data: np.ndarray, offs: np.ndarray, rank_before: int = 0, inside: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Features of each passage and its row; a row without text has one passage of zeros. rank_before, inside: of the first row, how
+    many words its first passage already has, and whether it starts inside a word."""
     n_rows = len(offs) - 1
     space = SPACES[data]
     row_start = np.zeros(len(data) + 1, bool)
@@ -36,9 +65,11 @@ def _passages(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
     before = np.empty(len(data), bool)
     before[:1] = True
     before[1:] = space[:-1]
-    starts = np.flatnonzero(~space & (before | row_start[:-1]))
+    edge = ~space & (before | row_start[:-1])
+    edge[:1] &= not inside
+    starts = np.flatnonzero(edge)
     row = np.searchsorted(offs, starts, side="right") - 1
-    rank = np.arange(len(starts)) - np.searchsorted(row, row, side="left")
+    rank = np.arange(len(starts)) - np.searchsorted(row, row, side="left") + rank_before * (row == 0)
     begins = starts[rank % PASSAGE_WORDS == 0]
     begins = np.unique(np.concatenate([begins[begins > offs[np.searchsorted(offs, begins, side="right") - 1]], offs[:-1][np.diff(offs) > 0]])) if len(data) else np.zeros(0, np.int64)
     long = np.flatnonzero(np.diff(np.append(begins, len(data))) > 2 * PASSAGE_BYTES)
@@ -121,7 +152,12 @@ def held_out(id_col: str) -> F.Column:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> AttentionModel:
-    """A model of label_col (0 or 1), learned from at most `sample` labelled rows that are not held out; nothing but texts is an input."""
+    """A model of label_col (0 or 1), learned from at most `sample` labelled ids that are not held out; nothing but texts is an input.
+
+    Of rows with the same labelled id one counts (that of the least text hash), and of ids labelled twice one label. At most
+    FITTED_PASSAGES passages of a text are fitted on. Null labels and ids are left out. Without rows, or with one label only, the
+    model gives every text the same score: 0.95 if there is no row or the label is 1, 0.05 if it is 0.
+    """
     chosen = labels.where(~held_out(id_col) & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(id_col, F.col(label_col).cast("double").alias("label"))
     chosen = saved(chosen.dropDuplicates([id_col]).orderBy(F.xxhash64(id_col, F.lit(17))).limit(sample))
 
@@ -129,14 +165,17 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
         for batch in batches:
             data, offs = text_buffer(batch.column(0))
             label = batch.column(1).to_numpy()
+            ids, texts = batch.column(2), batch.column(3)
             for a, b in row_blocks(offs):
-                x, row = _passages(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
-                count = np.bincount(row, minlength=b - a)
-                yield pa.RecordBatch.from_arrays([pa.array(label[a:b]), pa.array([p.astype(np.float32).tobytes() for p in np.split(x, np.cumsum(count)[:-1])], pa.binary())], ["label", "passages"])
+                x, row = all_passages(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
+                bags = np.split(x, np.cumsum(np.bincount(row, minlength=b - a))[:-1])
+                some = [p[np.linspace(0, len(p) - 1, min(len(p), FITTED_PASSAGES)).astype(np.int64)] for p in bags]
+                yield pa.RecordBatch.from_arrays([pa.array(label[a:b]), pa.array([p.astype(np.float32).tobytes() for p in some], pa.binary()), ids.slice(a, b - a), texts.slice(a, b - a)], ["label", "passages", "id", "text_hash"])
 
     # the sample is bounded, and so is the table that is broadcast to the scan
-    rows = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).select(text_col, "label").mapInArrow(run, "label double, passages binary").collect()
-    rows = rows[: 4 * sample]  # repeated rows of a labelled id
+    some = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).select(text_col, "label", F.col(id_col).cast("string").alias("id"), F.xxhash64(text_col).alias("text_hash"))
+    bags = some.mapInArrow(run, "label double, passages binary, id string, text_hash long")
+    rows = bags.groupBy("id").agg(F.min_by(F.struct("label", "passages"), "text_hash").alias("x")).select("x.*").collect()
     bags = [np.frombuffer(r[1], np.float32).reshape(-1, N_FEATURES) for r in rows]
     model = AttentionModel()
     if not bags or len({r[0] for r in rows}) < 2:
@@ -162,12 +201,7 @@ def score_quality(docs: DataFrame, model: AttentionModel, text_col: str = "text"
             data, offs = text_buffer(batch.column(batch.schema.get_field_index(text_col)))
             scores = np.zeros(batch.num_rows)
             for a, b in row_blocks(offs):
-                if offs[b] - offs[a] <= 4 * BLOCK_BYTES:
-                    x, row = _passages(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
-                else:  # one very long text: its passages are found part by part
-                    whole = data[offs[a] : offs[b]]
-                    x = np.concatenate([_passages(whole[i : i + BLOCK_BYTES], np.array([0, min(BLOCK_BYTES, len(whole) - i)]))[0] for i in range(0, len(whole), BLOCK_BYTES)])
-                    row = np.zeros(len(x), np.int64)
+                x, row = all_passages(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
                 scores[a:b] = model.score(x, np.searchsorted(row, np.arange(b - a)))
             yield batch.append_column(score_col, pa.array(scores)) if hasattr(batch, "append_column") else pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, score_col])
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -32,13 +33,14 @@ def _line(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit("\r\n")), F.lit(""))
 
 
-def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z", file_bytes: int = 1 << 24) -> None:
+def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0, date: str | None = None, file_bytes: int = 1 << 24) -> None:
     """Writes a record for each row to gzip files in folder, of about file_bytes of payload each.
 
-    Of rows with equal payloads of min_bytes or more, that of the smallest id is a response (a null id comes last; among fully
+    date: of the headers, by default now. Of rows with equal payloads of min_bytes or more, that of the smallest id is a response (a null id comes last; among fully
     equal rows one is chosen), the others are revisits. A null payload is an empty one; a null URL leaves its header out, line ends
     in one are taken out. Other columns are ignored. An empty table writes no record.
     """
+    date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     keyed = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload")).withColumn("_key", row_key("id", "url", "payload"))
     headers = saved(keyed.select("_key", "id", "url", base32_sha1(F.encode("payload", "UTF-8")).alias("digest"), F.octet_length("payload").cast("long").alias("bytes")))
     total = headers.agg(F.sum("bytes")).first()[0] or 0

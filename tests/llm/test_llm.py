@@ -152,6 +152,31 @@ def test_contamination(spark, docs):
     assert {r.doc_id for r in decontamination.drop_contaminated(df, items).collect()} >= {4, 5, 6}
 
 
+def test_contamination_by_shuffle(spark, docs, monkeypatch):
+    df, rows = docs
+    items = spark.createDataFrame([(11, " ".join(rows[0][1].split()[20:40]).upper()), (12, "two words"), (13, None), (14, " ".join(rows[3][1].split()[:30]))], "item_id long, text string")
+    both = []
+    for limit in (decontamination.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(decontamination, "BROADCAST_BYTES", limit)
+        both.append(sorted(((r.doc_id, r.n_hit, r.hit_items, r.spots) for r in decontamination.contamination(df, items).collect()), key=str))
+    assert both[0] == both[1] and any(x[1] > 20 for x in both[0])
+
+
+def test_passages_do_not_depend_on_parts(monkeypatch):
+    text = np.frombuffer((prose(6000, 9) + " " + "x" * 70_000 + " " + prose(3000, 10)).encode(), np.uint8)
+    whole = quality_mil._passages(text, np.array([0, len(text)]))[0]
+    monkeypatch.setattr(quality_mil, "BLOCK_BYTES", 20_000)
+    assert np.array_equal(quality_mil.all_passages(text, np.array([0, len(text)]))[0], whole)
+
+
+def test_vectors_of_other_types(spark):
+    rows = [(i, [1.0, float(i // 2), 0.5], "xy"[i % 5 == 0]) for i in range(12)] + [(12, None, None), (13, [], "x")]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_pq.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()}
+    assert got[2] == got[3] or got[2][1] == got[3][1] == 2
+    assert got[12] == (0, 12) and got[13] == (0, 13)
+    assert embedding_pq.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<double>, label string")).count() == 0
+
+
 def test_lines(spark):
     line = prose(40, 7)
     rows = [(1, f"{line}\nfirst own line"), (2, f"other text here\n{line.upper()}\n\n"), (3, None), (4, "")]
