@@ -34,8 +34,9 @@ def revision(*cols: Column) -> Column:
 
 
 def floor_epoch(ts: Column, seconds: int) -> Column:
-    """Epoch seconds of the bucket that holds a time zone-less timestamp."""
-    return F.floor(F.unix_seconds(ts.cast("timestamp")) / seconds).cast("long") * seconds
+    """Epoch seconds of the bucket that holds a time zone-less timestamp, whatever the session's zone."""
+    at = F.unix_date(ts.cast("date")).cast("long") * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    return F.floor(at / seconds).cast("long") * seconds
 
 
 def date_diff_boundary(a: Column, b: Column, seconds: int) -> Column:
@@ -53,7 +54,7 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
 
 
 def ratio_half_even(n: Column, d: Column) -> Column:
-    """n / d for amounts below 2e14 with six decimals, exactly, to 18 digits, ties to even.
+    """n / d for amounts below 2e14 with six decimals, exactly, to 18 digits, ties to even; null where n < 0 or d <= 0.
 
     Long division in two steps of nine digits on whole micro-units keeps every product within 38 digits.
     """
@@ -65,7 +66,7 @@ def ratio_half_even(n: Column, d: Column) -> Column:
     low, rest3 = div(rest2 * step).cast("decimal(10,0)"), F.pmod(rest2 * step, den)
     units = high * step + low
     up = F.when(rest3 * 2 > den, 1).when((rest3 * 2 == den) & (F.pmod(low, F.lit(2)) == 1), 1).otherwise(0)
-    return F.when(den != 0, (whole.cast("decimal(19,0)") + ((units + up).cast("decimal(19,0)") * F.lit("0.000000000000000001").cast("decimal(18,18)")).cast("decimal(19,18)")).cast("decimal(38,18)"))
+    return F.when((num >= 0) & (den > 0), (whole.cast("decimal(19,0)") + ((units + up).cast("decimal(19,0)") * F.lit("0.000000000000000001").cast("decimal(18,18)")).cast("decimal(19,18)")).cast("decimal(38,18)"))
 
 
 def signal_edge(p1: Column, p2: Column, rate: float) -> Column:

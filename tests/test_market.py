@@ -8,21 +8,24 @@ from pyspark.sql import functions as F
 
 from millrace.functions import columns as C
 from millrace.operators import bars, joins, merge, quality, windows
-from millrace.plans import market
+from millrace.plans import market, registry
 
 DATA = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", sorted(market.QUERIES))
+ALL, ALL_SQL = market.QUERIES | registry.QUERIES, market.SQL | registry.SQL
+
+
+@pytest.mark.parametrize("name", sorted(ALL))
 def test_query_equals_sql(spark, name):
-    got = market.QUERIES[name](spark, DATA)
+    got = ALL[name](spark, DATA)
     names = sorted(got.columns)
     db = duckdb.connect()
     for p in Path(DATA).glob("*.parquet"):
         db.execute(f"create view {p.stem} as select * from '{p}'")
-    want = db.execute(market.SQL[name]).df()[names]
+    want = db.execute(ALL_SQL[name]).df()[names]
     key = lambda row: tuple(str(v) for v in row)
-    assert sorted(map(key, got.select(*names).collect())) == sorted(key(r) for r in db.execute(f"select {', '.join(names)} from ({market.SQL[name]})").fetchall())
+    assert sorted(map(key, got.select(*names).collect())) == sorted(key(r) for r in db.execute(f"select {', '.join(names)} from ({ALL_SQL[name]})").fetchall())
     assert len(want) == got.count()
 
 
@@ -70,3 +73,18 @@ def test_intervals(spark):
 
 def test_empty_bars(spark):
     assert bars.ohlc(spark.createDataFrame([], "k int, ts timestamp_ntz, p double"), ["k"], "ts", "p", 60).count() == 0
+
+
+def test_buckets_do_not_depend_on_the_session_zone(spark):
+    rows = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 30),), (dt.datetime(1969, 12, 31, 23, 59, 59),)], "t timestamp_ntz")
+    try:
+        for zone in ("UTC", "Asia/Kolkata", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert [r[0] for r in rows.select(C.floor_epoch(F.col("t"), 3600)).collect()] == [1704067200, -3600]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_ratio_of_signs(spark):
+    rows = spark.createDataFrame([(Decimal(-1), Decimal(3)), (Decimal(1), Decimal(-3)), (Decimal(0), Decimal(3))], "a decimal(38,6), b decimal(38,6)")
+    assert [r[0] for r in rows.select(C.ratio_half_even(F.col("a"), F.col("b"))).collect()] == [None, None, Decimal(0)]
