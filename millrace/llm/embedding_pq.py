@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.shared import saved, sorted_groups, table
+from millrace.llm.shared import lean, saved, sorted_groups, table
 
 #: Coarse centroids: the square root of the number of vectors, from, to. Lists then grow no faster than the square root, until the last.
 CENTROIDS = (64, 1024)
@@ -126,7 +126,7 @@ def _lists(classes: DataFrame, quantisers: dict[int, Quantiser], radius: float)
                 )
 
     kind = dict(classes.dtypes)
-    return classes.select("id", "label", "vector", "n").mapInArrow(run, f"id long, label {kind['label']}, dim int, list int, probe boolean, vector {kind['vector']}, n long, code binary, error double")
+    return classes.select("id", "label", "vector", "n").mapInArrow(lean(run), f"id long, label {kind['label']}, dim int, list int, probe boolean, vector {kind['vector']}, n long, code binary, error double")
 
 
 def _compare(dealt: DataFrame, quantisers: dict[int, Quantiser], cosine: float) -> DataFrame:
@@ -178,7 +178,7 @@ def _compare(dealt: DataFrame, quantisers: dict[int, Quantiser], cosine: float)
                     eb.append(both[q])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([both, ea]).astype(np.int64)), pa.array(np.concatenate([links, np.zeros(len(ea), np.int64)])), pa.array([None] * len(both) + [int(v) for v in eb], pa.int64())], ["id", "links", "other"])
 
-    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "id long, links long, other long")
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lean(run), "id long, links long, other long")
 
 
 def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", cosine: float = 0.98) -> DataFrame:

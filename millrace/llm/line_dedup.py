@@ -11,13 +11,12 @@ sequences, and of each connected group the first occurrence stays.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.linking import Matcher, entries_for, linked, shared_keys, verified, with_keys
-from millrace.llm.shared import CELL_KIND, CELLS, above_median, binaries, cell_rows, count_cells, levels_of, mix, release, row_blocks, row_key, saved, stored, table, text_buffer, word_spans
+from millrace.llm.shared import CELLS, CELL_KIND, above_median, binaries, cell_rows, count_cells, lean, levels_of, mix, release, row_blocks, row_key, saved, stored, table, text_buffer, word_spans
 
 #: Words that a line needs for a link to one of other words.
 LEAST_WORDS = 4
@@ -114,7 +113,7 @@ def _lines(keyed: DataFrame, id_col: str, text_col: str) -> DataFrame:
             n = len(cells[0])
             yield pa.RecordBatch.from_arrays([pa.nulls(n, kinds[0]), pa.nulls(n, kinds[1]), pa.nulls(n, pa.int32()), pa.nulls(n, pa.struct([("a", pa.int64()), ("b", pa.int64())])), *cells], names)
 
-    return keyed.select(id_col, "_row", text_col).mapInArrow(run, f"doc {doc_kind}, _row {_KEY_OF_ROW}, line int, id {_KEY_OF_ROW}, {CELL_KIND}")
+    return keyed.select(id_col, "_row", text_col).mapInArrow(lean(run), f"doc {doc_kind}, _row {_KEY_OF_ROW}, line int, id {_KEY_OF_ROW}, {CELL_KIND}")
 
 
 def _left_lines(batches):
@@ -148,7 +147,7 @@ def _features(left: DataFrame) -> DataFrame:
             columns = [pa.array(ids), batch.column(0).take(pa.array(row)), pa.array(number.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(p.view(np.int64)), pa.array(q.view(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, ["id", "_row", "line", "n", "p", "q"])
 
-    return left.mapInArrow(run, f"id long, _row {_KEY_OF_ROW}, line int, n int, p long, q long")
+    return left.mapInArrow(lean(run), f"id long, _row {_KEY_OF_ROW}, line int, n int, p long, q long")
 
 
 class WordCounts(Matcher):
@@ -226,21 +225,24 @@ def _word_lists(docs: DataFrame) -> DataFrame:
             items = binaries([words[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)])
             yield pa.RecordBatch.from_arrays([*(wanted.flatten().field(c) for c in ("id", "unit")), items], ["id", "unit", "items"])
 
-    return docs.mapInArrow(run, "id long, unit long, items binary")
+    return docs.mapInArrow(lean(run), "id long, unit long, items binary")
 
 
-def _cut_lines(docs: DataFrame, text_col: str) -> DataFrame:
-    @F.pandas_udf("string")
-    def cut(text: pd.Series, gone: pd.Series) -> pd.Series:
-        def one(t, g):
-            if t is None or g is None or not len(g):
-                return t
-            drop = set(g.tolist())
-            return "\n".join(line for i, line in enumerate(t.split("\n")) if i not in drop)
+def _cut_lines(docs: DataFrame) -> DataFrame:
+    """docs (text, _gone and others) with the lines of the numbers in _gone cut from text, and without _gone."""
+    names = [c for c in docs.columns if c not in ("text", "_gone")]
 
-        return pd.Series([one(t, g) for t, g in zip(text, gone, strict=True)], dtype=object)
+    def run(batches):
+        for batch in batches:
+            column = {c: batch.column(i) for i, c in enumerate(batch.schema.names)}
+            texts = []
+            for text, gone in zip(column["text"], column["_gone"], strict=True):
+                gone = set(gone.as_py() or ())
+                texts.append("\n".join(x for i, x in enumerate(text.as_py().split("\n")) if i not in gone) if gone else text.as_py())
+            yield pa.RecordBatch.from_arrays([*(column[c] for c in names), pa.array(texts, pa.string())], [*names, "text"])
 
-    return docs.withColumn(text_col, cut(F.col(text_col), F.col("_gone")))
+    kinds = dict(docs.dtypes)
+    return docs.select(*names, "text", "_gone").mapInArrow(lean(run), ", ".join(f"`{c}` {kinds[c]}" for c in [*names, "text"]))
 
 
 def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -301,7 +303,7 @@ def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "
     out = with_keys(keyed, gone, "_row", F.size("_gone"), "left")
     n_lines = F.when(F.length("text") > 0, F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1).otherwise(0).cast("long")
     out = out.withColumn("_n_lines", n_lines).withColumn("_n_removed", F.greatest(F.coalesce(F.size("_gone"), F.lit(0)), F.lit(0)).cast("long"))
-    out = _cut_lines(out, "text")
+    out = _cut_lines(out.select("_all", "text", "_gone", "_n_lines", "_n_removed"))
     back = [F.col("text").alias(c) if c == text_col else F.col("_all").getField(c).alias(c) for c in columns]
     return out.select(*back, F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"))
 

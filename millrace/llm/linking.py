@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.shared import binaries, complete_groups, mix, release, saved, sorted_groups, stored
+from millrace.llm.shared import binaries, complete_groups, lean, mix, release, saved, sorted_groups, stored
 
 #: Rows of a block; a unit of work holds two blocks at most.
 BLOCK_ROWS = 2048
@@ -166,10 +166,10 @@ def shared_keys(source: DataFrame, entries_of: Callable[[pa.RecordBatch], Iterat
                 yield pa.RecordBatch.from_arrays([pa.array(key[real].view(np.int64)), pa.array(ids[real]), pa.array(np.repeat(count, count)[real])], names)
         yield from flush()
 
-    runs = source.mapInArrow(send, "bucket int, entries binary, ids binary")
+    runs = source.mapInArrow(lean(send), "bucket int, entries binary, ids binary")
     # the rows of frequent keys are spread over all tasks
     spread = F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("ids"), F.lit(buckets)).cast("int")).otherwise(F.col("bucket"))
-    met = stored(runs.repartition(spread).sortWithinPartitions("bucket").mapInArrow(meet, "key long, id long, group_rows long"))
+    met = stored(runs.repartition(spread).sortWithinPartitions("bucket").mapInArrow(lean(meet), "key long, id long, group_rows long"))
     release(spark)
     hot = met.where("group_rows = 0").select("key").distinct()
     if hot.isEmpty():
@@ -307,7 +307,7 @@ def candidates(dealt: DataFrame, matcher: Matcher, whole: bool = False) -> DataF
             yield pa.RecordBatch.from_arrays([*columns, pa.array([*part.tolist(), *none], pa.int64())], ["a", "b", *keys, "part"])
 
     need = [*keys, "own", "id", "root", *matcher.columns]
-    found = dealt.select(need).repartition(*keys).sortWithinPartitions(*keys, "id").mapInArrow(run, "a long, b long, key long, lo int, hi int, part long")
+    found = dealt.select(need).repartition(*keys).sortWithinPartitions(*keys, "id").mapInArrow(lean(run), "a long, b long, key long, lo int, hi int, part long")
     return saved(found)
 
 
@@ -394,4 +394,4 @@ def verified(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], decode:
                 yield pa.RecordBatch.from_arrays([pa.array([g[k] for g in good], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     both = contents.unionByName(pairs.withColumn("items", F.lit(None).cast("binary")))
-    return saved(both.repartition("unit").sortWithinPartitions("unit").mapInArrow(run, "a long, b long"))
+    return saved(both.repartition("unit").sortWithinPartitions("unit").mapInArrow(lean(run), "a long, b long"))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.linking import Matcher, entries_for, linked, shared_keys, verified, with_keys
-from millrace.llm.shared import above_median, binaries, cell_levels, mix, release, row_blocks, row_key, saved, stored, table, text_buffer, word_hashes
+from millrace.llm.shared import above_median, binaries, cell_levels, lean, mix, release, row_blocks, row_key, saved, stored, table, text_buffer, word_hashes
 
 #: Bits of a class's token bitmap, and of its parity bitmap: a power of two of at least the set's size, from, to.
 BITS = (128, 16384)
@@ -109,7 +109,7 @@ def sketch(docs: DataFrame, k: int, share: Fraction, levels: np.ndarray) -> Data
                 both = pa.StructArray.from_arrays([pa.array(c.view(np.int64)) for c in cls], ["a", "b"])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(count, pa.int64()), both, binaries(packed), binaries(bitmaps(token, count))], ["_key", "n", "class", "entries", "sig"])
 
-    return docs.mapInArrow(run, "_key struct<a: long, b: long>, n long, class struct<a: long, b: long>, entries binary, sig binary")
+    return docs.mapInArrow(lean(run), "_key struct<a: long, b: long>, n long, class struct<a: long, b: long>, entries binary, sig binary")
 
 
 def _bound(na, nb, miss_a, miss_b, up: int, down: int) -> np.ndarray:
@@ -268,7 +268,7 @@ def _packed_texts(docs: DataFrame) -> DataFrame:
             items = binaries([struct.pack("<q", b - a) + pa.compress(raw[a:b], codec="zstd", asbytes=True) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), items], ["id", "unit", "items"])
 
-    return docs.mapInArrow(run, "id long, unit long, items binary")
+    return docs.mapInArrow(lean(run), "id long, unit long, items binary")
 
 
 def jaccard_classes(docs: DataFrame, text_col: str = "text", k: int = 3, threshold: str | float = "0.9", id_col: str | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import BLOCK_BYTES, SPACES, row_blocks, saved, table, text_buffer
+from millrace.llm.shared import BLOCK_BYTES, SPACES, lean, row_blocks, saved, table, text_buffer
 
 PASSAGE_WORDS = 64
 #: Labelled rows that the model is fitted on, at most: those of the smallest hashes of their ids.
@@ -174,7 +174,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
 
     # the sample is bounded, and so is the table that is broadcast to the scan
     some = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).select(text_col, "label", F.col(id_col).cast("string").alias("id"), F.xxhash64(text_col).alias("text_hash"))
-    bags = some.mapInArrow(run, "label double, passages binary, id string, text_hash long")
+    bags = some.mapInArrow(lean(run), "label double, passages binary, id string, text_hash long")
     rows = bags.groupBy("id").agg(F.min_by(F.struct("label", "passages"), "text_hash").alias("x")).select("x.*").collect()
     bags = [np.frombuffer(r[1], np.float32).reshape(-1, N_FEATURES) for r in rows]
     model = AttentionModel()
@@ -207,7 +207,7 @@ def score_quality(docs: DataFrame, model: AttentionModel, text_col: str = "text"
 
     kept = docs.select(*columns)
     schema = ", ".join(f"`{c}` {t}" for c, t in kept.dtypes)
-    return kept.mapInArrow(run, f"{schema}, `{score_col}` double")
+    return kept.mapInArrow(lean(run), f"{schema}, `{score_col}` double")
 
 
 def op1_query(spark, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import hashlib
 import re
@@ -60,6 +61,21 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """run, after which its Python worker gives freed memory back: idle workers would hold on to the most that any task has used."""
+
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return task
+
+
 def stored(df: DataFrame) -> DataFrame:
     """df, written once as a compressed table in the shared checkpoint folder: a fraction of a checkpoint's size, for larger tables."""
     place = shared_folder(df.sparkSession, "table")
@@ -218,7 +234,7 @@ def levels_of(parts: DataFrame, kinds: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([0] * len(held), pa.int32()), binaries([x.tobytes() for x in held.values()])], ["part", "salt", "counts"])
 
     out = np.zeros((kinds * CELLS // PART, PART), np.int64)
-    for part, _, counts in parts.repartition("part", "salt").mapInArrow(add, CELL_KIND).repartition("part").mapInArrow(add, CELL_KIND).collect():
+    for part, _, counts in parts.repartition("part", "salt").mapInArrow(lean(add), CELL_KIND).repartition("part").mapInArrow(lean(add), CELL_KIND).collect():
         out[part] += np.frombuffer(counts, np.int64)
     return np.ceil(np.log2(np.maximum(out, 1))).astype(np.uint8).reshape(kinds, CELLS)
 
@@ -240,7 +256,7 @@ def cell_levels(docs: DataFrame, text_col: str, tokens: Callable[[np.ndarray, np
                 count_cells(total, tokens(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a]))
         yield pa.RecordBatch.from_arrays(cell_rows(total), ["part", "salt", "counts"])
 
-    return levels_of(docs.select(text_col).mapInArrow(count, CELL_KIND), kinds)
+    return levels_of(docs.select(text_col).mapInArrow(lean(count), CELL_KIND), kinds)
 
 
 def above_median(levels: np.ndarray, hashes: np.ndarray) -> np.ndarray:

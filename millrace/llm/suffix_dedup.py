@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import mix, powers, prefix_sums, row_blocks, row_key, saved, shared_folder, sorted_groups, table, text_buffer
+from millrace.llm.shared import lean, mix, powers, prefix_sums, row_blocks, row_key, saved, shared_folder, sorted_groups, table, text_buffer
 
 KEY = "struct<a: long, b: long>"
 GRAM = 64
@@ -80,7 +80,7 @@ def _anchor_table(docs: DataFrame, text_col: str, length: int) -> DataFrame:
                         h, row, p, lo, hi = got
                         yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column(0).take(pa.array(a + row)), *(pa.array((x + c).astype(np.int32)) for x in (p, lo, hi))], ["key", "_key", "p", "lo", "hi"])
 
-    return docs.select("_key", text_col).mapInArrow(run, f"key long, _key {KEY}, p int, lo int, hi int")
+    return docs.select("_key", text_col).mapInArrow(lean(run), f"key long, _key {KEY}, p int, lo int, hi int")
 
 
 def _regions(texts: DataFrame, length: int) -> DataFrame:
@@ -99,7 +99,7 @@ def _regions(texts: DataFrame, length: int) -> DataFrame:
             if out:
                 yield _region_batch(out, batch.column(0))
 
-    found = texts.select("_key", F.encode("text", "UTF-8").alias("text"), "spots").mapInArrow(run, f"key long, _key {KEY}, lo int, place int, starts int, bytes binary")
+    found = texts.select("_key", F.encode("text", "UTF-8").alias("text"), "spots").mapInArrow(lean(run), f"key long, _key {KEY}, lo int, place int, starts int, bytes binary")
     return found.withColumn("region", F.xxhash64("key", "place", "starts", "bytes"))
 
 
@@ -267,7 +267,7 @@ def _repeats(dealt: DataFrame, length: int) -> DataFrame:
         if held:
             yield from solve(held)
 
-    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "id long, `from` int, `to` int")
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lean(run), "id long, `from` int, `to` int")
 
 
 def _cut(texts: DataFrame) -> DataFrame:
@@ -294,7 +294,7 @@ def _cut(texts: DataFrame) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True))], ["_key", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    return texts.mapInArrow(run, f"_key {KEY}, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return texts.mapInArrow(lean(run), f"_key {KEY}, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 400, keep_text: bool = True) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import row_key, saved, shared_folder, table
+from millrace.llm.shared import lean, row_key, saved, shared_folder, table
 
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -116,7 +116,7 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = False) -> D
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder).select("content")
-    found = files.mapInArrow(run, "id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
+    found = files.mapInArrow(lean(run), "id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
     return found if payloads else found.drop("payload")
 
 
