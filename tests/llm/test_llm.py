@@ -39,15 +39,18 @@ def test_repeats_equal_brute_force(spark, docs):
     for b in texts:
         for i in range(len(b) - 399):
             seen[b[i : i + 400]] = seen.get(b[i : i + 400], 0) + 1
-    want = []
+    want, spans = [], []
     for (d, _, _), b in zip(rows, texts, strict=True):
         gone = bytearray(len(b))
         for i in range(len(b) - 399):
             if seen[b[i : i + 400]] > 1:
                 gone[i : i + 400] = b"\1" * 400
         kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
+        spans.append((d, sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))))
         want.append((d, len(b), sum(gone), hashlib.sha256(kept).hexdigest(), kept))
-    got = [(r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256, bytes(r.kept)) for r in suffix_dedup.remove_repeats(df).collect()]
+    found = suffix_dedup.remove_repeats(df).collect()
+    assert sorted(((r.doc_id, r.n_spans) for r in found), key=str) == sorted(spans, key=str)
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256, bytes(r.kept)) for r in found]
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
@@ -391,3 +394,26 @@ def test_documents_of_other_scripts_stay(spark):
     docs = spark.createDataFrame([(d, t, "ru", "s", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, docs, "").collect()}
     assert got == {1: line, 2: "своя строка", 3: "本文", 5: "own words", 6: "___", 7: None}
+
+
+def test_pipeline_keeps_what_brute_force_keeps(spark, tmp_path):
+    """run() on a small table: no labels (all texts pass the classifier), repeated and near lines, near copies, benchmark passages, nulls, empty texts."""
+    passage, line = prose(14, 71), prose(30, 72)
+    near_line = " ".join(["other", *line.split()[1:]])
+    base = prose(120, 73).split()
+    copy = " ".join([*base[:60], "other", *base[61:]])
+    texts = {1: " ".join(base), 2: copy, 3: f"{prose(40, 74)}\n{line}", 4: f"{near_line}\n{prose(40, 75)}", 5: near_line, 6: f"{prose(9, 76)} {passage.upper()} {prose(9, 77)}", 7: None, 8: "", 9: "two words", 10: prose(40, 78)}
+    rows = [(d, t, "en", "s", len(t or "")) for d, t in texts.items()]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    # 2 is a near line of 1, so nothing of it is left; of 4 the near line goes; 5 is that line alone; 6 holds the passage
+    want = {1: texts[1], 3: texts[3], 4: texts[4].split("\n")[1], 7: None, 8: "", 9: texts[9], 10: texts[10]}
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    assert {r.doc_id: r.text for r in docs.collect()} == want
+    assert {r.doc_id: r.n_chars for r in docs.collect()}[4] == len(want[4])
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in packed) == sorted(want) and len({r.sequence_id for r in packed}) == 1
