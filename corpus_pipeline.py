@@ -6,7 +6,8 @@
 4. benchmark: documents that hold a benchmark window of ten words go.
 5. packing: the rest is packed into sequences of 2048 tokens.
 
-Null and empty texts pass stages 1 to 4 as their operators define it; ids may be null or repeat.
+Null and empty texts pass stages 1 to 4 as their operators define it; ids may be null. Of rows that repeat an id and a text one
+stays. The documents need the columns in COLUMNS; the stages return these and no others.
 """
 
 from __future__ import annotations
@@ -50,7 +51,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("lines", lines), ("near copies", near_copies), ("benchmark", benchmark), ("packing", packing)]
 
-#: No SQL expresses the stages; tests hold each of them against brute force.
+#: No SQL expresses the stages. A test holds run() and what each stage keeps against a table whose outcome is known.
 ORACLE_SQL = None
 
 
