@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import lean, mix, powers, prefix_sums, row_blocks, row_key, saved, shared_folder, sorted_groups, table, text_buffer
+from millrace.llm.shared import lean, mix, powers, prefix_sums, release, row_blocks, row_key, saved, shared_folder, sorted_groups, table, text_buffer
 
 KEY = "struct<a: long, b: long>"
 GRAM = 64
@@ -316,10 +316,12 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 400, k
     place = shared_folder(docs.sparkSession, "suffixes")
     texts.join(spots, "_key").write.option("compression", "zstd").parquet(place)
     some = docs.sparkSession.read.parquet(place)
+    release(docs.sparkSession)
     regions = _regions(some, length)
     distinct = regions.groupBy("key", "place", "starts", "bytes").agg(F.count("*").alias("n"))
     distinct = distinct.withColumn("id", F.xxhash64("key", "place", "starts", "bytes"))
     distinct = saved(distinct)
+    release(docs.sparkSession)
     numbers = distinct.groupBy("key").agg(F.count("*").alias("group_rows")).where("group_rows > 1")
     sorted_runs = _repeats(units(distinct.select("key", "id", "place", "starts", "bytes").join(numbers, "key")), length)
     runs = saved(sorted_runs.union(distinct.where("n > 1").select("id", F.lit(0).alias("from"), (F.col("starts") - 1).alias("to"))))
