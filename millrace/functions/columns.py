@@ -93,3 +93,8 @@ def decimal_string(c: Column) -> Column:
 def clean_text(c: Column) -> Column:
     """Line ends unified, control characters removed, outer space trimmed."""
     return F.trim(F.regexp_replace(F.regexp_replace(c, "\r\n?", "\n"), "[\\u0000-\\u0008\\u000B-\\u001F\\u007F]", ""))
+
+
+def to_utc(wall: Column, zone: str) -> Column:
+    """A zone-less wall-clock time of a zone as a zone-less UTC time, whatever the session's zone."""
+    return F.convert_timezone(F.lit(zone), F.lit("UTC"), wall)

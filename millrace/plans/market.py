@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import columns as C
-from millrace.operators import bars, joins, merge, quality, windows
+from millrace.operators import bars, joins, merge, quality, rules, windows
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -231,27 +231,28 @@ def divergent_keys(spark, d):
 
 
 def _halves(spark, d):
+    """All orders before 1999 as the target, all from 1997 on as the batch: together every order, and both hold those of 1997 and 1998."""
     o = _t(spark, d, "orders")
-    return o.where("o_orderkey % 3 <> 0"), o.where("o_orderkey % 2 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    return o.where("o_orderdate < TIMESTAMP_NTZ '1999-01-01'"), o.where("o_orderdate >= TIMESTAMP_NTZ '1997-01-01'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
 
 
-@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 2 = 0")
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority, CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders")
 def merge_replace(spark, d):
     return merge.merge_replace(*_halves(spark, d), ["o_orderkey"], [F.desc("o_totalprice")])
 
 
-@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 2 = 0")
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority, CASE WHEN o_orderdate >= TIMESTAMP '1999-01-01' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders")
 def merge_append(spark, d):
     return merge.merge_append(*_halves(spark, d), ["o_orderkey"], [F.desc("o_totalprice")])
 
 
-@query("""WITH t AS (SELECT * FROM orders WHERE o_orderkey % 3 <> 0), b AS (SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders WHERE o_orderkey % 2 = 0)
+@query("""WITH t AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'), b AS (SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01')
  SELECT o_orderkey, greatest(t.o_totalprice, b.o_totalprice) AS o_totalprice, least(t.o_orderdate, b.o_orderdate) AS o_orderdate, coalesce(t.o_orderstatus, b.o_orderstatus) AS o_orderstatus FROM t FULL JOIN b USING (o_orderkey)""")
 def merge_registry(spark, d):
     return merge.merge_rules(*_halves(spark, d), ["o_orderkey"], {"o_totalprice": "greatest", "o_orderdate": "least", "o_orderstatus": "keep"})
 
 
-@query("""WITH a AS (SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 3 <> 0), b AS (SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 2 = 0)
+@query("""WITH a AS (SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'), b AS (SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01')
  SELECT o_custkey, o_orderstatus, sum(w)::BIGINT AS excess FROM (SELECT *, 1 AS w FROM a UNION ALL SELECT *, -1 FROM b) GROUP BY ALL HAVING sum(w) <> 0""")
 def table_diff(spark, d):
     a, b = _halves(spark, d)
@@ -269,7 +270,9 @@ def filtered_aggregates(spark, d):
 
 @query("SELECT event_type, round(quantile_cont(value, 0.95), 6) AS p95, round(median(value), 6) AS p50 FROM events GROUP BY 1")
 def percentiles(spark, d):
-    return _t(spark, d, "events").groupBy("event_type").agg(F.round(F.percentile("value", F.lit(0.95)), 6).alias("p95"), F.round(F.median("value"), 6).alias("p50"))
+    found = rules.exact_percentiles(_t(spark, d, "events"), "event_type", "value", [0.5, 0.95])
+    at = lambda share, name: F.round(F.max(F.when(F.col("share") == share, F.col("percentile"))), 6).alias(name)
+    return found.groupBy("event_type").agg(at(0.95, "p95"), at(0.5, "p50"))
 
 
 @query("""SELECT o_custkey, max(CASE WHEN o_orderstatus = 'O' THEN o_totalprice END) AS open_price, max(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END) AS filled_price,

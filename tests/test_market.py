@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 from millrace.functions import columns as C
 from millrace.operators import bars, joins, merge, quality, windows
-from millrace.plans import market, registry
+from millrace.plans import ledger, market, registry, releases
 
 DATA = "/root/testdata/sf0.001"
 
 
-ALL, ALL_SQL = market.QUERIES | registry.QUERIES, market.SQL | registry.SQL
+PLANS = (market, registry, ledger, releases)
+ALL, ALL_SQL = {k: q for p in PLANS for k, q in p.QUERIES.items()}, {k: q for p in PLANS for k, q in p.SQL.items()}
 
 
 @pytest.mark.parametrize("name", sorted(ALL))
