@@ -96,6 +96,24 @@ def row_key(*names: str) -> F.Column:
     return F.struct(F.xxhash64(*names).alias("a"), F.xxhash64(F.lit(1), *names).alias("b"))
 
 
+#: A key with over this part of all rows is hot; so fewer than HOT_PARTS keys are, whatever the table's size.
+HOT_PARTS = 1024
+
+
+def hot_keys(counts: DataFrame, keys: list[str], n: str, total: int) -> DataFrame:
+    """The hot keys of counts (a row a key, n its rows out of total), and over how many parts each is to be spread."""
+    return counts.where(F.col(n) * HOT_PARTS > total).select(*keys, F.ceil(F.col(n) * HOT_PARTS / F.lit(max(total, 1))).cast("int").alias("_parts"))
+
+
+def salted_join(rows: DataFrame, other: DataFrame, keys: list[str], hot: DataFrame, how: str, *spread: str) -> DataFrame:
+    """rows joined with other, which has each key once. Rows of a hot key are spread by the columns in spread over parts of at most
+    about 1/HOT_PARTS of all rows, and other's row goes to each of them: fewer than twice HOT_PARTS rows more."""
+    hot = F.broadcast(hot)
+    many = rows.join(hot, keys, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(*spread), "_parts"), F.lit(0)).cast("int")).drop("_parts")
+    each = other.join(hot, keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return many.join(each, [*keys, "_part"], how).drop("_part")
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import lean, mix, powers, prefix_sums, release, row_blocks, row_key, saved, shared_folder, sorted_groups, table, text_buffer
+from millrace.llm.shared import hot_keys, lean, mix, powers, prefix_sums, release, row_blocks, row_key, salted_join, saved, shared_folder, sorted_groups, stored, table, text_buffer
 
 KEY = "struct<a: long, b: long>"
 GRAM = 64
@@ -243,17 +243,17 @@ def units(rows: DataFrame, block_rows: int = 2048) -> DataFrame:
 
 
 def _repeats(dealt: DataFrame, length: int) -> DataFrame:
-    """(id, from, to): runs of repeated string starts in each region."""
+    """(key, id, from, to): runs of repeated string starts in each region."""
     keys = ["key", "lo", "hi"]
 
     def solve(tables):
         group = np.repeat(np.arange(len(tables)), [t.num_rows for t in tables])
         whole = pa.concat_tables(tables)
-        ids, place, starts = (whole.column(c).to_numpy() for c in ("id", "place", "starts"))
+        grams, ids, place, starts = (whole.column(c).to_numpy() for c in ("key", "id", "place", "starts"))
         marks = repeated_starts(group, place.astype(np.int64), starts.astype(np.int64), whole.column("bytes").to_pylist(), length)
-        out = [(i, a, b) for i, m in zip(ids.tolist(), marks, strict=True) for a, b in _runs(m)]
+        out = [(g, i, a, b) for g, i, m in zip(grams.tolist(), ids.tolist(), marks, strict=True) for a, b in _runs(m)]
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int32()), strict=True)], ["id", "from", "to"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["key", "id", "from", "to"])
 
     def run(batches):
         held, n = [], 0
@@ -267,7 +267,7 @@ def _repeats(dealt: DataFrame, length: int) -> DataFrame:
         if held:
             yield from solve(held)
 
-    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lean(run), "id long, `from` int, `to` int")
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lean(run), "key long, id long, `from` int, `to` int")
 
 
 def _cut(texts: DataFrame) -> DataFrame:
@@ -309,9 +309,10 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 400, k
         raise ValueError(f"length must be over {GRAM}")
     results = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "copies"]
     keyed = docs.drop(*results).withColumn("_key", row_key(text_col))
-    found = _anchor_table(keyed, text_col, length)
-    often = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    spots = found.join(often, "key", "left_semi").groupBy("_key").agg(F.collect_set(F.struct("key", "p", "lo", "hi")).alias("spots"))
+    found = stored(_anchor_table(keyed, text_col, length))
+    often = saved(found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    shared = salted_join(found, often.select("key"), ["key"], hot_keys(often, ["key"], "n", found.count()), "left_semi", "_key", "p")
+    spots = shared.groupBy("_key").agg(F.collect_set(F.struct("key", "p", "lo", "hi")).alias("spots"))
     texts = keyed.where(F.octet_length(text_col) >= length).groupBy("_key").agg(F.first(text_col).alias("text"), F.count("*").alias("copies"))
     place = shared_folder(docs.sparkSession, "suffixes")
     texts.join(spots, "_key").write.option("compression", "zstd").parquet(place)
@@ -320,13 +321,16 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 400, k
     regions = _regions(some, length)
     distinct = regions.groupBy("key", "place", "starts", "bytes").agg(F.count("*").alias("n"))
     distinct = distinct.withColumn("id", F.xxhash64("key", "place", "starts", "bytes"))
-    distinct = saved(distinct)
+    distinct = stored(distinct)
     release(docs.sparkSession)
-    numbers = distinct.groupBy("key").agg(F.count("*").alias("group_rows")).where("group_rows > 1")
-    sorted_runs = _repeats(units(distinct.select("key", "id", "place", "starts", "bytes").join(numbers, "key")), length)
-    runs = saved(sorted_runs.union(distinct.where("n > 1").select("id", F.lit(0).alias("from"), (F.col("starts") - 1).alias("to"))))
-    runs = runs.groupBy("id").agg(F.collect_set(F.struct("from", "to")).alias("runs"))
-    spans = regions.select("_key", "lo", F.col("region").alias("id")).join(runs, "id").select("_key", "lo", F.explode("runs").alias("r"))
+    numbers = saved(distinct.groupBy("key").agg(F.count("*").alias("group_rows")).where("group_rows > 1"))
+    grouped = salted_join(distinct.select("key", "id", "place", "starts", "bytes"), numbers, ["key"], hot_keys(numbers, ["key"], "group_rows", distinct.count()), "inner", "id")
+    copied = distinct.where("n > 1")
+    runs = saved(_repeats(units(grouped), length).union(copied.select("key", "id", F.lit(0).alias("from"), (F.col("starts") - 1).alias("to"))))
+    runs = runs.groupBy("key", "id").agg(F.collect_set(F.struct("from", "to")).alias("runs"))
+    at = regions.select("key", F.col("region").alias("id"), "_key", "lo")
+    total = distinct.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    spans = salted_join(at, runs, ["key", "id"], hot_keys(copied, ["key", "id"], "n", total), "inner", "_key", "lo").select("_key", "lo", F.explode("runs").alias("r"))
     spans = spans.groupBy("_key").agg(F.collect_set(F.struct((F.col("lo") + F.col("r.from")).alias("a"), (F.col("lo") + F.col("r.to") + length).alias("b"))).alias("spans"))
     whole = F.array(F.struct(F.lit(0).alias("a"), F.octet_length("text").alias("b")))
     marked = some.select("_key", "text", "copies").join(spans, "_key", "left").select("_key", F.encode("text", "UTF-8").alias("text"), F.when(F.col("copies") > 1, whole).otherwise(F.col("spans")).alias("spans")).where("spans IS NOT NULL")
@@ -334,7 +338,9 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 400, k
     cut = saved(cut if keep_text else cut.drop("kept"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = keyed.withColumn("n_bytes", F.octet_length(text).cast("long")).withColumn("own_sha", F.sha2(text, 256))
-    out = base.join(cut, "_key", "left").withColumn("n_removed", F.coalesce("n_removed", F.lit(0).cast("long"))).withColumn("n_spans", F.coalesce("n_spans", F.lit(0).cast("long"))).withColumn("kept_sha256", F.coalesce("kept_sha256", "own_sha"))
+    spread = [name for name, kind in keyed.dtypes if "map<" not in kind and "variant" not in kind]
+    rows = saved(keyed.groupBy("_key").agg(F.count("*").alias("n")).where("n > 1"))
+    out = salted_join(base, cut, ["_key"], hot_keys(rows, ["_key"], "n", keyed.count()), "left", *spread).withColumn("n_removed", F.coalesce("n_removed", F.lit(0).cast("long"))).withColumn("n_spans", F.coalesce("n_spans", F.lit(0).cast("long"))).withColumn("kept_sha256", F.coalesce("kept_sha256", "own_sha"))
     if keep_text:
         out = out.withColumn("kept", F.coalesce("kept", F.encode(text, "UTF-8")))
     return out.drop("_key", "own_sha")
@@ -342,4 +348,4 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 400, k
 
 def op3_query(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return remove_repeats(docs, keep_text=False).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return remove_repeats(docs, keep_text=False).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", (F.col("n_removed") > 0).alias("has_repeats"))

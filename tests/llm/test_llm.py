@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import decontamination, embedding_pq, line_dedup, linking, ngram_jaccard, packing, quality_mil, suffix_dedup, url_rules, warc
+from millrace.llm import decontamination, embedding_pq, line_dedup, linking, ngram_jaccard, packing, quality_mil, shared, suffix_dedup, url_rules, warc
 from millrace.llm.secret_forest import findings, scan_secrets, weak_labels
 from millrace.llm.shared import shared_folder
 
@@ -417,3 +417,24 @@ def test_pipeline_keeps_what_brute_force_keeps(spark, tmp_path):
     assert {r.doc_id: r.n_chars for r in docs.collect()}[4] == len(want[4])
     packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert sorted(r.doc_id for r in packed) == sorted(want) and len({r.sequence_id for r in packed}) == 1
+
+
+def test_salted_join_keeps_all_rows(spark):
+    """Hot keys are spread, whatever their share; keys that other lacks, null keys and repeated rows stay as in a plain join."""
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 11 == 0, None).otherwise(F.col("id") % 900).cast("long").alias("k"), "id")
+    rows = rows.union(rows.where("id < 5"))
+    other = spark.range(0, 900, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v")).union(spark.createDataFrame([(7, 70)], "k long, v long"))
+    hot = shared.hot_keys(rows.groupBy("k").agg(F.count("*").alias("n")), ["k"], "n", rows.count())
+    assert hot.where("k = 7").first()._parts > 300
+    for how in ("inner", "left", "left_semi"):
+        got = sorted(map(str, shared.salted_join(rows, other, ["k"], hot, how, "id").collect()))
+        assert got == sorted(map(str, rows.join(other, "k", how).collect()))
+
+
+def test_repeats_of_empty_and_clashing_tables(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert suffix_dedup.remove_repeats(empty).count() == 0
+    same = "the same passage in every row, " * 20
+    rows = [(i, same, i, i) for i in range(40)] + [(99, None, 1, 1), (100, "short", 1, 1)]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string, n_bytes long, copies long"), keep_text=False).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in got) == [(i, len(same)) for i in range(40)] + [(99, 0), (100, 0)]
