@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from millrace.functions import columns as C
 from millrace.operators import bars, joins, merge, quality, windows
-from millrace.plans import ledger, market, registry, releases
+from millrace.plans import catalog, ledger, market, registry, releases
 
 DATA = "/root/testdata/sf0.001"
 
 
-PLANS = (market, registry, ledger, releases)
+PLANS = (market, registry, ledger, releases, catalog)
 ALL, ALL_SQL = {k: q for p in PLANS for k, q in p.QUERIES.items()}, {k: q for p in PLANS for k, q in p.SQL.items()}
 
 
