@@ -9,6 +9,7 @@ from millrace.llm.ngram_jaccard import op10_query
 from millrace.llm.packing import op4_query
 from millrace.llm.quality_mil import op1_query
 from millrace.llm.secret_forest import op5_query
+from millrace.llm.source_divergence import OP11_SQL, op11_query
 from millrace.llm.suffix_dedup import op3_query
 from millrace.llm.url_rules import OP2_SQL, op2_query
 from millrace.llm.warc import OP6_SQL, op6_query
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_line_dedup": op8_query,
     "op9_decontamination": op9_query,
     "op10_ngram_jaccard": op10_query,
+    "op11_source_divergence": op11_query,
 }
 
-SQL = {"op2_url_rules": OP2_SQL, "op6_warc": OP6_SQL, "op9_decontamination": OP9_SQL}
+SQL = {"op2_url_rules": OP2_SQL, "op6_warc": OP6_SQL, "op9_decontamination": OP9_SQL, "op11_source_divergence": OP11_SQL}
