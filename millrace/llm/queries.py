@@ -5,6 +5,7 @@ from __future__ import annotations
 from millrace.llm.decontamination import OP9_SQL, op9_query
 from millrace.llm.embedding_pq import op7_query
 from millrace.llm.fill_in_middle import OP13_SQL, op13_query
+from millrace.llm.license_scan import OP12_SQL, op12_query
 from millrace.llm.line_dedup import op8_query
 from millrace.llm.ngram_jaccard import op10_query
 from millrace.llm.packing import op4_query
@@ -27,7 +28,8 @@ QUERIES = {
     "op9_decontamination": op9_query,
     "op10_ngram_jaccard": op10_query,
     "op11_source_divergence": op11_query,
+    "op12_license_scan": op12_query,
     "op13_fill_in_middle": op13_query,
 }
 
-SQL = {"op2_url_rules": OP2_SQL, "op6_warc": OP6_SQL, "op9_decontamination": OP9_SQL, "op11_source_divergence": OP11_SQL, "op13_fill_in_middle": OP13_SQL}
+SQL = {"op2_url_rules": OP2_SQL, "op6_warc": OP6_SQL, "op9_decontamination": OP9_SQL, "op11_source_divergence": OP11_SQL, "op12_license_scan": OP12_SQL, "op13_fill_in_middle": OP13_SQL}
