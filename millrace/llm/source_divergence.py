@@ -137,8 +137,8 @@ class _Unit:
             stripe = rows.column("stripe").combine_chunks()
             flat = stripe.flatten()
             self.row = np.repeat(np.arange(self.size), pc.list_value_length(stripe).to_numpy())
-            self.at = pc.index_in(flat.field(0), value_set=self.sources).to_numpy()
-            self.n = flat.field(1).to_numpy()
+            self.at = pc.index_in(flat.field("source"), value_set=self.sources).to_numpy()
+            self.n = flat.field("n").to_numpy()
 
     def shares(self, a: int, b: int) -> np.ndarray:
         counts = np.zeros((b - a, len(self.sources)), np.int64)
