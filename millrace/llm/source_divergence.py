@@ -22,47 +22,56 @@ from millrace.llm.shared import BLOCK_BYTES, HOT_PARTS, lean, lists, stored, tab
 #: Letters of ASCII, A-Z lower-cased, and everything beyond ASCII make up terms; other bytes become blanks.
 TERM_BYTES = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c >= 0x80 or 0x61 <= c <= 0x7A else 0x20 for c in range(256))
 #: Entries (a term in a source) that a task's stripes hold before they are handed on.
-SPILL_ENTRIES = 250_000
+SPILL_ENTRIES = 400_000
 #: Terms of a unit of the last step at most and, unless a unit would be more than 1/HOT_PARTS of all, at least.
 MOST_TERMS, LEAST_TERMS = 4096, 32
 #: Cells (a term or source by a source) worked on at once.
 CELLS = 1 << 20
 #: Languages over several units that are broadcast.
 SPREAD_LANGUAGES = 1 << 16
+#: Rows of a batch that a task hands on.
+STRIPE_ROWS = 10_000
 #: Smoothing of counts, and what relative frequencies are multiplied by.
 SMOOTH, UNIT = 5, 1_000_000_000
 
-STRIPE = "lang string, term string, stripe array<struct<source: string, n: bigint>>"
+STRIPE = "lang string, term string, stripe array<struct<source: string, n: bigint, d: bigint>>"
 
 
 class _Stripes:
-    """The stripes of one task. Columns of counts by (language, source) beside document frequencies by language: the same
-    entries as a map of each term, but counted by Counter in C. The entry of a null source is the document frequency."""
+    """The stripes of one task: of each term its sources with n, its occurrences there, and d, the documents that hold it. While
+    texts are folded they are kept source by source, as Counters count in C; rows() turns them round."""
 
     def __init__(self):
-        self.counts: dict[tuple[str, str | None], Counter] = {}
+        self.held: dict[str, dict[str, tuple[Counter, Counter]]] = {}
         self.entries = 0
 
-    def add(self, lang: str, source: str | None, terms) -> None:
-        held = self.counts.setdefault((lang, source), Counter())
-        before = len(held)
-        held.update(terms)
-        self.entries += len(held) - before
+    def add(self, lang: str, source: str, terms: list[bytes], new: set[bytes]) -> None:
+        """terms: as they occur in a piece of a document; new: those of them that are new in the document."""
+        counts, documents = self.held.setdefault(lang, {}).setdefault(source, (Counter(), Counter()))
+        before = len(counts)
+        counts.update(terms)
+        documents.update(new)
+        self.entries += len(counts) - before
 
     def rows(self):
         """The stripes as record batches; none are held after that."""
-        by_term: dict[tuple[str, bytes], list[tuple[str | None, int]]] = {}
-        for (lang, source), held in self.counts.items():
-            for term, n in held.items():
-                by_term.setdefault((lang, term), []).append((source, n))
-        self.counts, self.entries = {}, 0
-        keys = list(by_term)
-        for a in range(0, len(keys), 10_000):
-            part = keys[a : a + 10_000]
-            entries = [by_term.pop(k) for k in part]
-            flat = pa.StructArray.from_arrays([pa.array([s for e in entries for s, _ in e], pa.string()), pa.array([n for e in entries for _, n in e], pa.int64())], ["source", "n"])
-            offsets = pa.array(np.cumsum([0, *map(len, entries)]), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in part], pa.string()), pa.array([k[1] for k in part], pa.binary()).cast(pa.string()), pa.ListArray.from_arrays(offsets, flat)], ["lang", "term", "stripe"])
+        held, self.held, self.entries = self.held, {}, 0
+        for lang, sources in held.items():
+            place: dict[bytes, int] = {}
+            ids = [np.fromiter((place.setdefault(t, len(place)) for t in counts), np.int64, len(counts)) for counts, _ in sources.values()]
+            codes = np.repeat(np.arange(len(sources)), [len(x) for x in ids])
+            n = np.concatenate([np.fromiter(counts.values(), np.int64, len(counts)) for counts, _ in sources.values()])
+            d = np.concatenate([np.fromiter((documents[t] for t in counts), np.int64, len(counts)) for counts, documents in sources.values()])
+            ids = np.concatenate(ids)
+            order = np.argsort(ids, kind="stable")
+            offsets = np.concatenate(([0], np.cumsum(np.bincount(ids, minlength=len(place)))))
+            names, terms = pa.array(list(sources), pa.string()), pa.array(list(place), pa.binary()).cast(pa.string())
+            for a in range(0, len(place), STRIPE_ROWS):
+                b = min(a + STRIPE_ROWS, len(place))
+                at = order[offsets[a] : offsets[b]]
+                entries = pa.StructArray.from_arrays([names.take(pa.array(codes[at])), pa.array(n[at]), pa.array(d[at])], ["source", "n", "d"])
+                stripes = pa.ListArray.from_arrays(pa.array(offsets[a : b + 1] - offsets[a], pa.int32()), entries)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * (b - a), pa.string()), terms.slice(a, b - a), stripes], ["lang", "term", "stripe"])
 
 
 def _pieces(raw: memoryview):
@@ -83,15 +92,15 @@ def _fold(batches):
         data, offs = text_buffer(batch.column(2))
         raw = memoryview(data)
         for lang, source, a, b in zip(langs, sources, offs[:-1].tolist(), offs[1:].tolist(), strict=True):
-            held.add(lang, source, [b""])  # the empty term counts documents, so that sources without terms occur too
+            held.add(lang, source, [b""], {b""})  # the empty term counts documents, so that sources without terms occur too
             seen: set[bytes] = set()
             for piece in _pieces(raw[a:b]):
                 terms = piece.split()
-                new = set(terms) - seen
-                held.add(lang, source, terms)
-                held.add(lang, None, new)
+                new = set(terms)
                 if b - a > BLOCK_BYTES:
+                    new -= seen
                     seen |= new
+                held.add(lang, source, terms, new)
                 if held.entries > SPILL_ENTRIES:
                     yield from held.rows()
     yield from held.rows()
@@ -104,10 +113,10 @@ def term_stripes(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     Nulls are read as ''. Rows count as documents, so repeated rows count again; other columns are ignored. An empty table has no stripes.
     """
     plain = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for n, c in (("lang", lang_col), ("source", source_col), ("text", text_col))))
-    entries = plain.mapInArrow(lean(_fold), STRIPE).repartition("lang", "term").select("lang", "term", F.explode("stripe").alias("e")).select("lang", "term", "e.source", "e.n")
+    entries = plain.mapInArrow(lean(_fold), STRIPE).repartition("lang", "term").select("lang", "term", F.explode("stripe").alias("e")).select("lang", "term", "e.*")
     # both groupings follow the shuffle by (lang, term): nothing is shuffled again
-    summed = entries.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
-    merged = summed.groupBy("lang", "term").agg(F.max(F.when(F.col("source").isNull(), F.col("n"))).alias("df"), F.collect_list(F.when(F.col("source").isNotNull(), F.struct("source", "n"))).alias("stripe"))
+    summed = entries.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
+    merged = summed.groupBy("lang", "term").agg(F.sum("d").alias("df"), F.collect_list(F.struct("source", "n")).alias("stripe"))
     return merged.where((F.col("term") == "") | (F.col("df") >= min_docs))
 
 

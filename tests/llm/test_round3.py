@@ -74,6 +74,7 @@ def test_spilled_stripes_add_up(monkeypatch):
             for r in b.to_pylist():
                 for e in r["stripe"]:
                     out[r["term"], e["source"]] += e["n"]
+                    out[r["term"], None] += e["d"]
         return out
 
     whole = added()
@@ -85,8 +86,8 @@ def test_divergence_of_a_long_text_and_of_none(spark, monkeypatch):
     assert div.source_divergence(spark.createDataFrame([], DOCS)).count() == 0
     monkeypatch.setattr(div, "BLOCK_BYTES", 64)
     held = list(div._fold([spark.createDataFrame([("en", "s", "ab cde " * 5000 + "x" * 200)], "lang string, source string, text string").toArrow().to_batches()[0]]))
-    stripes = {r["term"]: {e["source"]: e["n"] for e in r["stripe"]} for b in held for r in b.to_pylist()}
-    assert stripes == {"": {"s": 1}, "ab": {"s": 5000, None: 1}, "cde": {"s": 5000, None: 1}, "x" * 200: {"s": 1, None: 1}}
+    stripes = {r["term"]: {e["source"]: (e["n"], e["d"]) for e in r["stripe"]} for b in held for r in b.to_pylist()}
+    assert stripes == {"": {"s": (1, 1)}, "ab": {"s": (5000, 1)}, "cde": {"s": (5000, 1)}, "x" * 200: {"s": (1, 1)}}
 
 
 @pytest.mark.parametrize("total", [1, 7, 10**6 + 3, 9 * 10**15])
