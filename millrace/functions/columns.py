@@ -39,6 +39,11 @@ def floor_epoch(ts: Column, seconds: int) -> Column:
     return F.floor(at / seconds).cast("long") * seconds
 
 
+def epoch_seconds(ts: Column) -> Column:
+    """Whole epoch seconds of a zone-less time or a date, whatever the session's zone: its wall clock is read as UTC."""
+    return floor_epoch(ts, 1)
+
+
 def date_diff_boundary(a: Column, b: Column, seconds: int) -> Column:
     """Boundaries of `seconds` crossed from a to b."""
     return ((floor_epoch(b, seconds) - floor_epoch(a, seconds)) / seconds).cast("long")
@@ -80,9 +85,11 @@ def json_field(c: Column, path: str, kind: str) -> Column:
 
 
 def parse_ts(c: Column) -> Column:
-    """Tolerant parse of ISO times, a Z suffix, long fractions and plain dates; else null."""
+    """Tolerant parse of ISO times, a Z suffix, long fractions and plain dates; else null. Text without a zone is read as UTC, whatever the
+    session's zone."""
     plain = F.regexp_replace(F.regexp_replace(F.trim(c), "[zZ]$", "+00:00"), r"(\.\d{6})\d+", "$1")
-    return F.coalesce(plain.try_cast("timestamp"), F.try_to_timestamp(plain, F.lit("yyyy-MM-dd")))
+    day = F.regexp_replace(plain, r"^(\d{4}-\d{2}-\d{2})$", "$1T00:00:00")
+    return F.when(day.rlike(r"[+-]\d{2}(:?\d{2})?$") & day.contains(":"), day).otherwise(F.concat(day, F.lit("+00:00"))).try_cast("timestamp")
 
 
 def decimal_string(c: Column) -> Column:

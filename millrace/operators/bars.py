@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import floor_epoch
+from millrace.operators.scans import SEGMENT_ROWS, next_seen, scan
 
 
 def ohlc(df: DataFrame, key: list[str], ts: str, price: str, seconds: int, *extra: Column) -> DataFrame:
@@ -41,14 +42,13 @@ def rollup(bars: DataFrame, key: list[str], seconds: int) -> DataFrame:
     )
 
 
-def dense(bars: DataFrame, key: list[str], seconds: int) -> DataFrame:
+def dense(bars: DataFrame, key: list[str], seconds: int, rows: int = SEGMENT_ROWS) -> DataFrame:
     """A bar for each bucket from a key's first to its last; empty ones carry the last close (is_observed false).
 
-    A window over the observed bars gives each its successor, and only the gap is exploded: no join with a spine.
+    A scan over the observed bars gives each its successor, and only the gap is exploded: no join with a spine.
     """
-    w = Window.partitionBy(*key).orderBy("bucket")
-    nxt = F.coalesce(F.lead("bucket").over(w), F.col("bucket") + seconds)
-    spread = bars.withColumn("_next", nxt).withColumn("_at", F.explode(F.sequence(F.col("bucket"), F.col("_next") - seconds, F.lit(seconds).cast("long"))))
+    ahead = scan(bars, key, ["bucket"], {"_next": next_seen(F.col("bucket"), own=False)}, rows)
+    spread = ahead.withColumn("_next", F.coalesce("_next", F.col("bucket") + seconds)).withColumn("_at", F.explode(F.sequence(F.col("bucket"), F.col("_next") - seconds, F.lit(seconds).cast("long"))))
     seen = F.col("_at") == F.col("bucket")
     price = lambda c: F.when(seen, F.col(c)).otherwise(F.col("close_price")).alias(c)
     return spread.select(*key, F.col("_at").alias("bucket"), price("open_price"), price("high_price"), price("low_price"), "close_price", seen.alias("is_observed"), F.when(seen, F.col("observed_points")).otherwise(0).cast("long").alias("observed_points"))

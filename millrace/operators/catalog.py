@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import name_key, safe_ratio
+from millrace.operators.scans import SEGMENT_ROWS, Scan, last_seen, scan
 from millrace.operators.windows import merge_intervals
 
 
@@ -74,12 +75,11 @@ def planning_context(tokens: DataFrame, key: str, layers: dict[str, DataFrame])
     return counts.select("*", *(safe_ratio(F.col(f"{name}_tokens"), F.col("n_tokens")).alias(f"{name}_ratio") for name in layers))
 
 
-def merge_members(df: DataFrame, key: list[str], lo: str, hi: str, gap: int = 0) -> DataFrame:
+def merge_members(df: DataFrame, key: list[str], lo: str, hi: str, gap: int = 0, rows: int = SEGMENT_ROWS) -> DataFrame:
     """Each [lo, hi] with the number of its merged interval in its key, from 1: intervals merge that overlap or lie at most gap apart."""
-    w = Window.partitionBy(*key).orderBy(lo, hi)
-    before = F.max(hi).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    new = F.when(F.col(lo) <= before + gap, 0).otherwise(1)
-    return df.withColumn("_new", new).withColumn("merged", F.sum("_new").over(w.rangeBetween(Window.unboundedPreceding, 0))).drop("_new")
+    reach = scan(df, key, [lo, hi], {"_before": Scan("max", F.col(hi), own=False)}, rows)
+    marked = reach.withColumn("_new", F.when(F.col(lo) <= F.col("_before") + gap, 0).otherwise(1)).drop("_before")
+    return scan(marked, key, [lo, hi], {"merged": Scan("sum", F.col("_new"))}, rows).drop("_new")
 
 
 def target_gaps(target: DataFrame, done: DataFrame, key: list[str], lo: str, hi: str) -> DataFrame:
@@ -87,8 +87,8 @@ def target_gaps(target: DataFrame, done: DataFrame, key: list[str], lo: str, hi:
     merged = merge_intervals(done, key, lo, hi)
     inside = target.join(merged, key, "left").where("lo IS NULL OR (hi > target_lo AND lo < target_hi)").select(*key, "target_lo", "target_hi", "lo", "hi")
     bare = target.join(inside.select(*key).distinct(), key, "left_anti").select(*key, F.col("target_lo").alias("gap_lo"), F.col("target_hi").alias("gap_hi"))
-    w = Window.partitionBy(*key).orderBy("lo")
-    heads = inside.select(*key, F.coalesce(F.lag("hi").over(w), F.col("target_lo")).alias("gap_lo"), F.coalesce(F.least("lo", "target_hi"), F.col("target_hi")).alias("gap_hi"))
+    ahead = scan(inside, key, ["lo"], {"_before": last_seen(F.col("hi"), own=False)})
+    heads = ahead.select(*key, F.coalesce("_before", "target_lo").alias("gap_lo"), F.coalesce(F.least("lo", "target_hi"), F.col("target_hi")).alias("gap_hi"))
     tails = inside.groupBy(*key, "target_hi").agg(F.max("hi").alias("gap_lo")).select(*key, "gap_lo", F.col("target_hi").alias("gap_hi"))
     return heads.unionByName(tails).unionByName(bare).where("gap_hi > gap_lo")
 

@@ -5,26 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import floor_epoch
+from millrace.functions.columns import epoch_seconds, floor_epoch, name_key
+from millrace.operators.scans import SEGMENT_ROWS, last_seen, next_seen, scan
 
 
-def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str, value: str, strict: bool = False, forward: bool = False) -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str, value: str, strict: bool = False, forward: bool = False, rows: int = SEGMENT_ROWS) -> DataFrame:
     """left with the value of the last right row at (strict: before) its time, as asof_value and asof_at; forward: of the first right row at
-    (strict: after) its time.
+    (strict: after) its time. A left row without a time has no match going back; right rows without a time match nothing.
 
-    Both sides are stacked and one ordered window carries the nearest right row: no range join, no row is multiplied. Among right rows
-    of one time the largest value counts.
+    Both sides are stacked and one ordered scan carries the nearest right row: no range join, no row is multiplied, and a key of
+    more than rows rows is spread over segments. Among right rows of one time the largest value counts.
     """
     right_side = int(strict != forward)
-    r = right.groupBy(*by, F.col(right_ts).alias("_ts")).agg(F.max(value).alias("_v")).withColumn("_side", F.lit(right_side)).withColumn("_row", F.lit(None).cast(left.withColumn("_s", F.struct("*")).schema["_s"].dataType))
+    r = right.where(F.col(right_ts).isNotNull()).groupBy(*by, F.col(right_ts).alias("_ts")).agg(F.max(value).alias("_v")).withColumn("_side", F.lit(right_side)).withColumn("_row", F.lit(None).cast(left.withColumn("_s", F.struct("*")).schema["_s"].dataType))
     l = left.select(*by, F.col(left_ts).alias("_ts"), F.lit(None).cast(right.schema[value].dataType).alias("_v"), F.lit(1 - right_side).alias("_side"), F.struct("*").alias("_row"))
-    w = Window.partitionBy(*by).orderBy("_ts", "_side")
     seen = F.when(F.col("_row").isNull(), F.struct("_v", "_ts"))
-    if forward:
-        near = F.first(seen, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    else:
-        near = F.last(seen, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    stacked = l.unionByName(r).withColumn("_near", near)
+    stacked = scan(l.unionByName(r), by, ["_ts", "_side"], {"_near": next_seen(seen) if forward else last_seen(seen)}, rows)
     return stacked.where("_row IS NOT NULL").select("_row.*", F.col("_near._v").alias("asof_value"), F.col("_near._ts").alias("asof_at"))
 
 
@@ -81,7 +77,7 @@ def pair_match(a: DataFrame, b: DataFrame, a_pair: tuple[str, str], b_pair: tupl
 
 def point_in_window(points: DataFrame, windows: DataFrame, by: list[str], ts: str, lo: str, hi: str, bucket_s: int = 86_400) -> DataFrame:
     """Points within [lo, hi] windows of their key. Windows are dealt to the buckets that they touch, so a key with many rows is many groups."""
-    sec = lambda c: F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / bucket_s)
+    sec = lambda c: F.floor(epoch_seconds(F.col(c)) / bucket_s)
     w = windows.withColumn("_bucket", F.explode(F.sequence(sec(lo), sec(hi))))
     return points.withColumn("_bucket", sec(ts)).join(w, [*by, "_bucket"]).where(F.col(ts).between(F.col(lo), F.col(hi))).drop("_bucket")
 
@@ -103,5 +99,7 @@ def divergent_keys(df: DataFrame, keys: list[str], values: list[str]) -> DataFra
 
 
 def canonical(df: DataFrame, c: str, aliases: DataFrame, variant: str, canonical_col: str) -> DataFrame:
-    one = aliases.groupBy(F.col(variant).alias(c)).agg(F.min(canonical_col).alias("_canonical"))
-    return df.join(one, c, "left").withColumn("canonical", F.coalesce("_canonical", c)).drop("_canonical")
+    """df with canonical: the canonical name of the alias whose match key equals that of c, else c as it stands. Of several canonical
+    names of one key the least counts; texts without a letter or digit have no key."""
+    one = aliases.groupBy(name_key(F.col(variant)).alias("_key")).agg(F.min(canonical_col).alias("_canonical")).where("_key != ''")
+    return df.withColumn("_key", name_key(F.col(c))).join(one, "_key", "left").withColumn("canonical", F.coalesce("_canonical", c)).drop("_canonical", "_key")

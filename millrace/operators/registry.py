@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import floor_epoch, safe_ratio
+from millrace.operators.scans import last_seen, scan
 from millrace.operators.windows import latest
 
 
@@ -120,10 +121,9 @@ def history_hash(df: DataFrame, key: str, ts: str, text: Column, tie: str) -> Da
 def contained_in(inner: DataFrame, outer: DataFrame, by: list[str], lo: str, hi: str) -> DataFrame:
     """inner with inside: whether one of its group's outer ranges [outer_lo, outer_hi] holds it whole. Ranges of a group are bounded by merging
     them first (merge_intervals); each inner row meets the last range that starts at or before it."""
-    w = Window.partitionBy(*by).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
     stacked = outer.select(*by, F.col("lo").alias("_at"), F.lit(0).alias("_side"), F.col("hi").alias("_hi"), F.lit(None).cast(inner.select(F.struct("*").alias("s")).schema["s"].dataType).alias("_row"))
     rows = inner.select(*by, F.col(lo).alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast(outer.schema["hi"].dataType).alias("_hi"), F.struct("*").alias("_row"))
-    seen = rows.unionByName(stacked).withColumn("_last", F.last("_hi", ignorenulls=True).over(w)).where("_row IS NOT NULL")
+    seen = scan(rows.unionByName(stacked), by, ["_at", "_side"], {"_last": last_seen(F.col("_hi"))}).where("_row IS NOT NULL")
     return seen.select("_row.*", F.coalesce(F.col(f"_row.{hi}") <= F.col("_last"), F.lit(False)).alias("inside"))
 
 

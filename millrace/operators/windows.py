@@ -5,31 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import epoch_seconds
+from millrace.operators.scans import SEGMENT_ROWS, Scan, last_seen, next_seen, scan
+
 
 def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")
 
 
-def locf(df: DataFrame, key: list[str], order: list[str], cols: list[str]) -> DataFrame:
-    w = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
+def locf(df: DataFrame, key: list[str], order: list[str], cols: list[str], rows: int = SEGMENT_ROWS) -> DataFrame:
+    return scan(df, key, order, {c: last_seen(F.col(c)) for c in cols}, rows)
 
 
-def max_gap(df: DataFrame, key: list[str], order: list[str], flag: Column) -> DataFrame:
+def max_gap(df: DataFrame, key: list[str], order: list[str], flag: Column, rows: int = SEGMENT_ROWS) -> DataFrame:
     """Longest run of rows after an observed one that are not observed."""
-    w = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    runs = df.withColumn("_seen", flag).withColumn("_run", F.sum(F.col("_seen").cast("int")).over(w))
+    runs = scan(df.withColumn("_seen", flag), key, order, {"_run": Scan("sum", F.col("_seen").cast("int"))}, rows)
     return runs.where("NOT _seen").groupBy(*key, "_run").count().groupBy(*key).agg(F.max("count").alias("longest_gap"))
 
 
-def with_gap(df: DataFrame, key: list[str], ts: str, ties: list[str]) -> DataFrame:
-    w = Window.partitionBy(*key).orderBy(ts, *ties)
-    seconds = lambda c: F.unix_seconds(c.cast("timestamp"))
-    return df.withColumn("gap_seconds", seconds(F.col(ts)) - seconds(F.lag(ts).over(w)))
+def with_gap(df: DataFrame, key: list[str], ts: str, ties: list[str], rows: int = SEGMENT_ROWS) -> DataFrame:
+    """df with gap_seconds, the whole seconds since a key's row before; null at the first and beside a null time."""
+    before = scan(df, key, [ts, *ties], {"_before": last_seen(F.struct(F.col(ts).alias("at")), own=False)}, rows)
+    return before.withColumn("gap_seconds", epoch_seconds(F.col(ts)) - epoch_seconds(F.col("_before.at"))).drop("_before")
 
 
-def sequence_by(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    return df.withColumn("event_sequence", (F.row_number().over(Window.partitionBy(*key).orderBy(*order)) - 1).cast("long"))
+def sequence_by(df: DataFrame, key: list[str], order: list[str], rows: int = SEGMENT_ROWS) -> DataFrame:
+    counted = scan(df, key, order, {"event_sequence": Scan("sum", F.lit(1))}, rows)
+    return counted.withColumn("event_sequence", (F.col("event_sequence") - 1).cast("long"))
 
 
 def rank_levels(df: DataFrame, book: list[str], side: str, price: str, ordinal: list[str]) -> DataFrame:
@@ -49,18 +51,17 @@ def cumulative_depth(df: DataFrame, book: list[str], side: str, rank: str, size:
     return df.withColumn("cumulative_size", F.sum(size).over(w))
 
 
-def merge_intervals(df: DataFrame, key: list[str], lo: str, hi: str) -> DataFrame:
+def merge_intervals(df: DataFrame, key: list[str], lo: str, hi: str, rows: int = SEGMENT_ROWS) -> DataFrame:
     """Overlapping or touching [lo, hi] intervals of a key as one, with how many each holds."""
-    w = Window.partitionBy(*key).orderBy(lo, hi)
-    before = F.max(hi).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    marked = df.withColumn("_new", F.when(F.col(lo) <= before, 0).otherwise(1)).withColumn("_group", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    reach = scan(df, key, [lo, hi], {"_before": Scan("max", F.col(hi), own=False)}, rows)
+    marked = scan(reach.withColumn("_new", F.when(F.col(lo) <= F.col("_before"), 0).otherwise(1)), key, [lo, hi], {"_group": Scan("sum", F.col("_new"))}, rows)
     return marked.groupBy(*key, "_group").agg(F.min(lo).alias("lo"), F.max(hi).alias("hi"), F.count("*").alias("members")).drop("_group")
 
 
-def interval_gaps(merged: DataFrame, key: list[str]) -> DataFrame:
+def interval_gaps(merged: DataFrame, key: list[str], rows: int = SEGMENT_ROWS) -> DataFrame:
     """What lies between consecutive merged intervals of a key."""
-    nxt = F.lead("lo").over(Window.partitionBy(*key).orderBy("lo"))
-    return merged.select(*key, F.col("hi").alias("gap_lo"), nxt.alias("gap_hi")).where("gap_hi IS NOT NULL AND gap_hi > gap_lo")
+    ahead = scan(merged, key, ["lo"], {"gap_hi": next_seen(F.col("lo"), own=False)}, rows)
+    return ahead.select(*key, F.col("hi").alias("gap_lo"), "gap_hi").where("gap_hi IS NOT NULL AND gap_hi > gap_lo")
 
 
 def zscore(df: DataFrame, c: str) -> DataFrame:
@@ -70,6 +71,6 @@ def zscore(df: DataFrame, c: str) -> DataFrame:
 
 
 def rolling_sum(df: DataFrame, key: list[str], ts: str, value: str, seconds: int) -> DataFrame:
-    """Sum over (t - seconds, t]."""
-    w = Window.partitionBy(*key).orderBy(F.unix_seconds(F.col(ts).cast("timestamp"))).rangeBetween(-(seconds - 1), 0)
+    """Sum over (t - seconds, t], by whole seconds."""
+    w = Window.partitionBy(*key).orderBy(epoch_seconds(F.col(ts))).rangeBetween(-(seconds - 1), 0)
     return df.withColumn("rolling_sum", F.sum(value).over(w))
