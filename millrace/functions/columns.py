@@ -1,18 +1,22 @@
-"""Column functions: names, times, ratios, JSON and text keys. All are built-in expressions; none is a Python UDF."""
+"""Column functions: names, times, ratios, JSON and text keys. All are built-in expressions, but for Unicode forms of texts beyond ASCII."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Accented Latin letters and their plain forms (fixed values).
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöøùúûüýÿ"
-PLAIN = "aaaaaaceeeeiiiinoooooouuuuyy"
+from millrace.functions.arrow import nfkc, unaccented
+
+#: Latin letters that have no decomposition, and their plain forms (fixed values).
+UNDECOMPOSED = {"ø": "o", "ł": "l", "đ": "d", "ß": "ss", "æ": "ae", "œ": "oe", "ı": "i"}
 
 
 def name_key(c: Column) -> Column:
     """Lower-case match key: accents stripped, other runs than letters and digits become one space."""
-    return F.trim(F.regexp_replace(F.translate(F.lower(c), ACCENTED, PLAIN), "[^a-z0-9]+", " "))
+    plain = unaccented(F.lower(c))
+    for letter, other in UNDECOMPOSED.items():
+        plain = F.replace(plain, F.lit(letter), F.lit(other))
+    return F.trim(F.regexp_replace(plain, "[^a-z0-9]+", " "))
 
 
 def compact_key(c: Column) -> Column:
@@ -98,8 +102,8 @@ def decimal_string(c: Column) -> Column:
 
 
 def clean_text(c: Column) -> Column:
-    """Line ends unified, control characters removed, outer space trimmed."""
-    return F.trim(F.regexp_replace(F.regexp_replace(c, "\r\n?", "\n"), "[\\u0000-\\u0008\\u000B-\\u001F\\u007F]", ""))
+    """Compatibility forms composed, line ends unified, control characters removed, outer space trimmed."""
+    return F.trim(F.regexp_replace(F.regexp_replace(nfkc(c), "\r\n?", "\n"), "[\\u0000-\\u0008\\u000B-\\u001F\\u007F]", ""))
 
 
 def to_utc(wall: Column, zone: str) -> Column:
