@@ -1,11 +1,14 @@
 """Snapshots and releases on shared storage: bucketed trees, manifests, a pointer to the published version, and file exports.
 
-A snapshot root holds data/v=N/bucket=B/ (Parquet), manifests/v=N/ (a row for each bucket: which version holds it) and pointers/n=K/
-(which version is published). All are written by Spark; nothing is ever overwritten, so readers of an older version go on undisturbed.
+A snapshot root holds data/_version=N/bucket=B/ (Parquet), manifests/N/ (a row for each bucket: which version holds it, and what it holds),
+about/N (what the version is and was made from) and pointers/K (which version is published, and which pointer stood before). A pointer or
+version is claimed by creating its file without overwriting, so of two writers one wins. Nothing is ever overwritten, so readers
+of an older version go on undisturbed until retain() deletes it.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import tempfile
 
@@ -35,86 +38,170 @@ def last_of(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.withColumn("_n", n).where("_n = 1").drop("_n")
 
 
-def _write(rows: DataFrame, root: str, version: int, token: str, ts: str, buckets: int) -> None:
-    """Tokens are hashed, so a bucket's rows come from one shuffle that spreads each bucket over as many tasks as the shuffle has."""
+class Conflict(RuntimeError):
+    """Another writer was first."""
+
+
+def _path(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _create(spark: SparkSession, name: str, content: dict) -> None:
+    """A small file with JSON; Conflict if it exists."""
+    path, fs = _path(spark, name)
+    try:
+        out = fs.create(path, False)
+    except Exception as e:
+        if "FileAlreadyExists" in str(e) or "already exists" in str(e):
+            raise Conflict(name) from None
+        raise
+    out.write(bytearray(json.dumps(content).encode()))
+    out.close()
+
+
+def _numbers(spark: SparkSession, folder: str) -> list[int]:
+    """The numbers that name a folder's files; a root has one for each version or publication."""
+    path, fs = _path(spark, folder)
+    return sorted(int(f.getPath().getName()) for f in fs.listStatus(path) if f.getPath().getName().isdigit()) if fs.exists(path) else []
+
+
+def _load(spark: SparkSession, name: str) -> dict:
+    return json.loads("".join(r.value for r in spark.read.text(name).collect()))
+
+
+MANIFEST = "bucket int, version int, rows long, tokens long, fingerprint string, digest string"
+
+
+def _describe(rows: DataFrame, version: int, token: str) -> DataFrame:
+    """A row for each bucket: rows, tokens, the schema's fingerprint and a digest of the content that no order of rows changes."""
+    columns = sorted(c for c in rows.columns if c != "bucket")
+    fingerprint = F.lit(",".join(f"{f.name}:{f.dataType.simpleString()}" for f in rows.schema if f.name != "bucket"))
+    content = F.concat_ws(":", *(F.sum(F.xxhash64(F.lit(seed), *columns).cast("decimal(38,0)")) for seed in (0, 1)))
+    held = rows.groupBy(F.col("bucket").cast("int").alias("bucket")).agg(F.count("*").alias("rows"), F.count_distinct(token).alias("tokens"), F.sha2(content, 256).alias("digest"))
+    return held.select("bucket", F.lit(version).alias("version"), "rows", "tokens", F.sha2(fingerprint, 256).alias("fingerprint"), "digest")
+
+
+def _add_version(rows: DataFrame, root: str, token: str, ts: str, buckets: int, parent: int | None, kept: DataFrame | None) -> int:
+    """Claims the next number and writes data, then manifest. Tokens are hashed, so a bucket's rows come from one shuffle that spreads
+    each bucket over as many tasks as the shuffle has."""
+    spark = rows.sparkSession
+    if clash := {"bucket", "_version"} & set(rows.columns):
+        raise ValueError(f"{sorted(clash)} name a snapshot's own columns: rename them first")
+    version = max(_numbers(spark, f"{root}/about"), default=-1) + 1
+    _create(spark, f"{root}/about/{version}", {"parent": parent, "schema": rows.schema.json(), "token": token, "ts": ts, "buckets": buckets})
     at = rows.withColumn("bucket", bucket_of(F.col(token), buckets))
-    at.repartition("bucket", F.pmod(F.xxhash64(token), F.lit(16))).sortWithinPartitions("bucket", token, ts).write.partitionBy("bucket").parquet(f"{root}/data/v={version}")
+    at.repartition("bucket", F.pmod(F.xxhash64(token), F.lit(16))).sortWithinPartitions("bucket", token, ts).write.partitionBy("bucket").parquet(f"{root}/data/_version={version}")
+    changed = _describe(_read(spark, root, [(version, None)], rows.schema), version, token)
+    whole = changed if kept is None else kept.unionByName(changed)
+    whole.write.parquet(f"{root}/manifests/{version}")
+    return version
 
 
-def _describe(spark: SparkSession, root: str, version: int, token: str) -> DataFrame:
-    tree = spark.read.parquet(f"{root}/data/v={version}")
-    fingerprint = F.lit(",".join(f"{f.name}:{f.dataType.simpleString()}" for f in tree.schema if f.name != "bucket"))
-    return tree.groupBy("bucket").agg(F.count("*").alias("rows"), F.count_distinct(token).alias("tokens")).select(F.col("bucket").cast("int"), F.lit(version).alias("version"), "rows", "tokens", F.sha2(fingerprint, 256).alias("fingerprint"))
+def _read(spark: SparkSession, root: str, places: list[tuple[int, int | None]], schema: StructType) -> DataFrame:
+    held = StructType([*schema, *StructType.fromDDL("bucket int, _version int")])
+    if not places:
+        return spark.createDataFrame([], held).drop("_version")
+    paths = [f"{root}/data/_version={v}" + ("" if b is None else f"/bucket={b}") for v, b in places]
+    return spark.read.schema(held).option("basePath", f"{root}/data").parquet(*paths).drop("_version")
 
 
 def write_snapshot(df: DataFrame, root: str, token: str, ts: str, order: list[str], buckets: int = BUCKETS) -> int:
-    """Version 0 of a snapshot: one row for each (token, time), the last by order, bucketed by token. Returns the version."""
-    spark = df.sparkSession
-    _write(last_of(df, [token, ts], order), root, 0, token, ts, buckets)
-    _describe(spark, root, 0, token).write.parquet(f"{root}/manifests/v=0")
-    return 0
+    """A first version of a snapshot: one row for each (token, time), the last by order, bucketed by token. Returns the version. An empty
+    table is a version without rows; df must have no columns named bucket or _version."""
+    return _add_version(last_of(df, [token, ts], order), root, token, ts, buckets, None, None)
 
 
-def update_snapshot(spark: SparkSession, root: str, base: int, delta: DataFrame, token: str, ts: str, order: list[str], buckets: int = BUCKETS) -> int:
+def update_snapshot(spark: SparkSession, root: str, base: int, delta: DataFrame, token: str, ts: str, order: list[str]) -> int:
     """A version that rewrites only the buckets which delta's tokens fall in. Tokens of delta are replaced whole; other tokens keep their rows.
-    Returns the version."""
-    version = base + 1
+    Returns the version, a new one even if base is not the latest."""
+    buckets = _load(spark, f"{root}/about/{base}")["buckets"]
     fresh = last_of(delta, [token, ts], order)
     dirty = fresh.select(bucket_of(F.col(token), buckets).alias("bucket")).distinct()
     kept = scan_snapshot(spark, root, base).join(F.broadcast(dirty), "bucket", "left_semi").join(fresh.select(token).distinct(), token, "left_anti").drop("bucket")
-    _write(kept.unionByName(fresh), root, version, token, ts, buckets)
-    changed = _describe(spark, root, version, token)
-    old = spark.read.parquet(f"{root}/manifests/v={base}").join(changed.select("bucket"), "bucket", "left_anti")
-    old.unionByName(changed).write.parquet(f"{root}/manifests/v={version}")
-    return version
+    untouched = _manifest(spark, root, base).join(F.broadcast(dirty), "bucket", "left_anti")
+    return _add_version(kept.unionByName(fresh).select(fresh.columns), root, token, ts, buckets, base, untouched)
+
+
+def _manifest(spark: SparkSession, root: str, version: int) -> DataFrame:
+    return spark.read.schema(MANIFEST).parquet(f"{root}/manifests/{version}")
 
 
 def scan_snapshot(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
     """The rows of a version (None: the published one), with bucket. The manifest holds a row for each bucket, so reading it is bounded."""
     version = published(spark, root) if version is None else version
-    held = spark.read.parquet(f"{root}/manifests/v={version}").select("bucket", "version").collect()
-    return spark.read.option("basePath", f"{root}/data").parquet(*(f"{root}/data/v={r.version}/bucket={r.bucket}" for r in held)).drop("v")
+    schema = StructType.fromJson(json.loads(_load(spark, f"{root}/about/{version}")["schema"]))
+    return _read(spark, root, [(r.version, r.bucket) for r in _manifest(spark, root, version).select("version", "bucket").collect()], schema)
 
 
 def validate_snapshot(spark: SparkSession, root: str, version: int, token: str) -> DataFrame:
-    """(bucket, issue) of buckets whose rows, tokens or schema differ from the manifest's, or that lie in the wrong bucket."""
-    rows = scan_snapshot(spark, root, version)
-    found = rows.groupBy("bucket").agg(F.count("*").alias("_rows"), F.count_distinct(token).alias("_tokens"))
-    both = spark.read.parquet(f"{root}/manifests/v={version}").join(found.withColumn("bucket", F.col("bucket").cast("int")), "bucket", "full")
-    differs = ~(F.col("rows").eqNullSafe(F.col("_rows")) & F.col("tokens").eqNullSafe(F.col("_tokens")))
-    return both.where(differs).select("bucket", F.lit("counts").alias("issue"))
-
-
-def publish_snapshot(spark: SparkSession, root: str, version: int, token: str) -> None:
-    """Points readers at a version, if it holds what its manifest says."""
+    """(bucket, issue) of buckets whose rows, tokens, schema or content differ from the manifest's, or that hold tokens of another bucket."""
+    about, rows = _load(spark, f"{root}/about/{version}"), scan_snapshot(spark, root, version)
+    astray = rows.groupBy(F.col("bucket").cast("int").alias("bucket")).agg(F.count_if(bucket_of(F.col(token), about["buckets"]) != F.col("bucket")).alias("_astray"))
+    found = _describe(rows, version, token).join(astray, "bucket").withColumnsRenamed({c: f"_{c}" for c in ("rows", "tokens", "fingerprint", "digest")}).drop("version")
+    both = _manifest(spark, root, version).join(found, "bucket", "full")
+    differs = lambda c: F.when(~F.col(c).eqNullSafe(F.col(f"_{c}")), F.lit({"rows": "counts", "tokens": "counts", "fingerprint": "schema", "digest": "content"}[c]))
+    issues = F.array_distinct(F.array_compact(F.array(*(differs(c) for c in ("rows", "tokens", "fingerprint", "digest")), F.when(F.col("_astray") > 0, F.lit("bucket")))))
+    return both.select("bucket", F.explode(issues).alias("issue"))
+
+
+def publish_snapshot(spark: SparkSession, root: str, version: int, token: str, expected: int | None = None) -> int:
+    """Points readers at a version, if it holds what its manifest says, and returns the pointer's number. expected: the pointer that the
+    writer has seen last (None: the present one); Conflict if another one was set since."""
     if not validate_snapshot(spark, root, version, token).isEmpty():
         raise ValueError(f"version {version} differs from its manifest")
-    spark.range(1).select(F.lit(version).alias("version"), (F.lit(_pointers(spark, root)[0] + 1)).alias("n")).write.mode("append").json(f"{root}/pointers")
+    last = _pointer(spark, root)[0] if expected is None else expected
+    _create(spark, f"{root}/pointers/{last + 1}", {"version": version, "before": last if last >= 0 else None})
+    return last + 1
 
 
-def _pointers(spark: SparkSession, root: str) -> tuple[int, int | None]:
-    """The number of the last pointer and its version; (-1, None) before the first."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/pointers")
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return -1, None
-    last = spark.read.schema("version INT, n INT").json(f"{root}/pointers").orderBy(F.desc("n")).first()
-    return (last.n, last.version) if last else (-1, None)
+def _pointer(spark: SparkSession, root: str) -> tuple[int, dict | None]:
+    """The number and content of the last pointer; (-1, None) before the first."""
+    last = max(_numbers(spark, f"{root}/pointers"), default=-1)
+    return last, _load(spark, f"{root}/pointers/{last}") if last >= 0 else None
 
 
 def published(spark: SparkSession, root: str) -> int:
-    version = _pointers(spark, root)[1]
-    if version is None:
+    pointer = _pointer(spark, root)[1]
+    if pointer is None:
         raise ValueError(f"nothing is published below {root}")
-    return version
+    return pointer["version"]
 
 
 def rollback(spark: SparkSession, root: str, token: str) -> int:
-    """Publishes the version published before the current one."""
-    last = spark.read.schema("version INT, n INT").json(f"{root}/pointers").where(F.col("version") != published(spark, root)).orderBy(F.desc("n")).first()
-    if last is None:
+    """Publishes the version that the present pointer replaced, and returns it; so a second rollback goes one further back."""
+    last, pointer = _pointer(spark, root)
+    if pointer is None or pointer["before"] is None:
         raise ValueError("no version was published before")
-    publish_snapshot(spark, root, last.version, token)
-    return last.version
+    before = _load(spark, f"{root}/pointers/{pointer['before']}")
+    if not validate_snapshot(spark, root, before["version"], token).isEmpty():
+        raise ValueError(f"version {before['version']} differs from its manifest")
+    _create(spark, f"{root}/pointers/{last + 1}", before)
+    return before["version"]
+
+
+def retain(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
+    """Deletes what the kept versions do not refer to, and returns these: the published version, the one that a rollback would publish,
+    and the newest others up to keep. A bucket stays as long as a kept version holds it, whatever version it was written for."""
+    if keep < 1:
+        raise ValueError("keep must be 1 or more")
+    versions, pointer = _numbers(spark, f"{root}/manifests"), _pointer(spark, root)[1]
+    kept = set() if pointer is None else {pointer["version"]}
+    if pointer and pointer["before"] is not None:
+        kept.add(_load(spark, f"{root}/pointers/{pointer['before']}")["version"])
+    for v in reversed(versions):
+        if len(kept) < keep:
+            kept.add(v)
+    held = {(r.version, r.bucket) for v in kept for r in _manifest(spark, root, v).select("version", "bucket").collect()}
+    for v in versions:
+        path, fs = _path(spark, f"{root}/data/_version={v}")
+        for f in fs.listStatus(path) if fs.exists(path) else []:
+            name = f.getPath().getName()
+            if name.startswith("bucket=") and (v, int(name[7:])) not in held:
+                fs.delete(f.getPath(), True)
+        if v not in kept:
+            fs.delete(_path(spark, f"{root}/manifests/{v}")[0], True)
+    return sorted(kept)
 
 
 def read_csv_contract(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:

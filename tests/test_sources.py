@@ -24,11 +24,76 @@ def test_snapshot_versions(spark, tmp_path):
     assert rows() == [("a", 1, 0.2), ("b", 2, 0.3)]
     snapshots.publish_snapshot(spark, root, 1, "k")
     assert rows() == [("a", 3, 0.4), ("b", 2, 0.3), ("c", 1, 0.5)]
-    kept = spark.read.parquet(f"{root}/manifests/v=1").where("version = 0").count()
+    kept = spark.read.parquet(f"{root}/manifests/1").where("version = 0").count()
     assert kept == 1 and rows(0) == [("a", 1, 0.2), ("b", 2, 0.3)]
     assert snapshots.rollback(spark, root, "k") == 0 and rows() == [("a", 1, 0.2), ("b", 2, 0.3)]
 
 
+def test_rollback_goes_back_each_time(spark, tmp_path):
+    root = str(tmp_path / "s")
+    base = snapshots.write_snapshot(ticks(spark, ("a", 1, 0.0)), root, "k", "ts", ["p"])
+    versions = [base] + [snapshots.update_snapshot(spark, root, base, ticks(spark, ("a", i, i / 10)), "k", "ts", ["p"]) for i in (1, 2)]
+    assert versions == [0, 1, 2]
+    for v in versions:
+        snapshots.publish_snapshot(spark, root, v, "k")
+    assert [snapshots.rollback(spark, root, "k") for _ in range(2)] == [1, 0] and snapshots.published(spark, root) == 0
+    with pytest.raises(ValueError, match="no version was published before"):
+        snapshots.rollback(spark, root, "k")
+
+
+def test_of_two_writers_one_wins(spark, tmp_path):
+    root = str(tmp_path / "s")
+    for i in range(2):
+        snapshots.write_snapshot(ticks(spark, ("a", 1, i / 10)), root, "k", "ts", ["p"])
+    seen = snapshots.publish_snapshot(spark, root, 0, "k")
+    assert snapshots.publish_snapshot(spark, root, 1, "k", expected=seen) == seen + 1
+    with pytest.raises(snapshots.Conflict):
+        snapshots.publish_snapshot(spark, root, 0, "k", expected=seen)
+    assert snapshots.published(spark, root) == 1
+
+
+def test_retention_keeps_what_is_referred_to(spark, tmp_path):
+    root = str(tmp_path / "s")
+    snapshots.write_snapshot(ticks(spark, ("a", 1, 0.1), ("b", 1, 0.2), ("c", 1, 0.3)), root, "k", "ts", ["p"])
+    for v in range(1, 4):
+        snapshots.update_snapshot(spark, root, v - 1, ticks(spark, ("a", v, v / 10)), "k", "ts", ["p"])
+        snapshots.publish_snapshot(spark, root, v, "k")
+    before = {v: sorted(map(str, snapshots.scan_snapshot(spark, root, v).collect())) for v in (2, 3)}
+    assert snapshots.retain(spark, root) == [2, 3]
+    assert {v: sorted(map(str, snapshots.scan_snapshot(spark, root, v).collect())) for v in (2, 3)} == before
+    left = {(v, p.name) for v in range(4) for p in (tmp_path / "s" / "data" / f"_version={v}").glob("bucket=*")}
+    assert len(left) == 4 and not any(v == 1 for v, _ in left)  # b and c of the first, a of the last two
+    assert snapshots.validate_snapshot(spark, root, 3, "k").isEmpty() and snapshots.rollback(spark, root, "k") == 2
+
+
+def test_validation_sees_other_content(spark, tmp_path):
+    root = str(tmp_path / "s")
+    rows = ticks(spark, ("a", 1, 0.1), ("b", 1, 0.2)).withColumn("v", F.lit(7))
+    snapshots.write_snapshot(rows, root, "k", "ts", ["p"])
+    assert snapshots.scan_snapshot(spark, root, 0).columns == ["k", "ts", "p", "v", "bucket"]
+    assert snapshots.update_snapshot(spark, root, 0, rows.limit(0), "k", "ts", ["p"]) == 1 and snapshots.scan_snapshot(spark, root, 1).count() == 2
+    bucket = next((tmp_path / "s" / "data" / "_version=0").glob("bucket=*"))
+    held = snapshots.scan_snapshot(spark, root, 0).where(f"bucket = {bucket.name[7:]}").drop("bucket")
+    held = spark.createDataFrame(held.collect(), held.schema)
+    for change, issue in ((held.withColumn("p", F.col("p") + 1), {"content"}), (held.withColumn("k", F.lit("other")), {"content", "bucket"}), (held.union(held), {"counts", "content"})):
+        rows_now = spark.createDataFrame(change.collect(), change.schema)
+        rows_now.write.mode("overwrite").parquet(str(bucket))
+        assert {r.issue for r in snapshots.validate_snapshot(spark, root, 0, "k").collect()} == issue
+        with pytest.raises(ValueError, match="differs"):
+            snapshots.publish_snapshot(spark, root, 0, "k")
+    with pytest.raises(ValueError, match="rename"):
+        snapshots.write_snapshot(rows.withColumn("bucket", F.lit(1)), root, "k", "ts", ["p"])
+
+
+def test_empty_snapshots(spark, tmp_path):
+    root = str(tmp_path / "s")
+    snapshots.write_snapshot(ticks(spark), root, "k", "ts", ["p"])
+    snapshots.publish_snapshot(spark, root, 0, "k")
+    assert snapshots.scan_snapshot(spark, root).count() == 0
+    snapshots.update_snapshot(spark, root, 0, ticks(spark, ("a", 1, 0.5)), "k", "ts", ["p"])
+    assert snapshots.scan_snapshot(spark, root, 1).count() == 1
+
+
 def test_csv_contract(spark, tmp_path):
     good, bad = tmp_path / "good.csv", tmp_path / "bad.csv"
     good.write_text("k,n\na,1\n,\n")
@@ -65,7 +130,7 @@ def test_book_is_cleared_by_a_reset(spark):
     assert (at(0), at(1), at(2), at(3)) == ([(1, 5.0)], [(2, 10.0)], [(1, 1.0)], [])
 
 
-def test_words_beyond_64_bits_are_null(spark):
+def test_words_of_64_bits(spark):
     word = lambda n: f"{n:064x}"
     rows = spark.createDataFrame([(word(7) + word(2**64 - 1),), (word(2**64) + "ff",)], "d string")
     assert [tuple(r) for r in rows.select(books.data_word(F.col("d"), 0), books.data_word(F.col("d"), 1)).collect()] == [(7, 2**64 - 1), (None, None)]
