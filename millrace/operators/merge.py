@@ -22,7 +22,13 @@ def merge_replace(target: DataFrame, batch: DataFrame, keys: list[str], order: l
 
 
 def merge_rules(target: DataFrame, batch: DataFrame, keys: list[str], rules: dict[str, str]) -> DataFrame:
-    """Full join with a rule for each column: new (else old), keep (else new), greatest, least, sticky (or of both)."""
+    """Full join with a rule for each column: new (else old), keep (else new), greatest, least, sticky (or of both).
+
+    Rows of a key that the batch has several times are first merged by the same rules, new and keep in order of values: the greatest counts as new,
+    the least is kept. Keys of target are unique.
+    """
+    within = {"new": F.max, "keep": F.min, "greatest": F.max, "least": F.min, "sticky": F.bool_or}
+    batch = batch.groupBy(*keys).agg(*(within[r](c).alias(c) for c, r in rules.items()))
     t, b = target.select(*keys, *(F.col(c).alias(f"_t_{c}") for c in rules)), batch.select(*keys, *(F.col(c).alias(f"_b_{c}") for c in rules))
 
     def one(c: str, rule: str):
