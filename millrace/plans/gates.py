@@ -7,8 +7,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import floor_epoch
-from millrace.operators import matches, publication, scans, windows
-from millrace.plans.market import _t
+from millrace.operators import bars, matches, minutes, publication, scans, windows
+from millrace.plans.market import OHLC_SQL, _t
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -130,3 +130,49 @@ def intervals_of_large_keys(spark, d):
     lo = floor_epoch(F.col("l_shipdate"), 1)
     i = _t(spark, d, "lineitem").select(F.col("l_returnflag").alias("k"), lo.alias("lo"), (lo + (F.col("l_quantity") * 100).cast("long")).alias("hi"))
     return windows.merge_intervals(i, ["k"], "lo", "hi", SEGMENT)
+
+
+BARS_SQL = OHLC_SQL.format(key="user_id, event_type", ts="ts", p="value", t="events", s=60)
+
+
+@query(f"""WITH b AS ({BARS_SQL}), w AS (SELECT user_id, epoch_us(min(ts)) // 60000000 * 60 AS lo, (epoch_us(min(ts)) + 21600000000) // 60000000 * 60 AS hi FROM events GROUP BY 1), o AS (SELECT b.* FROM b JOIN w USING (user_id) WHERE event_type IN ('view', 'purchase') AND bucket BETWEEN lo AND hi),
+ s AS (SELECT user_id, unnest(range(lo, hi + 60, 60)) AS m FROM w WHERE user_id IN (SELECT user_id FROM o)), j AS (SELECT s.*, y.open_price AS y_open, y.close_price AS y, n.close_price AS n FROM s LEFT JOIN o y ON y.user_id = s.user_id AND y.bucket = m AND y.event_type = 'view' LEFT JOIN o n ON n.user_id = s.user_id AND n.bucket = m AND n.event_type = 'purchase'),
+ c AS (SELECT *, last_value(y IGNORE NULLS) OVER w AS yc, last_value(n IGNORE NULLS) OVER w AS nc FROM j WINDOW w AS (PARTITION BY user_id ORDER BY m ROWS UNBOUNDED PRECEDING))
+ SELECT user_id::VARCHAR AS market_id, m AS odds_minute_epoch, y IS NOT NULL AS is_observed, coalesce(y_open, yc) AS open_price, yc AS close_price, n IS NOT NULL AS is_no_observed, nc AS no_close_price FROM c""")
+def dense_market_minutes(spark, d):
+    """Users as markets of two tokens, their views and purchases, over the six hours from their first event."""
+    return _dense(spark, d).select("market_id", "odds_minute_epoch", "is_observed", "open_price", "close_price", "is_no_observed", "no_close_price")
+
+
+def _dense(spark, d):
+    e = _t(spark, d, "events")
+    ohlc = bars.ohlc(e, ["user_id", "event_type"], "ts", "value", 60).select(F.col("user_id").cast("string").alias("market_id"), F.concat_ws("-", F.col("user_id").cast("string"), "event_type").alias("clob_token_id"), F.col("bucket").alias("odds_minute_epoch"), *minutes.PRICES, *minutes.OBSERVED)
+    user = F.col("user_id").cast("string")
+    registry = e.groupBy("user_id").agg(F.min("ts").alias("window_start_at")).select(user.alias("market_id"), F.concat(user, F.lit("-view")).alias("yes_token_id"), F.concat(user, F.lit("-purchase")).alias("no_token_id"), "window_start_at", (F.col("window_start_at") + F.make_dt_interval(hours=F.lit(6))).alias("window_end_at"))
+    return minutes.dense_minutes(minutes.observed_minutes(registry, ohlc))
+
+
+@query(f"""WITH b AS ({BARS_SQL}), w AS (SELECT user_id, epoch_us(min(ts)) // 60000000 * 60 AS lo, (epoch_us(min(ts)) + 21600000000) // 60000000 * 60 AS hi FROM events GROUP BY 1), o AS (SELECT b.* FROM b JOIN w USING (user_id) WHERE event_type IN ('view', 'purchase') AND bucket BETWEEN lo AND hi)
+ SELECT (361 * count(DISTINCT user_id))::BIGINT AS minutes, count(DISTINCT user_id) AS markets, count(DISTINCT user_id) - count(DISTINCT user_id) FILTER (event_type = 'view') AS unobserved, 0::BIGINT AS axis FROM o""")
+def dense_minute_quality(spark, d):
+    return minutes.minute_quality(_dense(spark, d)).select("minutes", "markets", "unobserved", "axis")
+
+
+@query("""WITH f AS (SELECT l_suppkey AS p, CASE l_returnflag WHEN 'A' THEN 'yes' ELSE 'no' END AS side, epoch_us(l_shipdate) // 60000000 * 60 AS m, round(l_discount * 100)::BIGINT + 10 AS cents, l_quantity AS q, struct_pack(a := l_orderkey, b := l_linenumber, c := round(l_extendedprice * 100)::BIGINT) AS chain FROM lineitem
+   WHERE l_returnflag <> 'N' AND l_orderkey % 5 <> 0 AND l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate < TIMESTAMP '2000-01-01')
+ SELECT p::VARCHAR AS proposition_id, side AS outcome_side, m AS minute_epoch, arg_min(cents, chain) / 100 AS open_price, arg_max(cents, chain) / 100 AS close_price, max(cents) / 100 AS high_price, count(*) AS fills, sum(q) AS share_volume, round(sum(q * cents) / sum(q) / 100, 9) AS vwap FROM f GROUP BY 1, 2, 3""")
+def settlement_bars(spark, d):
+    """Lines as fills of two tokens a supplier, of a published and of an older scan."""
+    price = ((F.round(F.col("l_discount") * 100) + 10).cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(38,18)")
+    quantity = F.col("l_quantity").cast("decimal(20,6)")
+    fills = _t(spark, d, "lineitem").select(
+        F.when(F.col("l_orderkey") % 5 == 0, "old").otherwise("new").alias("scan_id"), F.col("l_suppkey").cast("string").alias("proposition_id"), F.concat_ws("-", F.col("l_suppkey").cast("string"), "l_returnflag").alias("token_id"), F.col("l_shipdate").alias("block_timestamp"), F.col("l_orderkey").alias("block_number"),
+        F.col("l_linenumber").cast("long").alias("transaction_index"), F.round(F.col("l_extendedprice") * 100).cast("long").alias("log_index"), F.lit(0).alias("ordinal"), price.alias("price"), quantity.cast("decimal(38,6)").alias("share_volume"), (quantity * price.cast("decimal(10,6)")).cast("decimal(38,6)").alias("collateral_volume"), F.lit(False).alias("is_derived"),
+    )
+    day = lambda year: F.lit(dt.datetime(year, 1, 1)).cast("timestamp_ntz")
+    sides = F.explode(F.array(F.struct(F.lit("A").alias("flag"), F.lit("yes").alias("side")), F.struct(F.lit("R").alias("flag"), F.lit("no").alias("side"))))
+    tokens = _t(spark, d, "supplier").withColumn("s", sides).select(F.col("s_suppkey").cast("string").alias("proposition_id"), F.concat_ws("-", F.col("s_suppkey").cast("string"), "s.flag").alias("token_id"), F.col("s.side").alias("outcome_side"), day(1996).alias("window_lo"), day(2000).alias("window_hi"))
+    runs = fills.select("scan_id").distinct().select("scan_id", F.lit("published").alias("status"), F.lit(True).alias("raw_published"), F.when(F.col("scan_id") == "new", day(2001)).otherwise(day(2000)).alias("published_at"), day(2000).alias("finished_at"))
+    found = minutes.settlement_minutes(fills, tokens, runs)
+    double = lambda c: F.col(c).cast("double").alias(c)
+    return found.select("proposition_id", "outcome_side", "minute_epoch", double("open_price"), double("close_price"), double("high_price"), "fills", double("share_volume"), F.round(F.col("vwap").cast("double"), 9).alias("vwap"))
