@@ -47,7 +47,7 @@ class Quantiser:
     """Coarse centroids and residual codebooks for unit vectors of one dimension."""
 
     def __init__(self, sample: np.ndarray, n_centers: int, seed: int = 11):
-        x = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+        x = unit_rows(sample)
         self.dim = x.shape[1]
         self.centers = _kmeans(x, n_centers, seed)
         norms = (self.centers**2).sum(1)
@@ -89,10 +89,16 @@ def fit(classes: DataFrame) -> dict[int, Quantiser]:
     return {d: Quantiser(np.array(v, float), n_centers) for d, v in by_dim.items()}
 
 
+def unit_rows(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1. They are divided by their largest component first, so that no square overflows or vanishes."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def _unit(column: pa.Array) -> np.ndarray:
     values = column.values.to_numpy(zero_copy_only=False)[column.offsets[0].as_py() : column.offsets[-1].as_py()]
     x = values.reshape(len(column), -1).astype(float)
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
+    return unit_rows(x)
 
 
 def _by_dim(batch: pa.RecordBatch, name: str):

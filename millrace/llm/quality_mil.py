@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.shared import BLOCK_BYTES, SPACES, lean, row_blocks, saved, table, text_buffer
@@ -19,8 +19,8 @@ PASSAGE_WORDS = 64
 SAMPLE = 6000
 #: Bytes of one passage that stands for a text without white space.
 PASSAGE_BYTES = 4096
-#: Passages of a text that the model is fitted on, at most, spread evenly over the text. Scores take all passages.
-FITTED_PASSAGES = 128
+#: Passages of the sample, at most: labelled rows are taken whole, in the order of their ids' hashes, as long as all of theirs fit.
+SAMPLE_PASSAGES = 200_000
 
 #: Printable ASCII singly; other ASCII; bytes of characters beyond it.
 CLASS_OF = np.full(256, 96, np.int64)
@@ -151,15 +151,15 @@ def held_out(id_col: str) -> F.Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> AttentionModel:
+def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE, sample_passages: int = SAMPLE_PASSAGES) -> AttentionModel:
     """A model of label_col (0 or 1), learned from at most `sample` labelled ids that are not held out; nothing but texts is an input.
 
-    Of rows with the same labelled id one counts (that of the least text hash), and of ids labelled twice one label. At most
-    FITTED_PASSAGES passages of a text are fitted on. Null labels and ids are left out. Without rows, or with one label only, the
+    Of rows with the same labelled id one counts (that of the least text hash), and of an id's labels the least. Every passage of a text counts;
+    labelled rows are taken in the order of their ids' hashes as long as they have at most sample_passages passages together. Null labels and ids are left out. Without rows, or with one label only, the
     model gives every text the same score: 0.95 if there is no row or the label is 1, 0.05 if it is 0.
     """
     chosen = labels.where(~held_out(id_col) & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(id_col, F.col(label_col).cast("double").alias("label"))
-    chosen = saved(chosen.dropDuplicates([id_col]).orderBy(F.xxhash64(id_col, F.lit(17))).limit(sample))
+    chosen = saved(chosen.groupBy(id_col).agg(F.min("label").alias("label")).orderBy(F.xxhash64(id_col, F.lit(17)), id_col).limit(sample))
 
     def run(batches):
         for batch in batches:
@@ -169,13 +169,17 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
             for a, b in row_blocks(offs):
                 x, row = all_passages(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
                 bags = np.split(x, np.cumsum(np.bincount(row, minlength=b - a))[:-1])
-                some = [p[np.linspace(0, len(p) - 1, min(len(p), FITTED_PASSAGES)).astype(np.int64)] for p in bags]
-                yield pa.RecordBatch.from_arrays([pa.array(label[a:b]), pa.array([p.astype(np.float32).tobytes() for p in some], pa.binary()), ids.slice(a, b - a), texts.slice(a, b - a)], ["label", "passages", "id", "text_hash"])
+                # a text of more passages than the whole sample may have is never fitted on
+                held = [p.astype(np.float32).tobytes() if len(p) <= sample_passages else None for p in bags]
+                yield pa.RecordBatch.from_arrays([pa.array(label[a:b]), pa.array(held, pa.binary()), pa.array([len(p) for p in bags], pa.int64()), ids.slice(a, b - a), texts.slice(a, b - a)], ["label", "passages", "n", "id", "text_hash"])
 
     # the sample is bounded, and so is the table that is broadcast to the scan
     some = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).select(text_col, "label", F.col(id_col).cast("string").alias("id"), F.xxhash64(text_col).alias("text_hash"))
-    bags = some.mapInArrow(lean(run), "label double, passages binary, id string, text_hash long")
-    rows = bags.groupBy("id").agg(F.min_by(F.struct("label", "passages"), "text_hash").alias("x")).select("x.*").collect()
+    bags = some.mapInArrow(lean(run), "label double, passages binary, n long, id string, text_hash long")
+    bags = saved(bags.groupBy("id").agg(F.min_by(F.struct("label", "passages", "n"), "text_hash").alias("x")).select("id", "x.*"))
+    before = F.sum("n").over(Window.orderBy(F.xxhash64("id", F.lit(17)), "id"))  # of `sample` rows at most
+    fitting = bags.select("id", before.alias("before")).where(F.col("before") <= sample_passages).select("id")
+    rows = bags.where("passages IS NOT NULL").join(F.broadcast(fitting), "id").select("label", "passages").collect()
     bags = [np.frombuffer(r[1], np.float32).reshape(-1, N_FEATURES) for r in rows]
     model = AttentionModel()
     if not bags or len({r[0] for r in rows}) < 2:

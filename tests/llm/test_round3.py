@@ -187,3 +187,28 @@ def test_wavelet_ranks():
     at = np.arange(1001)
     for kind in range(8):
         assert matrix.rank(kind, at).tolist() == np.concatenate([[0], np.cumsum(classes == kind)]).tolist()
+
+
+def test_quality_sample_is_whole_rows(spark, monkeypatch):
+    from millrace.llm import quality_mil as q
+
+    seen = []
+    monkeypatch.setattr(q.AttentionModel, "fit", lambda self, x, start, label: seen.append((len(x), len(start), sorted(label))) or self)
+    texts = [(i, " ".join(["good words of prose"] * (16 * (1 + i % 3)))) for i in range(40)] + [(100, "w " * 64 * 60)]
+    labels = [(i, i % 2) for i in range(40)] + [(0, 1), (1, 0), (100, 1), (None, 1), (3, None)]
+    docs, given = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    q.fit_quality(docs, given)
+    q.fit_quality(docs, given.orderBy("quality"))
+    assert seen[0] == seen[1]  # whatever the order of an id's labels
+    kept = [i for i in [*range(40), 100] if __import__("zlib").crc32(str(i).encode()) % 5]
+    assert seen[0][1] == len(kept) and seen[0][0] == sum(60 if i == 100 else 1 + i % 3 for i in kept)  # every passage
+    q.fit_quality(docs, given, sample_passages=20)
+    assert seen[2][0] <= 20 and seen[2][1] > 3
+
+
+def test_vectors_whose_squares_overflow_link(spark):
+    from millrace.llm.embedding_pq import near_vectors
+
+    rows = [(1, [1e200, 1e200], 1), (2, [1e200, 1.01e200], 1), (3, [1e-200, 1e-200], 1), (4, [1e200, -1e200], 1), (5, [5e-324, 5e-324], 1)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (0, 4), 5: (3, 1)}
