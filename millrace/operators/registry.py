@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,11 +58,19 @@ def rebuild_dirty(target: DataFrame, fresh: DataFrame, key: str, revision: str)
 
 
 def hash_sample(df: DataFrame, key: str, share: float, seed: str) -> DataFrame:
-    """All rows of the ceil(n * share) keys of the lowest sha256(seed:key)."""
-    keys = df.select(key).distinct()
-    n = keys.agg(F.ceil(F.count("*") * F.lit(share)).cast("int")).first()[0]
-    chosen = keys.orderBy(F.sha2(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")), 256), key).limit(n)
-    return df.join(chosen, key, "left_semi")
+    """All rows of the ceil(n * share) keys of the lowest sha256(seed:key); null keys are no keys. Keys are counted in 65,536 buckets of their hash, and only
+    the bucket that the cut goes through is ordered, so no task sees more than a sliver of the keys."""
+    digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")), 256)
+    hashed = df.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_h", digest).withColumn("_b", F.conv(F.substring("_h", 1, 4), 16, 10).cast("int"))
+    counts = sorted((r["_b"], r["count"]) for r in hashed.groupBy("_b").count().collect())
+    left, cut = math.ceil(sum(n for _, n in counts) * share), 1 << 16
+    for b, n in counts:
+        if n > left:
+            cut = b
+            break
+        left -= n
+    part = hashed.where(F.col("_b") == cut).orderBy("_h", key).limit(left).select(key)
+    return df.join(hashed.where(F.col("_b") < cut).select(key).unionByName(part), key, "left_semi")
 
 
 def purge_ids(frames: dict[str, DataFrame], denied: DataFrame, key: str) -> tuple[dict[str, DataFrame], DataFrame]:

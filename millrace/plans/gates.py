@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import floor_epoch
-from millrace.operators import bars, matches, minutes, publication, scans, windows
+from millrace.operators import bars, contracts, matches, minutes, publication, scans, windows
 from millrace.plans.market import OHLC_SQL, _t
 
 QUERIES: dict = {}
@@ -176,3 +176,33 @@ def settlement_bars(spark, d):
     found = minutes.settlement_minutes(fills, tokens, runs)
     double = lambda c: F.col(c).cast("double").alias(c)
     return found.select("proposition_id", "outcome_side", "minute_epoch", double("open_price"), double("close_price"), double("high_price"), "fills", double("share_volume"), F.round(F.col("vwap").cast("double"), 9).alias("vwap"))
+
+
+@query("""WITH r AS (SELECT o_custkey, o_orderkey, o_orderkey % 7 AS planned, o_orderkey % 8 AS processed, o_orderkey % 13 AS n, o_orderkey % 4 + o_orderkey % 3 AS answers, o_orderkey % 5 AS errors, o_orderkey % 10 AS tokens, o_orderkey % 11 - 1 AS covered,
+ lag(o_orderkey % 5) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS before FROM orders)
+ SELECT o_custkey, o_orderkey, 'negative' AS issue FROM r WHERE covered < 0 UNION ALL SELECT o_custkey, o_orderkey, 'planned' FROM r WHERE planned < processed UNION ALL SELECT o_custkey, o_orderkey, 'http' FROM r WHERE answers > 4
+ UNION ALL SELECT o_custkey, o_orderkey, 'ratio' FROM r WHERE tokens > 0 AND n < tokens * 0.5 UNION ALL SELECT o_custkey, o_orderkey, 'coverage' FROM r WHERE tokens > 0 AND covered < tokens * 0.75 UNION ALL SELECT o_custkey, o_orderkey, 'regression' FROM r WHERE errors > before""")
+def run_issues(spark, d):
+    """Orders as runs of their customers' jobs."""
+    k = F.col("o_orderkey")
+    runs = _t(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate", (k % 7).alias("planned"), (k % 8).alias("processed"), (k % 13).alias("rows"), F.lit(4).alias("requests"), (k % 4).alias("http_ok"), (k % 3).alias("http_errors"), (k % 5).alias("errors"), (k % 10).alias("tokens"), (k % 11 - 1).alias("covered"))
+    return contracts.run_contract(runs, "o_custkey", "o_orderkey", "o_orderdate", 0.5, 0.75)
+
+
+@query("""WITH c AS (SELECT l_suppkey AS k, l_orderkey * 10 AS lo, l_orderkey * 10 + l_quantity::BIGINT AS hi FROM lineitem), r AS (SELECT s_suppkey AS k, 0 AS f, 600000 AS t FROM supplier),
+ o AS (SELECT c.*, f, t, lag(hi) OVER w AS before, lead(lo) OVER w AS after FROM c FULL JOIN r USING (k) WINDOW w AS (PARTITION BY c.k ORDER BY lo, hi)), i AS (
+ SELECT k, 'unknown' AS issue FROM o WHERE f IS NULL UNION ALL SELECT k, 'gap' FROM o WHERE lo > coalesce(before + 1, f) OR (after IS NULL AND hi < t) UNION ALL SELECT k, 'overlap' FROM o WHERE lo <= before UNION ALL SELECT k, 'outside' FROM o WHERE lo < f OR hi > t UNION ALL SELECT k, 'missing' FROM o WHERE lo IS NULL)
+ SELECT k AS l_suppkey, issue, count(*) AS rows FROM i GROUP BY 1, 2""")
+def range_issues(spark, d):
+    """Lines as scanned chunks of their suppliers' ranges."""
+    chunks = _t(spark, d, "lineitem").select("l_suppkey", (F.col("l_orderkey") * 10).alias("from_block"), (F.col("l_orderkey") * 10 + F.col("l_quantity").cast("long")).alias("to_block"))
+    ranges = _t(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.lit(0).alias("from_block"), F.lit(600_000).alias("to_block"))
+    return contracts.range_contract(ranges, chunks, ["l_suppkey"])
+
+
+@query("""WITH s AS (SELECT event_type AS source, max(ts) AS seen FROM events GROUP BY 1), x AS (SELECT DISTINCT event_type AS source FROM events UNION ALL SELECT 'none')
+ SELECT source, CASE WHEN seen IS NULL THEN 'missing' WHEN seen > TIMESTAMP '2024-01-30 12:00:00' THEN 'future' WHEN epoch_us(TIMESTAMP '2024-01-30 12:00:00') // 1000000 - epoch_us(seen) // 1000000 > 3600 THEN 'stale' ELSE 'ready' END AS state FROM x LEFT JOIN s USING (source)""")
+def source_states(spark, d):
+    e = _t(spark, d, "events")
+    sources = e.select(F.col("event_type").alias("source")).distinct().unionByName(spark.createDataFrame([("none",)], "source string")).withColumn("max_age_s", F.lit(3600))
+    return contracts.readiness(sources, e.select(F.col("event_type").alias("source"), F.col("ts").alias("at")), F.lit(dt.datetime(2024, 1, 30, 12)).cast("timestamp_ntz")).select("source", "state")
