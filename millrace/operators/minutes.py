@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import floor_epoch, ratio_half_even
+from millrace.functions.columns import floor_epoch, issue_list, ratio_half_even
 from millrace.operators.bars import minute_spine, minute_status
 from millrace.operators.joins import prefer
 from millrace.operators.scans import SEGMENT_ROWS, last_seen, scan
@@ -120,3 +120,35 @@ def minute_quality(dense: DataFrame) -> DataFrame:
 def boundary_status(dense: DataFrame) -> DataFrame:
     """dense with minute_status: complete where both sides were seen, else at which end of its market's window the minute lies."""
     return dense.withColumn("minute_status", minute_status(F.col("is_observed") & F.col("is_no_observed"), F.col("odds_minute_epoch"), F.col("window_start_at"), F.col("window_end_at")))
+
+
+def match_candidate(ohlc: DataFrame, working: DataFrame) -> DataFrame:
+    """Each minute of each market's match, from that of started_at to that of finished_at, with the bars of both tokens as they are (null where there is none, nothing is
+    carried), pair_deviation and minute_status. ohlc: clob_token_id, odds_minute_epoch, prices and observation columns, ticks within the match alone. working: market_id,
+    yes_token_id, no_token_id, started_at, finished_at and more, all kept."""
+    spine = minute_spine(working, "started_at", "finished_at").withColumnRenamed("bucket", "odds_minute_epoch")
+    side = lambda s: ohlc.select(F.col("clob_token_id").alias(f"{s}_token_id"), "odds_minute_epoch", *(F.col(c).alias(f"{s}_{c}") for c in (*PRICES, *OBSERVED)))
+    both = spine.join(side("yes"), ["yes_token_id", "odds_minute_epoch"], "left").join(side("no"), ["no_token_id", "odds_minute_epoch"], "left")
+    complete = F.col("yes_close_price").isNotNull() & F.col("no_close_price").isNotNull()
+    status = minute_status(complete, F.col("odds_minute_epoch"), F.col("started_at"), F.col("finished_at"))
+    return both.withColumn("pair_deviation", F.abs(F.col("yes_close_price") + F.col("no_close_price") - 1)).withColumn("minute_status", status)
+
+
+def modeling_games(dense: DataFrame, least_share: int = 99, longest_gap: int = 3) -> DataFrame:
+    """(event_id, markets, expected, observed, longest_gap, reasons): reasons is null for events fit for modeling, else the comma-joined names of what they lack: markets (three of
+    them, one for each role), prices (a minute without one), coverage (less than least_share of a hundred minutes observed), gap (more than longest_gap minutes on end without an
+    observation). dense: dense_minutes() with event_id and result_role."""
+    m = dense.groupBy("event_id", "market_id").agg(F.max("result_role").alias("_role"), F.count("*").alias("_n"), F.count_if("is_observed").alias("_seen"), F.count_if(F.col("close_price").isNull()).alias("_bare"), F.max("minutes_since_observation").alias("_gap"))
+    e = m.groupBy("event_id").agg(F.count("*").alias("markets"), F.count_distinct("_role").alias("_roles"), F.sum("_n").alias("expected"), F.sum("_seen").alias("observed"), F.sum("_bare").alias("_bare"), F.coalesce(F.max("_gap"), F.lit(0)).alias("longest_gap"))
+    lacks = (("markets", (F.col("markets") != 3) | (F.col("_roles") != 3)), ("prices", F.col("_bare") > 0), ("coverage", F.col("observed") * 100 < F.col("expected") * least_share), ("gap", F.col("longest_gap") > longest_gap))
+    return e.withColumn("reasons", issue_list(*lacks)).drop("_roles", "_bare")
+
+
+def eligible_markets(snapshots: DataFrame, registry: DataFrame, order: list[str], live: bool = True) -> DataFrame:
+    """The last snapshot of each market (by order, then by all of its columns) that the registry holds as eligible (market_id, is_event_volume_eligible); live: of those that are
+    active and not closed alone. A market that the registry has twice is eligible if one of its rows is."""
+    content = F.struct(*order, *sorted(c for c in snapshots.columns if c not in order))
+    last = snapshots.groupBy("market_id").agg(F.max_by(F.struct("*"), content).alias("_s")).select("_s.*")
+    eligible = registry.groupBy("market_id").agg(F.max(F.coalesce("is_event_volume_eligible", F.lit(False))).alias("_e")).where("_e").select("market_id")
+    chosen = last.join(eligible, "market_id", "left_semi")
+    return chosen.where("active AND NOT coalesce(closed, false)") if live else chosen

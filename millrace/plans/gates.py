@@ -206,3 +206,18 @@ def source_states(spark, d):
     e = _t(spark, d, "events")
     sources = e.select(F.col("event_type").alias("source")).distinct().unionByName(spark.createDataFrame([("none",)], "source string")).withColumn("max_age_s", F.lit(3600))
     return contracts.readiness(sources, e.select(F.col("event_type").alias("source"), F.col("ts").alias("at")), F.lit(dt.datetime(2024, 1, 30, 12)).cast("timestamp_ntz")).select("source", "state")
+
+
+@query("""WITH e AS (SELECT o_custkey AS event_id, o_orderkey AS market_id, o_orderpriority AS role, epoch_us(o_orderdate) // 60000000 * 60 AS lo, epoch_us(o_orderdate) // 60000000 * 60 + 60 * (o_orderkey % 9) AS hi FROM orders),
+ t AS (SELECT DISTINCT l_orderkey AS market_id, l_linenumber - 1 AS i FROM lineitem), s AS (SELECT e.*, unnest(range(lo, hi + 60, 60)) AS m FROM e WHERE EXISTS (SELECT 1 FROM t WHERE t.market_id = e.market_id AND lo + 60 * i <= hi)),
+ j AS (SELECT s.*, t.i IS NOT NULL AS seen, max(CASE WHEN t.i IS NOT NULL THEN m END) OVER (PARTITION BY s.market_id ORDER BY m ROWS UNBOUNDED PRECEDING) AS last FROM s LEFT JOIN t ON t.market_id = s.market_id AND lo + 60 * i = m),
+ g AS (SELECT event_id, market_id, any_value(role) AS role, count(*) AS n, count_if(seen) AS seen, count_if(last IS NULL) AS bare, max((m - last) // 60) AS gap FROM j GROUP BY 1, 2),
+ v AS (SELECT event_id, count(*) AS markets, count(DISTINCT role) AS roles, sum(n)::BIGINT AS expected, sum(seen)::BIGINT AS observed, sum(bare) AS bare, coalesce(max(gap), 0) AS longest_gap FROM g GROUP BY 1)
+ SELECT event_id, markets, expected, observed, longest_gap, nullif(concat_ws(',', CASE WHEN markets <> 3 OR roles <> 3 THEN 'markets' END, CASE WHEN bare > 0 THEN 'prices' END, CASE WHEN observed * 100 < expected * 60 THEN 'coverage' END, CASE WHEN longest_gap > 3 THEN 'gap' END), '') AS reasons FROM v""")
+def modeling_events(spark, d):
+    """Customers as events, their orders as markets of up to nine minutes, lines as the minutes in which they were seen."""
+    o = _t(spark, d, "orders").select(F.col("o_custkey").alias("event_id"), F.col("o_orderkey").alias("market_id"), F.col("o_orderpriority").alias("result_role"), F.concat(F.lit("y"), F.col("o_orderkey").cast("string")).alias("yes_token_id"), F.concat(F.lit("n"), F.col("o_orderkey").cast("string")).alias("no_token_id"), F.col("o_orderdate").alias("window_start_at"), (F.col("o_orderdate") + F.make_dt_interval(mins=(F.col("o_orderkey") % 9).cast("int"))).alias("window_end_at"))
+    at = F.col("o_orderdate") + F.make_dt_interval(mins=F.col("l_linenumber") - 1)
+    ticks = _t(spark, d, "lineitem").join(_t(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_orderkey").alias("market_id"), F.concat(F.lit("y"), F.col("o_orderkey").cast("string")).alias("clob_token_id"), at.alias("ts"), F.col("l_discount").alias("price"))
+    ohlc = bars.ohlc(ticks, ["market_id", "clob_token_id"], "ts", "price", 60).withColumnRenamed("bucket", "odds_minute_epoch")
+    return minutes.modeling_games(minutes.dense_minutes(minutes.observed_minutes(o, ohlc)), 60)

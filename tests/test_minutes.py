@@ -93,3 +93,28 @@ def test_settlement_minutes(spark):
     work = spark.createDataFrame([("p", t, hi), ("q", t, t)], "proposition_id string, window_lo timestamp_ntz, window_hi timestamp_ntz")
     states = [(r.state, r.yes_fills, r.no_fills) for r in minutes.settlement_candidate(found, work).orderBy("minute_epoch").collect()]
     assert states == [("yes_only", 3, None), ("no_fills", None, None), ("no_only", None, 1), ("no_fills", None, None)]
+
+
+def test_match_candidate(spark, registry):
+    working = registry.where("market_id = 'm1'").selectExpr("market_id", "yes_token_id", "no_token_id", "window_start_at AS started_at", "window_start_at + INTERVAL 3 MINUTES AS finished_at")
+    rows = [*ticks(), ("m1", "n1", START + dt.timedelta(minutes=3, seconds=9), 0.5)]
+    got = minutes.match_candidate(ohlc(spark, rows).drop("market_id"), working).orderBy("odds_minute_epoch").collect()
+    assert [(r.yes_close_price, r.no_close_price and round(r.no_close_price, 9), r.minute_status) for r in got] == [(0.30000000000000004, None, "start_boundary_incomplete"), (None, 0.6, "interior_incomplete"), (None, None, "interior_incomplete"), (0.5, 0.5, "complete")]
+    assert got[3].pair_deviation == 0 and got[0].pair_deviation is None
+
+
+def test_modeling_games(spark, registry):
+    every = lambda markets, skip=(): [(m, f"y{m[1]}", START + dt.timedelta(minutes=i), 0.5) for m in markets for i in range(5) if i not in skip]
+    games = lambda rows, **k: minutes.modeling_games(minutes.dense_minutes(minutes.observed_minutes(registry, ohlc(spark, rows))), **k).first()
+    assert tuple(games(every(["m0", "m1", "m2"]))) == ("e", 3, 15, 15, 0, None)
+    assert games(every(["m0", "m1"])).reasons == "markets"
+    assert games(every(["m0", "m1"]) + every(["m2"], (0,))).reasons == "prices,coverage"
+    assert games(every(["m0", "m1"]) + every(["m2"], (1, 2, 3, 4))).reasons == "coverage,gap"
+    assert games(every(["m0", "m1"]) + every(["m2"], (4,)), least_share=90).reasons is None
+
+
+def test_eligible_markets(spark):
+    s = spark.createDataFrame([("a", 1, True, False), ("a", 2, False, False), ("b", 1, True, None), ("c", 1, True, False), ("d", 1, True, True), ("e", 1, True, False)], "market_id string, at int, active boolean, closed boolean")
+    r = spark.createDataFrame([("a", True), ("b", False), ("b", True), ("c", None), ("d", True)], "market_id string, is_event_volume_eligible boolean")
+    assert [(x.market_id, x.at) for x in minutes.eligible_markets(s, r, ["at"]).collect()] == [("b", 1)]
+    assert sorted((x.market_id, x.at) for x in minutes.eligible_markets(s, r, ["at"], live=False).collect()) == [("a", 2), ("b", 1), ("d", 1)]
