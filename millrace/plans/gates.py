@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import floor_epoch
 from millrace.operators import bars, contracts, matches, minutes, publication, scans, windows
 from millrace.plans.market import OHLC_SQL, _t
+from millrace.sources import bundles, snapshots
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -221,3 +222,14 @@ def modeling_events(spark, d):
     ticks = _t(spark, d, "lineitem").join(_t(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_orderkey").alias("market_id"), F.concat(F.lit("y"), F.col("o_orderkey").cast("string")).alias("clob_token_id"), at.alias("ts"), F.col("l_discount").alias("price"))
     ohlc = bars.ohlc(ticks, ["market_id", "clob_token_id"], "ts", "price", 60).withColumnRenamed("bucket", "odds_minute_epoch")
     return minutes.modeling_games(minutes.dense_minutes(minutes.observed_minutes(o, ohlc)), 60)
+
+
+@query("SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
+def reference_tables(spark, d):
+    """Nations and regions as a reference bundle: written, checked against its contract, taken over and read."""
+    root = snapshots.shared_root(spark, "reference")
+    bundles.write_bundle({"nation": (_t(spark, d, "nation"), ["n_nationkey"]), "region": (_t(spark, d, "region"), ["r_regionkey"])}, f"{root}/bundle")
+    contract = {n: (", ".join(f"{c} {t}" for c, t in _t(spark, d, n).dtypes), [k]) for n, k in (("nation", "n_nationkey"), ("region", "r_regionkey"))}
+    bundles.take_over(spark, f"{root}/bundle", root, contract)
+    nation, region = (bundles.current(spark, root, n) for n in ("nation", "region"))
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
