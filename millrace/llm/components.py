@@ -1,6 +1,7 @@
 """Connected components of an edge table by alternating large-star and small-star steps.
 
-Only joins and minima are used, so a vertex with millions of edges is never one task's group.
+Only joins and minima are used. Minima are combined before they are shuffled; the join that sends a vertex's minimum back to its edges
+is a shuffle join on the vertex, of which adaptive execution splits partitions that are much larger than the median. No vertex's edges are held in memory.
 """
 
 from __future__ import annotations
