@@ -122,3 +122,18 @@ def merge_records(df: DataFrame, key: str, rank: list[str], fields: list[str], e
     """One record of each key: each field from the highest-ranked row that has it, evidence as the sorted union of all rows' values."""
     best = [F.max_by(f, F.when(F.col(f).isNotNull(), F.struct(*rank))).alias(f) for f in fields]
     return df.groupBy(key).agg(*best, F.array_join(F.sort_array(F.collect_set(evidence)), ",").alias("evidence"))
+
+
+def prune_runs(runs: DataFrame, job: list[str], status: str, at: list[str], cutoff, keep: int = 1) -> DataFrame:
+    """runs without what is old: rows whose time (the first of at) is not before cutoff stay, and so do the last `keep` of each job and status, by at. A run without a time is old; a null
+    status is one like any other."""
+    last = F.row_number().over(Window.partitionBy(*job, status).orderBy(*(F.desc_nulls_last(c) for c in at)))
+    return runs.withColumn("_last", last).where(F.coalesce(F.col(at[0]) >= cutoff, F.lit(False)) | (F.col("_last") <= keep)).drop("_last")
+
+
+def merge_alerts(history: DataFrame, batch: DataFrame, key: list[str], at: str) -> DataFrame:
+    """(key, first_seen, last_seen, times, is_open): the history of alerts with a batch of new ones. An alert that is in the batch is open, one that is not is closed; repeated alerts of a
+    batch count each. Nulls in keys are values. history: the same columns, one row a key."""
+    fresh = batch.groupBy(*key).agg(F.min(at).alias("first_seen"), F.max(at).alias("last_seen"), F.count("*").alias("times")).withColumn("is_open", F.lit(True))
+    both = history.withColumn("is_open", F.lit(False)).select(*key, "first_seen", "last_seen", "times", "is_open").unionByName(fresh)
+    return both.groupBy(*key).agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.sum("times").alias("times"), F.max("is_open").alias("is_open"))

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import floor_epoch
-from millrace.operators import bars, contracts, matches, minutes, publication, scans, windows
+from millrace.operators import bars, contracts, ledger, matches, minutes, publication, scans, windows
 from millrace.plans.market import OHLC_SQL, _t
 from millrace.sources import bundles, snapshots
 
@@ -233,3 +233,19 @@ def reference_tables(spark, d):
     bundles.take_over(spark, f"{root}/bundle", root, contract)
     nation, region = (bundles.current(spark, root, n) for n in ("nation", "region"))
     return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
+
+
+@query("""SELECT o_orderkey, o_custkey, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders) WHERE o_orderdate >= TIMESTAMP '1999-01-01' OR n <= 2""")
+def pruned_runs(spark, d):
+    """Orders as runs: those since 1999, and the last two of each customer and status."""
+    cutoff = F.lit(dt.datetime(1999, 1, 1)).cast("timestamp_ntz")
+    return ledger.prune_runs(_t(spark, d, "orders"), ["o_custkey"], "o_orderstatus", ["o_orderdate", "o_orderkey"], cutoff, 2).select("o_orderkey", "o_custkey", "o_orderstatus")
+
+
+@query("""SELECT user_id, event_type, min(ts) AS first_seen, max(ts) AS last_seen, count(*) AS times, max(ts) >= TIMESTAMP '2024-01-20' AS is_open FROM events GROUP BY 1, 2""")
+def alert_history(spark, d):
+    """Events as alerts: those before 20 January as history, the later ones merged into it; equals all at once."""
+    e, cut = _t(spark, d, "events"), F.lit(dt.datetime(2024, 1, 20)).cast("timestamp_ntz")
+    key = ["user_id", "event_type"]
+    none = e.limit(0).select(*key, F.col("ts").alias("first_seen"), F.col("ts").alias("last_seen"), F.lit(0).cast("long").alias("times"))
+    return ledger.merge_alerts(ledger.merge_alerts(none, e.where(F.col("ts") < cut), key, "ts"), e.where(F.col("ts") >= cut), key, "ts")

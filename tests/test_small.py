@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import columns as C
-from millrace.operators import joins, merge, profiles, quality
+from millrace.operators import joins, ledger, merge, profiles, quality
 from millrace.streaming.joins import stream_distinct, stream_interval_join
 
 
@@ -99,3 +99,17 @@ def test_merged_profiles_equal_the_whole(spark):
         ranks = [df.where(f"v <= {q}").count() / 18_000 for q in v.quantiles]
         assert all(abs(r - w) < 0.02 for r, w in zip(ranks, (0.05, 0.5, 0.95), strict=True))
     assert profiles.profile_parts(df.limit(0), ["part"], ["v"]).count() == 0
+
+
+def test_pruned_runs(spark):
+    rows = [("a", "ok", 1), ("a", "ok", 2), ("a", "ok", 9), ("a", "bad", 1), ("a", "bad", 3), ("b", None, 1), ("b", "ok", None), ("b", "ok", 4)]
+    got = ledger.prune_runs(spark.createDataFrame(rows, "job string, status string, at int"), ["job"], "status", ["at"], 9)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("a", "ok", 9), ("a", "bad", 3), ("b", None, 1), ("b", "ok", 4)], key=str)
+
+
+def test_alert_history(spark):
+    schema = "k string, first_seen int, last_seen int, times long, is_open boolean"
+    history = spark.createDataFrame([("old", 1, 2, 2, True), ("again", 1, 1, 1, False), (None, 3, 3, 1, True)], schema)
+    batch = spark.createDataFrame([("again", 5), ("again", 7), ("new", 6), (None, 6)], "k string, at int")
+    got = {r.k: tuple(r)[1:] for r in ledger.merge_alerts(history, batch, ["k"], "at").collect()}
+    assert got == {"old": (1, 2, 2, False), "again": (1, 7, 3, True), "new": (6, 6, 1, True), None: (3, 6, 2, True)}
