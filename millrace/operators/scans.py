@@ -30,11 +30,13 @@ class Scan:
     value: Column
     own: bool = True
 
-    def within(self, window) -> Column:
-        first, last = Window.unboundedPreceding, Window.unboundedFollowing
-        frame = window.rowsBetween(0 if self.own else 1, last) if self.kind == "next" else window.rowsBetween(first, 0 if self.own else -1)
+    def within(self, keys: list[str], order: list[str]) -> Column:
+        # next is last in the opposite order: a frame that ends with the key is worked out anew for every row
+        back = self.kind == "next"
+        by = [F.col(c).desc_nulls_last() if back else F.col(c).asc_nulls_first() for c in order]
+        frame = Window.partitionBy(*keys).orderBy(*by).rowsBetween(Window.unboundedPreceding, 0 if self.own else -1)
         if self.kind in ("last", "next"):
-            return (F.last if self.kind == "last" else F.first)(self.value, ignorenulls=True).over(frame)
+            return F.last(self.value, ignorenulls=True).over(frame)
         return getattr(F, self.kind)(self.value).over(frame)
 
     def summary(self, order: list[str]) -> Column:
@@ -44,7 +46,7 @@ class Scan:
         return getattr(F, self.kind)(self.value)
 
     def carried(self, name: str) -> Column:
-        return Scan(self.kind, F.col(name), own=False).within(Window.partitionBy("_large").orderBy("_segment"))
+        return Scan(self.kind, F.col(name), own=False).within(["_large"], ["_segment"])
 
     def joined(self, within: Column, carry: Column) -> Column:
         if self.kind == "sum":
@@ -95,17 +97,15 @@ def scan(df: DataFrame, keys: list[str], order: list[str], scans: dict[str, Scan
     Rows that tie in order may stand in any sequence, as in a window. Counting the keys runs a job at once. Columns of df named like a
     scan are replaced. An empty table gives an empty table.
     """
-    window = Window.partitionBy(*keys).orderBy(*order)
     large = large_keys(df, keys, rows)
     if large is None:
-        return df.withColumns({name: s.within(window) for name, s in scans.items()})
+        return df.withColumns({name: s.within(keys, order) for name, s in scans.items()})
     cut = segments(df, keys, order, large, rows)
     names = {name: f"_carry{i}" for i, name in enumerate(scans)}
     carries = cut.groupBy("_large", "_segment").agg(*(s.summary(order).alias(names[name]) for name, s in scans.items()))
     carries = carries.select("_large", "_segment", *(s.carried(names[name]).alias(names[name]) for name, s in scans.items()))
-    inner = Window.partitionBy("_large", "_segment").orderBy(*order)
-    found = cut.withColumns({f"{names[name]}w": s.within(inner) for name, s in scans.items()}).join(carries, ["_large", "_segment"])
+    found = cut.withColumns({f"{names[name]}w": s.within(["_large", "_segment"], order) for name, s in scans.items()}).join(carries, ["_large", "_segment"])
     found = found.withColumns({name: s.joined(F.col(f"{names[name]}w"), F.col(names[name])) for name, s in scans.items()})
     found = found.drop("_large", "_segment", *names.values(), *(f"{n}w" for n in names.values()))
-    small = _numbered(df, keys, large).where("_large IS NULL").drop("_large").withColumns({name: s.within(window) for name, s in scans.items()})
+    small = _numbered(df, keys, large).where("_large IS NULL").drop("_large").withColumns({name: s.within(keys, order) for name, s in scans.items()})
     return small.unionByName(found)

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import floor_epoch
-from millrace.operators import bars, contracts, ledger, matches, minutes, publication, scans, windows
+from millrace.operators import bars, books, contracts, ledger, matches, minutes, publication, scans, settlement, windows
 from millrace.plans.market import OHLC_SQL, _t
 from millrace.sources import bundles, snapshots
 
@@ -249,3 +249,36 @@ def alert_history(spark, d):
     key = ["user_id", "event_type"]
     none = e.limit(0).select(*key, F.col("ts").alias("first_seen"), F.col("ts").alias("last_seen"), F.lit(0).cast("long").alias("times"))
     return ledger.merge_alerts(ledger.merge_alerts(none, e.where(F.col("ts") < cut), key, "ts"), e.where(F.col("ts") >= cut), key, "ts")
+
+
+def _ms(c):
+    return floor_epoch(c, 1) * 1000 + (F.date_part(F.lit("SECONDS"), c) * 1000 % 1000).cast("long")
+
+
+@query("""WITH s AS (SELECT event_id, user_id, epoch_ms(ts) AS ms, value - lag(value) OVER (PARTITION BY user_id ORDER BY epoch_ms(ts)) AS change FROM events WHERE event_type = 'view'), u AS (SELECT event_id, user_id, ms, change, NULL AS size FROM s UNION ALL SELECT NULL, user_id, epoch_ms(ts), NULL, value FROM events WHERE event_type = 'purchase'),
+ w AS (SELECT event_id, sum(size) OVER w AS v, stddev_pop(change) OVER w AS d FROM u WINDOW w AS (PARTITION BY user_id ORDER BY ms RANGE BETWEEN 86399999 PRECEDING AND CURRENT ROW))
+ SELECT event_id, round(coalesce(v, 0), 6) AS rolling_volume, round(d, 6) AS rolling_deviation FROM w WHERE event_id IS NOT NULL""")
+def rolling_day(spark, d):
+    """Views as states of a book, purchases as trades, over a day."""
+    e = _t(spark, d, "events").withColumn("ms", _ms(F.col("ts")))
+    found = books.rolling_metrics(e.where("event_type = 'view'").select("event_id", "user_id", "ms", "value"), e.where("event_type = 'purchase'").select("user_id", "ms", "value"), ["user_id"], "ms", "value", "value", 86_400_000)
+    return found.select("event_id", F.round("rolling_volume", 6).alias("rolling_volume"), F.round("rolling_deviation", 6).alias("rolling_deviation"))
+
+
+@query("""WITH b AS (SELECT user_id, ts, max(value) * 0.9 AS bid, max(value) * 1.1 AS ask FROM events WHERE event_type = 'view' GROUP BY 1, 2), t AS (SELECT event_id, user_id, ts, value FROM events WHERE event_type = 'purchase')
+ SELECT event_id, CASE WHEN value >= ask THEN 'buy' WHEN value <= bid THEN 'sell' ELSE 'unknown' END AS aggressor FROM t ASOF LEFT JOIN b ON t.user_id = b.user_id AND t.ts >= b.ts""")
+def aggressor_sides(spark, d):
+    """Purchases as trades against the books that views show."""
+    e = _t(spark, d, "events")
+    book = e.where("event_type = 'view'").select("user_id", "ts", (F.col("value") * 0.9).alias("best_bid"), (F.col("value") * 1.1).alias("best_ask"))
+    return books.aggressor_side(e.where("event_type = 'purchase'").select("event_id", "user_id", "ts", "value"), book, ["user_id"], "ts", "value").select("event_id", "aggressor")
+
+
+@query("""WITH w AS (SELECT DISTINCT l_suppkey AS k, l_shipdate AS lo, l_shipdate + INTERVAL 36 HOUR AS hi FROM lineitem), b AS (SELECT DISTINCT date_diff('day', DATE '1990-01-01', o_orderdate::DATE) AS n, o_orderdate AS seen FROM orders), b1 AS (SELECT seen, min(n) AS n FROM b GROUP BY 1),
+ f AS (SELECT k, lo, hi, n AS f FROM w ASOF JOIN b1 ON w.lo <= b1.seen), r AS (SELECT k, f, n AS t FROM f ASOF JOIN b1 ON f.hi > b1.seen), g AS (SELECT *, CASE WHEN f <= 1 + max(t) OVER (PARTITION BY k ORDER BY f, t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS new FROM r WHERE f <= t),
+ m AS (SELECT *, sum(new) OVER (PARTITION BY k ORDER BY f, t ROWS UNBOUNDED PRECEDING) AS grp FROM g) SELECT k, min(f) AS from_block, max(t) AS to_block FROM m GROUP BY k, grp""")
+def supplier_block_ranges(spark, d):
+    """Lines as windows of 36 hours, days with orders as blocks."""
+    w = _t(spark, d, "lineitem").select(F.col("l_suppkey").alias("k"), F.col("l_shipdate").alias("window_lo"), (F.col("l_shipdate") + F.make_dt_interval(hours=F.lit(36))).alias("window_hi")).distinct()
+    blocks = _t(spark, d, "orders").select(F.datediff(F.col("o_orderdate").cast("date"), F.lit("1990-01-01").cast("date")).cast("long").alias("block_number"), F.col("o_orderdate").alias("block_timestamp")).distinct()
+    return settlement.block_ranges(w, blocks, ["k"])

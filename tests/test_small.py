@@ -1,13 +1,15 @@
 """Small operators and functions, each against values worked out by hand, and streams and profiles against whole tables."""
 
 import datetime as dt
+import json
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import columns as C
-from millrace.operators import joins, ledger, merge, profiles, quality
+from millrace.operators import books, joins, ledger, merge, profiles, quality, settlement
 from millrace.streaming.joins import stream_distinct, stream_interval_join
 
 
@@ -113,3 +115,50 @@ def test_alert_history(spark):
     batch = spark.createDataFrame([("again", 5), ("again", 7), ("new", 6), (None, 6)], "k string, at int")
     got = {r.k: tuple(r)[1:] for r in ledger.merge_alerts(history, batch, ["k"], "at").collect()}
     assert got == {"old": (1, 2, 2, False), "again": (1, 7, 3, True), "new": (6, 6, 1, True), None: (3, 6, 2, True)}
+
+
+def test_aggressors(spark):
+    book = spark.createDataFrame([("t", 10, 0.4, 0.6), ("t", 20, 0.5, 0.7), ("t", 30, None, 0.7)], "k string, ms int, best_bid double, best_ask double")
+    trades = spark.createDataFrame([("t", 5, 0.9), ("t", 10, 0.6), ("t", 19, 0.4), ("t", 20, 0.6), ("t", 35, 0.1), ("t", 36, 0.7), ("u", 50, 0.5)], "k string, ms int, price double")
+    for rows in (1, books.SEGMENT_ROWS):
+        got = books.aggressor_side(trades, book, ["k"], "ms", "price", rows)
+        assert [r.aggressor for r in got.orderBy("ms").collect()] == ["unknown", "buy", "sell", "unknown", "unknown", "buy", "unknown"]
+
+
+def test_rolling_metrics_equal_brute_force(spark):
+    draw = random.Random(4)
+    states = [(draw.choice("ab"), t, draw.random()) for t in draw.sample(range(3000), 120)]
+    trades = [(draw.choice("ab"), draw.randrange(3000), float(draw.randrange(1, 9))) for _ in range(90)]
+    s, t = spark.createDataFrame(states, "k string, ms long, mid double"), spark.createDataFrame(trades, "k string, ms long, size double")
+    got = {(r.k, r.ms): (r.rolling_volume, r.rolling_deviation) for r in books.rolling_metrics(s, t, ["k"], "ms", "mid", "size", 250, 20).collect()}
+    assert len(got) == 120
+    for k in "ab":
+        line = sorted((ms, m) for q, ms, m in states if q == k)
+        changes = {b[0]: b[1] - a[1] for a, b in zip(line, line[1:], strict=False)}
+        for ms, _ in line:
+            near = [c for x, c in changes.items() if ms - 250 < x <= ms]
+            volume, deviation = got[k, ms]
+            assert volume == sum(z for q, x, z in trades if q == k and ms - 250 < x <= ms)
+            assert deviation is None if not near else abs(deviation - statistics.pstdev(near)) < 1e-9
+
+
+def test_books_in_canonical_form(spark):
+    side = lambda *p: json.dumps([{"price": a, "size": b, "order_count": 1} for a, b in p])
+    cases = {
+        None: (side(("0.50", "10.0"), ("0.4", "1")), side(("0.6", "2"))), "json": ("{", "[]"), "number": (side(("x", "1")), "[]"), "bounds": (side(("0.5", "0")), "[]"), "duplicate": (side(("0.5", "1"), ("0.50", "2")), ""),
+        "order": (side(("0.4", "1"), ("0.5", "1")), None), "crossed": (side(("0.7", "1")), side(("0.6", "1"))),
+    }
+    df = spark.createDataFrame([(str(k), *v) for k, v in cases.items()], "name string, bids_json string, asks_json string")
+    got = {r.name: r for r in books.normalize_books(df).collect()}
+    assert {n: str(r.issue) for n, r in got.items()} == {str(k): str(k) for k in cases}
+    assert (got["None"].bids_json, got["None"].asks_json) == ('[{"price":"0.5","size":"10"},{"price":"0.4","size":"1"}]', '[{"price":"0.6","size":"2"}]')
+    assert got["None"].content_sha256 and got["crossed"].content_sha256 is None
+    assert books.normalize_books(spark.createDataFrame([("", None)], "bids_json string, asks_json string")).first().issue is None
+
+
+def test_block_ranges(spark):
+    t = dt.datetime(2026, 6, 1)
+    at = lambda m: t + dt.timedelta(minutes=m)
+    blocks = spark.createDataFrame([(100 + i, at(2 * i)) for i in range(30)], "block_number long, block_timestamp timestamp_ntz")
+    windows = spark.createDataFrame([("x", at(1), at(4)), ("x", at(4), at(9)), ("x", at(20), at(21)), ("x", at(21), at(22)), ("y", at(-9), at(1)), ("y", at(90), at(99))], "k string, window_lo timestamp_ntz, window_hi timestamp_ntz")
+    assert sorted(map(tuple, settlement.block_ranges(windows, blocks, ["k"]).collect())) == [("x", 101, 104), ("x", 110, 110), ("y", 100, 100)]
