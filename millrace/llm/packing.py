@@ -186,13 +186,20 @@ def _best_fit(left: dict[int, int], capacity: int) -> list[tuple[dict[int, int],
     return done + [(config, n) for entries in room.values() for config, n in entries]
 
 
+#: Columns of pack()'s result besides the id.
+RESULTS = ["piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset"]
+
+
 def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, end_id: int = 0, keep_ids: bool = True, salts: int | None = None) -> DataFrame:
     """Every piece of docs with its sequence_id and its offset there; offsets of a sequence leave no gap from 0.
 
     A null or empty text is the end id alone. Texts over capacity are cut into pieces of capacity tokens, the first
     may be shorter; others are never cut. Repeated rows and null ids are packed like any other. Only id_col and
-    text_col are read. An empty table gives an empty table.
+    text_col are read; an id_col named as another column of the result comes back as <id_col>_id. An empty table gives an
+    empty table.
     """
+    name = f"{id_col}_id" if id_col in RESULTS else id_col
+    docs, id_col, text_col = docs.select(F.col(f"`{id_col}`").alias(name), F.col(f"`{text_col}`").alias("_text")), name, "_text"
     pieces = saved(token_pieces(docs, path, id_col, text_col, capacity, end_id, keep_ids))
     histogram = {int(r[0]): int(r[1]) for r in pieces.groupBy("length").count().collect()}
     slots, sequences = [], 0

@@ -32,7 +32,7 @@ def dictionary(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY)
 
 
 def findings(docs: DataFrame, words: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, position, value, features): every candidate. position counts the text's words from 0; a word's candidates share it."""
+    """(id_col, position, value, features): every candidate. id_col must not be named as one of these. position counts the text's words from 0; a word's candidates share it."""
     split = docs.select(id_col, F.split(F.regexp_replace(F.coalesce(text_col, F.lit("")), r"[\t\r\n]", " "), " ").alias("w"))
     # candidates are chosen inside each text's array, so that no other word becomes a row
     chosen = F.filter(F.transform("w", lambda x, i: F.struct(i.alias("position"), x.alias("word"))), lambda c: (F.length(c["word"]) >= 16) & c["word"].rlike(VALUE) & c["word"].rlike("[0-9]"))
@@ -94,11 +94,14 @@ def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None, id_col: str
     """(id_col, position, value, score, is_secret) of every candidate in the whole texts.
 
     labelled: reviewed findings with a label; weak_labels() of the candidates stand in for them. Null and empty texts have no
-    candidates; repeated rows give repeated findings; null ids stay null; an empty table gives an empty table.
+    candidates; repeated rows give repeated findings; null ids stay null; an empty table gives an empty table. Only id_col and
+    text_col are read; an id_col named as another column of the result comes back as <id_col>_id.
     """
-    found = findings(docs, dictionary(docs, text_col), id_col, text_col)
+    name = f"{id_col}_id" if id_col in ("position", "value", "score", "is_secret") else id_col
+    docs = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
+    found = findings(docs, dictionary(docs, "_text"), "_id", "_text")
     model = train(weak_labels(found) if labelled is None else labelled)
-    return judge_findings(found, model, threshold).select(id_col, "position", "value", "score", "is_secret")
+    return judge_findings(found, model, threshold).select(F.col("_id").alias(name), "position", "value", "score", "is_secret")
 
 
 def op5_query(spark, sf_dir: str) -> DataFrame:

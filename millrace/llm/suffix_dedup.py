@@ -303,12 +303,19 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 400, k
     A byte goes if a string of `length` bytes covers it that starts anywhere else too, in the same text or another, overlaps
     included. Null and empty texts keep nothing and have zero counts; texts shorter than length stay whole. Repeated
     rows are copies of each other. kept is bytes, as a cut may split a character; keep_text=False leaves it out.
-    Columns of docs with the names of results, _key or copies are replaced. An empty table gives an empty table.
+    Columns of docs with the names of results are replaced; others pass through, whatever their names. An empty table gives an
+    empty table.
     """
     if length <= GRAM:
         raise ValueError(f"length must be over {GRAM}")
-    results = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "copies"]
-    keyed = docs.drop(*results).withColumn("_key", row_key(text_col))
+    results = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if keep_text else [])]
+    columns = [c for c in docs.columns if c not in results]
+    others = [c for c in columns if c != text_col]
+    spread = [F.col(f"`{name}`") for name, kind in docs.dtypes if name in others and "map<" not in kind and "variant" not in kind]
+    # the caller's columns travel in one, so that no name can clash
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in others)).alias("_all") if others else F.lit(0).alias("_all"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(*spread, F.lit(0)).alias("_spread"))
+    own_name, text_col = text_col, "text"
+    keyed = whole.withColumn("_key", row_key(text_col))
     found = stored(_anchor_table(keyed, text_col, length))
     often = saved(found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     shared = salted_join(found, often.select("key"), ["key"], hot_keys(often, ["key"], "n", found.count()), "left_semi", "_key", "p")
@@ -332,18 +339,18 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 400, k
     total = distinct.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     spans = salted_join(at, runs, ["key", "id"], hot_keys(copied, ["key", "id"], "n", total), "inner", "_key", "lo").select("_key", "lo", F.explode("runs").alias("r"))
     spans = spans.groupBy("_key").agg(F.collect_set(F.struct((F.col("lo") + F.col("r.from")).alias("a"), (F.col("lo") + F.col("r.to") + length).alias("b"))).alias("spans"))
-    whole = F.array(F.struct(F.lit(0).alias("a"), F.octet_length("text").alias("b")))
-    marked = some.select("_key", "text", "copies").join(spans, "_key", "left").select("_key", F.encode("text", "UTF-8").alias("text"), F.when(F.col("copies") > 1, whole).otherwise(F.col("spans")).alias("spans")).where("spans IS NOT NULL")
+    everything = F.array(F.struct(F.lit(0).alias("a"), F.octet_length("text").alias("b")))
+    marked = some.select("_key", "text", "copies").join(spans, "_key", "left").select("_key", F.encode("text", "UTF-8").alias("text"), F.when(F.col("copies") > 1, everything).otherwise(F.col("spans")).alias("spans")).where("spans IS NOT NULL")
     cut = _cut(marked)
     cut = saved(cut if keep_text else cut.drop("kept"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = keyed.withColumn("n_bytes", F.octet_length(text).cast("long")).withColumn("own_sha", F.sha2(text, 256))
-    spread = [name for name, kind in keyed.dtypes if "map<" not in kind and "variant" not in kind]
     rows = saved(keyed.groupBy("_key").agg(F.count("*").alias("n")).where("n > 1"))
-    out = salted_join(base, cut, ["_key"], hot_keys(rows, ["_key"], "n", keyed.count()), "left", *spread).withColumn("n_removed", F.coalesce("n_removed", F.lit(0).cast("long"))).withColumn("n_spans", F.coalesce("n_spans", F.lit(0).cast("long"))).withColumn("kept_sha256", F.coalesce("kept_sha256", "own_sha"))
+    out = salted_join(base, cut, ["_key"], hot_keys(rows, ["_key"], "n", keyed.count()), "left", "_spread").withColumn("n_removed", F.coalesce("n_removed", F.lit(0).cast("long"))).withColumn("n_spans", F.coalesce("n_spans", F.lit(0).cast("long"))).withColumn("kept_sha256", F.coalesce("kept_sha256", "own_sha"))
     if keep_text:
         out = out.withColumn("kept", F.coalesce("kept", F.encode(text, "UTF-8")))
-    return out.drop("_key", "own_sha")
+    back = [F.col("text").alias(c) if c == own_name else F.col("_all").getField(c).alias(c) for c in columns]
+    return out.select(*back, *results)
 
 
 def op3_query(spark, sf_dir: str) -> DataFrame:

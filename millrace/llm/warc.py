@@ -10,15 +10,18 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import lean, row_key, saved, shared_folder, table
+from millrace.llm.shared import hot_keys, lean, row_key, saved, salted_join, shared_folder, table
 
 END = "\r\n\r\n"
+#: Bytes of the records that a reader hands on together.
+BATCH_BYTES = 1 << 22
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -33,19 +36,23 @@ def _line(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit("\r\n")), F.lit(""))
 
 
-def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0, date: str | None = None, file_bytes: int = 1 << 24) -> None:
+def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0, date: str | None = None, file_bytes: int = 1 << 26) -> None:
     """Writes a record for each row to gzip files in folder, of about file_bytes of payload each.
 
     date: of the headers, by default now. Of rows with equal payloads of min_bytes or more, that of the smallest id is a response (a null id comes last; among fully
     equal rows one is chosen), the others are revisits. A null payload is an empty one; a null URL leaves its header out, line ends
-    in one are taken out. Other columns are ignored. An empty table writes no record.
+    in one are taken out. Ids are cast to long; one that isn't a whole number raises. Other columns are ignored. An empty table
+    writes no record. Payloads are equal if SHA-1, SHA-256 and length are.
     """
     date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     keyed = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload")).withColumn("_key", row_key("id", "url", "payload"))
-    headers = saved(keyed.select("_key", "id", "url", base32_sha1(F.encode("payload", "UTF-8")).alias("digest"), F.octet_length("payload").cast("long").alias("bytes")))
+    body, same = F.encode("payload", "UTF-8"), ["digest", "sha256", "bytes"]
+    headers = saved(keyed.select("_key", "id", "url", base32_sha1(body).alias("digest"), F.unhex(F.sha2(body, 256)).alias("sha256"), F.octet_length("payload").cast("long").alias("bytes")))
     total = headers.agg(F.sum("bytes")).first()[0] or 0
-    first = headers.groupBy("digest").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_key", "url")).alias("of"))
-    known = headers.groupBy("_key", "digest", "bytes").agg(F.lit(1).alias("_")).join(first, "digest").select("_key", "digest", "bytes", F.col("of.id").alias("first_id"), F.col("of.url").alias("first_url"), F.col("of._key").alias("first_key"))
+    first = saved(headers.groupBy(*same).agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_key", "url")).alias("of"), F.count("*").alias("n")))
+    # a payload that very many pages share, such as an empty one, is spread over parts
+    each = headers.groupBy("_key", *same).agg(F.lit(1).alias("_"))
+    known = salted_join(each, first.select(*same, "of"), same, hot_keys(first, same, "n", headers.count()), "inner", "_key").select("_key", "digest", "bytes", F.col("of.id").alias("first_id"), F.col("of.url").alias("first_url"), F.col("of._key").alias("first_key"))
     files = max(4, -(-total // file_bytes))
     rows = keyed.repartition(files, "_key").join(known.repartition(files, "_key"), "_key")
     number = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
@@ -74,20 +81,24 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     rows.select(record.alias("value")).write.option("lineSep", END).option("compression", "gzip").text(folder)
 
 
-def parse_records(raw: bytes):
-    """(headers, block) of each record of an archive."""
-    at = 0
-    while at < len(raw):
-        cut = raw.index(END.encode(), at)
-        lines = raw[at:cut].decode().split("\r\n")
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no WARC record at byte {at}: {lines[0][:80]!r}")
-        headers = dict(x.split(": ", 1) for x in lines[1:])
-        start, size = cut + len(END), int(headers["Content-Length"])
-        if raw[start + size : start + size + len(END)] != END.encode():
-            raise ValueError(f"the record at byte {at} doesn't end after {size} bytes")
-        yield headers, raw[start : start + size]
-        at = start + size + len(END)
+def parse_records(archive):
+    """(headers, block) of each record of an archive, a binary stream: one record at a time is held."""
+    n = 0
+    while line := archive.readline():
+        n += 1
+        if not line.startswith(b"WARC/"):
+            raise ValueError(f"record {n} isn't a WARC record: {line[:80]!r}")
+        headers = {}
+        while (line := archive.readline()) != b"\r\n":
+            if not line:
+                raise ValueError(f"record {n} ends in its headers")
+            name, _, value = line.decode().removesuffix("\r\n").partition(": ")
+            headers[name] = value
+        size = int(headers["Content-Length"])
+        block = archive.read(size)
+        if len(block) != size or archive.read(len(END)) != END.encode():
+            raise ValueError(f"record {n} doesn't end after {size} bytes")
+        yield headers, block
 
 
 def _page(uri: str | None) -> int | None:
@@ -100,20 +111,28 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = False) -> D
     names = ["id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
 
+    def rows_of(out):
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+
     def run(batches):
         for batch in batches:
             for raw in batch.column(0):
-                out = []
-                for headers, block in parse_records(gzip.decompress(raw.as_py())):
+                out, held = [], 0
+                for headers, block in parse_records(gzip.GzipFile(fileobj=io.BytesIO(raw.as_py()))):
                     http, _, payload = block.partition(END.encode())
                     size = int(http.rpartition(b"Content-Length: ")[2])
                     digest = headers["WARC-Payload-Digest"].removeprefix("sha1:")
-                    if headers["WARC-Type"] == "response":
-                        if len(payload) != size or base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
-                            raise ValueError(f"payload of {headers['WARC-Record-ID']} differs from its header")
-                    out.append((_page(headers["WARC-Record-ID"]), headers.get("WARC-Target-URI"), size, digest, headers["WARC-Type"], _page(headers.get("WARC-Refers-To")), payload if payloads and headers["WARC-Type"] == "response" else None))
+                    response = headers["WARC-Type"] == "response"
+                    if response and (len(payload) != size or base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest):
+                        raise ValueError(f"payload of {headers['WARC-Record-ID']} differs from its header")
+                    content = payload if payloads and response else None
+                    out.append((_page(headers["WARC-Record-ID"]), headers.get("WARC-Target-URI"), size, digest, headers["WARC-Type"], _page(headers.get("WARC-Refers-To")), content))
+                    held += 200 + len(content or b"")
+                    if held >= BATCH_BYTES:
+                        yield rows_of(out)
+                        out, held = [], 0
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+                    yield rows_of(out)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder).select("content")
     found = files.mapInArrow(lean(run), "id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
