@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from millrace.functions import columns as C
 from millrace.operators import bars, joins, merge, quality, windows
-from millrace.plans import catalog, gates, ledger, market, registry, releases, venue
+from millrace.plans import catalog, evidence, gates, ledger, market, registry, releases, venue
 
 DATA = "/root/testdata/sf0.001"
 
 
-PLANS = (market, registry, ledger, releases, catalog, venue, gates)
+PLANS = (market, registry, ledger, releases, catalog, venue, gates, evidence)
 ALL, ALL_SQL = {k: q for p in PLANS for k, q in p.QUERIES.items()}, {k: q for p in PLANS for k, q in p.SQL.items()}
 
 
