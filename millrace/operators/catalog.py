@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import name_key, safe_ratio
+from millrace.functions.columns import compact_key, name_key, safe_ratio
 from millrace.operators.scans import SEGMENT_ROWS, Scan, last_seen, scan
 from millrace.operators.windows import merge_intervals
 
@@ -39,6 +39,73 @@ def market_role(label: Column, home: Column, away: Column, draw: str = "draw|tie
     return F.when(key == name_key(home), "home").when(key == name_key(away), "away").when(key.rlike(f"(^| )({draw})( |$)"), "draw").otherwise("other")
 
 
+#: Forms of questions (fixed values).
+DRAW_QUESTION = r"(?i)^will\s+(.+?)\s+vs\.?\s+(.+?)\s+end\s+in\s+a\s+draw\??$"
+BEAT_QUESTION = r"(?i)^will\s+(.+?)\s+beat\s+(.+?)\??$"
+
+
+def market_role_of(kind: Column, label: Column, question: Column, home: Column, away: Column) -> Column:
+    """home_win, draw, away_win or null. A market of the type moneyline goes by its label (draw, or a team by its match key); without one that fits, and for other types, the question decides:
+    whether home and away, in any order, end in a draw, or one beats the other."""
+    h, a = compact_key(home), compact_key(away)
+    said = compact_key(label)
+    asked = F.trim(F.coalesce(question, F.lit("")))
+    part = lambda pattern, i: compact_key(F.regexp_extract(asked, pattern, i))
+    both = lambda pattern: asked.rlike(pattern) & (((part(pattern, 1) == h) & (part(pattern, 2) == a)) | ((part(pattern, 1) == a) & (part(pattern, 2) == h)))
+    by_label = F.when(F.lower(F.trim(label)) == "draw", "draw").when(said == h, "home_win").when(said == a, "away_win")
+    structured = (F.lower(F.trim(kind)) == "moneyline") & (F.trim(label) != "")
+    by_question = F.when(both(DRAW_QUESTION), "draw").when(both(BEAT_QUESTION), F.when(part(BEAT_QUESTION, 1) == h, "home_win").otherwise("away_win"))
+    return F.coalesce(F.when(structured, by_label), by_question)
+
+
+def missing_metadata(markets: DataFrame, tokens: DataFrame, unresolved: DataFrame, market: str, now: Column) -> DataFrame:
+    """(market, missing): markets that lack something, and what, sorted: tokens (none in tokens), slug, event_slug (unless its retry is still to come) and end_date; null and empty texts are missing.
+
+    unresolved: market, field_name, next_retry_at."""
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) == ""
+    waiting = unresolved.where((F.col("field_name") == "event_slug") & (F.col("next_retry_at") > now)).select(market, F.lit(True).alias("_waits")).distinct()
+    m = markets.join(tokens.select(market, F.lit(True).alias("_held")).distinct(), market, "left").join(waiting, market, "left")
+    lacks = {"end_date": blank("end_date"), "event_slug": blank("event_slug") & F.col("_waits").isNull(), "slug": blank("slug"), "tokens": F.col("_held").isNull()}
+    return m.select(market, F.array_compact(F.array(*(F.when(c, F.lit(n)) for n, c in lacks.items()))).alias("_m")).where(F.size("_m") > 0).select(market, F.array_join("_m", ",").alias("missing"))
+
+
+def mark_unresolved(ledger: DataFrame, batch: DataFrame, key: list[str], now: Column, retry_hours: int = 168) -> DataFrame:
+    """ledger (key, reason, attempts, last_checked_at, next_retry_at) with the fields of batch (key, reason) that could not be resolved now: one attempt more, the next one after retry_hours (an
+    hour at least). A key that comes more than once in the batch is one attempt, of its greatest reason."""
+    new = batch.groupBy(*key).agg(F.max("reason").alias("_reason"), F.lit(True).alias("_new"))
+    met = ledger.join(new, key, "full")
+    fresh = F.col("_new").isNotNull()
+    later = now + F.make_dt_interval(hours=F.lit(max(1, retry_hours)))
+    return met.select(
+        *key, F.when(fresh, F.col("_reason")).otherwise(F.col("reason")).alias("reason"), (F.coalesce("attempts", F.lit(0)) + fresh.cast("int")).cast("long").alias("attempts"),
+        F.when(fresh, now).otherwise(F.col("last_checked_at")).alias("last_checked_at"), F.when(fresh, later).otherwise(F.col("next_retry_at")).alias("next_retry_at"),
+    )
+
+
+def multiset_digest(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    """(by, n_rows, digest) of the rows of each group, or of all rows, whatever their order: the SHA-256 of sums of pieces of each row's SHA-256. Sums are combined before they are shuffled, so a
+    group of any size leaves a few numbers. Columns are read as text, parted by a unit separator; nulls differ from empty texts."""
+    row = F.sha2(F.concat_ws("\x1f", *(F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in columns)), 256)
+    pieces = [F.conv(F.substring("_h", 15 * i + 1, 15), 16, 10).cast("decimal(20,0)") for i in range(4)]
+    hashed = df.select(*by, row.alias("_h"))
+    sums = hashed.groupBy(*by).agg(F.count("*").alias("n_rows"), *(F.sum(p).cast("decimal(38,0)").alias(f"_{i}") for i, p in enumerate(pieces)))
+    return sums.select(*by, "n_rows", F.sha2(F.concat_ws("|", F.col("n_rows").cast("string"), *(F.coalesce(f"_{i}", F.lit(0)).cast("string") for i in range(4))), 256).alias("digest"))
+
+
+def portrait_targets(working: DataFrame, match: str, role: str, teams: list[str], grouped: Column, roles: list[str], final_roles: list[str]) -> DataFrame:
+    """(match, n_markets, issue) of each match: absent (no row maps to exactly one fixture and one event), identity (rows that name other teams), roles (a match of a group without exactly one market of
+    each of roles, another one without exactly one, of final_roles); null if the match can be exported. Rows with other counts of mappings don't count."""
+    sound = (F.col("fixture_mapping_count") == 1) & (F.col("primary_mapping_count") == 1)
+    kept = F.when(sound, F.struct(*teams))
+    of = lambda names: F.count_if(sound & F.col(role).isin(names))
+    g = working.groupBy(match).agg(F.count_if(sound).alias("n_markets"), F.min(kept).alias("_a"), F.max(kept).alias("_b"), F.bool_or(sound & grouped).alias("_grouped"), of(final_roles).alias("_final"), *(of([r]).alias(f"_r{i}") for i, r in enumerate(roles)))
+    each = F.lit(True)
+    for i in range(len(roles)):
+        each = each & (F.col(f"_r{i}") == 1)
+    whole = F.when(F.col("_grouped"), each & (F.col("n_markets") == len(roles))).otherwise((F.col("n_markets") == 1) & (F.col("_final") == 1))
+    return g.select(match, "n_markets", F.when(F.col("n_markets") == 0, "absent").when(~F.col("_a").eqNullSafe(F.col("_b")), "identity").when(~whole, "roles").alias("issue"))
+
+
 def proposition(role: Column, home: Column, away: Column) -> list[Column]:
     """What yes and no of a market stand for, by its role."""
     team = F.when(role == "home", home).when(role == "away", away)

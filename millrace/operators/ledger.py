@@ -50,22 +50,27 @@ def due_states(catalog: DataFrame, ledger: DataFrame, skips: DataFrame, key: str
     return marked.select(key, state.alias("state"))
 
 
-def plan_tokens(tokens: DataFrame, key: str, now: int, overlap_s: int, recent_s: int, floor: int | None = None) -> DataFrame:
+def plan_tokens(tokens: DataFrame, key: str, now: int, overlap_s: int, recent_s: int, floor: int | None = None, force: bool = False, rebuild: bool = False) -> DataFrame:
     """(key, start_ts, end_ts, reason): the span to fetch of each token, or the reason why there is none.
 
-    tokens holds created_ts, latest_ts, closed, fully_checked, skipped. With a floor the routine skips do not count. Of repeated tokens the
-    first by created_ts is planned and the others are dup_token.
+    tokens holds created_ts, latest_ts, closed, fully_checked, skipped and, where known, is_valid (false: invalid_token) and skip_budget (runs that a token without data is still left out: empty_cache_skip;
+    skip_budget_left is then returned too, one less, null once it is used up). With a floor, or when history is rebuilt (from created_ts), the routine skips do not count; force
+    lifts persisted, recent and empty ones. Of repeated tokens the first by created_ts is planned and the others are dup_token.
     """
     n = F.row_number().over(Window.partitionBy(key).orderBy("created_ts"))
     created, latest = F.col("created_ts"), F.col("latest_ts")
-    routine = F.lit(floor is None)
-    start = F.greatest(created, F.lit(floor)) if floor is not None else F.when(latest.isNotNull(), F.greatest(created, latest - overlap_s)).otherwise(created)
+    routine, eased = F.lit(floor is None and not rebuild), F.lit(floor is None and not rebuild and not force)
+    budget = F.coalesce(F.col("skip_budget"), F.lit(0)) if "skip_budget" in tokens.columns else F.lit(0)
+    valid = F.coalesce(F.col("is_valid"), F.lit(False)) if "is_valid" in tokens.columns else F.lit(True)
+    start = created if rebuild else F.greatest(created, F.lit(floor)) if floor is not None else F.when(latest.isNotNull(), F.greatest(created, latest - overlap_s)).otherwise(created)
     reason = (
-        F.when(F.col("_n") > 1, "dup_token").when(routine & F.col("skipped"), "persisted_skip").when(routine & F.col("closed") & F.col("fully_checked"), "closed_done")
-        .when(routine & (F.lit(now) - latest < recent_s), "recent_skip").when(start >= now, "already_current")
+        F.when(F.col("_n") > 1, "dup_token").when(~valid, "invalid_token").when(eased & F.col("skipped"), "persisted_skip").when(routine & F.col("closed") & F.col("fully_checked"), "closed_done")
+        .when(eased & (budget > 0), "empty_cache_skip").when(eased & (F.lit(now) - latest < recent_s), "recent_skip").when(start >= now, "already_current")
     )
     out = tokens.withColumn("_n", n).withColumn("reason", reason)
-    return out.select(key, F.when(F.col("reason").isNull(), start).alias("start_ts"), F.when(F.col("reason").isNull(), F.lit(now).cast("long")).alias("end_ts"), "reason")
+    spent = F.nullif(F.when(F.col("reason") == "empty_cache_skip", budget - 1).otherwise(budget), F.lit(0))
+    left = [spent.alias("skip_budget_left")] if "skip_budget" in tokens.columns else []
+    return out.select(key, F.when(F.col("reason").isNull(), start).alias("start_ts"), F.when(F.col("reason").isNull(), F.lit(now).cast("long")).alias("end_ts"), "reason", *left)
 
 
 def group_plans(plans: DataFrame, key: str, size: int, slot_s: int = 86_400) -> DataFrame:

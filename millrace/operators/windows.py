@@ -51,6 +51,14 @@ def cumulative_depth(df: DataFrame, book: list[str], side: str, rank: str, size:
     return df.withColumn("cumulative_size", F.sum(size).over(w))
 
 
+def cumulative_notional(df: DataFrame, book: list[str], side: str, rank: str, price: str, size: str, rows: int = SEGMENT_ROWS) -> DataFrame:
+    """df with notional (price times size, exact to 18 digits), cumulative_size and cumulative_notional by rank; large books are scanned in segments."""
+    exact = F.col(price).cast("decimal(20,18)") * F.col(size).cast("decimal(17,6)")
+    priced = df.withColumn("notional", exact.cast("decimal(28,18)"))
+    sizes = F.col(size).cast("decimal(18,6)")
+    return scan(priced, [*book, side], [rank], {"cumulative_size": Scan("sum", sizes), "cumulative_notional": Scan("sum", F.col("notional"))}, rows)
+
+
 def merge_intervals(df: DataFrame, key: list[str], lo: str, hi: str, rows: int = SEGMENT_ROWS) -> DataFrame:
     """Overlapping or touching [lo, hi] intervals of a key as one, with how many each holds."""
     reach = scan(df, key, [lo, hi], {"_before": Scan("max", F.col(hi), own=False)}, rows)

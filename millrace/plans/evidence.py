@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import floor_epoch
-from millrace.operators import evidence, venues
+from millrace.operators import catalog, evidence, ledger, venues, windows
 from millrace.plans.gates import _ms
+from millrace.plans.ledger import NOW
 from millrace.plans.market import _t
 
 QUERIES: dict = {}
@@ -190,3 +191,78 @@ def match_quality(spark, d):
     """Orders as matches of as many minutes as their customer's number, lines as their dense minutes."""
     o = _t(spark, d, "orders").select(F.col("o_orderkey").alias("market_id"), F.col("o_orderdate").alias("window_lo"), (F.col("o_orderdate") + F.make_dt_interval(mins=F.col("o_custkey").cast("int"))).alias("window_hi"), (F.col("o_orderstatus") == "P").alias("is_unavailable"))
     return venues.match_quality(o, _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("market_id")), F.lit(883612800))
+
+
+@query("""WITH b AS (SELECT l_partkey, l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN 'bid' ELSE 'ask' END AS side, round(l_discount * 100)::BIGINT AS cents, l_quantity::BIGINT AS q FROM lineitem),
+ r AS (SELECT *, row_number() OVER (PARTITION BY l_partkey, side ORDER BY CASE WHEN side = 'bid' THEN -cents ELSE cents END, l_orderkey, l_linenumber, q) AS level_rank FROM b)
+ SELECT l_partkey, side, level_rank, (cents * q * 10000)::BIGINT AS notional, (sum(q) OVER w)::BIGINT AS cumulative_size, (sum(cents * q * 10000) OVER w)::BIGINT AS cumulative_notional FROM r WINDOW w AS (PARTITION BY l_partkey, side ORDER BY level_rank ROWS UNBOUNDED PRECEDING)""")
+def book_notionals(spark, d):
+    """Lines as levels, a discount as price; notionals in millionths."""
+    side = F.when(F.col("l_returnflag") == "R", "bid").otherwise("ask").alias("side")
+    book = _t(spark, d, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", side, F.round(F.col("l_discount"), 2).alias("price"), F.col("l_quantity").alias("size"))
+    ranked = windows.rank_levels(book, ["l_partkey"], "side", "price", ["l_orderkey", "l_linenumber", "size"])
+    deep = windows.cumulative_notional(ranked, ["l_partkey"], "side", "level_rank", "price", "size")
+    millionths = lambda c: (F.col(c) * 1_000_000).cast("long").alias(c)
+    return deep.select("l_partkey", "side", "level_rank", millionths("notional"), F.col("cumulative_size").cast("long").alias("cumulative_size"), millionths("cumulative_notional"))
+
+
+@query(f"""WITH t AS (SELECT o_custkey, min(epoch_us(o_orderdate) // 1000000) AS c, max(epoch_us(o_orderdate) // 1000000) FILTER (WHERE o_orderstatus = 'F') AS l, count(*) % 2 = 0 AS closed, bool_and(o_totalprice > 20000) AS full_, count(*) % 11 = 0 AS skip, count(*) % 13 <> 0 AS valid, count(*) % 4 AS budget FROM orders GROUP BY 1),
+ p AS (SELECT *, CASE WHEN l IS NULL THEN c ELSE greatest(c, l - 3600) END AS s FROM t),
+ f AS (SELECT 'forced' AS run, o_custkey, s, budget, CASE WHEN NOT valid THEN 'invalid_token' WHEN closed AND full_ THEN 'closed_done' WHEN s >= {NOW} THEN 'already_current' END AS reason FROM p
+  UNION ALL SELECT 'rebuilt', o_custkey, c, budget, CASE WHEN NOT valid THEN 'invalid_token' WHEN c >= {NOW} THEN 'already_current' END FROM p
+  UNION ALL SELECT 'routine', o_custkey, s, budget, CASE WHEN NOT valid THEN 'invalid_token' WHEN skip THEN 'persisted_skip' WHEN closed AND full_ THEN 'closed_done' WHEN budget > 0 THEN 'empty_cache_skip' WHEN {NOW} - l < 86400 * 200 THEN 'recent_skip' WHEN s >= {NOW} THEN 'already_current' END FROM p)
+ SELECT run, o_custkey, CASE WHEN reason IS NULL THEN s END AS start_ts, CASE WHEN reason IS NULL THEN {NOW}::BIGINT END AS end_ts, reason, nullif(CASE WHEN reason = 'empty_cache_skip' THEN budget - 1 ELSE budget END, 0) AS skip_budget_left FROM f""")
+def token_plans_by_run(spark, d):
+    """Customers as tokens: planned by a routine run, by a forced one and by one that rebuilds history."""
+    o = _t(spark, d, "orders").withColumn("_t", floor_epoch(F.col("o_orderdate"), 1))
+    n = F.count("*")
+    tokens = o.groupBy("o_custkey").agg(
+        F.min("_t").alias("created_ts"), F.max(F.when(F.col("o_orderstatus") == "F", F.col("_t"))).alias("latest_ts"), (n % 2 == 0).alias("closed"), F.bool_and(F.col("o_totalprice") > 20000).alias("fully_checked"),
+        (n % 11 == 0).alias("skipped"), (n % 13 != 0).alias("is_valid"), (n % 4).alias("skip_budget"),
+    )
+    runs = {"routine": {}, "forced": {"force": True}, "rebuilt": {"rebuild": True}}
+    parts = [ledger.plan_tokens(tokens, "o_custkey", NOW, 3600, 86_400 * 200, **how).withColumn("run", F.lit(name)) for name, how in runs.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("""WITH p AS (SELECT p_partkey, p_brand AS h, p_type AS a, p_size % 3 AS s, CASE WHEN p_partkey % 4 = 0 THEN 'moneyline' ELSE 'other' END AS kind, CASE p_partkey % 5 WHEN 0 THEN 'Draw' WHEN 1 THEN upper(p_brand) WHEN 2 THEN p_type WHEN 3 THEN '' ELSE p_name END AS label FROM part),
+ q AS (SELECT *, CASE WHEN kind = 'moneyline' THEN CASE WHEN label = 'Draw' THEN 'draw' WHEN label = upper(h) THEN 'home_win' WHEN label = a THEN 'away_win' END END AS l FROM p)
+ SELECT p_partkey, coalesce(l, CASE WHEN s = 0 THEN 'draw' WHEN s = 1 THEN CASE WHEN p_partkey % 2 = 0 THEN 'home_win' ELSE 'away_win' END END) AS role FROM q""")
+def market_roles(spark, d):
+    """Brands against types of parts, by labels and questions."""
+    p, k, s = _t(spark, d, "part"), F.col("p_partkey"), F.col("p_size") % 3
+    h, a = F.col("p_brand"), F.col("p_type")
+    label = F.when(k % 5 == 0, "Draw").when(k % 5 == 1, F.upper(h)).when(k % 5 == 2, a).when(k % 5 == 3, "").otherwise(F.col("p_name"))
+    beat = F.when(k % 2 == 0, F.concat(F.lit("will "), h, F.lit(" beat "), a)).otherwise(F.concat(F.lit("Will "), a, F.lit(" Beat "), h, F.lit("?")))
+    question = F.when(s == 0, F.concat(F.lit("Will "), a, F.lit(" vs. "), h, F.lit(" end in a draw?"))).when(s == 1, beat).otherwise(F.concat(F.lit("Will "), h, F.lit(" score?")))
+    role = catalog.market_role_of(F.when(k % 4 == 0, " Moneyline").otherwise("other"), label, question, h, a)
+    return p.select("p_partkey", role.alias("role"))
+
+
+@query("""WITH w AS (SELECT DISTINCT c_custkey AS k FROM customer WHERE c_custkey % 3 = 0), t AS (SELECT DISTINCT o_custkey AS k FROM orders),
+ m AS (SELECT c_custkey, concat_ws(',', CASE WHEN c_acctbal < 0 THEN 'end_date' END, CASE WHEN c_mktsegment = 'BUILDING' AND w.k IS NULL THEN 'event_slug' END, CASE WHEN c_nationkey = 7 THEN 'slug' END, CASE WHEN t.k IS NULL THEN 'tokens' END) AS missing FROM customer LEFT JOIN w ON w.k = c_custkey LEFT JOIN t ON t.k = c_custkey)
+ SELECT * FROM m WHERE missing <> ''""")
+def missing_metadata(spark, d):
+    """Customers as markets, their orders as tokens; the retry of every third one is still to come."""
+    c, now = _t(spark, d, "customer"), F.lit(100)
+    markets = c.select("c_custkey", F.when(F.col("c_acctbal") >= 0, "2026-01-01").alias("end_date"), F.when(F.col("c_mktsegment") != "BUILDING", "e").otherwise("").alias("event_slug"), F.when(F.col("c_nationkey") != 7, "s").alias("slug"))
+    unresolved = c.select("c_custkey", F.lit("event_slug").alias("field_name"), F.when(F.col("c_custkey") % 3 == 0, 101).otherwise(100).alias("next_retry_at"))
+    return catalog.missing_metadata(markets, _t(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")), unresolved, "c_custkey", now)
+
+
+@query("""WITH h AS (SELECT l_returnflag, sha256(concat_ws(chr(31), '=' || l_orderkey, '=' || l_linenumber, '=' || l_partkey)) AS h FROM lineitem), s AS (SELECT l_returnflag, count(*) AS n_rows, sum(('0x' || h[1:15])::BIGINT) AS a, sum(('0x' || h[16:30])::BIGINT) AS b, sum(('0x' || h[31:45])::BIGINT) AS c, sum(('0x' || h[46:60])::BIGINT) AS d FROM h GROUP BY 1)
+ SELECT l_returnflag, n_rows, sha256(concat_ws('|', n_rows, a, b, c, d)) AS digest FROM s""")
+def leaf_digests(spark, d):
+    return catalog.multiset_digest(_t(spark, d, "lineitem"), ["l_returnflag"], ["l_orderkey", "l_linenumber", "l_partkey"])
+
+
+@query("""WITH w AS (SELECT *, l_discount < 0.09 AS sound, CASE l_linenumber WHEN 1 THEN 'home_win' WHEN 2 THEN 'draw' WHEN 3 THEN 'away_win' ELSE 'home_advances' END AS role FROM lineitem),
+ g AS (SELECT l_orderkey, count(*) FILTER (WHERE sound) AS n_markets, count(DISTINCT l_linestatus) FILTER (WHERE sound) AS ids, coalesce(bool_or(sound AND l_orderkey < 700), false) AS grouped, count(*) FILTER (WHERE sound AND role = 'home_advances') AS f, count(*) FILTER (WHERE sound AND role = 'home_win') AS h,
+  count(*) FILTER (WHERE sound AND role = 'draw') AS d, count(*) FILTER (WHERE sound AND role = 'away_win') AS a FROM w GROUP BY 1)
+ SELECT l_orderkey, n_markets, CASE WHEN n_markets = 0 THEN 'absent' WHEN ids > 1 THEN 'identity' WHEN NOT CASE WHEN grouped THEN h = 1 AND d = 1 AND a = 1 AND n_markets = 3 ELSE n_markets = 1 AND f = 1 END THEN 'roles' END AS issue FROM g""")
+def portrait_targets(spark, d):
+    """Orders as matches, lines as their markets."""
+    n = F.col("l_linenumber")
+    role = F.when(n == 1, "home_win").when(n == 2, "draw").when(n == 3, "away_win").otherwise("home_advances")
+    w = _t(spark, d, "lineitem").withColumns({"role": role, "fixture_mapping_count": F.when(F.col("l_discount") < 0.09, 1).otherwise(2), "primary_mapping_count": F.lit(1)})
+    return catalog.portrait_targets(w, "l_orderkey", "role", ["l_linestatus"], F.col("l_orderkey") < 700, ["home_win", "draw", "away_win"], ["home_advances"])
