@@ -145,8 +145,9 @@ def planning_context(tokens: DataFrame, key: str, layers: dict[str, DataFrame])
 def merge_members(df: DataFrame, key: list[str], lo: str, hi: str, gap: int = 0, rows: int = SEGMENT_ROWS) -> DataFrame:
     """Each [lo, hi] with the number of its merged interval in its key, from 1: intervals merge that overlap or lie at most gap apart."""
     reach = scan(df, key, [lo, hi], {"_before": Scan("max", F.col(hi), own=False)}, rows)
-    marked = reach.withColumn("_new", F.when(F.col(lo) <= F.col("_before") + gap, 0).otherwise(1)).drop("_before")
-    return scan(marked, key, [lo, hi], {"merged": Scan("sum", F.col("_new"))}, rows).drop("_new")
+    # of equal intervals the one that begins a group comes first in the second scan too
+    marked = reach.withColumn("_joins", F.when(F.col(lo) <= F.col("_before") + gap, 1).otherwise(0)).drop("_before")
+    return scan(marked, key, [lo, hi, "_joins"], {"merged": Scan("sum", 1 - F.col("_joins"))}, rows).drop("_joins")
 
 
 def target_gaps(target: DataFrame, done: DataFrame, key: list[str], lo: str, hi: str) -> DataFrame:
