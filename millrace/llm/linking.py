@@ -84,6 +84,16 @@ def _met(entries: np.ndarray, ids: np.ndarray, least_ratio: float) -> np.ndarray
     return keep
 
 
+def _once(entries: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One entry of each key and class: in a group, more of them say nothing new and would fill blocks with one class."""
+    key = entries >> LOW_BITS
+    order = np.lexsort((ids, key))
+    key, of = key[order], ids[order]
+    first = np.ones(len(key), bool)
+    first[1:] = (key[1:] != key[:-1]) | (of[1:] != of[:-1])
+    return entries[order][first], of[first]
+
+
 def _runs(parts: Iterator[tuple[np.ndarray, np.ndarray]], buckets: int) -> Iterator[pa.RecordBatch]:
     """From (entries, ids) to rows of a bucket's sorted entries and their ids. Frequent keys: bucket -1, all their rows."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -98,7 +108,7 @@ def _runs(parts: Iterator[tuple[np.ndarray, np.ndarray]], buckets: int) -> Itera
         count = np.diff(np.append(start, len(key)))
         hot = np.repeat(count >= FREQUENT, count)
         if hot.any():
-            yield -1, entries[hot], ids[hot]
+            yield -1, *_once(entries[hot], ids[hot])
             # in their place: each size once or twice, without a class
             some, times = np.unique(entries[hot], return_counts=True)
             some = np.repeat(some, np.minimum(times, 2))
@@ -158,11 +168,12 @@ def shared_keys(source: DataFrame, entries_of: Callable[[pa.RecordBatch], Iterat
             order = np.argsort(entries)
             entries, ids = entries[order], ids[order]
             keep = _met(entries, ids, least_ratio)
-            key, ids = (entries >> LOW_BITS)[keep], ids[keep]
+            entries, ids = _once(entries[keep], ids[keep])
+            key = entries >> LOW_BITS
             if len(key):
                 start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
                 count = np.diff(np.append(start, len(key)))
-                real = ids != 0
+                real = (ids != 0) & np.repeat(count > 1, count)
                 yield pa.RecordBatch.from_arrays([pa.array(key[real].view(np.int64)), pa.array(ids[real]), pa.array(np.repeat(count, count)[real])], names)
         yield from flush()
 

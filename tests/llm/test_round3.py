@@ -212,3 +212,15 @@ def test_vectors_whose_squares_overflow_link(spark):
     rows = [(1, [1e200, 1e200], 1), (2, [1e200, 1.01e200], 1), (3, [1e-200, 1e-200], 1), (4, [1e200, -1e200], 1), (5, [5e-324, 5e-324], 1)]
     got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
     assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (0, 4), 5: (3, 1)}
+
+
+def test_a_repeated_pair_of_words_is_one_entry_of_a_line(spark, monkeypatch):
+    from millrace.llm import line_dedup
+
+    seen, linked = [], line_dedup.linked
+    monkeypatch.setattr(line_dedup, "linked", lambda rows, *rest: seen.append([tuple(r) for r in rows.select("key", "id").collect()]) or linked(rows, *rest))
+    name = lambda i: "abcdefghij"[i // 10] + "abcdefghij"[i % 10]
+    rows = [(i, f"first{name(i)} second{name(i)} " + "is onhe " * 60) for i in range(90)] + [(100 + i, f"so third{i} " + "go far " * 9) for i in range(5)]
+    got = line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum(r.n_removed for r in got) == 93
+    assert len(seen[0]) == len(set(seen[0])) >= 90
