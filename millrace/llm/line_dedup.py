@@ -4,7 +4,7 @@ Lines of equal normalised words are one class; one line of each goes on. An edit
 most, so two lines within the edit rule have most of their pairs in common, and in any order of all pairs the first of both
 share one: these are the join keys, rarest first by count sketches of words and pairs, and no link is lost. SimHash blocks
 cannot do that: at an edit distance of a fifth half of 64 bits' blocks differ, so near lines rarely meet. The
-parities of 128 counts of words drop most other candidates. What is left is verified by the edit distance of the word
+parities of counts of words, more of them for longer lines, drop most other candidates. What is left is verified by the edit distance of the word
 sequences, and of each connected group the first occurrence stays.
 """
 
@@ -22,6 +22,8 @@ from millrace.llm.shared import CELLS, CELL_KIND, above_median, binaries, cell_r
 LEAST_WORDS = 4
 #: A pair of words in 47 bits: how frequent it is, then its hash. With a line's number in a block they fill 64 bits.
 RANK_BITS, HASH_BITS, LINE_BITS = 5, 42, 17
+#: The fewest 64-bit words of a line's parities, and how many of them are compared at once.
+PARITY_WORDS, COMPARED = 2, 1 << 18
 
 #: A-Z to a-z, digits to 0, other ASCII to a blank.
 NORMAL = bytes(c if c >= 128 else ord(chr(c).lower()) if chr(c).isalpha() else 0x30 if chr(c).isdigit() else 0x20 for c in range(256))
@@ -84,11 +86,20 @@ def rare_pairs(words: np.ndarray, first: np.ndarray, count: np.ndarray, levels:
     return key[keep], line[keep], place[keep]
 
 
-def parities(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits of each line, in two numbers: whether an odd number of its words fall to the bit."""
+def widths(count: np.ndarray) -> np.ndarray:
+    """64-bit words of the parities of lines of so many words: a power of two. Fewer than 5 bits for 4 words are half odd whatever the
+    line says, and then lines of 150 words that have nothing in common would pass for near ones."""
+    return np.maximum(PARITY_WORDS, np.left_shift(1, np.ceil(np.log2(np.maximum(5 * count, 1) / 256)).astype(np.int64).clip(0)))
+
+
+def parities(words: np.ndarray, first: np.ndarray, count: np.ndarray) -> list[bytes]:
+    """Bits of each line: whether an odd number of its words fall to the bit. A wider row folds to a narrower one by exclusive or."""
+    wide = widths(count)
+    start = np.concatenate(([0], np.cumsum(64 * wide)))
     h = mix(words + np.uint64(0x632BE59BD9B4E019))
-    bit, upper = np.uint64(1) << (h & np.uint64(63)), (h >> np.uint64(63)).astype(bool)
-    return np.bitwise_xor.reduceat(np.where(upper, np.uint64(0), bit), first), np.bitwise_xor.reduceat(np.where(upper, bit, np.uint64(0)), first)
+    place = np.repeat(start[:-1], count) + (h & np.repeat((64 * wide - 1).astype(np.uint64), count)).astype(np.int64)
+    odd = np.packbits(np.bincount(place, minlength=start[-1]) & 1, bitorder="little").tobytes()
+    return [odd[a // 8 : b // 8] for a, b in zip(start[:-1].tolist(), start[1:].tolist(), strict=True)]
 
 
 def _lines(keyed: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -139,30 +150,63 @@ def _left_lines(batches):
 
 
 def _features(left: DataFrame) -> DataFrame:
-    """(id, _row, line, n, p, q) of each line that may link."""
+    """(id, _row, line, n, sig) of each line that may link."""
 
     def run(batches):
         for batch, row, number, ids, count, first, words in _left_lines(batches):
-            p, q = parities(words, first)
-            columns = [pa.array(ids), batch.column(0).take(pa.array(row)), pa.array(number.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(p.view(np.int64)), pa.array(q.view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "_row", "line", "n", "p", "q"])
-
-    return left.mapInArrow(lean(run), f"id long, _row {_KEY_OF_ROW}, line int, n int, p long, q long")
+            columns = [pa.array(ids), batch.column(0).take(pa.array(row)), pa.array(number.astype(np.int32)), pa.array(count.astype(np.int32)), binaries(parities(words, first, count))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "_row", "line", "n", "sig"])
+
+    return left.mapInArrow(lean(run), f"id long, _row {_KEY_OF_ROW}, line int, n int, sig binary")
+
+
+class _Parities:
+    """Numbers of words and parities of a table's rows."""
+
+    def __init__(self, rows: pa.Table):
+        self.n = rows.column("n").to_numpy().astype(np.int64)
+        sig, offs = rows.column("sig").to_pylist(), np.zeros(rows.num_rows + 1, np.int64)
+        self.data = np.frombuffer(b"".join(sig), np.uint64)
+        np.cumsum([len(x) // 8 for x in sig], out=offs[1:])
+        self.start, self.words, self.folds = offs[:-1], np.diff(offs), {}
+
+    def folded(self, words: int) -> tuple[np.ndarray, np.ndarray]:
+        """The parities of all rows of so many words or more, folded to that, and where in these a row stands."""
+        if words not in self.folds:
+            place, at = np.zeros(len(self.n), np.int64), np.flatnonzero(self.words >= words)
+            place[at] = np.arange(len(at))
+            bits = np.empty((len(at), words), np.uint64)
+            for width in np.unique(self.words[at]):
+                these = at[self.words[at] == width]
+                cells = self.start[these][:, None] + np.arange(width)[None, :]
+                bits[place[these]] = np.bitwise_xor.reduce(self.data[cells].reshape(len(these), -1, words), axis=1)
+            self.folds[words] = bits, place
+        return self.folds[words]
+
+    def apart(self, ia: np.ndarray, ib: np.ndarray) -> np.ndarray:
+        """How many parities of each pair of rows differ, at the width of the narrower one."""
+        out, width = np.zeros(len(ia), np.int64), np.minimum(self.words[ia], self.words[ib])
+        for w in np.unique(width).tolist():
+            bits, place = self.folded(w)
+            pairs = np.flatnonzero(width == w)
+            for at in np.array_split(pairs, max(1, -(-len(pairs) * w // COMPARED))):
+                out[at] = np.bitwise_count(bits[place[ia[at]]] ^ bits[place[ib[at]]]).sum(1, dtype=np.int64)
+        return out
 
 
 class WordCounts(Matcher):
     """Each edit changes two counts of words at most, and one if it also changes the length."""
 
-    columns = ["n", "p", "q"]
+    columns = ["n", "sig"]
 
-    def prepare(self, rows: pa.Table):
-        return rows.column("p").to_numpy().view(np.uint64), rows.column("q").to_numpy().view(np.uint64), rows.column("n").to_numpy()
+    def prepare(self, rows: pa.Table) -> _Parities:
+        return _Parities(rows)
 
-    def leaf(self, state, ia: np.ndarray, ib: np.ndarray) -> np.ndarray:
-        p, q, n = state
-        low, high = np.minimum(n[ia], n[ib]), np.maximum(n[ia], n[ib])
-        odd = np.bitwise_count(p[ia] ^ p[ib]).astype(np.int64) + np.bitwise_count(q[ia] ^ q[ib])
-        return (5 * low >= 4 * high) & (odd <= 2 * (high // 5) - (high - low))
+    def leaf(self, state: _Parities, ia: np.ndarray, ib: np.ndarray) -> np.ndarray:
+        low, high = np.minimum(state.n[ia], state.n[ib]), np.maximum(state.n[ia], state.n[ib])
+        keep = 5 * low >= 4 * high
+        keep[keep] = state.apart(ia[keep], ib[keep]) <= (2 * (high // 5) - (high - low))[keep]
+        return keep
 
     def tree(self, state, left: np.ndarray, right: np.ndarray | None):
         out = []

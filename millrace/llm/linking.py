@@ -10,7 +10,7 @@ First, each class takes part only in its block of the groups of two of its keys:
 joins most of them at once, in work linear in the rows. Then all groups that still hold two components take part; in large
 ones the rows of the largest component lie in blocks, once each, and only the other rows meet every block. Each unit emits a
 forest of its candidate pairs between components; a unit that has more is dense. Last, the dense units emit all pairs
-that still lie between two components. So each candidate pair is verified or lies within a component: no link between
+that still lie between two components, each pair in the least unit in which it meets. So each candidate pair is verified or lies within a component: no link between
 components is lost, and a group of n mutual near copies costs about n verifications, not n*n/2.
 """
 
@@ -48,6 +48,8 @@ NEIGHBOURS = 8
 
 
 STEPS_APART = 3
+#: Units that a row names, so that another unit can tell that a pair meets in one of them.
+NAMED = 16
 
 
 def size_steps(sizes: np.ndarray, least_ratio: float) -> np.ndarray:
@@ -284,9 +286,39 @@ def _unit_pairs(rows: pa.Table, starts: np.ndarray, matcher: Matcher):
     return unit[order], ia[order], ib[order]
 
 
+def _named(rows: DataFrame) -> DataFrame:
+    """rows of units with tag, which names the row's unit and side, and tags, the least NAMED of the id's."""
+    side = F.when(F.col("lo") == F.col("hi"), 0).when(F.col("own") == F.col("lo"), 1).otherwise(2)
+    tagged = saved(rows.withColumn("tag", F.xxhash64("key", "lo", "hi").bitwiseAND(F.lit(-4)).bitwiseOR(side.cast("long"))))
+    tags = tagged.groupBy("id").agg(F.slice(F.array_sort(F.collect_list("tag")), 1, NAMED).alias("tags"))
+    return tagged.join(tags, "id")
+
+
+def _met_before(rows: pa.Table, ia: np.ndarray, ib: np.ndarray) -> np.ndarray:
+    """Which pairs meet in a unit of a lesser tag that both rows name. In the least of all units in which a pair meets, it has not."""
+    lists = rows.column("tags").combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    count = lists.value_lengths().to_numpy()
+    row = np.repeat(np.arange(len(count)), count)
+    tags = np.zeros((len(count), int(count.max(initial=1))), np.int64)
+    known = np.zeros(tags.shape, bool)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    tags[row, place], known[row, place] = lists.flatten().to_numpy(), True
+    unit, out = rows.column("tag").to_numpy() >> 2, np.zeros(len(ia), bool)
+    for at in np.array_split(np.arange(len(ia)), max(1, len(ia) // 8192)):
+        a = tags[ia[at]]
+        lesser = known[ia[at]] & (a >> 2 < unit[ia[at]][:, None])
+        apart = a[:, :, None] ^ tags[ib[at]][:, None, :]
+        # the same unit: rows of its two sides meet, or any two where it has no sides
+        meets = ((apart == 3) | ((apart == 0) & (a & 3 == 0)[:, :, None])) & known[ib[at]][:, None, :]
+        out[at] = (meets & lesser[:, :, None]).any((1, 2))
+    return out
+
+
 def candidates(dealt: DataFrame, matcher: Matcher, whole: bool = False) -> DataFrame:
     """Rows (a, b, key, lo, hi, part) with a < b of pairs whose components (column root) differ: a forest of each unit, and (null, null,
-    key, lo, hi, null) for a unit that has more pairs; whole: all of them. Pairs of a part have about VERIFY_ITEMS items."""
+    key, lo, hi, null) for a unit that has more pairs; whole: all of them, a pair that meets in many units but once as far as their rows
+    name these. Pairs of a part have about VERIFY_ITEMS items."""
     keys = ["key", "lo", "hi"]
 
     def run(batches):
@@ -295,6 +327,9 @@ def candidates(dealt: DataFrame, matcher: Matcher, whole: bool = False) -> DataF
             unit, ia, ib = _unit_pairs(rows, starts, matcher)
             keep = root[ia] != root[ib]
             unit, ia, ib = unit[keep], ia[keep], ib[keep]
+            if whole:
+                keep = ~_met_before(rows, ia, ib)
+                unit, ia, ib = unit[keep], ia[keep], ib[keep]
             dense = np.zeros(0, np.int64)
             if not whole:
                 count = np.bincount(unit, minlength=len(starts) - 1)
@@ -317,7 +352,7 @@ def candidates(dealt: DataFrame, matcher: Matcher, whole: bool = False) -> DataF
             columns += [pa.array(np.concatenate([rows.column(k).to_numpy()[at], rows.column(k).to_numpy()[starts[dense]]]), t) for k, t in zip(keys, (pa.int64(), pa.int32(), pa.int32()), strict=True)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array([*part.tolist(), *none], pa.int64())], ["a", "b", *keys, "part"])
 
-    need = [*keys, "own", "id", "root", *matcher.columns]
+    need = [*keys, "own", "id", "root", *matcher.columns, *(["tag", "tags"] if whole else [])]
     found = dealt.select(need).repartition(*keys).sortWithinPartitions(*keys, "id").mapInArrow(lean(run), "a long, b long, key long, lo int, hi int, part long")
     return saved(found)
 
@@ -361,7 +396,7 @@ def linked(rows: DataFrame, payload: DataFrame, matcher: Matcher, verify: Callab
     if dense.isEmpty():
         return roots
     again = _mixed(_rooted(with_keys(left, dense, ["key", "lo", "hi"], how="left_semi"), roots), ["key", "lo", "hi"])
-    return merge(roots, candidates(again.join(details, "id"), matcher, whole=True))
+    return merge(roots, candidates(_named(again).join(details, "id"), matcher, whole=True))
 
 
 def with_keys(df: DataFrame, needed: DataFrame, on: str | list[str], weight: F.Column | None = None, how: str = "inner") -> DataFrame:

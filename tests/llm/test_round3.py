@@ -224,3 +224,46 @@ def test_a_repeated_pair_of_words_is_one_entry_of_a_line(spark, monkeypatch):
     got = line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sum(r.n_removed for r in got) == 93
     assert len(seen[0]) == len(set(seen[0])) >= 90
+
+
+def test_long_lines_without_common_words_are_no_candidates():
+    import numpy as np
+    import pyarrow as pa
+    from millrace.llm import line_dedup
+
+    r = np.random.RandomState(5)
+    count = np.array([4, 30, 150, 150, 153, 148, 240, 253, 700, 720, 9000, 9000])
+    words, first = r.randint(0, 1 << 62, count.sum()).astype(np.uint64), np.cumsum(count) - count
+    near = words[first[2] : first[2] + 150].copy()
+    near[::5] = 7  # 30 of 150 words: just within the rule
+    words, first, count = np.concatenate([words, near]), np.append(first, len(words)), np.append(count, 150)
+    features = line_dedup.parities(words, first, count)
+    rows = pa.table({"n": pa.array(count, pa.int32()), "sig": pa.array(features, pa.binary())})
+    match = line_dedup.WordCounts()
+    ia, ib = match.tree(match.prepare(rows), np.arange(len(count)), None)
+    assert list(zip(ia.tolist(), ib.tolist(), strict=True)) == [(2, 12)]
+
+
+def test_a_pair_of_the_last_round_comes_from_one_unit(spark, monkeypatch):
+    from millrace.llm import line_dedup, linking
+
+    found, candidates = [], linking.candidates
+
+    def seen(*args, whole=False):
+        out = candidates(*args, whole=whole)
+        found.extend((x.a, x.b) for x in out.collect() if whole)
+        return out
+
+    monkeypatch.setattr(linking, "candidates", seen)
+    monkeypatch.setattr(linking, "NAMED", 64)  # all units of these rows
+    # two groups of near lines that share words and pairs, and are more than a fifth apart: a dense unit on each of many pairs
+    name = lambda i: "abcdefghij"[i // 10] + "abcdefghij"[i % 10]
+    base = [f"w{name(i)}" for i in range(60)]
+    other = [f"v{name(i)}" if i % 20 in (3, 4, 5, 6) or i == 59 else w for i, w in enumerate(base)]
+    rows = [(40 * g + i, " ".join(f"x{name(i)}" if k == 30 + i % 9 else w for k, w in enumerate(line))) for g, line in enumerate((base, other)) for i in range(40)]
+    for blocks in (2048, 16):
+        found.clear()
+        monkeypatch.setattr(linking, "BLOCK_ROWS", blocks)
+        got = line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert {r.doc_id for r in got if not r.n_removed} == {0, 40}
+        assert len(found) == len(set(found)) > 0
