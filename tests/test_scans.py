@@ -128,3 +128,27 @@ def test_equal_intervals_in_any_sequence(spark, monkeypatch):
     assert sorted(map(tuple, windows.merge_intervals(df, ["k"], "lo", "hi").collect())) == want
     members = catalog.merge_members(df, ["k"], "lo", "hi").groupBy("k", "merged").agg(F.min("lo"), F.max("hi"), F.count("*")).drop("merged")
     assert sorted(map(tuple, members.collect())) == want
+
+
+def test_equal_intervals_are_ordered_once(spark, monkeypatch):
+    """Copies of an interval are one row before they are cut in segments; those that don't join each other stay apart."""
+    rows = [("a", i % 9 * 10, i % 9 * 10 + 3 + i % 2) for i in range(400)] + [("a", 95, 91)] * 3 + [("a", None, -2)] * 3 + [("a", None, None)] * 2 + [("a", 99, None)] * 2 + [("b", 1, 2)] * 2
+    df = spark.createDataFrame(rows, "k string, lo int, hi int")
+    cut = []
+
+    def counted(df, *rest):
+        cut.append(df.count())
+        return scan(df, *rest)
+
+    monkeypatch.setattr(windows, "scan", counted)
+    want = [("a", x, x + 4, len([r for r in rows if r[1] == x])) for x in range(0, 90, 10)] + [("a", 95, 91, 1)] * 3 + [("a", None, -2, 1)] * 3 + [("a", None, None, 1)] * 2 + [("a", 99, None, 1)] * 2 + [("b", 1, 2, 2)]
+    for n in (ROWS, scans.SEGMENT_ROWS):
+        assert rows_of(windows.merge_intervals(df, ["k"], "lo", "hi", n).select("k", "lo", "hi", "members")) == sorted(str(r) for r in spark.createDataFrame(want, "k string, lo int, hi int, members long").collect())
+    assert cut == [29, 29, len(rows), len(rows)]
+
+
+def test_segments_are_bounded(spark, ticks, monkeypatch):
+    monkeypatch.setattr(scans, "MOST_SEGMENTS", 5)
+    assert scans.segments(ticks, ["k"], ["t", "i"], scans.large_keys(ticks, ["k"], 1), 1).select("_segment").distinct().count() == 5
+    for f in (lambda n: windows.locf(ticks, ["k"], ["t", "i"], ["v"], n), lambda n: windows.merge_intervals(ticks.where("hi IS NOT NULL"), ["k"], "t", "hi", n)):
+        assert rows_of(f(1)) == rows_of(f(scans.SEGMENT_ROWS))
