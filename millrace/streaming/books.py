@@ -1,15 +1,18 @@
-"""Order books replayed from a stream of their events, a book to a key.
+"""Order books replayed from a stream of their events.
 
 Events wait in state until the watermark of receipt times has passed them, so they are applied in order of receipt however they
-arrive; a timer a key wakes it. Only the current book and what still waits are kept: state does not grow with the stream's length.
+arrive; a timer wakes them. Only the current book and what still waits are kept: state does not grow with the stream's length.
+A key of state is a bucket of tokens, not a token: a call into Python and its state cost far more than a token's few events.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+from collections import defaultdict
 from collections.abc import Iterator
 from decimal import Decimal, InvalidOperation
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -20,8 +23,11 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 EVENT = "token string, event_type string, received long, source long, sequence long, bids string, asks string, price string, size string, side string"
 #: What is emitted: kind snapshot, trade or issue. bids fall and asks rise in price, both as JSON.
 OUT = "kind string, token string, window_id string, received long, source long, sequence long, bids string, asks string, levels int, price string, size string, digest string, issue string"
-_PENDING = EVENT.removeprefix("token string, ")
-_NAMES = [c.split()[0] for c in _PENDING.split(", ")]
+_NAMES = [c.split()[0] for c in EVENT.split(", ")]
+#: Buckets of tokens. State is kept by them: a stream must go on with the number it began with.
+BUCKETS = 1024
+#: Rows that a bucket hands on at once.
+OUT_ROWS = 10_000
 
 
 def _number(text: str | None) -> Decimal | None:
@@ -42,9 +48,13 @@ def _levels(text: str | None) -> dict[Decimal, Decimal] | None:
     return {p: s for p, s in pairs if s > 0} if good else None
 
 
+@lru_cache(maxsize=65_536)
+def _plain(d: Decimal) -> str:
+    return format(d.normalize(), "f")
+
+
 def _text(side: dict[Decimal, Decimal], falling: bool) -> str:
-    plain = lambda d: format(d.normalize(), "f")
-    return json.dumps([[plain(p), plain(side[p])] for p in sorted(side, reverse=falling)], separators=(",", ":"))
+    return json.dumps([[_plain(p), _plain(side[p])] for p in sorted(side, reverse=falling)], separators=(",", ":"))
 
 
 class Book:
@@ -107,55 +117,83 @@ def _order(event: dict) -> tuple:
 
 
 class ReplayProcessor(StatefulProcessor):
-    """windows: JSON of each token's windows travels with its events, in column windows."""
+    """windows: JSON of each token's windows travels with its events, in column windows. States are JSON: known, the book and the windows
+    of each token; pending, a text for each frame of events that wait, with the windows of their tokens."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.book = handle.getValueState("book", "bids string, asks string")
-        self.windows = handle.getValueState("windows", "windows string")
-        self.pending = handle.getListState("pending", _PENDING)
+        self.known = handle.getValueState("known", "tokens string")
+        self.pending = handle.getListState("pending", "events string")
+
+    def _tokens(self) -> dict[str, list]:
+        """token: bids, asks, windows."""
+        return {token: rest for token, *rest in json.loads(self.known.get()[0])} if self.known.exists() else {}
+
+    def _keep(self, tokens: dict[str, list]) -> None:
+        self.known.update((json.dumps([[token, *rest] for token, rest in tokens.items()]),))  # not an object: a token may be null
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
+        tokens = self._tokens()
         for frame in [initialState] if isinstance(initialState, pd.DataFrame) else initialState:
-            for row in frame.itertuples(index=False):
-                self.book.update((row.bids, row.asks))
+            tokens |= {row.token: [row.bids, row.asks, None] for row in frame.itertuples(index=False)}
+        self._keep(tokens)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        waiting = []
+        first = None
         for frame in rows:
-            frame = frame.astype(object).where(frame.notna(), None)
-            if len(frame) and not self.windows.exists():
-                self.windows.update((frame["windows"].iloc[0],))
-            waiting += [tuple(int(v) if c in ("received", "source", "sequence") and v is not None else v for c, v in zip(_NAMES, row, strict=True)) for row in frame[_NAMES].itertuples(index=False)]
-        if waiting:
-            self.pending.appendList(waiting)
-            for at in {max((w[1] for w in waiting if w[1] is not None), default=0), min((w[1] for w in waiting if w[1] is not None), default=0)}:
-                self.handle.registerTimer(at)
+            if not len(frame):
+                continue
+            columns = [[None if v is None or v != v else int(v) if c in ("received", "source", "sequence") else v for v in frame[c].tolist()] for c in _NAMES]
+            windows = dict(zip(reversed(columns[0]), reversed(frame["windows"].tolist()), strict=True))
+            self.pending.appendValue((json.dumps([list(windows.items()), list(zip(*columns, strict=True))]),))
+            at = min((v for v in columns[_NAMES.index("received")] if v is not None), default=0)
+            first = at if first is None else min(first, at)
+        if first is not None:
+            self.handle.registerTimer(first)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        passed = timerValues.getCurrentWatermarkInMs()
-        waiting = [dict(zip(_NAMES, row, strict=True)) for row in self.pending.get()] if self.pending.exists() else []
-        due = sorted((e for e in waiting if e["received"] is None or e["received"] < passed), key=_order)
-        later = [e for e in waiting if not (e["received"] is None or e["received"] < passed)]
+        passed, found, due, later, at = timerValues.getCurrentWatermarkInMs(), {}, defaultdict(list), [], _NAMES.index("received")
+        for (text,) in self.pending.get() if self.pending.exists() else ():
+            windows, rows = json.loads(text)
+            found = dict(windows) | found
+            for row in rows:
+                if row[at] is None or row[at] < passed:
+                    due[row[0]].append(row)
+                else:
+                    later.append(row)
         if later:
-            self.pending.put([tuple(e.values()) for e in later])
-            self.handle.registerTimer(max(e["received"] for e in later))
-        elif waiting:
-            self.pending.clear()
+            self.handle.registerTimer(min(row[at] for row in later))
         if not due:
             return
-        book = Book(*self.book.get()) if self.book.exists() else Book(None, None)
-        windows = [(name, int(lo), int(hi)) for name, lo, hi in json.loads(self.windows.get()[0] or "[]")] if self.windows.exists() else []
-        out = list(replay(key[0], book, due, windows))
-        self.book.update(book.texts())
+        if later:
+            self.pending.put([(json.dumps([list({row[0]: found[row[0]] for row in later}.items()), later]),)])
+        else:
+            self.pending.clear()
+        tokens, out = self._tokens(), []
+        for token, waited in due.items():
+            events = [dict(zip(_NAMES, row, strict=True)) for row in waited]
+            bids, asks, windows = tokens.get(token, (None, None, None))
+            windows = found[token] or "[]" if windows is None else windows
+            book = Book(bids, asks)
+            for row in replay(token, book, sorted(events, key=_order), [(name, int(lo), int(hi)) for name, lo, hi in json.loads(windows)]):
+                out.append(row)
+                if len(out) >= OUT_ROWS:
+                    yield _frame(out)
+                    out = []
+            tokens[token] = [*book.texts(), windows]
+        self._keep(tokens)
         if out:
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in OUT.split(", ")]).astype({c: "Int64" for c in ("received", "source", "sequence", "levels")})
+            yield _frame(out)
 
     def close(self) -> None:
         pass
 
 
+def _frame(out: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(out, columns=[c.split()[0] for c in OUT.split(", ")]).astype({c: "Int64" for c in ("received", "source", "sequence", "levels")})
+
+
 def token_windows(windows: DataFrame) -> DataFrame:
     """(token, windows): each token's windows (token, window_id, lo, hi in epoch milliseconds) as JSON. A token has a handful."""
     each = F.array_sort(F.collect_list(F.struct("lo", "hi", "window_id")))
@@ -171,9 +209,10 @@ def stream_books(events: DataFrame, seeds: DataFrame, windows: DataFrame, delay:
     """
     known = token_windows(windows)
     timed = events.where("received IS NOT NULL").withColumn("_at", F.timestamp_millis("received")).withWatermark("_at", delay)
-    dealt = timed.join(F.broadcast(known) if known.count() <= 1_000_000 else known, "token", "left")
-    return dealt.groupBy("token").transformWithStateInPandas(
-        statefulProcessor=ReplayProcessor(), outputStructType=OUT, outputMode="Append", timeMode="EventTime", initialState=seeds.select("token", "bids", "asks").groupBy("token")
+    bucket = F.pmod(F.xxhash64("token"), F.lit(BUCKETS)).cast("int").alias("bucket")
+    dealt = timed.join(F.broadcast(known) if known.count() <= 1_000_000 else known, "token", "left").select("*", bucket)
+    return dealt.groupBy("bucket").transformWithStateInPandas(
+        statefulProcessor=ReplayProcessor(), outputStructType=OUT, outputMode="Append", timeMode="EventTime", initialState=seeds.select("token", "bids", "asks", bucket).groupBy("bucket")
     )
 
 

@@ -117,3 +117,26 @@ def test_stream_equals_brute_force_and_resumes(spark, tmp_path):
 @pytest.mark.parametrize("text", ["x", '[["a","1"]]', '[["2","1"]]', '[["0.1","-1"]]', '[["0.1"]]', "3"])
 def test_malformed_sides(text):
     assert books._levels(text) is None
+
+
+def test_tokens_share_the_keys_of_state(spark, tmp_path):
+    """A call into Python a bucket, not a token; also a token that is null, and windows only of some."""
+    rows = [{c: None for c in NAMES} | {"token": None if t == 0 else f"t{t}", "event_type": "price_change", "received": 1000 + i, "source": 1000, "sequence": i, "price": f"0.{t + 10}", "size": str(i + 1), "side": "BUY"} for t in range(40) for i in range(3)]
+    end = {c: None for c in NAMES} | {"token": "t1", "event_type": "end", "received": 10**7, "source": 1, "sequence": 9}
+    kept, buckets = spark.conf.get("spark.sql.streaming.stateStore.providerClass"), books.BUCKETS
+    books.use_rocksdb(spark)
+    try:
+        books.BUCKETS = 3
+        spark.createDataFrame([tuple(r[c] for c in NAMES) for r in [*rows, end]], books.EVENT).write.parquet(str(tmp_path / "in"))
+        seeds = spark.createDataFrame([("t2", '[["0.5","1"]]', "[]"), ("t90", "[]", "[]")], "token string, bids string, asks string")
+        spans = spark.createDataFrame([(f"t{t}", "w", 1001, 1003) for t in range(1, 30)], "token string, window_id string, lo long, hi long")
+        stream = books.stream_books(spark.readStream.schema(books.EVENT).parquet(str(tmp_path / "in")), seeds, spans, "1 second")
+        query = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).option("path", str(tmp_path / "out")).trigger(availableNow=True).start()
+        assert query.awaitTermination(120)
+        timers = [p.stateOperators[0].customMetrics["numRegisteredTimers"] for p in query.recentProgress if p.stateOperators]
+        assert 0 < max(timers) <= 3
+    finally:
+        books.BUCKETS = buckets
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", kept)
+    got = sorted((r.token, r.sequence, r.levels) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == sorted((f"t{t}", i, 2 if t == 2 else 1) for t in range(1, 30) for i in (1, 2))
